@@ -56,12 +56,34 @@ class GraphLayout:
     mode: str
 
     def salted(self, frame: DataFrame, id_col: str = "id") -> DataFrame:
-        """Replicate each vertex row once per salt bucket, renaming ``id`` to ``src``."""
+        """Replicate each vertex row once per salt bucket, renaming ``id`` to ``src``.
+
+        The replicas are the build side of a shuffled hash join against the edge table
+        (at most ``vertices + partitions`` rows in all), so the edges stream through
+        unsorted and unmoved.
+        """
         return frame.withColumnRenamed(id_col, "src").withColumn(
             "salt", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
         )
 
 
+def checkpoint_partitioned(frame: DataFrame) -> DataFrame:
+    """Reliable checkpoint that keeps the frame's hash partitioning.
+
+    Under adaptive execution the planned output partitioning is unknown until the plan
+    has run, and a checkpoint taken then forgets it, so later joins would shuffle the
+    frame again. The frame is a plain repartition, which adaptive execution has
+    nothing to re-plan in, so it is checkpointed with adaptive execution off.
+    """
+    conf = frame.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return frame.checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 def normalize_edges(edges: DataFrame, weight: str | None = "weight") -> DataFrame:
     """``src, dst, weight`` with null ends dropped; a missing weight column counts as 1."""
     w: Column
@@ -167,7 +189,7 @@ def prepare_graph(
         "mult",
         "weight",
     )
-    etab = salted.repartition(parts, "src", "salt").checkpoint(eager=True)
+    etab = checkpoint_partitioned(salted.repartition(parts, "src", "salt"))
     pairs.unpersist()
     return GraphLayout(
         vertices=vtab,

@@ -70,7 +70,7 @@ def rank_round(layout: GraphLayout, state: DataFrame, damping: float,
             "id", "nb", (F.col("rank") / F.col("deg")).alias("share")
         )
     )
-    messages = layout.edges.join(shares, ["src", "salt"]).select(
+    messages = layout.edges.join(shares.hint("shuffle_hash"), ["src", "salt"]).select(
         F.col("dst").alias("id"),
         F.lit(None).cast("bigint").alias("deg"),
         F.lit(None).cast("bigint").alias("ndst"),

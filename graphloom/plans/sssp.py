@@ -44,7 +44,7 @@ class ShortestPathResult:
 def relax_frontier(layout: GraphLayout, state: DataFrame) -> DataFrame:
     """One round from ``state (id, nb, dist, active)`` (lazy)."""
     front = layout.salted(state.where(F.col("active")).select("id", "nb", "dist"))
-    candidates = layout.edges.join(front, ["src", "salt"]).select(
+    candidates = layout.edges.join(front.hint("shuffle_hash"), ["src", "salt"]).select(
         F.col("dst").alias("id"),
         F.lit(None).cast("int").alias("nb"),
         F.lit(None).cast("double").alias("old"),
