@@ -60,50 +60,51 @@ def initial_state(layout: GraphLayout) -> DataFrame:
     )
 
 
+# One round as one statement: analysed once per round (a chain of DataFrame calls is
+# analysed call by call, which costs more than the round itself on small graphs).
+ROUND_SQL = """
+WITH shares AS (
+  SELECT id AS src, explode(sequence(0, nb - 1)) AS salt, rank / deg AS share
+  FROM {state} WHERE deg > 0
+),
+messages AS (
+  SELECT /*+ SHUFFLE_HASH(s) */ e.dst AS id, CAST(NULL AS BIGINT) AS deg, CAST(NULL AS BIGINT) AS ndst,
+         CAST(NULL AS INT) AS nb, CAST(NULL AS DOUBLE) AS prev, s.share * e.mult AS c
+  FROM {edges} e JOIN shares s ON e.src = s.src AND e.salt = s.salt
+),
+summed AS (
+  SELECT id, max(deg) AS deg, max(ndst) AS ndst, max(nb) AS nb, max(prev) AS prev,
+         sum(c) AS s, count(c) AS nin
+  FROM (SELECT id, deg, ndst, nb, rank AS prev, CAST(NULL AS DOUBLE) AS c FROM {state}
+        UNION ALL SELECT id, deg, ndst, nb, prev, c FROM messages) u
+  GROUP BY id
+)
+SELECT id, deg, ndst, nb, RANK_EXPR AS rank, prev
+FROM summed
+WHERE deg IS NOT NULL  -- shares sent to targets outside the vertex set are lost
+"""
+
+RANK_EXPR = {
+    "standard": ":base + :d * coalesce(s, 0D)",
+    "twice": ":d * (CASE WHEN nin > 0 THEN :d * coalesce(s, 0D) + :base ELSE 0D END) + :base",
+}
+
+
 def rank_round(layout: GraphLayout, state: DataFrame, damping: float,
                dead_mass: float, mode: str) -> DataFrame:
-    """One PageRank round from ``state`` (lazy). The result carries ``prev``."""
+    """One PageRank round from ``state`` (lazy). The result carries ``prev``.
+
+    Each state row is replicated per salt bucket of its vertex and shuffled to the
+    unmoved edge partitions (hash join built on the replicas); messages and vertex
+    rows meet in one aggregation (partial sums on the map side).
+    """
     n = layout.num_vertices
     d = float(damping)
-    shares = layout.salted(
-        state.where(F.col("deg") > 0).select(
-            "id", "nb", (F.col("rank") / F.col("deg")).alias("share")
-        )
-    )
-    messages = layout.edges.join(shares.hint("shuffle_hash"), ["src", "salt"]).select(
-        F.col("dst").alias("id"),
-        F.lit(None).cast("bigint").alias("deg"),
-        F.lit(None).cast("bigint").alias("ndst"),
-        F.lit(None).cast("int").alias("nb"),
-        F.lit(None).cast("double").alias("prev"),
-        (F.col("share") * F.col("mult")).alias("c"),
-    )
-    own = state.select(
-        "id", "deg", "ndst", "nb", F.col("rank").alias("prev"),
-        F.lit(None).cast("double").alias("c"),
-    )
-    summed = (
-        own.unionByName(messages)
-        .groupBy("id")
-        .agg(
-            F.max("deg").alias("deg"),
-            F.max("ndst").alias("ndst"),
-            F.max("nb").alias("nb"),
-            F.max("prev").alias("prev"),
-            F.sum("c").alias("s"),
-            F.count("c").alias("nin"),
-        )
-        # shares sent to targets outside the vertex set are lost
-        .where(F.col("deg").isNotNull())
-    )
     base = (1.0 - d) / n + d * dead_mass / n
-    s = F.coalesce(F.col("s"), F.lit(0.0))
-    if mode == "standard":
-        rank = F.lit(base) + F.lit(d) * s
-    else:
-        inner = F.when(F.col("nin") > 0, F.lit(d) * s + F.lit(base)).otherwise(F.lit(0.0))
-        rank = F.lit(d) * inner + F.lit(base)
-    return summed.select("id", "deg", "ndst", "nb", rank.alias("rank"), "prev")
+    query = ROUND_SQL.replace("RANK_EXPR", RANK_EXPR[mode])
+    return state.sparkSession.sql(
+        query, args={"base": base, "d": d}, state=state, edges=layout.edges
+    )
 
 
 def pagerank(

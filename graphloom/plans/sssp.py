@@ -41,28 +41,31 @@ class ShortestPathResult:
         return [r.seconds for r in self.trace.rounds]
 
 
+# One round as one statement (analysed once per round).
+ROUND_SQL = """
+WITH front AS (
+  SELECT id AS src, explode(sequence(0, nb - 1)) AS salt, dist FROM {state} WHERE active
+),
+candidates AS (
+  SELECT /*+ SHUFFLE_HASH(f) */ e.dst AS id, CAST(NULL AS INT) AS nb, CAST(NULL AS DOUBLE) AS old,
+         f.dist + e.weight AS cand
+  FROM {edges} e JOIN front f ON e.src = f.src AND e.salt = f.salt
+),
+best AS (
+  SELECT id, max(nb) AS nb, min(old) AS old, min(cand) AS best
+  FROM (SELECT id, nb, dist AS old, CAST(NULL AS DOUBLE) AS cand FROM {state}
+        UNION ALL SELECT id, nb, old, cand FROM candidates) u
+  GROUP BY id
+)
+SELECT id, nb, least(old, best) AS dist, coalesce(best < old, false) AS active
+FROM best
+WHERE old IS NOT NULL
+"""
+
+
 def relax_frontier(layout: GraphLayout, state: DataFrame) -> DataFrame:
-    """One round from ``state (id, nb, dist, active)`` (lazy)."""
-    front = layout.salted(state.where(F.col("active")).select("id", "nb", "dist"))
-    candidates = layout.edges.join(front.hint("shuffle_hash"), ["src", "salt"]).select(
-        F.col("dst").alias("id"),
-        F.lit(None).cast("int").alias("nb"),
-        F.lit(None).cast("double").alias("old"),
-        (F.col("dist") + F.col("weight")).alias("cand"),
-    )
-    own = state.select("id", "nb", F.col("dist").alias("old"), F.lit(None).cast("double").alias("cand"))
-    best = (
-        own.unionByName(candidates)
-        .groupBy("id")
-        .agg(F.max("nb").alias("nb"), F.min("old").alias("old"), F.min("cand").alias("best"))
-        .where(F.col("old").isNotNull())
-    )
-    return best.select(
-        "id",
-        "nb",
-        F.least(F.col("old"), F.col("best")).alias("dist"),
-        F.coalesce(F.col("best") < F.col("old"), F.lit(False)).alias("active"),
-    )
+    """One round from ``state (id, nb, dist, active)`` (lazy): only the frontier sends."""
+    return state.sparkSession.sql(ROUND_SQL, state=state, edges=layout.edges)
 
 
 def shortest_paths(
