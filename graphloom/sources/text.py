@@ -50,18 +50,23 @@ def parse_adjacency_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     Blank lines are skipped; a line without ``:`` or with a malformed list fails.
     """
     value = F.col(column)
+    # every failing expression is guarded by the blank test itself: the optimizer may
+    # evaluate pushed-down or inferred predicates before the filter on blank lines
+    blank = F.length(F.trim(value)) == 0
     head = F.trim(F.split_part(value, F.lit(":"), F.lit(1)))
     body = F.trim(F.substring_index(value, ":", -1))
     parsed = F.from_json(body, "array<bigint>")
     out = (
-        F.when(F.instr(value, ":") == 0,
-               F.raise_error(F.concat(F.lit("adjacency line without ':': "), value)))
+        F.when(blank, F.lit(None))
+        .when(F.instr(value, ":") == 0,
+              F.raise_error(F.concat(F.lit("adjacency line without ':': "), value)))
         .when(parsed.isNull(),
               F.raise_error(F.concat(F.lit("malformed adjacency list: "), value)))
         .otherwise(parsed)
     )
-    return lines.where(F.length(F.trim(value)) > 0).select(
-        head.cast("bigint").alias("id"), out.cast("array<bigint>").alias("out")
+    return lines.where(~blank).select(
+        F.when(blank, F.lit(None)).otherwise(head).cast("bigint").alias("id"),
+        out.cast("array<bigint>").alias("out"),
     )
 
 

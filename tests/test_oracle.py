@@ -1,0 +1,27 @@
+"""Every registered query against its DuckDB SQL on the smallest tables."""
+
+import os
+
+import pytest
+
+from conftest import TESTDATA
+
+SF = os.path.join(TESTDATA, "sf0.001")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not available")
+def test_all_queries_match_duckdb(spark):
+    from tools.oracle_check import check
+
+    res = check(spark, SF)
+    bad = {k: v for k, v in res.items() if not v.get("match")}
+    assert not bad, bad
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as entry
+
+    df = entry.entry(spark)
+    rows = df.collect()
+    assert df.columns == ["id", "rank", "pos"] and 0 < len(rows) <= 20
+    assert set(entry.queries()) == set(entry.oracle_sql())
