@@ -104,3 +104,18 @@ def test_graph_stats_counts_duplicates_and_self_loops(spark):
     s = gops.graph_stats(e).first().asDict()
     assert s == {"num_edges": 4, "num_distinct_edges": 3, "num_self_loops": 1,
                  "num_vertices": 3, "num_sources": 2, "num_sinks": 1}
+
+
+def test_hot_source_with_a_third_of_all_edges_is_spread(spark):
+    # source 0 owns 3,000 of 9,000 edges; every other source has 3
+    hub = [(0, 10_000 + t) for t in range(3000)]
+    rest = [(s, (s * 7 + k) % 2000 + 1) for s in range(1, 2001) for k in range(3)]
+    e = spark.createDataFrame(hub + rest, "src bigint, dst bigint")
+    layout = prepare_graph(e, partitions=8, bucket_size=400, weight=None)
+    sizes = [r.c for r in layout.edges.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count("*").alias("c")).collect()]
+    assert sum(sizes) == layout.num_distinct_edges
+    # without salting one partition would hold at least 3,000 hub edges
+    assert max(sizes) < 2000
+    hub_salts = layout.edges.where("src = 0").select("salt").distinct().count()
+    assert hub_salts == 8  # ceil(3000 / 400) buckets, all used
