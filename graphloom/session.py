@@ -24,19 +24,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on this client (Spark Connect)
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the session names, or None."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return spark.conf.get("spark.checkpoint.dir", None)
+    return _context_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only where none is set (tests)."""
     current = checkpoint_dir(spark)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
+        if not _context_dir(spark):
             spark.sparkContext.setCheckpointDir(current)
         return current
     spark.sparkContext.setCheckpointDir(fallback)
@@ -51,8 +55,11 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
             "no checkpoint folder: set spark.checkpoint.dir to a shared folder "
             "(or call SparkContext.setCheckpointDir) before running iterative graph plans"
         )
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not _context_dir(spark):
+        try:
+            spark.sparkContext.setCheckpointDir(current)
+        except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+            pass
     return current
 
 
