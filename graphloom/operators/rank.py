@@ -102,17 +102,17 @@ def with_position(ranks: DataFrame, partitions: int | None = None, order=None) -
         .checkpoint(eager=True)
     )
     counts = sorted_frame.groupBy("_part").agg(F.count(F.lit(1)).alias("c")).collect()
-    offsets, total = {}, 0
+    offsets, total = [], 0
     for row in sorted(counts, key=lambda r: r["_part"]):
-        offsets[row["_part"]] = total
+        offsets.append((row["_part"], total))
         total += row["c"]
-    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) \
-        if offsets else F.create_map().cast("map<int,bigint>")
+    # one row per partition: a size bound that does not grow with the data
+    offset_frame = ranks.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
     # monotonically_increasing_id = partition index << 33 | row index in the partition
     local = F.col("_mid") - F.shiftleft(F.col("_part").cast("bigint"), 33)
-    return sorted_frame.select(
+    return sorted_frame.join(F.broadcast(offset_frame), "_part").select(
         *[c for c in ranks.columns],
-        (F.element_at(offset_map, F.col("_part")) + local + 1).cast("bigint").alias("pos"),
+        (F.col("_offset") + local + 1).cast("bigint").alias("pos"),
     )
 
 

@@ -130,3 +130,18 @@ def run_summary(jobs: DataFrame | None = None, stages: DataFrame | None = None,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def render_report(summary: DataFrame) -> DataFrame:
+    """``app_id, line`` with ``line = "<section>: <metric> = <value> <unit>"``."""
+    value = F.format_number(F.col("value"), 0)
+    return summary.select(
+        "app_id", "section", "metric",
+        F.format_string("%s: %s = %s %s", F.col("section"), F.col("metric"), value, F.col("unit")).alias("line"),
+    )
+
+
+def write_report(summary: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One folder per application id (``app_id=<id>``), lines ordered by section and metric."""
+    lines = render_report(summary).orderBy("app_id", "section", "metric")
+    lines.select("app_id", "line").write.mode(mode).partitionBy("app_id").text(path)

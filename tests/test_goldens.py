@@ -118,3 +118,20 @@ def test_stage_records_from_documented_fields(spark, scratch):
     assert s["executor_run_time"] == 100 and s["bytes_read"] == 10 and s["fetch_wait_time"] == 3
     listing = {r.stageId: r.duration_ms for r in stage_listing(st).collect()}
     assert listing == {0: 250, 1: None}
+
+
+def test_report_lines_written_per_run(spark, scratch):
+    import glob
+
+    from graphloom.operators.runmetrics import write_report
+
+    g = _runs_glob("dijkstras")
+    summary = run_summary(jobs=read_records(spark, g, "jobs"), executors=read_records(spark, g, "executors"))
+    out = os.path.join(scratch, "report")
+    write_report(summary, out)
+    lines = []
+    for part in sorted(glob.glob(os.path.join(out, "app_id=local-1719702930792", "part-*"))):
+        lines.extend(open(part).read().splitlines())
+    assert "jobs: total_jobs = 5 jobs" in lines
+    assert "jobs: total_job_duration = 1,408 ms" in lines
+    assert "executors: shuffle_read = 66,069 bytes" in lines
