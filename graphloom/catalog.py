@@ -220,16 +220,20 @@ def q_pagerank_history(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(events_fixed(spark, sf, history=True).history, "rank")
 
 
+# Reports order by the rank at the reported precision (ROUND decimals), ties broken by
+# id: the last bits of a double sum depend on summation order, so a full-precision order
+# of equal ranks is not repeatable across partitionings or engines.
+
 def q_pagerank_ordered(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rops.with_position(events_converged(spark, sf).ranks), "rank")
+    return rops.with_position(rounded(events_converged(spark, sf).ranks, "rank"))
 
 
 def q_pagerank_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rops.top_k(orders_converged(spark, sf).ranks, TOP_K), "rank")
+    return rops.top_k(rounded(orders_converged(spark, sf).ranks, "rank"), TOP_K)
 
 
 def q_rank_extremes(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rops.extremes(events_converged(spark, sf).ranks), "max_rank", "min_rank")
+    return rops.extremes(rounded(events_converged(spark, sf).ranks, "rank"))
 
 
 def q_rank_render(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,7 +343,7 @@ def _oracle() -> dict[str, str]:
     w = sql.with_graph
     pr = sql.pagerank_sql
     final_pos = (
-        f"SELECT id, {_r('rank')} AS rank, CAST(row_number() OVER (ORDER BY rank DESC, id) AS BIGINT) AS pos "
+        f"SELECT id, {_r('rank')} AS rank, CAST(row_number() OVER (ORDER BY {_r('rank')} DESC, id) AS BIGINT) AS pos "
         f"FROM final"
     )
     return {
@@ -395,8 +399,8 @@ def _oracle() -> dict[str, str]:
         "pagerank_topk": pr("g_orders", PR_MAX_ITER, tol=PR_TOL, select=final_pos + f" ORDER BY pos LIMIT {TOP_K}"),
         "rank_extremes": pr(
             "g_events", PR_MAX_ITER, tol=PR_TOL,
-            select="SELECT (SELECT id FROM final ORDER BY rank DESC, id LIMIT 1) AS max_id, "
-            f"{_r('max(rank)')} AS max_rank, (SELECT id FROM final ORDER BY rank, id LIMIT 1) AS min_id, "
+            select=f"SELECT (SELECT id FROM final ORDER BY {_r('rank')} DESC, id LIMIT 1) AS max_id, "
+            f"{_r('max(rank)')} AS max_rank, (SELECT id FROM final ORDER BY {_r('rank')}, id LIMIT 1) AS min_id, "
             f"{_r('min(rank)')} AS min_rank FROM final",
         ),
         "rank_render": pr("g_events", FIXED_ROUNDS, select="SELECT id, printf('Node %d: %.6f', id, rank) AS line FROM final"),

@@ -24,7 +24,6 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from graphloom.session import require_checkpoint_dir, shuffle_partitions
@@ -33,6 +32,8 @@ VERTEX_MODES = ("all", "sources")
 
 # smallest default salt bucket: below this many targets a source is never split
 MIN_BUCKET = 4096
+# rows (distinct edges + vertices) per partition when the count is chosen from the data
+ROWS_PER_PARTITION = 1_000_000
 
 
 @dataclass
@@ -103,6 +104,7 @@ def prepare_graph(
     partitions: int | None = None,
     bucket_size: int | None = None,
     weight: str | None = "weight",
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> GraphLayout:
     """Prepare ``edges`` (columns ``src``, ``dst`` and optionally ``weight``).
 
@@ -111,18 +113,24 @@ def prepare_graph(
       the vertex set still count in the out-degree; their share is lost.
     listed: optional frame with column ``id`` of vertices that have a line of their own
       in an adjacency list, possibly with no out-edges (``id: []``).
+    partitions: edge-table and loop partitions; by default ``ceil((distinct edges +
+      vertices) / rows_per_partition)``, at most ``spark.sql.shuffle.partitions`` (as
+      adaptive execution coalesces small shuffles, a small graph gets few partitions).
     """
     if vertices not in VERTEX_MODES:
         raise ValueError(f"vertices must be one of {VERTEX_MODES}, got {vertices!r}")
     spark = edges.sparkSession
     require_checkpoint_dir(spark)
-    parts = partitions or shuffle_partitions(spark)
+    max_parts = partitions or shuffle_partitions(spark)
 
     e = normalize_edges(edges, weight)
-    # read twice below (vertex statistics, salted edges): keep it for the preparation only
+    # read twice below (vertex statistics, salted edges). A reliable checkpoint rather
+    # than persist: adaptive execution sizes its partitions (a cached plan keeps all
+    # spark.sql.shuffle.partitions of them), and a lost executor does not send the
+    # preparation back to the source scan.
     pairs = e.groupBy("src", "dst").agg(
         F.count(F.lit(1)).alias("mult"), F.min("weight").alias("weight")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    ).checkpoint(eager=True)
 
     # one aggregation gives degree, distinct out-neighbours and vertex membership
     out_rows = pairs.select(
@@ -172,6 +180,7 @@ def prepare_graph(
     ).checkpoint(eager=True)
     t = totals.get
     n, m, md, sinks = int(t["n"]), int(t["m"]), int(t["md"]), int(t["sinks"])
+    parts = partitions or max(1, min(max_parts, math.ceil((md + n) / rows_per_partition)))
 
     if bucket_size is None:
         bucket_size = max(MIN_BUCKET, math.ceil(md / parts)) if md else MIN_BUCKET
@@ -190,7 +199,6 @@ def prepare_graph(
         "weight",
     )
     etab = checkpoint_partitioned(salted.repartition(parts, "src", "salt"))
-    pairs.unpersist()
     return GraphLayout(
         vertices=vtab,
         edges=etab,

@@ -10,7 +10,8 @@ Only these scalars reach the driver, never rows.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -33,6 +34,24 @@ class LoopTrace:
         return len(self.rounds)
 
 
+@contextmanager
+def loop_partitions(spark, partitions: int) -> Iterator[None]:
+    """Plan the rounds with ``partitions`` shuffle partitions, then restore the setting.
+
+    The prepared graph chose its partition count from its size, capped by the session's
+    ``spark.sql.shuffle.partitions``; the per-vertex aggregation of every round uses the
+    same count, so a small graph does not write hundreds of near-empty shuffle blocks
+    per task each round. On a large graph this is the session's own setting.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(frame: DataFrame, metrics: dict[str, Column], name: str) -> tuple[DataFrame, dict]:
     """Write ``frame`` to the checkpoint folder and return it with its observed metrics."""
     obs = Observation(name)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
-from graphloom.plans.loop import LoopTrace, iterate
+from graphloom.plans.loop import LoopTrace, iterate, loop_partitions
 
 DAMPING_MODES = ("standard", "twice")
 
@@ -162,10 +162,11 @@ def pagerank(
         if history:
             kept.append((k, state))
 
-    final, trace = iterate(
-        initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
-        initial_metrics={"dead_mass": layout.num_sinks / n},
-    )
+    with loop_partitions(layout.edges.sparkSession, layout.partitions):
+        final, trace = iterate(
+            initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
+            initial_metrics={"dead_mass": layout.num_sinks / n},
+        )
     hist = None
     if history:
         parts = [s.select(F.lit(k).cast("bigint").alias("round"), "id", "rank") for k, s in kept]

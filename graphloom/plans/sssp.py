@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
-from graphloom.plans.loop import LoopTrace, iterate
+from graphloom.plans.loop import LoopTrace, iterate, loop_partitions
 
 INF = float("inf")
 
@@ -109,7 +109,8 @@ def shortest_paths(
             return "max_rounds"
         return None
 
-    final, trace = iterate(state, step, metrics, stop, name="sssp")
+    with loop_partitions(layout.edges.sparkSession, layout.partitions):
+        final, trace = iterate(state, step, metrics, stop, name="sssp")
     return ShortestPathResult(final.select("id", "dist"), layout, trace)
 
 
