@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.operators.graph import out_degree
-from graphloom.session import shuffle_partitions
 
 
 def uniform_ranks(vertices: DataFrame) -> DataFrame:
@@ -92,10 +91,13 @@ def with_position(ranks: DataFrame, partitions: int | None = None, order=None) -
     offset to the row's index inside its partition. The sorted frame is written to
     the checkpoint folder first so both passes see the same partitions.
     """
-    parts = partitions or shuffle_partitions(ranks.sparkSession)
     order = order or rank_order()
+    # without an explicit count adaptive execution may merge adjacent ranges of a small
+    # input; merged ranges stay in order, so positions are unaffected
+    ranged = (ranks.repartitionByRange(partitions, *order) if partitions
+              else ranks.repartitionByRange(*order))
     sorted_frame = (
-        ranks.repartitionByRange(parts, *order)
+        ranged
         .sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias("_part"),
                 F.monotonically_increasing_id().alias("_mid"))
