@@ -32,6 +32,8 @@ VERTEX_MODES = ("all", "sources")
 
 # smallest default salt bucket: below this many targets a source is never split
 MIN_BUCKET = 4096
+# largest hot-source list that is broadcast (rows of src, nb); beyond it, a shuffle join
+MAX_BROADCAST_HOT = 1_000_000
 # rows (distinct edges + vertices) per partition when the count is chosen from the data
 ROWS_PER_PARTITION = 1_000_000
 
@@ -151,8 +153,8 @@ def prepare_graph(
         rows.append(
             listed.select(
                 F.col("id"), F.lit(0).cast("bigint").alias("deg"),
-                F.lit(0).alias("ndst"), F.lit(True).alias("listed"),
-            ).withColumnRenamed("listed", "member")
+                F.lit(0).alias("ndst"), F.lit(True).alias("member"),
+            )
         )
         if vertices == "sources":
             # only listed ids are vertices: edge sources become members through the list
@@ -187,9 +189,12 @@ def prepare_graph(
     nb = F.greatest(F.lit(1), F.ceil(F.col("ndst") / F.lit(bucket_size))).cast("int")
     vtab = vstats.withColumn("nb", nb)
 
-    # at most `parts` sources can exceed bucket_size distinct targets: bounded broadcast
+    # at most md / bucket_size sources can exceed bucket_size distinct targets; with the
+    # default bucket that is at most `parts` rows, a bound that makes the broadcast safe
     hot = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
-    salted = pairs.join(F.broadcast(hot), "src", "left").select(
+    max_hot = md // bucket_size
+    hot_side = F.broadcast(hot) if max_hot <= MAX_BROADCAST_HOT else hot
+    salted = pairs.join(hot_side, "src", "left").select(
         "src",
         F.when(F.col("nb").isNull(), F.lit(0))
         .otherwise(F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int"))
