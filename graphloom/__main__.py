@@ -1,5 +1,5 @@
-"""Command line: the published jobs as Spark applications (``spark-submit -m graphloom``
-or ``python -m graphloom``).
+"""Command line: the published jobs as Spark applications (``python -m graphloom``, or
+``spark-submit --py-files graphloom.zip graphloom/__main__.py``).
 
     sssp INPUT OUTPUT [--source 0] [--target T]        edge list -> "id,dist" lines by id
     pagerank INPUT OUTPUT [--mode standard|twice] [--tol 1e-4] [--max-iter 50]
