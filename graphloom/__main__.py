@@ -86,15 +86,18 @@ def run_links(spark: SparkSession, args) -> dict:
 
 
 def run_report(spark: SparkSession, args) -> dict:
-    import glob
-    import os
+    from pyspark.errors import AnalysisException
 
     from graphloom.operators.runmetrics import run_summary, write_report
     from graphloom.sources.runlogs import read_records
 
-    present = {k for k in ("jobs", "stages", "executors")
-               if glob.glob(os.path.join(args.runs, f"{k}.json"))}
-    frames = {k: read_records(spark, args.runs, k) for k in present}
+    frames = {}
+    for kind in ("jobs", "stages", "executors"):
+        try:  # any file system: let Spark resolve the glob; a kind may be missing
+            frames[kind] = read_records(spark, args.runs, kind)
+        except AnalysisException:
+            pass
+    present = set(frames)
     summary = run_summary(**frames)
     write_report(summary, args.output)
     return {"kinds": sorted(present), "apps": summary.select("app_id").distinct().count()}
