@@ -10,6 +10,7 @@ Only these scalars reach the driver, never rows.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -52,11 +53,69 @@ def loop_partitions(spark, partitions: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def materialize(frame: DataFrame, metrics: dict[str, Column], name: str) -> tuple[DataFrame, dict]:
-    """Write ``frame`` to the checkpoint folder and return it with its observed metrics."""
+class CheckpointStore:
+    """Round states as reliable checkpoints (``DataFrame.checkpoint``).
+
+    Lowest fixed cost per round; old states stay in the checkpoint folder until Spark's
+    cleaner removes them (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+
+    kind = "checkpoint"
+
+    def write(self, frame: DataFrame, k: int) -> DataFrame:
+        return frame.checkpoint(eager=True)
+
+
+class TableStore:
+    """Round states as parquet tables in the session's checkpoint folder.
+
+    Compressed and columnar, and bounded: round ``k`` overwrites the folder of round
+    ``k - 2`` (two folders in turn), so at most two states are on disk however many
+    rounds run. The state of round ``k - 1`` is never touched while round ``k`` reads it.
+    With ``keep_all`` (round history is wanted) every round gets its own folder.
+    """
+
+    kind = "table"
+
+    def __init__(self, spark, keep_all: bool = False):
+        from graphloom.session import require_checkpoint_dir
+
+        self.spark = spark
+        self.base = f"{require_checkpoint_dir(spark).rstrip('/')}/graphloom-{uuid.uuid4().hex}"
+        self.keep_all = keep_all
+
+    def path(self, k: int) -> str:
+        return f"{self.base}/round-{k}" if self.keep_all else f"{self.base}/state-{k % 2}"
+
+    def write(self, frame: DataFrame, k: int) -> DataFrame:
+        path = self.path(k)
+        frame.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+
+# vertices from which round states go to parquet tables instead of checkpoints
+TABLE_STORE_MIN_VERTICES = 5_000_000
+
+
+def choose_store(spark, num_vertices: int, keep_all: bool, store: str = "auto"):
+    """``checkpoint`` for small states (lowest fixed cost), ``table`` for large ones
+    (compressed, at most two states on disk); ``auto`` picks by vertex count."""
+    if store == "auto":
+        store = "table" if num_vertices >= TABLE_STORE_MIN_VERTICES else "checkpoint"
+    if store == "table":
+        return TableStore(spark, keep_all)
+    if store == "checkpoint":
+        return CheckpointStore()
+    raise ValueError(f"state store must be auto, checkpoint or table, got {store!r}")
+
+
+def materialize(frame: DataFrame, metrics: dict[str, Column], name: str,
+                store=None, k: int = 0) -> tuple[DataFrame, dict]:
+    """Write ``frame`` (to the checkpoint folder) and return it with its observed metrics:
+    one action computes the state, writes it and brings back the scalars."""
     obs = Observation(name)
-    cols = [c.alias(k) for k, c in metrics.items()]
-    done = frame.observe(obs, *cols).checkpoint(eager=True)
+    cols = [c.alias(key) for key, c in metrics.items()]
+    done = (store or CheckpointStore()).write(frame.observe(obs, *cols), k)
     return done, dict(obs.get)
 
 
@@ -68,13 +127,15 @@ def iterate(
     name: str = "round",
     keep: Callable[[int, DataFrame], None] | None = None,
     initial_metrics: dict | None = None,
+    store=None,
 ) -> tuple[DataFrame, LoopTrace]:
     """Run ``step`` until ``stop`` returns a reason.
 
     step(state, round, previous metrics) -> next state (lazy);
     metrics(round) -> named aggregate columns observed on the next state;
     stop(round, metrics) -> None to go on, else the stop reason;
-    keep(round, state) -> optional hook that sees each materialized state.
+    keep(round, state) -> optional hook that sees each materialized state;
+    store -> where states go (``CheckpointStore`` by default, or ``TableStore``).
     """
     trace = LoopTrace()
     last = dict(initial_metrics or {})
@@ -82,7 +143,7 @@ def iterate(
     while True:
         k += 1
         t0 = time.perf_counter()
-        state, last = materialize(step(state, k, last), metrics(k), f"{name}_{k}")
+        state, last = materialize(step(state, k, last), metrics(k), f"{name}_{k}", store, k)
         trace.rounds.append(RoundInfo(k, last, time.perf_counter() - t0))
         if keep is not None:
             keep(k, state)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
-from graphloom.plans.loop import LoopTrace, iterate, loop_partitions
+from graphloom.plans.loop import LoopTrace, choose_store, iterate, loop_partitions
 
 DAMPING_MODES = ("standard", "twice")
 
@@ -118,11 +118,13 @@ def pagerank(
     history: bool = False,
     partitions: int | None = None,
     bucket_size: int | None = None,
+    state_store: str = "auto",
 ) -> PageRankResult:
     """PageRank of a directed multigraph given as ``src, dst`` rows (duplicates count).
 
     ``tol=None`` runs exactly ``max_iter`` rounds. ``vertices="sources"`` ranks only
     listed / source vertices (the fixed-round variant of the reference).
+    ``state_store``: ``checkpoint``, ``table`` or ``auto`` (see ``plans.loop.choose_store``).
     """
     if damping_mode not in DAMPING_MODES:
         raise ValueError(f"damping_mode must be one of {DAMPING_MODES}")
@@ -162,10 +164,12 @@ def pagerank(
         if history:
             kept.append((k, state))
 
-    with loop_partitions(layout.edges.sparkSession, layout.partitions):
+    spark = layout.edges.sparkSession
+    store = choose_store(spark, n, keep_all=history, store=state_store)
+    with loop_partitions(spark, layout.partitions):
         final, trace = iterate(
             initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
-            initial_metrics={"dead_mass": layout.num_sinks / n},
+            initial_metrics={"dead_mass": layout.num_sinks / n}, store=store,
         )
     hist = None
     if history:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
-from graphloom.plans.loop import LoopTrace, iterate, loop_partitions
+from graphloom.plans.loop import LoopTrace, choose_store, iterate, loop_partitions
 
 INF = float("inf")
 
@@ -74,6 +74,7 @@ def shortest_paths(
     max_rounds: int | None = None,
     partitions: int | None = None,
     bucket_size: int | None = None,
+    state_store: str = "auto",
 ) -> ShortestPathResult:
     """Distances from ``source`` over ``src, dst, weight`` edges (parallel edges: the lightest)."""
     if isinstance(edges, GraphLayout):
@@ -109,8 +110,10 @@ def shortest_paths(
             return "max_rounds"
         return None
 
-    with loop_partitions(layout.edges.sparkSession, layout.partitions):
-        final, trace = iterate(state, step, metrics, stop, name="sssp")
+    spark = layout.edges.sparkSession
+    store = choose_store(spark, n, keep_all=False, store=state_store)
+    with loop_partitions(spark, layout.partitions):
+        final, trace = iterate(state, step, metrics, stop, name="sssp", store=store)
     return ShortestPathResult(final.select("id", "dist"), layout, trace)
 
 

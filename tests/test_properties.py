@@ -137,3 +137,19 @@ def test_twice_damped_and_sources_only_match_brute_force(spark, edges):
                                           bucket_size=2).ranks.collect()}
     want = brute_pagerank_sources(edges, 3)
     assert set(src) == set(want) and all(abs(src[k] - want[k]) < 1e-12 for k in want)
+
+
+@SETTINGS
+@given(edge_lists)
+def test_table_state_store_gives_the_same_results(spark, edges):
+    df = spark.createDataFrame([(a, b, float(w)) for a, b, w in edges], "src bigint, dst bigint, weight double")
+    a = {x.id: x.rank for x in pagerank(df.select("src", "dst"), tol=None, max_iter=5,
+                                        state_store="table").ranks.collect()}
+    b = {x.id: x.rank for x in pagerank(df.select("src", "dst"), tol=None, max_iter=5,
+                                        state_store="checkpoint").ranks.collect()}
+    assert a == b
+    h = pagerank(df.select("src", "dst"), tol=None, max_iter=3, state_store="table", history=True)
+    assert sorted({r["round"] for r in h.history.collect()}) == [1, 2, 3]
+    source = edges[0][0]
+    d1 = {x.id: x.dist for x in shortest_paths(df, source, state_store="table").distances.collect()}
+    assert d1 == brute_sssp(edges, source)
