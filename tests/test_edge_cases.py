@@ -1,11 +1,9 @@
 """Hand-written edge cases."""
 
-import math
 import os
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from graphloom import pagerank, shortest_paths
 from graphloom.plans.sssp import NegativeCycleError, distance_to
