@@ -151,7 +151,7 @@ def prepare_graph(
         )
     if listed is not None:
         rows.append(
-            listed.select(
+            listed.where(F.col("id").isNotNull()).select(
                 F.col("id"), F.lit(0).cast("bigint").alias("deg"),
                 F.lit(0).alias("ndst"), F.lit(True).alias("member"),
             )
@@ -191,18 +191,22 @@ def prepare_graph(
 
     # at most md / bucket_size sources can exceed bucket_size distinct targets; with the
     # default bucket that is at most `parts` rows, a bound that makes the broadcast safe
-    hot = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
     max_hot = md // bucket_size
-    hot_side = F.broadcast(hot) if max_hot <= MAX_BROADCAST_HOT else hot
-    salted = pairs.join(hot_side, "src", "left").select(
-        "src",
-        F.when(F.col("nb").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int"))
-        .alias("salt"),
-        "dst",
-        "mult",
-        "weight",
-    )
+    if max_hot == 0:
+        # no source can have more than bucket_size targets: one bucket each, no join
+        salted = pairs.select("src", F.lit(0).alias("salt"), "dst", "mult", "weight")
+    else:
+        hot = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
+        hot_side = F.broadcast(hot) if max_hot <= MAX_BROADCAST_HOT else hot
+        salted = pairs.join(hot_side, "src", "left").select(
+            "src",
+            F.when(F.col("nb").isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int"))
+            .alias("salt"),
+            "dst",
+            "mult",
+            "weight",
+        )
     etab = checkpoint_partitioned(salted.repartition(parts, "src", "salt"))
     return GraphLayout(
         vertices=vtab,
