@@ -45,10 +45,17 @@ def sink_vertices(edges: DataFrame) -> DataFrame:
 
 
 def known_targets(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges whose target is in ``vertices`` (semi join), duplicates kept."""
-    return edges.join(vertices.select(F.col("id").alias("dst")), "dst", "left_semi").select(
-        *edges.columns
-    )
+    """Edges whose target is in ``vertices`` (semi join), duplicates kept.
+
+    Identical edges are counted first and expanded again afterwards, so the semi join on
+    the target sees distinct rows and can split a hot target.
+    """
+    from graphloom.operators.salting import salted_join
+
+    counted = edges.groupBy(*edges.columns).agg(F.count(F.lit(1)).alias("_n"))
+    known = vertices.select("id").distinct()
+    kept = salted_join(counted, known, "dst", "id", spread="src", how="left_semi")
+    return kept.select(*edges.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i")
 
 
 def source_vertices(edges: DataFrame) -> DataFrame:

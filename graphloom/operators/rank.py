@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.operators.graph import out_degree
+from graphloom.operators.salting import salted_join
 
 
 def uniform_ranks(vertices: DataFrame) -> DataFrame:
@@ -25,16 +26,17 @@ def uniform_ranks(vertices: DataFrame) -> DataFrame:
 def contributions(edges: DataFrame, ranks: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
     """``id, contrib``: summed ``rank / out_degree`` over the in-edges of each target.
 
-    Duplicate edges send one share each; only targets with in-edges appear.
+    Duplicate edges send one share each; only targets with in-edges appear. Edges are
+    pre-aggregated per pair and the join on the source splits hot sources.
     """
     deg = degrees if degrees is not None else out_degree(edges, include_sinks=False)
     shares = ranks.join(deg, "id").where(F.col("out_degree") > 0).select(
-        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
+        "id", (F.col("rank") / F.col("out_degree")).alias("share")
     )
-    return (
-        edges.join(shares, "src")
-        .groupBy(F.col("dst").alias("id"))
-        .agg(F.sum("share").alias("contrib"))
+    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+    sent = salted_join(pairs, shares, "src", "id", spread="dst")
+    return sent.groupBy(F.col("dst").alias("id")).agg(
+        F.sum(F.col("share") * F.col("mult")).alias("contrib")
     )
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.salting import salted_join
+
 INF = float("inf")
 
 
@@ -22,11 +24,16 @@ def initial_distances(vertices: DataFrame, source) -> DataFrame:
 
 
 def relax_once(edges: DataFrame, dist: DataFrame) -> DataFrame:
-    """One Bellman-Ford step over all edges: ``id, dist, improved``."""
+    """One Bellman-Ford step over all edges: ``id, dist, improved``.
+
+    Parallel edges collapse to the lightest first; the join on the source splits hot
+    sources.
+    """
     senders = dist.where(F.col("dist") < F.lit(INF)).select(
-        F.col("id").alias("src"), F.col("dist").alias("from_dist")
+        "id", F.col("dist").alias("from_dist")
     )
-    candidates = edges.join(senders, "src").select(
+    pairs = edges.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
+    candidates = salted_join(pairs, senders, "src", "id", spread="dst").select(
         F.col("dst").alias("id"),
         F.lit(None).cast("double").alias("old"),
         (F.col("from_dist") + F.col("weight")).alias("cand"),

@@ -119,3 +119,40 @@ def test_hot_source_with_a_third_of_all_edges_is_spread(spark):
     assert max(sizes) < 2000
     hub_salts = layout.edges.where("src = 0").select("salt").distinct().count()
     assert hub_salts == 8  # ceil(3000 / 400) buckets, all used
+
+
+def test_single_step_operators_split_a_hot_source(spark):
+    from graphloom.operators import relax as xops
+    from graphloom.operators.salting import hot_keys
+
+    hub = [(0, 100 + t % 5000, 1.0 + t % 3) for t in range(30000)]      # hub with duplicates
+    rest = [(s, (s * 7) % 90 + 1, 2.0) for s in range(1, 90) for _ in range(3)]
+    rows = hub + rest
+    e = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    pairs = e.groupBy("src", "dst").count()
+    hot = {r._hk: r._nb for r in hot_keys(pairs, "src", partitions=8, min_bucket=100).collect()}
+    assert list(hot) == [0] and hot[0] > 1
+    # contributions == brute force
+    verts = {a for a, _, _ in rows} | {b for _, b, _ in rows}
+    n = len(verts)
+    deg = {}
+    for a, _, _ in rows:
+        deg[a] = deg.get(a, 0) + 1
+    want = {}
+    for a, b, _ in rows:
+        want[b] = want.get(b, 0.0) + (1.0 / n) / deg[a]
+    ranks = spark.createDataFrame([(v, 1.0 / n) for v in verts], "id bigint, rank double")
+    got = {r.id: r.contrib for r in rops.contributions(e.select("src", "dst"), ranks).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    # relax_once from the hub
+    d0 = spark.createDataFrame([(v, 0.0 if v == 0 else float("inf")) for v in verts], "id bigint, dist double")
+    best = {}
+    for a, b, w in rows:
+        if a == 0:
+            best[b] = min(best.get(b, float("inf")), w)
+    got = {r.id: r.dist for r in xops.relax_once(e, d0).collect()}
+    assert all(got[v] == (0.0 if v == 0 else best.get(v, float("inf"))) for v in verts)
+    # known_targets keeps duplicates
+    known = spark.createDataFrame([(v,) for v in range(100, 103)], "id bigint")
+    kept = gops.known_targets(e, known).count()
+    assert kept == sum(1 for _, b, _ in rows if 100 <= b < 103)
