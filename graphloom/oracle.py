@@ -23,7 +23,9 @@ GROUP BY 1, 2
 
 G_EVENTS = """
 SELECT x.user_id AS src, y.user_id AS dst, min(y.value) AS weight
-FROM events x JOIN events y ON y.event_id = x.event_id + 1
+FROM (SELECT event_id, min(user_id) AS user_id, min(value) AS value FROM events GROUP BY event_id) x
+JOIN (SELECT event_id, min(user_id) AS user_id, min(value) AS value FROM events GROUP BY event_id) y
+  ON y.event_id = x.event_id + 1
 WHERE x.user_id <> y.user_id
 GROUP BY 1, 2
 """

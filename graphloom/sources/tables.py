@@ -6,11 +6,13 @@
   vertices.
 * ``g_events``: consecutive events (``event_id`` and ``event_id + 1``) of different
   users link the first user to the second, weighted by the smallest value of the
-  arriving event. Dense, fractional weights.
+  arriving event. An event id stands for one event (its smallest user id and smallest
+  value). One aggregation pairs each event with the next, with no self-join. Dense,
+  fractional weights.
 * ``g_href``: every ``href="..."`` of a page links the page id (as a string) to the
   link text; duplicates are kept. Bipartite: every target is a dead end.
 
-All three are plain aggregations, joins and generators: column pruning and filters
+All three are plain aggregations and generators: column pruning and filters
 reach the parquet scans, and nothing is collected.
 """
 
@@ -48,11 +50,20 @@ def orders_graph(lineitem: DataFrame) -> DataFrame:
 
 
 def events_graph(events: DataFrame) -> DataFrame:
-    cur = events.select(F.col("event_id").alias("eid"), F.col("user_id").alias("src"))
-    nxt = events.select(
-        (F.col("event_id") - 1).alias("eid"), F.col("user_id").alias("dst"), F.col("value")
-    )
-    pairs = cur.join(nxt, "eid").where(F.col("src") != F.col("dst"))
+    # no self-join: every event is emitted once as "this event" (key event_id) and once
+    # as "the next event" of key event_id - 1, and one aggregation pairs them up. A
+    # repeated event id counts as one event (smallest user, smallest value), and a hot id
+    # is reduced on the map side instead of producing all pairs.
+    rows = events.select(
+        F.col("event_id").alias("eid"), F.col("user_id").alias("cur"),
+        F.lit(None).cast("bigint").alias("nxt"), F.lit(None).cast("double").alias("value"),
+    ).unionByName(events.select(
+        (F.col("event_id") - 1).alias("eid"), F.lit(None).cast("bigint").alias("cur"),
+        F.col("user_id").alias("nxt"), F.col("value"),
+    ))
+    pairs = rows.groupBy("eid").agg(
+        F.min("cur").alias("src"), F.min("nxt").alias("dst"), F.min("value").alias("value")
+    ).where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
     return pairs.groupBy("src", "dst").agg(F.min("value").alias("weight"))
 
 
