@@ -38,13 +38,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only where none is set (tests)."""
-    current = checkpoint_dir(spark)
-    if current:
-        if not _context_dir(spark):
+    current = checkpoint_dir(spark) or fallback
+    if not _context_dir(spark):
+        try:
             spark.sparkContext.setCheckpointDir(current)
-        return current
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+        except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+            pass
+    return current
 
 
 def require_checkpoint_dir(spark: SparkSession) -> str:
