@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import reference_file
+from published import SSSP_APP, published
 from graphloom.__main__ import main
 
 
@@ -18,13 +18,13 @@ def lines(folder):
 
 def test_cli_sssp(spark, scratch):
     out = os.path.join(scratch, "sssp")
-    res = main(["sssp", reference_file("dijkstras", "input", "question1.txt"), out, "--target", "4"], spark)
+    res = main(["sssp", published("sssp_edges"), out, "--target", "4"], spark)
     assert res["improving_rounds"] == 3 and res["distance"] == 3.0
     assert lines(out) == ["0,0.0", "1,2.0", "2,3.0", "3,4.0", "4,3.0"]
 
 
 def test_cli_pagerank_published_modes(spark, scratch):
-    q2 = reference_file("pagerank", "input", "question2.txt")
+    q2 = published("link_lists")
     out = os.path.join(scratch, "pr")
     res = main(["pagerank", q2, out, "--mode", "twice"], spark)
     assert res["rounds"] == 10 and res["converged"] and res["highest"][0] == 95
@@ -33,7 +33,7 @@ def test_cli_pagerank_published_modes(spark, scratch):
     out2 = os.path.join(scratch, "practical")
     main(["pagerank", q2, out2, "--rounds", "5", "--vertices", "sources", "--labelled"], spark)
     got = lines(out2)
-    want = open(reference_file("pagerank", "output", "pagerank_practical_output.txt")).read().splitlines()
+    want = open(published("ranks_five_rounds")).read().splitlines()
     assert len(got) == 100
     mism = [(a, b) for a, b in zip(got, want) if a != b]
     # 6-decimal rendering of values computed in a different order may differ in the last digit
@@ -45,9 +45,8 @@ def test_cli_links_and_report(spark, scratch):
     res = main(["links", out, "--nodes", "30", "--seed", "3"], spark)
     got = lines(out)
     assert len(got) == 30 and got[0].startswith("0: [") and res["links"] > 0
-    runs = os.path.join(os.path.dirname(reference_file("dijkstras", "analysis_data")), "analysis_data",
-                        "spark_ui_data_part2", "local-*")
+    runs = published("sssp_runs")
     rep = os.path.join(scratch, "report")
     res = main(["report", runs, rep], spark)
     assert res["apps"] == 1 and res["kinds"] == ["executors", "jobs"]
-    assert any("total_jobs = 5" in ln for ln in lines(os.path.join(rep, "app_id=local-1719702930792")))
+    assert any("total_jobs = 5" in ln for ln in lines(os.path.join(rep, f"app_id={SSSP_APP}")))

@@ -6,20 +6,20 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import reference_file
+from published import PAGERANK_APP, SSSP_APP, published
 from graphloom import pagerank, shortest_paths
 from graphloom.operators.runmetrics import run_summary
 from graphloom.sources.runlogs import read_records
 from graphloom.sources.text import adjacency_to_edges, listed_vertices, read_adjacency, read_edges
 
 
-def test_sssp_question1(spark):
-    edges = read_edges(spark, reference_file("dijkstras", "input", "question1.txt"))
+def test_sssp_published_five_node_graph(spark):
+    edges = read_edges(spark, published("sssp_edges"))
     assert edges.count() == 10
     result = shortest_paths(edges, 0)
     got = {r.id: r.dist for r in result.distances.collect()}
     want = {}
-    for line in open(reference_file("dijkstras", "output", "output_1.txt")):
+    for line in open(published("sssp_distances")):
         i, d = line.strip().split(",")
         want[int(i)] = float(d)
     assert got == want == {0: 0.0, 1: 2.0, 2: 3.0, 3: 4.0, 4: 3.0}
@@ -28,17 +28,17 @@ def test_sssp_question1(spark):
     assert result.trace.count == 4
 
 
-def _question2(spark):
-    adj = read_adjacency(spark, reference_file("pagerank", "input", "question2.txt"))
+def _published_link_lists(spark):
+    adj = read_adjacency(spark, published("link_lists"))
     return adjacency_to_edges(adj), listed_vertices(adj)
 
 
 def test_pagerank_twice_damped_matches_published_ranking(spark):
-    edges, listed = _question2(spark)
+    edges, listed = _published_link_lists(spark)
     result = pagerank(edges, listed=listed, damping_mode="twice", tol=1e-4, max_iter=50)
     assert result.converged and result.rounds == 10
     got = {r.id: r.rank for r in result.ranks.collect()}
-    lines = open(reference_file("pagerank", "output", "output2.txt")).read().split()
+    lines = open(published("ranks_twice_damped")).read().split()
     want = {int(a): float(b) for a, b in (ln.split(",") for ln in lines)}
     assert set(got) == set(want) and len(want) == 100
     assert max(abs(got[k] - want[k]) for k in want) < 1e-15
@@ -51,11 +51,11 @@ def test_pagerank_twice_damped_matches_published_ranking(spark):
 
 
 def test_pagerank_standard_five_rounds_matches_practical_output(spark):
-    edges, listed = _question2(spark)
+    edges, listed = _published_link_lists(spark)
     result = pagerank(edges, listed=listed, vertices="sources", tol=None, max_iter=5)
     got = {r.id: r.rank for r in result.ranks.collect()}
     want = {}
-    for line in open(reference_file("pagerank", "output", "pagerank_practical_output.txt")):
+    for line in open(published("ranks_five_rounds")):
         node, value = line.split(":")
         want[int(node.split()[1])] = float(value)
     assert len(want) == 100
@@ -63,13 +63,8 @@ def test_pagerank_standard_five_rounds_matches_practical_output(spark):
     assert got[94] == pytest.approx(0.0015, abs=1e-12)
 
 
-def _runs_glob(which):
-    base = reference_file(which, "analysis_data")
-    return os.path.join(base, "spark_ui_data_part*", "local-*")
-
-
 def _summary(spark, which):
-    g = _runs_glob(which)
+    g = published(which)
     jobs = read_records(spark, g, "jobs")
     executors = read_records(spark, g, "executors")
     rows = run_summary(jobs=jobs, executors=executors).collect()
@@ -77,8 +72,8 @@ def _summary(spark, which):
 
 
 def test_run_summary_sssp_run(spark):
-    s = _summary(spark, "dijkstras")
-    app = "local-1719702930792"
+    s = _summary(spark, "sssp_runs")
+    app = SSSP_APP
     assert s[(app, "total_jobs")] == 5
     assert s[(app, "total_job_duration")] == 1408
     assert s[(app, "shuffle_read")] == 66069
@@ -88,8 +83,8 @@ def test_run_summary_sssp_run(spark):
 
 
 def test_run_summary_pagerank_run(spark):
-    s = _summary(spark, "pagerank")
-    app = "local-1719918169214"
+    s = _summary(spark, "pagerank_runs")
+    app = PAGERANK_APP
     assert s[(app, "total_jobs")] == 25
     assert s[(app, "total_job_duration")] == 27027
     assert s[(app, "shuffle_read")] == 1006608
@@ -125,12 +120,12 @@ def test_report_lines_written_per_run(spark, scratch):
 
     from graphloom.operators.runmetrics import write_report
 
-    g = _runs_glob("dijkstras")
+    g = published("sssp_runs")
     summary = run_summary(jobs=read_records(spark, g, "jobs"), executors=read_records(spark, g, "executors"))
     out = os.path.join(scratch, "report")
     write_report(summary, out)
     lines = []
-    for part in sorted(glob.glob(os.path.join(out, "app_id=local-1719702930792", "part-*"))):
+    for part in sorted(glob.glob(os.path.join(out, f"app_id={SSSP_APP}", "part-*"))):
         lines.extend(open(part).read().splitlines())
     assert "jobs: total_jobs = 5 jobs" in lines
     assert "jobs: total_job_duration = 1,408 ms" in lines
