@@ -27,9 +27,12 @@ from graphloom.sources.tables import g_events, g_href, g_orders, table
 from graphloom.sources.text import parse_adjacency_lines, parse_edge_lines
 
 ROUND = sql.ROUND
+# fixed values: the settings of the published runs (tolerance, round limit, rounds of
+# the fixed-round run); the damping factor 0.85 is the library default
 PR_TOL = 1e-4
 PR_MAX_ITER = 50
 FIXED_ROUNDS = 5
+# query parameters of this repository
 TWICE_ROUNDS = 10
 TOP_K = 20
 LINK_SEED = 42
