@@ -13,9 +13,12 @@ The edge table is prepared once and then never moves again:
   checkpoint folder. A reliable checkpoint keeps that partitioning, so every round
   only shuffles the (small) replicated vertex state to the edges.
 
-``bucket_size`` defaults to ``distinct edges / shuffle partitions``: a source with
-more distinct targets than that is "hot". There can be at most ``partitions`` hot
-sources, which is the size bound that makes broadcasting the hot list safe.
+The partition count ``P`` is chosen from the data: ``ceil((distinct edges + vertices) /
+rows_per_partition)``, at most ``spark.sql.shuffle.partitions``. ``bucket_size`` defaults
+to ``max(MIN_BUCKET, distinct edges / P)``: a source with more distinct targets than
+that is "hot", so there can be at most ``P`` hot sources -- the size bound under which
+the hot list is broadcast (a smaller, caller-given bucket is checked against
+``MAX_BROADCAST_HOT`` and falls back to a shuffle join).
 """
 
 from __future__ import annotations
