@@ -88,46 +88,47 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     )
 
 
-def _list_bound(edges: DataFrame, max_len: int) -> int:
-    total = edges.count()
-    parts = shuffle_partitions(edges.sparkSession)
-    return max(max_len, math.ceil(total / parts))
-
-
 def chunked_lists(edges: DataFrame, value: str = "dst", max_len: int = MAX_LIST,
                   id_col: str = "id", out_col: str = "out") -> DataFrame:
     """Gather ``value`` per ``src`` into sorted arrays of at most about ``bound`` entries.
 
-    ``bound = max(max_len, edges / partitions)``; a source with more entries gets
+    ``bound = max(max_len, entries / partitions)``; a source with more entries gets
     ``ceil(entries / bound)`` rows. Duplicates are kept (as repeated entries). Hot
-    sources number at most ``partitions``, so their list is broadcast.
+    sources number at most ``partitions``, so their list is broadcast; when no source
+    exceeds the bound (one aggregate tells), lists are gathered directly.
     """
-    bound = _list_bound(edges, max_len)
     counted = edges.groupBy("src", value).agg(F.count(F.lit(1)).alias("mult"))
-    # split huge multiplicities into pieces of at most `bound` entries
-    pieces = counted.select(
-        "src", value, "mult",
-        F.explode(F.sequence(F.lit(0), F.ceil(F.col("mult") / F.lit(bound)).cast("int") - 1))
-        .alias("piece"),
-    ).select(
-        "src", value, "piece",
-        F.least(F.lit(bound).cast("bigint"), F.col("mult") - F.col("piece") * F.lit(bound))
-        .alias("cnt"),
-    )
     totals = counted.groupBy("src").agg(F.sum("mult").alias("m"))
-    hot = totals.where(F.col("m") > bound).select(
-        "src", F.ceil(F.col("m") / F.lit(bound)).cast("int").alias("nb")
-    )
-    chunked = pieces.join(F.broadcast(hot), "src", "left").select(
-        "src", value, "cnt",
-        F.when(F.col("nb").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(value, "piece"), F.col("nb")).cast("int"))
-        .alias("chunk"),
-    )
-    grouped = chunked.groupBy("src", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("cnt").alias("c"))))
-        .alias("entries")
-    )
+    top = totals.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("total"),
+                     F.coalesce(F.max("m"), F.lit(0)).alias("largest")).first()
+    parts = shuffle_partitions(edges.sparkSession)
+    bound = max(max_len, math.ceil(int(top["total"]) / parts))
+    entry = F.struct(F.col(value).alias("v"), F.col("cnt").alias("c"))
+    if int(top["largest"]) <= bound:
+        grouped = counted.withColumnRenamed("mult", "cnt").groupBy("src").agg(
+            F.array_sort(F.collect_list(entry)).alias("entries")
+        )
+    else:
+        # split huge multiplicities into pieces of at most `bound` entries
+        pieces = counted.select(
+            "src", value, "mult",
+            F.explode(F.sequence(F.lit(0), F.ceil(F.col("mult") / F.lit(bound)).cast("int") - 1))
+            .alias("piece"),
+        ).select(
+            "src", value, "piece",
+            F.least(F.lit(bound).cast("bigint"), F.col("mult") - F.col("piece") * F.lit(bound))
+            .alias("cnt"),
+        )
+        hot = totals.where(F.col("m") > bound).select(
+            "src", F.ceil(F.col("m") / F.lit(bound)).cast("int").alias("nb")
+        )
+        chunked = pieces.join(F.broadcast(hot), "src", "left").select(
+            "src", value, "cnt",
+            F.when(F.col("nb").isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64(value, "piece"), F.col("nb")).cast("int"))
+            .alias("chunk"),
+        )
+        grouped = chunked.groupBy("src", "chunk").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return grouped.select(
         F.col("src").alias(id_col),
         F.flatten(F.transform("entries", lambda x: F.array_repeat(x["v"], x["c"].cast("int"))))
