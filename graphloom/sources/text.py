@@ -35,12 +35,21 @@ def read_edges(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
 
 
 def parse_edge_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parse ``src, dst, weight`` text in ``column``; fields after the third are ignored."""
-    parts = F.split(F.col(column), ",")
-    return lines.select(
-        F.trim(parts.getItem(0)).cast("bigint").alias("src"),
-        F.trim(parts.getItem(1)).cast("bigint").alias("dst"),
-        F.trim(parts.getItem(2)).cast("double").alias("weight"),
+    """Parse ``src, dst, weight`` text in ``column``; fields after the third are ignored.
+
+    Blank lines are skipped (as by ``read_edges``); a malformed field fails the job.
+    The blank test guards every cast, because the optimizer may evaluate casts before
+    the filter.
+    """
+    value = F.col(column)
+    blank = F.length(F.trim(value)) == 0
+    parts = F.split(value, ",")
+
+    def field(i: int, kind: str):
+        return F.when(blank, F.lit(None)).otherwise(F.trim(parts.getItem(i))).cast(kind)
+
+    return lines.where(~blank).select(
+        field(0, "bigint").alias("src"), field(1, "bigint").alias("dst"), field(2, "double").alias("weight"),
     )
 
 

@@ -102,7 +102,7 @@ def test_edge_list_fourth_field_and_bad_field(spark, scratch):
     with pytest.raises(Exception):
         read_edges(spark, four).collect()
     # the column parser ignores extra fields, as the original line parser did
-    lines = spark.createDataFrame([("0, 1, 2, 9",)], "value string")
+    lines = spark.createDataFrame([("0, 1, 2, 9",), ("   ",), ("",)], "value string")
     assert [tuple(r) for r in parse_edge_lines(lines).collect()] == [(0, 1, 2.0)]
     bad = spark.createDataFrame([("0, x, 2",)], "value string")
     with pytest.raises(PySparkException):
