@@ -153,3 +153,17 @@ def test_table_state_store_gives_the_same_results(spark, edges):
     source = edges[0][0]
     d1 = {x.id: x.dist for x in shortest_paths(df, source, state_store="table").distances.collect()}
     assert d1 == brute_sssp(edges, source)
+
+
+@SETTINGS
+@given(edge_lists)
+def test_string_ids_give_the_same_ranks_and_distances(spark, edges):
+    named = [(f"v{a}", f"v{b}", float(w)) for a, b, w in edges]
+    df = spark.createDataFrame(named, "src string, dst string, weight double")
+    got = {x.id: x.rank for x in pagerank(df.select("src", "dst"), tol=None, max_iter=3,
+                                          bucket_size=1).ranks.collect()}
+    want = {f"v{k}": v for k, v in brute_pagerank(edges, 3).items()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    source = edges[0][0]
+    dist = {x.id: x.dist for x in shortest_paths(df, f"v{source}").distances.collect()}
+    assert dist == {f"v{k}": v for k, v in brute_sssp(edges, source).items()}
