@@ -166,3 +166,16 @@ def test_sources_only_loses_shares_to_unknown_targets(spark):
     d, n = 0.85, 2
     assert ranks[1] == pytest.approx((1 - d) / n + d * (0.5 / 2))
     assert ranks[0] == pytest.approx((1 - d) / n + d * 0.5)
+
+
+def test_negative_cycle_out_of_reach_is_fine(spark):
+    e = edges_of(spark, [(0, 1, 1.0), (5, 6, -1.0), (6, 5, -1.0)])
+    assert dist_map(shortest_paths(e, 0)) == {0: 0.0, 1: 1.0, 5: INF, 6: INF}
+
+
+def test_max_rounds_stops_early(spark):
+    e = edges_of(spark, [(i, i + 1, 1.0) for i in range(6)])
+    r = shortest_paths(e, 0, max_rounds=2)
+    assert r.trace.stop_reason == "max_rounds" and r.trace.count == 2
+    d = dist_map(r)
+    assert d[2] == 2.0 and d[3] == INF
