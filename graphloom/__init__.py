@@ -2,7 +2,8 @@
 
 Edge lists and adjacency lists become DataFrames; graph preparation,
 single-source shortest paths and PageRank run as loops of Catalyst-planned
-DataFrame rounds whose lineage is cut by reliable checkpoints.
+DataFrame rounds whose lineage is cut every round in the session's checkpoint folder
+(reliable checkpoints, or parquet state tables for large graphs).
 """
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
