@@ -47,8 +47,8 @@ class GraphLayout:
 
     vertices: ``id, deg, ndst, nb`` -- out-degree counting duplicates, distinct
       out-neighbours, salt buckets; hash-partitioned by ``id``; checkpointed.
-    edges: ``src, salt, dst, mult, weight``; hash-partitioned by ``(src, salt)``;
-      checkpointed.
+    edges: ``src, salt, dst, mult[, weight]``; hash-partitioned by ``(src, salt)``;
+      checkpointed (no weight column when prepared with ``weight=None``).
     """
 
     vertices: DataFrame
@@ -60,6 +60,7 @@ class GraphLayout:
     bucket_size: int
     partitions: int
     mode: str
+    weighted: bool = True
 
     def salted(self, frame: DataFrame, id_col: str = "id") -> DataFrame:
         """Replicate each vertex row once per salt bucket, renaming ``id`` to ``src``.
@@ -91,15 +92,17 @@ def checkpoint_partitioned(frame: DataFrame) -> DataFrame:
 
 
 def normalize_edges(edges: DataFrame, weight: str | None = "weight") -> DataFrame:
-    """``src, dst, weight`` with null ends dropped; a missing weight column counts as 1."""
-    w: Column
-    if weight is not None and weight in edges.columns:
-        w = F.col(weight).cast("double")
-    else:
-        w = F.lit(1.0)
-    return edges.select(F.col("src"), F.col("dst"), w.alias("weight")).where(
-        F.col("src").isNotNull() & F.col("dst").isNotNull()
-    )
+    """``src, dst[, weight]`` with null ends dropped.
+
+    ``weight=None``: no weight column at all (PageRank does not read one, and at 10^12
+    edges a constant column costs terabytes per pass). A named weight column that the
+    frame lacks counts as 1 per edge (hop counts).
+    """
+    ends = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    if weight is None:
+        return edges.select("src", "dst").where(ends)
+    w: Column = F.col(weight).cast("double") if weight in edges.columns else F.lit(1.0)
+    return edges.select(F.col("src"), F.col("dst"), w.alias("weight")).where(ends)
 
 
 def prepare_graph(
@@ -133,9 +136,10 @@ def prepare_graph(
     # than persist: adaptive execution sizes its partitions (a cached plan keeps all
     # spark.sql.shuffle.partitions of them), and a lost executor does not send the
     # preparation back to the source scan.
-    pairs = e.groupBy("src", "dst").agg(
-        F.count(F.lit(1)).alias("mult"), F.min("weight").alias("weight")
-    ).checkpoint(eager=True)
+    weighted = "weight" in e.columns
+    pair_aggs = [F.count(F.lit(1)).alias("mult")] + ([F.min("weight").alias("weight")] if weighted else [])
+    pairs = e.groupBy("src", "dst").agg(*pair_aggs).checkpoint(eager=True)
+    edge_cols = ["dst", "mult"] + (["weight"] if weighted else [])
 
     # one aggregation gives degree, distinct out-neighbours and vertex membership
     out_rows = pairs.select(
@@ -197,7 +201,7 @@ def prepare_graph(
     max_hot = md // bucket_size
     if max_hot == 0:
         # no source can have more than bucket_size targets: one bucket each, no join
-        salted = pairs.select("src", F.lit(0).alias("salt"), "dst", "mult", "weight")
+        salted = pairs.select("src", F.lit(0).alias("salt"), *edge_cols)
     else:
         hot = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
         hot_side = F.broadcast(hot) if max_hot <= MAX_BROADCAST_HOT else hot
@@ -206,9 +210,7 @@ def prepare_graph(
             F.when(F.col("nb").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int"))
             .alias("salt"),
-            "dst",
-            "mult",
-            "weight",
+            *edge_cols,
         )
     etab = checkpoint_partitioned(salted.repartition(parts, "src", "salt"))
     return GraphLayout(
@@ -221,4 +223,5 @@ def prepare_graph(
         bucket_size=bucket_size,
         partitions=parts,
         mode=vertices,
+        weighted=weighted,
     )

@@ -82,6 +82,8 @@ def shortest_paths(
     else:
         layout = prepare_graph(edges, vertices="all", partitions=partitions,
                                bucket_size=bucket_size, weight="weight")
+    if not layout.weighted:
+        raise ValueError("shortest paths need edge weights: prepare the graph with a weight column")
     n = layout.num_vertices
     if n == 0:
         raise ValueError("shortest paths need at least one edge; the graph is empty")

@@ -179,3 +179,12 @@ def test_max_rounds_stops_early(spark):
     assert r.trace.stop_reason == "max_rounds" and r.trace.count == 2
     d = dist_map(r)
     assert d[2] == 2.0 and d[3] == INF
+
+
+def test_unweighted_edges_count_hops_and_weightless_layout_is_rejected(spark):
+    from graphloom.plans.layout import prepare_graph
+
+    e = edges_of(spark, [(0, 1), (1, 2), (0, 2)], weighted=False)
+    assert dist_map(shortest_paths(e, 0)) == {0: 0.0, 1: 1.0, 2: 1.0}
+    with pytest.raises(ValueError):
+        shortest_paths(prepare_graph(e, weight=None), 0)
