@@ -1,6 +1,6 @@
 """PageRank as a loop of DataFrame rounds.
 
-Per round: the vertex state ``(id, deg, ndst, nb, rank)`` is replicated per salt
+Per round: the vertex state ``(id, deg, nb, rank)`` is replicated per salt
 bucket and shuffled to the checkpointed, ``(src, salt)``-partitioned edge table; each
 edge emits ``rank / deg * mult`` to its target; the messages are unioned with the
 vertex rows and summed per id (map-side partial sums first, so a target with a huge
@@ -56,7 +56,7 @@ class PageRankResult:
 def initial_state(layout: GraphLayout) -> DataFrame:
     n = layout.num_vertices
     return layout.vertices.select(
-        "id", "deg", "ndst", "nb", F.lit(1.0 / n).alias("rank")
+        "id", "deg", "nb", F.lit(1.0 / n).alias("rank")
     )
 
 
@@ -68,18 +68,18 @@ WITH shares AS (
   FROM {state} WHERE deg > 0
 ),
 messages AS (
-  SELECT /*+ SHUFFLE_HASH(s) */ e.dst AS id, CAST(NULL AS BIGINT) AS deg, CAST(NULL AS BIGINT) AS ndst,
+  SELECT /*+ SHUFFLE_HASH(s) */ e.dst AS id, CAST(NULL AS BIGINT) AS deg,
          CAST(NULL AS INT) AS nb, CAST(NULL AS DOUBLE) AS prev, s.share * e.mult AS c
   FROM {edges} e JOIN shares s ON e.src = s.src AND e.salt = s.salt
 ),
 summed AS (
-  SELECT id, max(deg) AS deg, max(ndst) AS ndst, max(nb) AS nb, max(prev) AS prev,
+  SELECT id, max(deg) AS deg, max(nb) AS nb, max(prev) AS prev,
          sum(c) AS s, count(c) AS nin
-  FROM (SELECT id, deg, ndst, nb, rank AS prev, CAST(NULL AS DOUBLE) AS c FROM {state}
-        UNION ALL SELECT id, deg, ndst, nb, prev, c FROM messages) u
+  FROM (SELECT id, deg, nb, rank AS prev, CAST(NULL AS DOUBLE) AS c FROM {state}
+        UNION ALL SELECT id, deg, nb, prev, c FROM messages) u
   GROUP BY id
 )
-SELECT id, deg, ndst, nb, RANK_EXPR AS rank, prev
+SELECT id, deg, nb, RANK_EXPR AS rank, prev
 FROM summed
 WHERE deg IS NOT NULL  -- shares sent to targets outside the vertex set are lost
 """
