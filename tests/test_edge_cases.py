@@ -188,3 +188,22 @@ def test_unweighted_edges_count_hops_and_weightless_layout_is_rejected(spark):
     assert dist_map(shortest_paths(e, 0)) == {0: 0.0, 1: 1.0, 2: 1.0}
     with pytest.raises(ValueError):
         shortest_paths(prepare_graph(e, weight=None), 0)
+
+
+def test_sources_only_with_a_listed_dead_end(spark, scratch):
+    # 0: [1, 9]  1: [2]  2: []   (9 is not listed; 2 is a listed dead end)
+    path = write(os.path.join(scratch, "adj_dead.txt"), "0: [1, 9]\n1: [2]\n2: []\n")
+    adj = read_adjacency(spark, path)
+    r = pagerank(adjacency_to_edges(adj), listed=listed_vertices(adj), vertices="sources",
+                 tol=None, max_iter=2)
+    got = {x.id: x.rank for x in r.ranks.collect()}
+    d, n = 0.85, 3
+    ranks = {0: 1 / n, 1: 1 / n, 2: 1 / n}
+    for _ in range(2):
+        dead = ranks[2]
+        new = {v: (1 - d) / n + d * dead / n for v in ranks}
+        new[1] += d * ranks[0] / 2          # the share to 9 is lost
+        new[2] += d * ranks[1]
+        ranks = new
+    assert set(got) == {0, 1, 2}
+    assert all(got[v] == pytest.approx(ranks[v], abs=1e-15) for v in ranks)
