@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 
@@ -37,8 +41,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; set ``fallback`` only where none is set (tests)."""
-    current = checkpoint_dir(spark) or fallback
+    """Use the session's checkpoint folder; ``fallback`` only where none is set and driver and
+    executors are one process (tests, local runs). Elsewhere a missing folder is an error."""
+    current = checkpoint_dir(spark)
+    if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = fallback
     if not _context_dir(spark):
         try:
             spark.sparkContext.setCheckpointDir(current)
@@ -65,3 +75,24 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    A zip of the package's modules goes through Spark's own file distribution, once per
+    application. Not needed where the package is installed on the cluster.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_graphloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="graphloom-zip-"), "graphloom.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    context._graphloom_shipped = True
