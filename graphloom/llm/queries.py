@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import mixing, packing, simhash
+from graphloom.llm import cap_filters, mixing, packing, quality, simhash
 from graphloom.llm.common import Scratch
 
 
@@ -21,6 +21,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_cap_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
@@ -41,6 +50,8 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cap_filters": op1_cap_filters,
+    "op4_quality": op4_quality,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op10_packing": op10_packing,
