@@ -19,6 +19,9 @@ from graphloom.session import require_checkpoint_dir
 # feed, carriage return, blank); every other character belongs to a word
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+# Spark's setting that deletes an execution's shuffle files when it ends
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
     """The written tables of one call. ``drop`` deletes one that no later step reads; what
@@ -35,7 +38,13 @@ class Scratch:
         """``frame``, written once and read back."""
         path = f"{self.root}/{self.n}"
         self.n += 1
-        frame.write.parquet(path)
+        # the written table replaces the shuffle files of the steps that led to it
+        before = self.spark.conf.get(FREE_SHUFFLES, "false")
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            frame.write.parquet(path)
+        finally:
+            self.spark.conf.set(FREE_SHUFFLES, before)
         out = self.spark.read.schema(frame.schema).parquet(path)
         self.paths[id(out)] = path
         self.keep = getattr(self, "keep", [])
