@@ -31,8 +31,8 @@ MIN_COSINE = 0.98
 # filters a vector meets on average, least number it is given, vectors that a filter holds on
 # average within all labels, blocks of the product code
 FILTERS, LEAST_FILTERS, FILTER_ROWS, BLOCKS = 14, 5, 64, 4
-# rows of a bucket compared in one block
-BUCKET_ROWS = 2048
+# rows of a bucket compared in one block; rows of the buckets that go to a task together
+BUCKET_ROWS, GROUP_ROWS = 2048, 16384
 SEED = 20
 
 
@@ -157,41 +157,61 @@ def _postings(classes: DataFrame, kind: str, total: int) -> DataFrame:
 
 
 def _compare(kind: str, min_cosine: float):
-    """Links within one block pair of a bucket: per class its links and a smaller linked class."""
-
-    def run(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        here, left, right = keys[2], keys[3], keys[4]
-        group = group.sort_values("key", kind="stable").reset_index(drop=True)
-        n = len(group)
-        unit, mult = _units(group["vec"], kind), group["mult"].to_numpy()
-        block = group["block"].to_numpy()
-        lists = [np.frombuffer(f, "<i8") for f in group["filters"]]
-        # filters below this one, as columns of a 0/1 table: a pair that shares one of them is
-        # counted there
-        lower = sorted({int(x) for f in lists for x in f[f < here]})
-        column = {x: i for i, x in enumerate(lower)}
-        seen = np.zeros((n, len(lower)), np.float32)
-        for i, f in enumerate(lists):
-            seen[i, [column[int(x)] for x in f[f < here]]] = 1
-        links, root = np.zeros(n, np.int64), np.arange(n)
-        for at in range(0, n, 512):
-            rows = np.arange(at, min(at + 512, n))
-            near = unit[rows] @ unit.T >= min_cosine
-            near[np.arange(len(rows)), rows] = False
-            if left != right:  # two different blocks: pairs inside one are compared elsewhere
-                near &= block[rows][:, None] != block[None, :]
-            hit = near.any(axis=1)
-            root[rows[hit]] = np.minimum(rows[hit], near[hit].argmax(axis=1))
-            if len(lower) and hit.any():
-                near[hit] &= seen[rows[hit]] @ seen.T < 0.5
-            links[rows] = near @ mult
-        key = group["key"].to_numpy()
-        keep = (links > 0) | (root != np.arange(n))
-        return pd.DataFrame({"key": key[keep], "links": links[keep], "root": key[root[keep]]})
+    """Links within the block pairs of a group of buckets: per class its links and a linked class."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["label", "dim", "filter", "lo", "hi", "key"], kind="stable").reset_index(drop=True)
+        out = []
+        for _, some in group.groupby("dim", sort=False):
+            some = some.reset_index(drop=True)
+            unit = _units(some["vec"], kind)
+            edge = (some[["label", "filter", "lo", "hi"]] != some[["label", "filter", "lo", "hi"]].shift()).any(axis=1)
+            starts = np.nonzero(edge.to_numpy())[0]
+            columns = [some[c].to_numpy() for c in ("filter", "block", "mult", "key", "filters")]
+            for s, e in zip(starts, np.append(starts[1:], len(some))):
+                if e - s > 1:
+                    found = _bucket(unit[s:e], *[c[s:e] for c in columns], min_cosine)
+                    if found:
+                        out.append(found)
+        keys, links, roots = (np.concatenate(x) for x in zip(*out)) if out else ([], [], [])
+        return pd.DataFrame({"key": pd.Series(keys, dtype=object), "links": np.array(links, np.int64),
+                             "root": pd.Series(roots, dtype=object)})
 
     return run
 
 
+def _bucket(unit: np.ndarray, filters: np.ndarray, block: np.ndarray, mult: np.ndarray, key: np.ndarray, packed: np.ndarray,
+            min_cosine: float) -> tuple | None:
+    n, here = len(unit), filters[0]
+    two = (block != block[0]).any()  # pairs inside one of two blocks are compared elsewhere
+    links, root, seen = np.zeros(n, np.int64), np.arange(n), None
+    for at in range(0, n, 512):
+        rows = np.arange(at, min(at + 512, n))
+        near = unit[rows] @ unit.T >= min_cosine
+        near[np.arange(len(rows)), rows] = False
+        if two:
+            near &= block[rows][:, None] != block[None, :]
+        hit = near.any(axis=1)
+        if not hit.any():
+            continue
+        if seen is None:
+            seen = _lower_filters(packed, here)
+        root[rows[hit]] = np.minimum(rows[hit], near[hit].argmax(axis=1))
+        near[hit] &= seen[rows[hit]] @ seen.T < 0.5  # counted at the least filter that both meet
+        links[rows] = near @ mult
+    keep = (links > 0) | (root != np.arange(n))
+    return (key[keep], links[keep], key[root[keep]]) if keep.any() else None
+
+
+def _lower_filters(packed: np.ndarray, here: int) -> np.ndarray:
+    """0/1 table: row i meets the j-th of the filters below ``here`` that any row meets."""
+    lists = [f[f < here] for f in (np.frombuffer(p, "<i8") for p in packed)]
+    _, column = np.unique(np.concatenate(lists), return_inverse=True)
+    table = np.zeros((len(lists), max(column.max(initial=0) + 1, 1)), np.float32)
+    table[np.repeat(np.arange(len(lists)), [len(x) for x in lists]), column] = 1
+    return table
+
+
 def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                  min_cosine: float = MIN_COSINE) -> DataFrame:
     """The columns of ``rows`` but ``vector``, with ``n_links``, ``component_id`` and ``kept``.
@@ -232,7 +252,10 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         *bucket, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         "block", "key", "mult", "vec", "filters")
     schema = StructType([StructField("key", StringType()), StructField("links", LongType()), StructField("root", StringType())])
-    met = scratch.table(paired.groupBy(*bucket, "lo", "hi").applyInPandas(_compare(kind, min_cosine), schema))
+    # whole block pairs, dealt to groups of about GROUP_ROWS rows: as many groups as the postings need
+    groups = max(1, posts.count() // GROUP_ROWS)
+    dealt = paired.withColumn("g", F.pmod(F.xxhash64(*bucket, "lo", "hi"), F.lit(groups)))
+    met = scratch.table(dealt.groupBy("g").applyInPandas(_compare(kind, min_cosine), schema))
     roots = connected_components(met.select(F.col("key").alias("a"), F.col("root").alias("b")).where("a <> b"), scratch)
     links = met.groupBy("key").agg(F.sum("links").alias("links"))
     joined = (classes.select("key", "mult", "first_key").join(links, "key", "left")

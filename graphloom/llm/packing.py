@@ -23,10 +23,10 @@ from graphloom.llm.common import Scratch, fresh_name, numbered
 MAX_TOKENS = 1024
 END_ID = 0
 # words whose ids a Python worker remembers; forgotten together when there are more
-REMEMBERED_WORDS = 400_000
-# a word, with the blank before it, is never joined to its neighbours by the pre-tokenizer;
-# white space follows the pre-tokenizer's own rule
-UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+REMEMBERED_WORDS = 1_000_000
+# the pre-tokenizer never joins a word, with the blank before it, to its neighbours, nor letters to
+# the full stop or comma that ends their word; white space follows the pre-tokenizer's own rule
+UNITS = re.compile(r" ?[^\W\d_]+(?=[.,]?(?:\s|\Z))|[.,](?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
 # characters that Python counts as white space and the pre-tokenizer does not
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -58,13 +58,16 @@ class WordCachedTokenizer:
         if ODD_SPACE.search(text) or any(t in text for t in self.added):
             return self._ids([text])[0]
         units = UNITS.findall(text)
+        self.learn(units)
+        return b"".join(map(self.known.__getitem__, units))
+
+    def learn(self, units: list[str]) -> None:
         fresh = list(set(units).difference(self.known))
+        if len(self.known) + len(fresh) > self.remembered:
+            self.known.clear()
+            fresh = list(set(units))
         if fresh:
-            if len(self.known) + len(fresh) > self.remembered:
-                self.known.clear()
-                fresh = list(set(units))
             self.known.update(zip(fresh, self._ids(fresh)))
-        return b"".join(map(self.known.__getitem__, units))
 
 
 @lru_cache(maxsize=2)
@@ -142,4 +145,6 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
          max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """Packed sequences with their ids: ``cut_pieces``, numbered."""
     scratch = Scratch(docs.sparkSession, "packing")
-    return number_sequences(cut_pieces(docs, tokenizer, key, text, max_tokens, end_id), scratch, key)
+    # the numbering reads its rows twice: texts are encoded once
+    pieces = scratch.table(cut_pieces(docs, tokenizer, key, text, max_tokens, end_id))
+    return number_sequences(pieces, scratch, key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import cap_filters, mixing, packing, quality, simhash
+from graphloom.llm import cap_filters, line_dedup, line_hash, mixing, packing, quality, simhash, vafile
 from graphloom.llm.common import Scratch
 
 
@@ -25,6 +25,17 @@ def op1_cap_filters(spark: SparkSession, sf: str) -> DataFrame:
     return cap_filters.near_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    told = line_dedup.line_decisions(table(spark, sf, "documents").select("doc_id", "text"))
+    return told.select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("class_doc").alias("class_doc_id"),
+                       F.col("class_line").alias("class_line_no"), "kept")
+
+
+def op3_vafile(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return vafile.top_vectors(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
@@ -42,18 +53,26 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_line_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return line_hash.repeated_spans(table(spark, sf, "documents").select("doc_id", "text")).drop("text_hash")
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     pieces = packing.cut_pieces(docs, tokenizer_path())
     digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return packing.number_sequences(digests, Scratch(spark, "op10"))
+    scratch = Scratch(spark, "op10")
+    return packing.number_sequences(scratch.table(digests), scratch)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cap_filters": op1_cap_filters,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_vafile": op3_vafile,
     "op4_quality": op4_quality,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op9_line_hash": op9_line_hash,
     "op10_packing": op10_packing,
 }
 
