@@ -8,9 +8,9 @@ word flips one of 64 bits, so lines differ in at least as many words as their bi
 few pairs, and these are verified on the words themselves. A line goes if an earlier line has
 Jaccard similarity ``MIN_JACCARD`` or more.
 
-Within a large group of near copies all pairs would be found; each class names a few of its earliest
-and nearest partners only, and one verified earlier partner settles it. A class that had more
-partners and none verified is taken up again with four times as many, until none is left.
+One verified earlier partner settles a class. So each class names a few of its earliest and nearest
+partners in a group, the nearest of all is verified first, and the others only where that one fails. A class
+that had more partners and none verified is taken up again with four times as many, until none is left.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ MIN_JACCARD = 0.8
 # cells of the word count table; most postings of one block of a prefix word's group; postings that
 # go to a task together
 COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 4096, 100_000
+# words handled at once in a Python worker: bounds its memory
+BATCH_WORDS = 500_000
 # partners named by a class in one group at first, half of them earliest, half nearest
 PARTNERS = 8
 # hashes of words, and classes already handed on, that a Python worker remembers
@@ -37,83 +39,86 @@ REMEMBERED = 1_000_000
 NULL_KEY = (1 << 63) - 1
 
 
-class _Words:
+class _Hashes(dict):
     """64-bit hashes of words, remembered by the worker."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        known, digest = self.known, xxhash.xxh64_intdigest
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
-_words = _Words()
-
-
-def _line_sets(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line numbers, starts, word hashes) of the lines that have words; each line's words once."""
-    if not text:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    numbers, sizes, flat = [], [], []
-    for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
-        words = set(line.split())
-        if words:
-            numbers.append(i)
-            sizes.append(len(words))
-            flat.extend(words)
-    starts = np.cumsum([0, *sizes[:-1]]) if sizes else np.empty(0, np.int64)
-    return np.array(numbers, np.int64), starts, _words.hashes(flat)
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
 
 
+_hashes = _Hashes()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _identity(starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per line: two sums over its words that name its set, and its parity bitmap (as longs)."""
-    mixed = (hashes ^ (hashes >> np.uint64(29))) * _ODD
-    bits = np.uint64(1) << (hashes >> np.uint64(58))
-    return tuple(f.reduceat(v, starts).view(np.int64)
-                 for f, v in ((np.add, hashes), (np.add, mixed ^ (mixed >> np.uint64(32))), (np.bitwise_xor, bits)))
+CELL_SHIFT = np.uint64(64 - COUNT_CELLS.bit_length() + 1)
+
+
+class _Block:
+    """The lines with words of some documents, as columns: one entry per line, and the distinct words of all
+    lines one after another as ``hashes``."""
+
+    def __init__(self, docs: list, hs: list, lines: list, sizes: list, words: list):
+        self.doc, self.h, self.line, self.size = (np.array(v, np.int64) for v in (docs, hs, lines, sizes))
+        if len(_hashes) > REMEMBERED:
+            _hashes.clear()
+        self.hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+        self.starts = np.cumsum(self.size) - self.size
+        self.cells = (self.hashes >> CELL_SHIFT).astype(np.int64)
+        # what names a line's set: a sum over its words, and its parity bitmap
+        mixed = (self.hashes ^ (self.hashes >> np.uint64(29))) * _ODD
+        bits = np.uint64(1) << (self.hashes >> np.uint64(58))
+        self.c1 = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), self.starts).view(np.int64)
+        self.sig = np.bitwise_xor.reduceat(bits, self.starts).view(np.int64)
+
+    def frame(self) -> pd.DataFrame:
+        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", "size", "c1", "sig")})
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
+    """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words."""
+    lists: tuple[list, ...] = ([], [], [], [], [])
+    docs, hs, lines, sizes, words = lists
+    for part in batches:
+        for doc, h, text in zip(part["doc"].tolist(), part["h"].tolist(), part["text"]):
+            if text is None:
+                continue
+            for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
+                found = set(line.split())
+                if found:
+                    docs.append(doc), hs.append(h), lines.append(i), sizes.append(len(found))
+                    words.extend(found)
+            if len(words) > BATCH_WORDS:
+                yield _Block(*lists)
+                lists = docs, hs, lines, sizes, words = [], [], [], [], []
+    if words:
+        yield _Block(*lists)
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``doc`` (key, null as ``NULL_KEY``), ``h`` (hash of the text), ``text``: what names a document."""
-    return docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY)).alias("doc"), _text_hash(F.col(text)).alias("h"),
+    return docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY)).alias("doc"), F.xxhash64(text).alias("h"),
                        F.col(text).alias("text"))
 
 
-def _text_hash(text: Column) -> Column:
-    return F.xxhash64(text).cast("bigint")
+CLASS = ["c1", "sig", "size"]
+EARLIER = [f"{c}2" for c in CLASS]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Rows ``(doc, h, line, c1, c2)`` of lines with words, and rows ``(line = cell, n)`` of word counts."""
+    """One row ``doc, h, line, size, c1, sig`` per line with words, and rows ``(line = cell, n)`` of word counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(COUNT_CELLS, np.int64)
-        for part in batches:
-            out = []
-            for doc, h, text in zip(part["doc"], part["h"], part["text"]):
-                numbers, starts, hashes = _line_sets(text)
-                if len(numbers):
-                    np.add.at(cells, (hashes >> np.uint64(46)).astype(np.int64), 1)
-                    c1, c2, _ = _identity(starts, hashes)
-                    out.append(pd.DataFrame({"doc": doc, "h": h, "line": numbers, "c1": c1, "c2": c2, "n": 0}))
-            if out:
-                yield pd.concat(out)
+        for block in _blocks(batches):
+            cells += np.bincount(block.cells, minlength=COUNT_CELLS)
+            yield block.frame().assign(n=0)
         used = np.nonzero(cells)[0]
-        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, "c1": 0, "c2": 0, "n": cells[used]})
+        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, "size": 0, "c1": 0, "sig": 0, "n": cells[used]})
 
-    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, c1 bigint, c2 bigint, n bigint")
+    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, size bigint, c1 bigint, sig bigint, n bigint")
 
 
 def _prefixes(docs: DataFrame, counts, min_jaccard: float) -> DataFrame:
-    """One row per line: its place, size, identity, bitmap and prefix words, rarest first.
+    """One row per line: its place, class and prefix words, rarest first.
 
     ``counts`` is the broadcast word count table. A worker hands on a class again only for an earlier
     place than it has handed on before.
@@ -121,31 +126,24 @@ def _prefixes(docs: DataFrame, counts, min_jaccard: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = counts.value
-        seen: dict[tuple[int, int], tuple] = {}
-        for part in batches:
-            rows = []
-            for doc, h, text in zip(part["doc"], part["h"], part["text"]):
-                numbers, starts, hashes = _line_sets(text)
-                if not len(numbers):
-                    continue
-                ends = np.append(starts[1:], len(hashes))
-                size = ends - starts
-                c1, c2, sig = _identity(starts, hashes)
-                order = np.lexsort((hashes, table[(hashes >> np.uint64(46)).astype(np.int64)], np.repeat(np.arange(len(size)), size)))
-                ranked = hashes[order].astype(np.uint32).view(np.int32)
-                length = size - np.ceil(min_jaccard * size - 1e-9).astype(np.int64) + 1
-                for i, (line, s, n) in enumerate(zip(numbers.tolist(), starts.tolist(), length.tolist())):
-                    name, place = (c1[i], c2[i]), (doc, h, line)
-                    if name in seen and seen[name] <= place:
-                        continue
+        seen: dict[tuple, tuple] = {}
+        for b in _blocks(batches):
+            order = np.lexsort((b.hashes, table[b.cells], np.repeat(np.arange(len(b.size)), b.size)))
+            ranked = b.hashes[order].astype(np.uint32).view(np.int32)
+            length = b.size - np.ceil(min_jaccard * b.size - 1e-9).astype(np.int64) + 1
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            fresh = []
+            for i, (name, place) in enumerate(zip(zip(b.c1.tolist(), b.sig.tolist(), b.size.tolist()),
+                                                  zip(b.doc.tolist(), b.line.tolist()))):
+                if name not in seen or place < seen[name]:
                     seen[name] = place
-                    rows.append((doc, h, line, size[i], c1[i], c2[i], sig[i], ranked[s:s + n]))
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc", "h", "line", "size", "c1", "c2", "sig", "prefix"])
+                    fresh.append(i)
+            out = b.frame().drop(columns="h").iloc[fresh]
+            out["prefix"] = [ranked[s:s + n] for s, n in zip(b.starts[fresh].tolist(), length[fresh].tolist())]
+            yield out
 
-    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, size bigint, c1 bigint, c2 bigint, sig bigint, prefix array<int>")
+    return docs.mapInPandas(run, "doc bigint, line bigint, size bigint, c1 bigint, sig bigint, prefix array<int>")
 
 
 def _partners(min_jaccard: float, limit: int):
@@ -154,38 +152,38 @@ def _partners(min_jaccard: float, limit: int):
     factor = min_jaccard / (1 + min_jaccard)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["word", "lo", "hi", "c1", "c2", "doc", "h", "line"], kind="stable")
-        group = group[~group.duplicated(["word", "lo", "hi", "c1", "c2"])]
-        cell = (group[["word", "lo", "hi"]] != group[["word", "lo", "hi"]].shift()).any(axis=1).to_numpy().cumsum()
-        group = group.assign(cell=cell).sort_values(["cell", "size"], kind="stable").reset_index(drop=True)
-        n = len(group)
-        cell, size, pos = (group[c].to_numpy() for c in ("cell", "size", "pos"))
-        sig, block = group["sig"].to_numpy().view(np.uint64), group["block"].to_numpy()
+        col = {c: group[c].to_numpy() for c in group.columns}
+        # one row per class and word: its first place (a word's cell: word and block pair)
+        order = np.lexsort((col["line"], col["doc"], col["c1"], col["sig"], col["size"], col["hi"], col["lo"], col["word"]))
+        col = {c: v[order] for c, v in col.items()}
+        change = lambda names: np.concatenate(([True], np.any([col[c][1:] != col[c][:-1] for c in names], axis=0)))
+        fresh = change(["word", "lo", "hi", *CLASS])
+        cell = np.cumsum(change(["word", "lo", "hi"]))[fresh]
+        col = {c: v[fresh] for c, v in col.items()}  # in order of cell and size
+        n = len(cell)
+        size, pos, block, sig = col["size"], col["pos"], col["block"], col["sig"].view(np.uint64)
         rank = np.empty(n, np.int64)
-        rank[np.lexsort((group["line"], group["h"], group["doc"]))] = np.arange(n)
+        rank[np.lexsort((col["c1"], col["line"], col["doc"]))] = np.arange(n)
         # partners of row i: rows before it in its cell whose size is at least min_jaccard of its own
         wide = int(size.max(initial=0)) + 1
         low = np.searchsorted(cell * wide + size, cell * wide + np.ceil(min_jaccard * size - 1e-9).astype(np.int64))
         many = np.maximum(np.arange(n) - low, 0)
-        later, earlier, where, apart = [], [], [], []
-        upto = np.cumsum(many)
-        at = 0
+        upto, at = np.cumsum(many), 0
+        later, earlier, apart = [], [], []
         while at < n:
             end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 2_000_000, side="right")))
             i = np.repeat(np.arange(at, end), many[at:end])
             j = np.arange(len(i)) - np.repeat(np.cumsum(many[at:end]) - many[at:end], many[at:end]) + low[i]
-            both = size[i] + size[j]
-            need = np.ceil(factor * both - 1e-9)
-            ok = np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need
-            heavy = group["lo"].to_numpy()[i] != group["hi"].to_numpy()[i]
-            ok &= ~heavy | (block[i] != block[j])  # pairs inside one of two blocks meet elsewhere
-            i, j, most = i[ok], j[ok], (both - 2 * need)[ok]
+            at = end
             bits = np.bitwise_count(sig[i] ^ sig[j])
-            ok = bits <= most
+            both = size[i] + size[j]
+            need = np.ceil(factor * both - 1e-9).astype(np.int64)
+            ok = (bits <= both - 2 * need) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need)
+            # pairs inside one of two blocks meet elsewhere
+            ok &= (col["lo"][i] == col["hi"][i]) | (block[i] != block[j])
             i, j = i[ok], j[ok]
             flip = rank[i] < rank[j]
-            later.append(np.where(flip, j, i)), earlier.append(np.where(flip, i, j)), apart.append(bits[ok])
-            at = end
+            later.append(np.where(flip, j, i)), earlier.append(np.where(flip, i, j)), apart.append(bits[ok].astype(np.int64))
         l, e, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (later, earlier, apart))
         order = np.lexsort((rank[e], l))
         l, e, apart = l[order], e[order], apart[order]
@@ -194,66 +192,61 @@ def _partners(min_jaccard: float, limit: int):
         close[np.lexsort((rank[e], apart, l))] = first
         more = np.bincount(l, minlength=1)[l] > limit if len(l) else np.empty(0, bool)
         take = ~more | (first < limit // 2) | (close < limit // 2)
-        out = {}
-        for c in ("doc", "h", "line"):
-            v = group[c].to_numpy()
-            out[c], out[f"{c}2"] = v[l[take]], v[e[take]]
-        out["more"] = more[take]
-        return pd.DataFrame(out).drop_duplicates()
+        out = {c: col[c][l[take]] for c in CLASS} | {f"{c}2": col[c][e[take]] for c in CLASS}
+        return pd.DataFrame({**out, "apart": apart[take], "more": more[take]}).drop_duplicates()
 
     return run
 
 
-PLACE = ["doc", "h", "line"]
-
-
-def _word_set(text: Column, line: Column) -> Column:
-    chosen = F.element_at(F.split(text, "\n", -1), (line + 1).cast("int"))
-    lowered = F.translate(chosen, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def _words(line: Column) -> Column:
+    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_distinct(F.regexp_extract_all(lowered, F.lit(WORD_PATTERN), F.lit(0)))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, min_jaccard: float) -> DataFrame:
-    """The pairs whose word sets have Jaccard similarity ``min_jaccard`` or more."""
-    wanted = pairs.select(*PLACE).unionByName(pairs.select(*[F.col(f"{c}2").alias(c) for c in PLACE])).distinct()
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scratch, min_jaccard: float) -> DataFrame:
+    """The later classes of those pairs whose word sets have Jaccard similarity ``min_jaccard`` or more."""
+    wanted = pairs.select(*CLASS).unionByName(pairs.select(*[F.col(a).alias(c) for a, c in zip(EARLIER, CLASS)])).distinct()
+    places = wanted.join(firsts, CLASS).select(*CLASS, "first.doc", "first.h", "first.line")
+    line = F.element_at(F.split("text", "\n", -1), (F.col("line") + 1).cast("int"))
     # rows that agree in key and text are one document: its lines are read from one of them
-    read = docs.join(wanted, ["doc", "h"]).select(*PLACE, _word_set(F.col("text"), F.col("line")).alias("words"))
-    sets = scratch.table(read.dropDuplicates(PLACE))
-    other = sets.select(*[F.col(c).alias(f"{c}2") for c in PLACE], F.col("words").alias("words2"))
-    both = pairs.join(sets, PLACE).join(other, [f"{c}2" for c in PLACE])
-    shared = F.size(F.array_intersect("words", "words2"))
-    enough = shared >= F.ceil(F.lit(min_jaccard) * (F.size("words") + F.size("words2") - shared) - 1e-9)
-    out = scratch.table(both.where(enough).select(*PLACE).distinct())
+    sets = scratch.table(docs.join(places, ["doc", "h"]).select(*CLASS, line.alias("t")).dropDuplicates(CLASS))
+    other = sets.select(*[F.col(c).alias(a) for a, c in zip(EARLIER, CLASS)], F.col("t").alias("t2"))
+    both = pairs.select(*CLASS, *EARLIER).join(sets, CLASS).join(other, EARLIER)
+    shared = F.size(F.array_intersect(_words(F.col("t")), _words(F.col("t2"))))
+    enough = shared >= F.ceil(F.lit(min_jaccard) * (F.col("size") + F.col("size2") - shared) - 1e-9)
+    out = scratch.table(both.where(enough).select(*CLASS).distinct())
     scratch.drop(sets)
     return out
 
 
-def _repeated_classes(docs: DataFrame, counts, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
-    """Places (``doc, h, line``) of the first lines of classes that have an earlier similar class."""
+def _repeated_classes(docs: DataFrame, counts, firsts: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
+    """The classes that have an earlier similar class."""
     lines = scratch.table(_prefixes(docs, counts, min_jaccard))
-    posts = lines.select("doc", "h", "line", "size", "c1", "c2", "sig", F.posexplode("prefix").alias("pos", "word"))
-    heavy = (posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
-             .select("word", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
-    heavy = scratch.table(heavy)
+    posts = lines.select("doc", "line", *CLASS, F.posexplode("prefix").alias("pos", "word"))
+    heavy = scratch.table(posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
+                          .select("word", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
     cut = posts.join(heavy, "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-    cut = cut.withColumn("block", F.pmod(F.hash("c1", "c2"), "cuts"))
+    cut = cut.withColumn("block", F.pmod(F.hash("c1", "sig"), "cuts"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     paired = paired.select("word", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                           "doc", "h", "line", "size", "pos", "c1", "c2", "sig")
-    schema = "doc bigint, doc2 bigint, h bigint, h2 bigint, line bigint, line2 bigint, more boolean"
+                           "doc", "line", "pos", *CLASS)
     # whole block pairs, dealt to tasks' groups of about TASK_ROWS rows: as many as the postings need
-    groups = max(1, lines.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TASK_ROWS + 1
-    dealt = paired.withColumn("g", F.pmod(F.xxhash64("word", "lo", "hi"), F.lit(groups)))
-    done: DataFrame | None = None
+    groups = int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TASK_ROWS + 1
+    dealt = paired.withColumn("g", F.pmod(F.hash("word", "lo", "hi"), F.lit(groups)))
+    schema = "c1 bigint, sig bigint, size bigint, c12 bigint, sig2 bigint, size2 bigint, apart bigint, more boolean"
+    done, still = None, None
     while True:
         found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
-        if done is not None:  # only classes that are still open
-            found = found.join(still, PLACE, "left_semi")
-        pairs = scratch.table(found.groupBy(*PLACE, *[f"{c}2" for c in PLACE]).agg(F.max("more").alias("more")))
-        hits = _verified(pairs.drop("more"), docs, scratch, min_jaccard)
+        if still is not None:  # only classes that are still open
+            found = found.join(still, CLASS, "left_semi")
+        pairs = scratch.table(found.groupBy(*CLASS, *EARLIER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
+        nearest = pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n")).select(*CLASS, *[f"n.{c}" for c in EARLIER])
+        hits = _verified(nearest, docs, firsts, scratch, min_jaccard)
+        rest = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
+        hits = scratch.table(hits.unionByName(_verified(rest, docs, firsts, scratch, min_jaccard)).distinct())
         done = hits if done is None else scratch.table(done.unionByName(hits))
-        still = scratch.table(pairs.where("more").select(*PLACE).distinct().join(hits, PLACE, "left_anti"))
-        scratch.drop(pairs)
+        still = scratch.table(pairs.where("more").select(*CLASS).distinct().join(hits, CLASS, "left_anti"))
+        scratch.drop(pairs, rest)
         if still.isEmpty():
             scratch.drop(lines, heavy)
             return done
@@ -263,12 +256,13 @@ def _repeated_classes(docs: DataFrame, counts, scratch: Scratch, min_jaccard: fl
 def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_jaccard: float = MIN_JACCARD,
                    partners: int = PARTNERS, scratch: Scratch | None = None) -> DataFrame:
     """One row per line with words: ``doc, h`` (the document's key and text hash), ``line`` (from 0),
-    ``class_doc, class_h, class_line`` (first line with the same word set) and ``kept``.
+    ``class_doc, class_line`` (first line with the same word set) and ``kept``.
 
-    Lines are cut at line feeds and ordered by key (null last), text hash and line number; the key is an
-    integer. A line goes if an earlier line is similar, whether that one stays or not. Lines without words,
-    null and empty texts have no rows and always stay. Rows that agree in key and text are one
-    document and decided alike, each line of it standing for itself once. An empty table gives no rows.
+    Lines are cut at line feeds and ordered by key (null last), then line number; the key is an integer. A line goes
+    if an earlier line is similar, whether that one stays or not. Lines without words, null and empty texts have
+    no rows and always stay. Where documents share a key, their lines of one number come in order of a hash.
+    Rows that agree in key and text are one document and decided alike, each line of it standing for itself once.
+    An empty table gives no rows.
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     named = _keyed(docs, key, text)
@@ -276,19 +270,15 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     lines = both.where("n = 0").drop("n")
     counts = np.zeros(COUNT_CELLS, np.int64)
     # COUNT_CELLS rows at most, whatever the data
-    for row in both.where("n > 0").groupBy("line").agg(F.sum("n").alias("n")).collect():
-        counts[row["line"]] = row["n"]
+    told = both.where("n > 0").groupBy("line").agg(F.sum("n").alias("n")).toPandas()
+    counts[told["line"].to_numpy()] = told["n"].to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    repeated = _repeated_classes(named, shared, scratch, min_jaccard, partners)
-    firsts = lines.groupBy("c1", "c2").agg(F.min(F.struct(*PLACE)).alias("first"))
-    firsts = firsts.select("c1", "c2", *[F.col(f"first.{c}").alias(f"class_{c}") for c in PLACE])
-    gone = repeated.select(*[F.col(c).alias(f"class_{c}") for c in PLACE], F.lit(True).alias("gone"))
-    firsts = scratch.table(firsts.join(gone, [f"class_{c}" for c in PLACE], "left"))
-    own = F.col("gone").isNull()
-    for c in PLACE:
-        own &= F.col(c) == F.col(f"class_{c}")
-    return (lines.distinct().join(firsts, ["c1", "c2"])
-            .select(*PLACE, *[f"class_{c}" for c in PLACE], own.alias("kept")))
+    firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
+    gone = _repeated_classes(named, shared, firsts, scratch, min_jaccard, partners)
+    judged = scratch.table(firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left"))
+    own = F.col("gone").isNull() & (F.struct("doc", "line", "h") == F.col("first"))
+    return (lines.distinct().join(judged, CLASS)
+            .select("doc", "h", "line", F.col("first.doc").alias("class_doc"), F.col("first.line").alias("class_line"), own.alias("kept")))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None, **settings) -> DataFrame:
@@ -302,7 +292,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     names = [fresh_name(docs.columns, n) for n in ("_doc", "_h", "_gone")]
     gone = scratch.table(told.where(~F.col("kept")).groupBy(F.col("doc").alias(names[0]), F.col("h").alias(names[1]))
                          .agg(F.collect_list("line").alias(names[2])))  # lines of one document
-    rows = docs.withColumns({names[0]: F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY)), names[1]: _text_hash(F.col(text))})
+    rows = docs.withColumns({names[0]: F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY)), names[1]: F.xxhash64(text)})
     joined = rows.join(gone, names[:2], "left")
 
     @F.pandas_udf("string")

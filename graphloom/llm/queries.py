@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import cap_filters, line_dedup, line_hash, mixing, packing, quality, simhash, vafile
+from graphloom.llm import (cap_filters, licenses, line_dedup, line_hash, mixing, packing, quality, simhash, tool_calls,
+                           vafile)
 from graphloom.llm.common import Scratch
 
 
@@ -41,6 +42,10 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
@@ -53,6 +58,12 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations")
+    return tool_calls.link_calls(tool_calls.conversation_calls(turns), tool_calls.conversation_results(turns),
+                                 tool_calls.conversation_schemas(spark))
+
+
 def op9_line_hash(spark: SparkSession, sf: str) -> DataFrame:
     return line_hash.repeated_spans(table(spark, sf, "documents").select("doc_id", "text")).drop("text_hash")
 
@@ -70,10 +81,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_vafile": op3_vafile,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op8_tool_calls": op8_tool_calls,
     "op9_line_hash": op9_line_hash,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_licenses": licenses.scan_sql(),
+    "op8_tool_calls": tool_calls.CONVERSATION_SQL,
+}
