@@ -9,12 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import mixing, packing, simhash
+from graphloom.llm import line_dedup, mixing, packing, quality, simhash
 from graphloom.llm.common import Scratch
 from graphloom.llm.queries import table, tokenizer_path
 from graphloom.session import ship_package
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labelled ones, predicts as good."""
+    ship_package(spark)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are near copies of earlier ones; ``n_chars`` counted anew."""
+    ship_package(spark)
+    return line_dedup.without_repeats(docs, length="n_chars")
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each SimHash group."""
     ship_package(spark)
@@ -33,6 +45,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_stage),
     ("simhash", simhash_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
