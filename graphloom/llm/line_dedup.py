@@ -4,7 +4,7 @@ A line is the set of its words (A-Z lower-cased). Lines with equal sets are one
 at its earliest occurrence. Words are put in order of rarity, from counts over all lines in a
 table of fixed size; the order is total, so the prefix filter loses no pair. Classes meet in the
 groups of their prefix words. There the length filter, the positional filter and a parity bitmap (each
-word flips one of 64 bits, so lines differ in at least as many words as their bitmaps do in bits) leave
+word flips one of 128 bits, so lines differ in at least as many words as their bitmaps do in bits) leave
 few pairs, and these are verified on the words themselves. A line goes if an earlier line has
 Jaccard similarity ``MIN_JACCARD`` or more.
 
@@ -19,22 +19,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import WORD_PATTERN, Scratch, fresh_name
+from graphloom.llm.common import Scratch, fresh_name
 
 MIN_JACCARD = 0.8
 # cells of the word count table; most postings of one block of a prefix word's group; postings that
 # go to a task together
 COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 4096, 100_000
-# words handled at once in a Python worker: bounds its memory
-BATCH_WORDS = 500_000
+# words and lines handled at once in a Python worker: bounds its memory (a line's number takes 18 bits)
+BATCH_WORDS, BATCH_LINES = 500_000, 200_000
 # partners named by a class in one group at first, half of them earliest, half nearest
 PARTNERS = 8
 # hashes of words, and classes already handed on, that a Python worker remembers
-REMEMBERED = 1_000_000
+REMEMBERED, REMEMBERED_CLASSES = 500_000, 150_000
 # stands for a null key, which comes last
 NULL_KEY = (1 << 63) - 1
 
@@ -52,6 +53,11 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 CELL_SHIFT = np.uint64(64 - COUNT_CELLS.bit_length() + 1)
 
 
+# a line's word set: a sum over its words, the halves of its bitmap, its number of words
+CLASS = ["c1", "sig", "sag", "size"]
+EARLIER = [f"{c}2" for c in CLASS]
+
+
 class _Block:
     """The lines with words of some documents, as columns: one entry per line, and the distinct words of all
     lines one after another as ``hashes``."""
@@ -65,12 +71,14 @@ class _Block:
         self.cells = (self.hashes >> CELL_SHIFT).astype(np.int64)
         # what names a line's set: a sum over its words, and its parity bitmap
         mixed = (self.hashes ^ (self.hashes >> np.uint64(29))) * _ODD
-        bits = np.uint64(1) << (self.hashes >> np.uint64(58))
         self.c1 = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), self.starts).view(np.int64)
-        self.sig = np.bitwise_xor.reduceat(bits, self.starts).view(np.int64)
+        bits = np.uint64(1) << (self.hashes & np.uint64(63))
+        half = (self.hashes & np.uint64(64)) > 0
+        self.sig = np.bitwise_xor.reduceat(np.where(half, bits, 0), self.starts).view(np.int64)
+        self.sag = np.bitwise_xor.reduceat(np.where(half, 0, bits), self.starts).view(np.int64)
 
     def frame(self) -> pd.DataFrame:
-        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", "size", "c1", "sig")})
+        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", *CLASS)})
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
@@ -86,7 +94,7 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
                 if found:
                     docs.append(doc), hs.append(h), lines.append(i), sizes.append(len(found))
                     words.extend(found)
-            if len(words) > BATCH_WORDS:
+            if len(words) > BATCH_WORDS or len(sizes) > BATCH_LINES:
                 yield _Block(*lists)
                 lists = docs, hs, lines, sizes, words = [], [], [], [], []
     if words:
@@ -99,12 +107,10 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.col(text).alias("text"))
 
 
-CLASS = ["c1", "sig", "size"]
-EARLIER = [f"{c}2" for c in CLASS]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row ``doc, h, line, size, c1, sig`` per line with words, and rows ``(line = cell, n)`` of word counts."""
+    """One row ``doc, h, line`` and class per line with words, and rows ``(line = cell, n)`` of word counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(COUNT_CELLS, np.int64)
@@ -112,38 +118,43 @@ def _lines(docs: DataFrame) -> DataFrame:
             cells += np.bincount(block.cells, minlength=COUNT_CELLS)
             yield block.frame().assign(n=0)
         used = np.nonzero(cells)[0]
-        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, "size": 0, "c1": 0, "sig": 0, "n": cells[used]})
+        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, **dict.fromkeys(CLASS, 0), "n": cells[used]})
 
-    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, size bigint, c1 bigint, sig bigint, n bigint")
+    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, n bigint")
 
 
-def _prefixes(docs: DataFrame, counts, min_jaccard: float) -> DataFrame:
+def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
     """One row per line: its place, class and prefix words, rarest first.
 
-    ``counts`` is the broadcast word count table. A worker hands on a class again only for an earlier
-    place than it has handed on before.
+    ``ranks`` is the broadcast order of the word count table's cells. Words of one cell are in order of their
+    hashes; a word is told by 32 bits of this order (words that share them only meet in vain). A worker hands on a
+    class again only for an earlier place than it has handed on before.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = counts.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ranks.value
         seen: dict[tuple, tuple] = {}
-        for b in _blocks(batches):
-            order = np.lexsort((b.hashes, table[b.cells], np.repeat(np.arange(len(b.size)), b.size)))
-            ranked = b.hashes[order].astype(np.uint32).view(np.int32)
+        for b in _blocks(part.to_pandas() for part in batches):
+            at = np.repeat(np.arange(len(b.size), dtype=np.uint64), b.size)
+            low = b.hashes & np.uint64((1 << 28) - 1)
+            order = np.sort((at << np.uint64(46)) | (table[b.cells] << np.uint64(28)) | low)
             length = b.size - np.ceil(min_jaccard * b.size - 1e-9).astype(np.int64) + 1
-            if len(seen) > REMEMBERED:
+            if len(seen) > REMEMBERED_CLASSES:
                 seen.clear()
-            fresh = []
-            for i, (name, place) in enumerate(zip(zip(b.c1.tolist(), b.sig.tolist(), b.size.tolist()),
-                                                  zip(b.doc.tolist(), b.line.tolist()))):
+            fresh = np.zeros(len(b.size), bool)
+            names = zip(b.c1.tolist(), b.sig.tolist(), b.sag.tolist(), b.size.tolist())
+            for i, (name, place) in enumerate(zip(names, zip(b.doc.tolist(), b.line.tolist()))):
                 if name not in seen or place < seen[name]:
                     seen[name] = place
-                    fresh.append(i)
-            out = b.frame().drop(columns="h").iloc[fresh]
-            out["prefix"] = [ranked[s:s + n] for s, n in zip(b.starts[fresh].tolist(), length[fresh].tolist())]
-            yield out
+                    fresh[i] = True
+            pos = np.arange(len(order)) - np.repeat(b.starts, b.size)
+            words = order[(pos < np.repeat(length, b.size)) & np.repeat(fresh, b.size)].astype(np.uint32).view(np.int32)
+            offsets = np.concatenate(([0], np.cumsum(length[fresh]))).astype(np.int32)
+            columns = [pa.array(getattr(b, c)[fresh]) for c in ("doc", "line", *CLASS)]
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "line", *CLASS, "prefix"])
 
-    return docs.mapInPandas(run, "doc bigint, line bigint, size bigint, c1 bigint, sig bigint, prefix array<int>")
+    return docs.mapInArrow(run, "doc bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, prefix array<int>")
 
 
 def _partners(min_jaccard: float, limit: int):
@@ -154,14 +165,15 @@ def _partners(min_jaccard: float, limit: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         col = {c: group[c].to_numpy() for c in group.columns}
         # one row per class and word: its first place (a word's cell: word and block pair)
-        order = np.lexsort((col["line"], col["doc"], col["c1"], col["sig"], col["size"], col["hi"], col["lo"], col["word"]))
+        order = np.lexsort((col["line"], col["doc"], col["c1"], col["sig"], col["sag"], col["size"], col["hi"], col["lo"], col["word"]))
         col = {c: v[order] for c, v in col.items()}
         change = lambda names: np.concatenate(([True], np.any([col[c][1:] != col[c][:-1] for c in names], axis=0)))
         fresh = change(["word", "lo", "hi", *CLASS])
         cell = np.cumsum(change(["word", "lo", "hi"]))[fresh]
         col = {c: v[fresh] for c, v in col.items()}  # in order of cell and size
         n = len(cell)
-        size, pos, block, sig = col["size"], col["pos"], col["block"], col["sig"].view(np.uint64)
+        size, pos, block = col["size"], col["pos"], col["block"]
+        sig, sag = col["sig"].view(np.uint64), col["sag"].view(np.uint64)
         rank = np.empty(n, np.int64)
         rank[np.lexsort((col["c1"], col["line"], col["doc"]))] = np.arange(n)
         # partners of row i: rows before it in its cell whose size is at least min_jaccard of its own
@@ -175,7 +187,7 @@ def _partners(min_jaccard: float, limit: int):
             i = np.repeat(np.arange(at, end), many[at:end])
             j = np.arange(len(i)) - np.repeat(np.cumsum(many[at:end]) - many[at:end], many[at:end]) + low[i]
             at = end
-            bits = np.bitwise_count(sig[i] ^ sig[j])
+            bits = np.bitwise_count(sig[i] ^ sig[j]).astype(np.int64) + np.bitwise_count(sag[i] ^ sag[j])
             both = size[i] + size[j]
             need = np.ceil(factor * both - 1e-9).astype(np.int64)
             ok = (bits <= both - 2 * need) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need)
@@ -183,7 +195,7 @@ def _partners(min_jaccard: float, limit: int):
             ok &= (col["lo"][i] == col["hi"][i]) | (block[i] != block[j])
             i, j = i[ok], j[ok]
             flip = rank[i] < rank[j]
-            later.append(np.where(flip, j, i)), earlier.append(np.where(flip, i, j)), apart.append(bits[ok].astype(np.int64))
+            later.append(np.where(flip, j, i)), earlier.append(np.where(flip, i, j)), apart.append(bits[ok])
         l, e, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (later, earlier, apart))
         order = np.lexsort((rank[e], l))
         l, e, apart = l[order], e[order], apart[order]
@@ -198,9 +210,19 @@ def _partners(min_jaccard: float, limit: int):
     return run
 
 
-def _words(line: Column) -> Column:
-    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(WORD_PATTERN), F.lit(0)))
+def _similar(min_jaccard: float):
+    @F.pandas_udf("boolean")
+    def similar(one: pd.Series, other: pd.Series) -> pd.Series:
+        def words(line: str) -> set[bytes]:
+            return set(line.encode("utf-8", "surrogatepass").lower().split())
+
+        def enough(a: set, b: set) -> bool:
+            shared = len(a & b)
+            return shared >= min_jaccard * (len(a) + len(b) - shared) - 1e-9
+
+        return pd.Series([enough(words(a), words(b)) for a, b in zip(one, other)], dtype=bool)
+
+    return similar
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scratch, min_jaccard: float) -> DataFrame:
@@ -212,16 +234,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scr
     sets = scratch.table(docs.join(places, ["doc", "h"]).select(*CLASS, line.alias("t")).dropDuplicates(CLASS))
     other = sets.select(*[F.col(c).alias(a) for a, c in zip(EARLIER, CLASS)], F.col("t").alias("t2"))
     both = pairs.select(*CLASS, *EARLIER).join(sets, CLASS).join(other, EARLIER)
-    shared = F.size(F.array_intersect(_words(F.col("t")), _words(F.col("t2"))))
-    enough = shared >= F.ceil(F.lit(min_jaccard) * (F.col("size") + F.col("size2") - shared) - 1e-9)
-    out = scratch.table(both.where(enough).select(*CLASS).distinct())
+    out = scratch.table(both.where(_similar(min_jaccard)("t", "t2")).select(*CLASS).distinct())
     scratch.drop(sets)
     return out
 
 
-def _repeated_classes(docs: DataFrame, counts, firsts: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
+def _repeated_classes(docs: DataFrame, ranks, firsts: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
     """The classes that have an earlier similar class."""
-    lines = scratch.table(_prefixes(docs, counts, min_jaccard))
+    lines = scratch.table(_prefixes(docs, ranks, min_jaccard))
     posts = lines.select("doc", "line", *CLASS, F.posexplode("prefix").alias("pos", "word"))
     heavy = scratch.table(posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
                           .select("word", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
@@ -233,7 +253,7 @@ def _repeated_classes(docs: DataFrame, counts, firsts: DataFrame, scratch: Scrat
     # whole block pairs, dealt to tasks' groups of about TASK_ROWS rows: as many as the postings need
     groups = int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TASK_ROWS + 1
     dealt = paired.withColumn("g", F.pmod(F.hash("word", "lo", "hi"), F.lit(groups)))
-    schema = "c1 bigint, sig bigint, size bigint, c12 bigint, sig2 bigint, size2 bigint, apart bigint, more boolean"
+    schema = ", ".join(f"{c} bigint" for c in [*CLASS, *EARLIER, "apart"]) + ", more boolean"
     done, still = None, None
     while True:
         found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
@@ -272,7 +292,9 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     # COUNT_CELLS rows at most, whatever the data
     told = both.where("n > 0").groupBy("line").agg(F.sum("n").alias("n")).toPandas()
     counts[told["line"].to_numpy()] = told["n"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    ranks = np.empty(COUNT_CELLS, np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_CELLS, dtype=np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
     firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
     gone = _repeated_classes(named, shared, firsts, scratch, min_jaccard, partners)
     judged = scratch.table(firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left"))
