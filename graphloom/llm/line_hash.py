@@ -43,7 +43,8 @@ def line_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 if len(out["h"]) > 50_000:
                     yield pd.DataFrame(out)
                     out = {c: [] for c in out}
-            yield pd.DataFrame(out)
+            if out["h"]:
+                yield pd.DataFrame(out)
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
@@ -96,20 +97,15 @@ def without_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     rows = docs.withColumn(h, F.xxhash64(text))
     joined = rows.join(cuts, rows[key].eqNullSafe(cuts[k]) & (rows[h] == cuts[h]), "left")
 
-    @F.pandas_udf("array<struct<start:bigint,end:bigint>>")
-    def stay(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        def one(t, cut):
-            if t is None:
-                return None
-            out, at = [], 0
-            for c in cut if cut is not None else ():
-                if c["start"] > at:
-                    out.append({"start": at, "end": c["start"]})
-                at = min(c["end"] + 1, len(t))  # with its line feed
-            return [*out, {"start": at, "end": len(t)}] if at < len(t) else out
-
-        return pd.Series([one(t, c) for t, c in zip(texts, lists)])
-
-    parts = joined.select(*[rows[c] for c in docs.columns], stay(rows[text], cuts[gone]).alias(kept))
+    spans_out = F.coalesce(cuts[gone], F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    whole = F.char_length(rows[text]).cast("bigint")
+    zero = F.array(F.lit(0).cast("bigint"))
+    # a part begins behind a span and its line feed, and ends before the next span
+    begins = F.concat(zero, F.transform(spans_out, lambda c: F.least(c["end"] + 1, whole)))
+    ends = F.concat(F.transform(spans_out, lambda c: c["start"]), F.array(whole))
+    parts_kept = F.filter(F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("start"), e.alias("end"))), lambda s: s["end"] > s["start"])
+    stay = F.when(rows[text].isNotNull(), parts_kept)
+
+    parts = joined.select(*[rows[c] for c in docs.columns], stay.alias(kept))
     pieces = F.transform(kept, lambda s: F.substring(F.col(text), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")))
     return parts.withColumn(text, F.array_join(pieces, ""))

@@ -45,7 +45,8 @@ def _whole(rows: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
                     if (np.abs(x) >= 2.0 ** 53).any():
                         raise OverflowError(f"vector {i}: components must stay below 2**53 in units of 1/{scale}")
                     out.append((i, len(x), x.astype("<i8").tobytes()))
-            yield pd.DataFrame(out, columns=["id", "dim", "vec"])
+            if out:
+                yield pd.DataFrame(out, columns=["id", "dim", "vec"])
 
     return rows.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("v")).mapInPandas(
         run, "id bigint, dim int, vec binary")
@@ -65,7 +66,8 @@ def _ranges(whole: DataFrame) -> DataFrame:
                 x = _matrix(some["vec"])
                 lo, hi = seen.get(dim, (np.inf, -np.inf))
                 seen[dim] = (min(lo, x.min()), max(hi, x.max()))
-        yield pd.DataFrame([(d, float(lo), float(hi)) for d, (lo, hi) in seen.items()], columns=["dim", "lo", "hi"])
+        if seen:
+            yield pd.DataFrame([(d, float(lo), float(hi)) for d, (lo, hi) in seen.items()], columns=["dim", "lo", "hi"])
 
     found = whole.mapInPandas(run, "dim int, lo double, hi double")
     return found.groupBy("dim").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
