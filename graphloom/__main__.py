@@ -95,8 +95,9 @@ def run_report(spark: SparkSession, args) -> dict:
     for kind in ("jobs", "stages", "executors"):
         try:  # any file system: let Spark resolve the glob; a kind may be missing
             frames[kind] = read_records(spark, args.runs, kind)
-        except AnalysisException:
-            pass
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
     present = set(frames)
     summary = run_summary(**frames)
     write_report(summary, args.output)

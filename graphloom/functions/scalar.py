@@ -1,8 +1,8 @@
 """Scalar column functions.
 
 Run-metric times look like ``2024-06-29T23:15:32.889GMT`` (Spark's REST format):
-they are read by turning the ``GMT`` suffix into ``Z`` and casting, and written with
-a fixed pattern in the session time zone (UTC in tests and benchmarks).
+they are read by turning the ``GMT`` suffix into ``Z`` and casting, and written from the
+milliseconds since 1970, so neither depends on the session time zone.
 """
 
 from __future__ import annotations
@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed value: the REST API time layout
-REST_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'GMT'"
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -23,12 +19,19 @@ def parse_rest_time(c) -> Column:
 
 
 def rest_time_string(c) -> Column:
-    return F.date_format(_col(c), REST_TIME_PATTERN)
+    """A timestamp as a REST time, in UTC whatever the session time zone."""
+    ms = F.unix_millis(_col(c).cast("timestamp"))
+    seconds = F.floor(ms / F.lit(1000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    text = utc.cast("string")
+    millis = F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("GMT"))
 
 
 def duration_ms(start, end) -> Column:
     """Milliseconds from ``start`` to ``end``; NULL when either is missing."""
-    return F.timestamp_diff("MILLISECOND", _col(start), _col(end))
+    return F.unix_millis(_col(end)) - F.unix_millis(_col(start))
 
 
 def json_long_or_zero(c, field: str) -> Column:

@@ -8,8 +8,9 @@ NULL); the run id is the folder name, taken from the file path metadata.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 JOBS_SCHEMA = (
     "jobId INT, name STRING, submissionTime STRING, completionTime STRING, "
@@ -75,18 +76,26 @@ def read_records(spark: SparkSession, runs_glob: str, kind: str) -> DataFrame:
 # and the events of one type of one user form one job.
 
 
+def utc_time(frame: DataFrame, column: str = "ts") -> Column:
+    """A time column as a timestamp: one without time zone is read as UTC, whatever the session's."""
+    if isinstance(frame.schema[column].dataType, TimestampNTZType):
+        return F.to_timestamp(F.concat(F.col(column).cast("string"), F.lit("Z")))
+    return F.col(column).cast("timestamp")
+
+
 def stages_from_events(events: DataFrame) -> DataFrame:
     from graphloom.functions.scalar import json_long_or_zero, rest_time_string
 
     run_ms = F.round(F.col("value") * 1000).cast("bigint")
-    end = F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")) + run_ms)
+    start = utc_time(events)
+    end = F.timestamp_millis(F.unix_millis(start) + run_ms)
     return events.select(
         F.col("user_id").alias("app_id"),
         F.col("event_id").alias("stageId"),
         F.col("event_type").alias("name"),
         F.when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("COMPLETE")).alias("status"),
         json_long_or_zero("props", "k").alias("numTasks"),
-        rest_time_string("ts").alias("submissionTime"),
+        rest_time_string(start).alias("submissionTime"),
         rest_time_string(end).alias("completionTime"),
         run_ms.alias("executorRunTime"),
     )
@@ -95,10 +104,11 @@ def stages_from_events(events: DataFrame) -> DataFrame:
 def jobs_from_events(events: DataFrame) -> DataFrame:
     from graphloom.functions.scalar import rest_time_string
 
+    start = utc_time(events)
     return events.groupBy("user_id", "event_type").agg(
         F.min("event_id").alias("jobId"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
+        F.min(start).alias("first_ts"),
+        F.max(start).alias("last_ts"),
         F.count(F.lit(1)).alias("numTasks"),
     ).select(
         F.col("user_id").alias("app_id"),

@@ -22,16 +22,23 @@ EDGE_SCHEMA = StructType([
 def read_edges(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Scan an edge-list file or folder with the CSV reader.
 
-    ``strict=True`` (FAILFAST) rejects lines with a missing or an extra field and
+    ``strict=True`` (FAILFAST) rejects lines with a missing, an empty or an extra field and
     non-numeric fields; blank lines are skipped.
     """
-    return (
+    edges = (
         spark.read.schema(EDGE_SCHEMA)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(path)
     )
+    if not strict:
+        return edges
+    # the CSV reader takes an empty field as NULL: fail on it, so that no edge is lost
+    return edges.select(*[
+        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"edge line with an empty {c} field")))
+        .otherwise(F.col(c)).cast(edges.schema[c].dataType).alias(c) for c in edges.columns
+    ])
 
 
 def parse_edge_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -53,10 +60,15 @@ def parse_edge_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+# the whole line: an id, a colon, a bracketed list of ids that may be empty
+ADJACENCY_LINE = r"^\s*[+-]?\d+\s*:\s*\[\s*([+-]?\d+\s*(,\s*[+-]?\d+\s*)*)?\]\s*$"
+
+
 def parse_adjacency_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse ``id: [a, b, ...]`` text into ``id BIGINT, out ARRAY<BIGINT>``.
 
-    Blank lines are skipped; a line without ``:`` or with a malformed list fails.
+    Blank lines are skipped; a line of any other form, a list entry that is no number
+    included, fails.
     """
     value = F.col(column)
     # every failing expression is guarded by the blank test itself: the optimizer may
@@ -69,7 +81,7 @@ def parse_adjacency_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         F.when(blank, F.lit(None))
         .when(F.instr(value, ":") == 0,
               F.raise_error(F.concat(F.lit("adjacency line without ':': "), value)))
-        .when(parsed.isNull(),
+        .when(~value.rlike(ADJACENCY_LINE) | parsed.isNull(),
               F.raise_error(F.concat(F.lit("malformed adjacency list: "), value)))
         .otherwise(parsed)
     )
