@@ -10,7 +10,7 @@ Jaccard similarity ``MIN_JACCARD`` or more.
 
 One verified earlier partner settles a class. So each class names a few of its earliest and nearest
 partners in a group, the nearest of all is verified first, and the others only where that one fails. A class
-that had more partners and none verified is taken up again with four times as many, until none is left.
+that had more partners and none verified is taken up again, with all its partners.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ from graphloom.llm.common import Scratch, fresh_name
 MIN_JACCARD = 0.8
 # cells of the word count table; most postings of one block of a prefix word's group; postings that
 # go to a task together
-COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 4096, 100_000
+COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 1024, 100_000
 # words and lines handled at once in a Python worker: bounds its memory (a line's number takes 18 bits)
 BATCH_WORDS, BATCH_LINES = 500_000, 200_000
+# candidate pairs compared at once
+PAIRS = 500_000
 # partners named by a class in one group at first, half of them earliest, half nearest
 PARTNERS = 8
 # hashes of words, and classes already handed on, that a Python worker remembers
@@ -157,9 +159,9 @@ def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, prefix array<int>")
 
 
-def _partners(min_jaccard: float, limit: int):
+def _partners(min_jaccard: float, limit: int | None):
     """Within the block pairs of a group of prefix words: each class's earlier partners that pass the
-    filters; ``more`` where a class has others besides those named."""
+    filters, for open classes; ``more`` where a class has others besides those named (``limit`` None: all)."""
     factor = min_jaccard / (1 + min_jaccard)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -180,10 +182,13 @@ def _partners(min_jaccard: float, limit: int):
         wide = int(size.max(initial=0)) + 1
         low = np.searchsorted(cell * wide + size, cell * wide + np.ceil(min_jaccard * size - 1e-9).astype(np.int64))
         many = np.maximum(np.arange(n) - low, 0)
-        upto, at = np.cumsum(many), 0
-        later, earlier, apart = [], [], []
+        open_ = col["open"].astype(bool)
+        # whole cells at a time, of about PAIRS candidate pairs: a cell has 2 * GROUP_ROWS rows at most
+        ends = np.append(np.nonzero(cell[1:] != cell[:-1])[0] + 1, n)
+        upto, at, out = np.cumsum(many), 0, []
         while at < n:
-            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 2_000_000, side="right")))
+            reach = np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")
+            end = max(ends[np.searchsorted(ends, at, side="right")], ends[max(np.searchsorted(ends, reach, side="right") - 1, 0)])
             i = np.repeat(np.arange(at, end), many[at:end])
             j = np.arange(len(i)) - np.repeat(np.cumsum(many[at:end]) - many[at:end], many[at:end]) + low[i]
             at = end
@@ -193,19 +198,26 @@ def _partners(min_jaccard: float, limit: int):
             ok = (bits <= both - 2 * need) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need)
             # pairs inside one of two blocks meet elsewhere
             ok &= (col["lo"][i] == col["hi"][i]) | (block[i] != block[j])
-            i, j = i[ok], j[ok]
+            i, j, apart = i[ok], j[ok], bits[ok]
             flip = rank[i] < rank[j]
-            later.append(np.where(flip, j, i)), earlier.append(np.where(flip, i, j)), apart.append(bits[ok])
-        l, e, apart = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (later, earlier, apart))
-        order = np.lexsort((rank[e], l))
-        l, e, apart = l[order], e[order], apart[order]
-        first = np.arange(len(l)) - np.searchsorted(l, l)  # nth earliest of its class here
-        close = np.empty(len(l), np.int64)
-        close[np.lexsort((rank[e], apart, l))] = first
-        more = np.bincount(l, minlength=1)[l] > limit if len(l) else np.empty(0, bool)
-        take = ~more | (first < limit // 2) | (close < limit // 2)
-        out = {c: col[c][l[take]] for c in CLASS} | {f"{c}2": col[c][e[take]] for c in CLASS}
-        return pd.DataFrame({**out, "apart": apart[take], "more": more[take]}).drop_duplicates()
+            l, e = np.where(flip, j, i), np.where(flip, i, j)
+            l, e, apart = l[open_[l]], e[open_[l]], apart[open_[l]]
+            if not len(l):
+                continue
+            order = np.lexsort((rank[e], l))
+            l, e, apart = l[order], e[order], apart[order]
+            more = np.zeros(len(l), bool)
+            if limit is not None:
+                first = np.arange(len(l)) - np.searchsorted(l, l)  # nth earliest of its class here
+                close = np.empty(len(l), np.int64)
+                close[np.lexsort((rank[e], apart, l))] = first
+                more = np.bincount(l)[l] > limit
+                take = ~more | (first < limit // 2) | (close < limit // 2)
+                l, e, apart, more = l[take], e[take], apart[take], more[take]
+            out.append((l, e, apart, more))
+        l, e, apart, more = (np.concatenate(x) for x in zip(*out)) if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
+        found = {c: col[c][l] for c in CLASS} | {f"{c}2": col[c][e] for c in CLASS}
+        return pd.DataFrame({**found, "apart": apart, "more": more}).drop_duplicates()
 
     return run
 
@@ -241,36 +253,45 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scr
 
 def _repeated_classes(docs: DataFrame, ranks, firsts: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
     """The classes that have an earlier similar class."""
-    lines = scratch.table(_prefixes(docs, ranks, min_jaccard))
-    posts = lines.select("doc", "line", *CLASS, F.posexplode("prefix").alias("pos", "word"))
+    lines = scratch.table(_prefixes(docs, ranks, min_jaccard).withColumn("open", F.lit(True)))
+    pairs = _named_partners(lines, None, scratch, min_jaccard, limit)
+    nearest = pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n")).select(*CLASS, *[f"n.{c}" for c in EARLIER])
+    hits = _verified(nearest, docs, firsts, scratch, min_jaccard)
+    rest = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
+    hits = scratch.table(hits.unionByName(_verified(rest, docs, firsts, scratch, min_jaccard)).distinct())
+    still = scratch.table(pairs.where("more").select(*CLASS).distinct().join(hits, CLASS, "left_anti"))
+    scratch.drop(pairs, rest)
+    if not still.isEmpty():
+        # all partners of the classes still open; only groups of their words are met again
+        again = lines.drop("open").join(still.withColumn("open", F.lit(True)), CLASS, "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        words = again.where("open").select(F.explode("prefix").alias("word")).distinct()
+        pairs = _named_partners(again, words, scratch, min_jaccard, None)
+        hits = scratch.table(hits.unionByName(_verified(pairs, docs, firsts, scratch, min_jaccard)))
+        scratch.drop(pairs)
+    scratch.drop(lines)
+    return hits
+
+
+def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
+    """Distinct pairs of classes that pass the filters in the groups of prefix words (of ``words`` only, if given)."""
+    posts = lines.select("doc", "line", "open", *CLASS, F.posexplode("prefix").alias("pos", "word"))
+    if words is not None:
+        posts = posts.join(words, "word", "left_semi")
     heavy = scratch.table(posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
                           .select("word", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
     cut = posts.join(heavy, "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     cut = cut.withColumn("block", F.pmod(F.hash("c1", "sig"), "cuts"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     paired = paired.select("word", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                           "doc", "line", "pos", *CLASS)
+                           "doc", "line", "pos", "open", *CLASS)
     # whole block pairs, dealt to tasks' groups of about TASK_ROWS rows: as many as the postings need
     groups = int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TASK_ROWS + 1
     dealt = paired.withColumn("g", F.pmod(F.hash("word", "lo", "hi"), F.lit(groups)))
     schema = ", ".join(f"{c} bigint" for c in [*CLASS, *EARLIER, "apart"]) + ", more boolean"
-    done, still = None, None
-    while True:
-        found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
-        if still is not None:  # only classes that are still open
-            found = found.join(still, CLASS, "left_semi")
-        pairs = scratch.table(found.groupBy(*CLASS, *EARLIER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
-        nearest = pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n")).select(*CLASS, *[f"n.{c}" for c in EARLIER])
-        hits = _verified(nearest, docs, firsts, scratch, min_jaccard)
-        rest = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
-        hits = scratch.table(hits.unionByName(_verified(rest, docs, firsts, scratch, min_jaccard)).distinct())
-        done = hits if done is None else scratch.table(done.unionByName(hits))
-        still = scratch.table(pairs.where("more").select(*CLASS).distinct().join(hits, CLASS, "left_anti"))
-        scratch.drop(pairs, rest)
-        if still.isEmpty():
-            scratch.drop(lines, heavy)
-            return done
-        limit *= 4
+    found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
+    pairs = scratch.table(found.groupBy(*CLASS, *EARLIER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
+    scratch.drop(heavy)
+    return pairs
 
 
 def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_jaccard: float = MIN_JACCARD,
