@@ -64,8 +64,9 @@ class _Block:
     """The lines with words of some documents, as columns: one entry per line, and the distinct words of all
     lines one after another as ``hashes``."""
 
-    def __init__(self, docs: list, hs: list, lines: list, sizes: list, words: list):
+    def __init__(self, docs: list, hs: list, lines: list, heads: list, sizes: list, words: list):
         self.doc, self.h, self.line, self.size = (np.array(v, np.int64) for v in (docs, hs, lines, sizes))
+        self.head = np.array(heads, bool)
         if len(_hashes) > REMEMBERED:
             _hashes.clear()
         self.hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
@@ -80,25 +81,27 @@ class _Block:
         self.sag = np.bitwise_xor.reduceat(np.where(half, 0, bits), self.starts).view(np.int64)
 
     def frame(self) -> pd.DataFrame:
-        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", *CLASS)})
+        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", *CLASS, "head")})
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
     """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words."""
-    lists: tuple[list, ...] = ([], [], [], [], [])
-    docs, hs, lines, sizes, words = lists
+    lists: tuple[list, ...] = ([], [], [], [], [], [])
+    docs, hs, lines, heads, sizes, words = lists
     for part in batches:
         for doc, h, text in zip(part["doc"].tolist(), part["h"].tolist(), part["text"]):
             if text is None:
                 continue
+            head = True  # a document's first line with words
             for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
                 found = set(line.split())
                 if found:
-                    docs.append(doc), hs.append(h), lines.append(i), sizes.append(len(found))
+                    docs.append(doc), hs.append(h), lines.append(i), heads.append(head), sizes.append(len(found))
                     words.extend(found)
+                    head = False
             if len(words) > BATCH_WORDS or len(sizes) > BATCH_LINES:
                 yield _Block(*lists)
-                lists = docs, hs, lines, sizes, words = [], [], [], [], []
+                lists = docs, hs, lines, heads, sizes, words = [], [], [], [], [], []
     if words:
         yield _Block(*lists)
 
@@ -109,10 +112,8 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.col(text).alias("text"))
 
 
-
-
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row ``doc, h, line`` and class per line with words, and rows ``(line = cell, n)`` of word counts."""
+    """One row ``doc, h, line``, class and ``head`` (first of its document) per line with words, and rows ``(line = cell, n)`` of word counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(COUNT_CELLS, np.int64)
@@ -120,9 +121,9 @@ def _lines(docs: DataFrame) -> DataFrame:
             cells += np.bincount(block.cells, minlength=COUNT_CELLS)
             yield block.frame().assign(n=0)
         used = np.nonzero(cells)[0]
-        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, **dict.fromkeys(CLASS, 0), "n": cells[used]})
+        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, **dict.fromkeys(CLASS, 0), "head": False, "n": cells[used]})
 
-    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, n bigint")
+    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, head boolean, n bigint")
 
 
 def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
@@ -145,18 +146,18 @@ def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
                 seen.clear()
             fresh = np.zeros(len(b.size), bool)
             names = zip(b.c1.tolist(), b.sig.tolist(), b.sag.tolist(), b.size.tolist())
-            for i, (name, place) in enumerate(zip(names, zip(b.doc.tolist(), b.line.tolist()))):
+            for i, (name, place) in enumerate(zip(names, zip(b.doc.tolist(), b.line.tolist(), b.h.tolist()))):
                 if name not in seen or place < seen[name]:
                     seen[name] = place
                     fresh[i] = True
             pos = np.arange(len(order)) - np.repeat(b.starts, b.size)
             words = order[(pos < np.repeat(length, b.size)) & np.repeat(fresh, b.size)].astype(np.uint32).view(np.int32)
             offsets = np.concatenate(([0], np.cumsum(length[fresh]))).astype(np.int32)
-            columns = [pa.array(getattr(b, c)[fresh]) for c in ("doc", "line", *CLASS)]
+            columns = [pa.array(getattr(b, c)[fresh]) for c in ("doc", "line", "h", *CLASS)]
             columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "line", *CLASS, "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "line", "h", *CLASS, "prefix"])
 
-    return docs.mapInArrow(run, "doc bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, prefix array<int>")
+    return docs.mapInArrow(run, "doc bigint, line bigint, h bigint, c1 bigint, sig bigint, sag bigint, size bigint, prefix array<int>")
 
 
 def _partners(min_jaccard: float, limit: int | None):
@@ -225,8 +226,8 @@ def _partners(min_jaccard: float, limit: int | None):
 def _similar(min_jaccard: float):
     @F.pandas_udf("boolean")
     def similar(one: pd.Series, other: pd.Series) -> pd.Series:
-        def words(line: str) -> set[bytes]:
-            return set(line.encode("utf-8", "surrogatepass").lower().split())
+        def words(line: bytes) -> set[bytes]:
+            return set(line.lower().split())
 
         def enough(a: set, b: set) -> bool:
             shared = len(a & b)
@@ -237,13 +238,27 @@ def _similar(min_jaccard: float):
     return similar
 
 
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of documents ``text`` with ``wants`` (line numbers and classes), each wanted line as ``t``; a text is cut once."""
+    for batch in batches:
+        wants = batch["wants"].flatten()
+        line, at, found = wants.field("line").to_numpy(), 0, []
+        for text, n in zip(batch["text"], batch["wants"].value_lengths().to_pylist()):
+            parts = text.as_buffer().to_pybytes().split(b"\n")
+            found.extend(parts[i] for i in line[at:at + n])
+            at += n
+        yield pa.RecordBatch.from_arrays([*[wants.field(c) for c in CLASS], pa.array(found, pa.binary())], names=[*CLASS, "t"])
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scratch, min_jaccard: float) -> DataFrame:
     """The later classes of those pairs whose word sets have Jaccard similarity ``min_jaccard`` or more."""
     wanted = pairs.select(*CLASS).unionByName(pairs.select(*[F.col(a).alias(c) for a, c in zip(EARLIER, CLASS)])).distinct()
     places = wanted.join(firsts, CLASS).select(*CLASS, "first.doc", "first.h", "first.line")
-    line = F.element_at(F.split("text", "\n", -1), (F.col("line") + 1).cast("int"))
+    # the lines wanted of one document, however many classes begin in it
+    by_doc = places.groupBy("doc", "h").agg(F.collect_list(F.struct("line", *CLASS)).alias("wants"))
+    told = docs.join(by_doc, ["doc", "h"]).select("text", "wants")
     # rows that agree in key and text are one document: its lines are read from one of them
-    sets = scratch.table(docs.join(places, ["doc", "h"]).select(*CLASS, line.alias("t")).dropDuplicates(CLASS))
+    sets = scratch.table(told.mapInArrow(_picked, ", ".join(f"{c} bigint" for c in CLASS) + ", t binary").dropDuplicates(CLASS))
     other = sets.select(*[F.col(c).alias(a) for a, c in zip(EARLIER, CLASS)], F.col("t").alias("t2"))
     both = pairs.select(*CLASS, *EARLIER).join(sets, CLASS).join(other, EARLIER)
     out = scratch.table(both.where(_similar(min_jaccard)("t", "t2")).select(*CLASS).distinct())
@@ -251,10 +266,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scr
     return out
 
 
-def _repeated_classes(docs: DataFrame, ranks, firsts: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> DataFrame:
-    """The classes that have an earlier similar class."""
+def _repeated_classes(docs: DataFrame, ranks, scratch: Scratch, min_jaccard: float, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Each class with its first place, and the classes that have an earlier similar class."""
     lines = scratch.table(_prefixes(docs, ranks, min_jaccard).withColumn("open", F.lit(True)))
     pairs = _named_partners(lines, None, scratch, min_jaccard, limit)
+    # a worker hands on the earliest place of a class that it meets, so the first of all is among these rows
+    firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
     nearest = pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n")).select(*CLASS, *[f"n.{c}" for c in EARLIER])
     hits = _verified(nearest, docs, firsts, scratch, min_jaccard)
     rest = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
@@ -269,7 +286,7 @@ def _repeated_classes(docs: DataFrame, ranks, firsts: DataFrame, scratch: Scratc
         hits = scratch.table(hits.unionByName(_verified(pairs, docs, firsts, scratch, min_jaccard)))
         scratch.drop(pairs)
     scratch.drop(lines)
-    return hits
+    return firsts, hits
 
 
 def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
@@ -308,7 +325,7 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     named = _keyed(docs, key, text)
     both = scratch.table(_lines(named))
-    lines = both.where("n = 0").drop("n")
+    lines = both.where("n = 0").select("doc", "h", "line", *CLASS)
     counts = np.zeros(COUNT_CELLS, np.int64)
     # COUNT_CELLS rows at most, whatever the data
     told = both.where("n > 0").groupBy("line").agg(F.sum("n").alias("n")).toPandas()
@@ -316,11 +333,13 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     ranks = np.empty(COUNT_CELLS, np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_CELLS, dtype=np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
-    gone = _repeated_classes(named, shared, firsts, scratch, min_jaccard, partners)
+    firsts, gone = _repeated_classes(named, shared, scratch, min_jaccard, partners)
     judged = scratch.table(firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left"))
+    # only documents that stand in several rows give a line twice
+    again = scratch.table(both.where("head").groupBy("doc", "h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
+    once = lines.join(again, ["doc", "h"], "left_anti").unionByName(lines.join(again, ["doc", "h"], "left_semi").distinct())
     own = F.col("gone").isNull() & (F.struct("doc", "line", "h") == F.col("first"))
-    return (lines.distinct().join(judged, CLASS)
+    return (once.join(judged, CLASS)
             .select("doc", "h", "line", F.col("first.doc").alias("class_doc"), F.col("first.line").alias("class_line"), own.alias("kept")))
 
 
