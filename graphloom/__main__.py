@@ -69,20 +69,15 @@ def run_pagerank(spark: SparkSession, args) -> dict:
 
 
 def run_links(spark: SparkSession, args) -> dict:
-    from graphloom.operators.graph import complete_vertices
-    from graphloom.sources.generator import link_table
+    from graphloom.sources.generator import link_lists
     from graphloom.sources.sinks import write_adjacency
+    from graphloom.sources.text import read_adjacency
 
     nodes = spark.range(args.nodes).select(F.col("id"))
-    links = link_table(nodes, seed=args.seed, max_links=args.max_links)
-    # every node keeps a line, "id: []" when all its draws were itself
-    listed = complete_vertices(links).unionByName(
-        nodes.join(links.select(F.col("src").alias("id")), "id", "left_anti")
-        .join(links.select(F.col("dst").alias("id")), "id", "left_anti")
-        .select("id", F.array().cast("array<bigint>").alias("out"))
-    )
-    write_adjacency(listed, args.output)
-    return {"nodes": args.nodes, "links": links.count()}
+    write_adjacency(link_lists(nodes, seed=args.seed, max_links=args.max_links), args.output)
+    # counted in what was written, so that the links are drawn once
+    links = read_adjacency(spark, args.output).agg(F.sum(F.size("out"))).first()[0]
+    return {"nodes": args.nodes, "links": links or 0}
 
 
 def run_report(spark: SparkSession, args) -> dict:

@@ -22,7 +22,7 @@ from graphloom.operators.runmetrics import run_summary, with_durations
 from graphloom.plans.layout import prepare_graph
 from graphloom.plans.pagerank import pagerank
 from graphloom.plans.sssp import distance_to, shortest_paths
-from graphloom.sources.generator import link_table
+from graphloom.sources.generator import link_lists, link_table
 from graphloom.sources.runlogs import jobs_from_events, stages_from_events
 from graphloom.sources.sinks import render_adjacency, render_ranks
 from graphloom.sources.tables import g_events, g_href, g_orders, table
@@ -40,6 +40,9 @@ TOP_K = 20
 LINK_SEED = 42
 # rounds unrolled by the shortest-path oracle (the Spark side runs to its fixed point)
 SSSP_ORACLE_ROUNDS = 40
+# adjacency chunk, and salt bucket of the forced variants: short, so that lists and hot keys really split
+LIST_LEN = 3
+SMALL_BUCKET = 4
 INF = float("inf")
 
 
@@ -61,7 +64,7 @@ def q_edge_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders_adjacency_lines(spark: SparkSession, sf: str) -> DataFrame:
     g = g_orders(spark, sf).select("src", "dst")
-    return render_adjacency(gops.complete_vertices(g))
+    return render_adjacency(gops.complete_vertices(g, LIST_LEN))
 
 
 def q_adjacency_render(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +77,7 @@ def q_adjacency_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_adjacency_build(spark: SparkSession, sf: str) -> DataFrame:
-    return gops.adjacency_weighted(g_orders(spark, sf))
+    return gops.adjacency_weighted(g_orders(spark, sf), LIST_LEN)
 
 
 def q_adjacency_explode(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,7 +95,7 @@ def q_sink_vertices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_vertex_complete(spark: SparkSession, sf: str) -> DataFrame:
-    return gops.complete_vertices(g_href(spark, sf))
+    return gops.complete_vertices(g_href(spark, sf), LIST_LEN)
 
 
 def q_known_targets(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,6 +163,13 @@ def q_sssp_rounds(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_sssp_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """Shortest paths with every source of more than ``SMALL_BUCKET`` targets split."""
+    layout = prepare_graph(g_orders(spark, sf), bucket_size=SMALL_BUCKET)
+    source = layout.vertices.where(F.col("deg") > 0).agg(F.min("id")).first()[0]
+    return xops.finite_or_null(shortest_paths(layout, source).distances)
+
+
 # ---------------------------------------------------------------- PageRank steps
 
 def href_round_parts(spark: SparkSession, sf: str):
@@ -220,6 +230,12 @@ def q_pagerank(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(orders_converged(spark, sf).ranks, "rank")
 
 
+def q_pagerank_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """PageRank with every source of more than ``SMALL_BUCKET`` targets split."""
+    layout = prepare_graph(g_orders(spark, sf).select("src", "dst"), weight=None, bucket_size=SMALL_BUCKET)
+    return rounded(pagerank(layout, tol=PR_TOL, max_iter=PR_MAX_ITER).ranks, "rank")
+
+
 def q_pagerank_twice(spark: SparkSession, sf: str) -> DataFrame:
     g = g_orders(spark, sf).select("src", "dst")
     return rounded(pagerank(g, tol=None, max_iter=TWICE_ROUNDS, damping_mode="twice").ranks, "rank")
@@ -256,6 +272,11 @@ def q_link_table(spark: SparkSession, sf: str) -> DataFrame:
     return link_table(nodes, seed=LINK_SEED)
 
 
+def q_link_lists(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = table(spark, sf, "part").select(F.col("p_partkey").alias("id"))
+    return link_lists(nodes, seed=LINK_SEED)
+
+
 def q_log_durations(spark: SparkSession, sf: str) -> DataFrame:
     jobs = jobs_from_events(table(spark, sf, "events"))
     return with_durations(jobs).select("app_id", F.col("jobId").alias("job_id"), "duration_ms")
@@ -289,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp": q_sssp,
     "sssp_target": q_sssp_target,
     "sssp_rounds": q_sssp_rounds,
+    "sssp_salted": q_sssp_salted,
     "contributions": q_contributions,
     "dead_end_mass": q_dead_end_mass,
     "rank_outer_fill": q_rank_outer_fill,
@@ -296,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_fixed": q_pagerank_fixed,
     "pagerank_sources_only": q_pagerank_sources_only,
     "pagerank": q_pagerank,
+    "pagerank_salted": q_pagerank_salted,
     "pagerank_twice": q_pagerank_twice,
     "pagerank_history": q_pagerank_history,
     "pagerank_ordered": q_pagerank_ordered,
@@ -303,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_extremes": q_rank_extremes,
     "rank_render": q_rank_render,
     "link_table": q_link_table,
+    "link_lists": q_link_lists,
     "log_durations": q_log_durations,
     "json_default": q_json_default,
     "run_summary": q_run_summary,
@@ -311,7 +335,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # ================================================================= oracle SQL
 
-ADJ_LISTS = "lists AS (SELECT src AS id, list_sort(list(dst)) AS out FROM g GROUP BY src)"
+
+
+def adj_chunks(spread: str, value: str, order: str) -> str:
+    """Common table expressions ``chunks``: the entries of ``g`` with the chunk each belongs to."""
+    return (
+        f"nb AS (SELECT src, CAST(ceil(count(DISTINCT {value}) / CAST({LIST_LEN} AS DOUBLE)) AS BIGINT) AS buckets FROM g GROUP BY src),\n"
+        f"dealt AS (SELECT g.*, buckets, CAST('0x' || substr(md5({spread}), 1, 8) AS BIGINT) % buckets AS bucket "
+        f"FROM g JOIN nb ON g.src = nb.src),\n"
+        f"chunks AS (SELECT *, ((row_number() OVER (PARTITION BY src, bucket ORDER BY {order}) - 1) // {LIST_LEN}) * buckets "
+        f"+ bucket AS chunk FROM dealt)"
+    )
+
+
+ADJ_LISTS = (
+    adj_chunks("CAST(dst AS VARCHAR)", "dst", "dst")
+    + ",\nlists AS (SELECT src AS id, chunk, list_sort(list(dst)) AS out FROM chunks GROUP BY src, chunk)"
+)
+ADJ_WEIGHTED = adj_chunks(
+    "CAST(dst AS VARCHAR) || ',' || coalesce(CAST(TRY_CAST(weight AS DECIMAL(38,6)) AS VARCHAR), '')",
+    "(dst, weight)", "dst, weight",
+)
 INIT_MIN_IN = (
     "d0 AS (SELECT v.id, coalesce(m.w, CAST('inf' AS DOUBLE)) AS dist FROM v "
     "LEFT JOIN (SELECT dst, min(weight) AS w FROM g GROUP BY dst) m ON v.id = m.dst)",
@@ -356,19 +400,19 @@ def _oracle() -> dict[str, str]:
     return {
         "edge_parse": w("g_orders") + "SELECT src, dst, weight FROM g",
         "adjacency_render": w("g_orders", ADJ_LISTS, sql.SINKS)
-        + "SELECT id, CAST(id AS VARCHAR) || ': [' || array_to_string(out, ', ') || ']' AS line FROM lists "
-        "UNION ALL SELECT id, CAST(id AS VARCHAR) || ': []' AS line FROM sinks",
+        + "SELECT id, chunk, CAST(id AS VARCHAR) || ': [' || array_to_string(out, ', ') || ']' AS line FROM lists "
+        "UNION ALL SELECT id, CAST(0 AS BIGINT) AS chunk, CAST(id AS VARCHAR) || ': []' AS line FROM sinks",
         "adjacency_parse": w("g_orders", ADJ_LISTS, sql.SINKS)
         + "SELECT id, out FROM lists UNION ALL SELECT id, CAST([] AS BIGINT[]) AS out FROM sinks",
-        "adjacency_build": w("g_orders")
-        + "SELECT src AS id, list(dst ORDER BY dst, weight) AS out_dst, "
-        "list(weight ORDER BY dst, weight) AS out_weight FROM g GROUP BY src",
+        "adjacency_build": w("g_orders", ADJ_WEIGHTED)
+        + "SELECT src AS id, chunk, list(dst ORDER BY dst, weight) AS out_dst, "
+        "list(weight ORDER BY dst, weight) AS out_weight FROM chunks GROUP BY src, chunk",
         "adjacency_explode": w("g_orders", sql.SINKS)
         + "SELECT src, dst FROM g UNION ALL SELECT id AS src, CAST(NULL AS BIGINT) AS dst FROM sinks",
         "vertex_set": w("g_href") + "SELECT src AS id FROM g UNION SELECT dst AS id FROM g",
         "sink_vertices": w("g_orders", sql.SINKS) + "SELECT id FROM sinks",
         "vertex_complete": w("g_href", ADJ_LISTS, sql.SINKS)
-        + "SELECT id, out FROM lists UNION ALL SELECT id, CAST([] AS VARCHAR[]) AS out FROM sinks",
+        + "SELECT id, chunk, out FROM lists UNION ALL SELECT id, CAST(0 AS BIGINT) AS chunk, CAST([] AS VARCHAR[]) AS out FROM sinks",
         "known_targets": w("g_orders") + "SELECT src, dst, weight FROM g WHERE dst IN (SELECT src FROM g)",
         "out_degree": w("g_href")
         + "SELECT id, CAST(sum(one) AS BIGINT) AS out_degree FROM "
@@ -387,6 +431,7 @@ def _oracle() -> dict[str, str]:
         "coalesce(bool_and(a.dist = b.dist), true) AS unchanged FROM d0 a JOIN d1 b ON a.id = b.id",
         "sssp": sql.sssp_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "sssp_target": sql.sssp_target_sql("g_orders", SSSP_ORACLE_ROUNDS),
+        "sssp_salted": sql.sssp_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "sssp_rounds": sql.sssp_rounds_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "contributions": w("g_href", *HREF_STEP) + f"SELECT id, {_r('contrib')} AS contrib FROM contrib",
         "dead_end_mass": w("g_href", *HREF_STEP) + f"SELECT num_dead_ends, {_r('mass')} AS mass FROM dead",
@@ -400,6 +445,7 @@ def _oracle() -> dict[str, str]:
         "pagerank_fixed": pr("g_events", FIXED_ROUNDS),
         "pagerank_sources_only": pr("g_orders", FIXED_ROUNDS, vertices="sources"),
         "pagerank": pr("g_orders", PR_MAX_ITER, tol=PR_TOL),
+        "pagerank_salted": pr("g_orders", PR_MAX_ITER, tol=PR_TOL),
         "pagerank_twice": pr("g_orders", TWICE_ROUNDS, mode="twice"),
         "pagerank_history": sql.pagerank_history_sql("g_events", FIXED_ROUNDS),
         "pagerank_ordered": pr("g_events", PR_MAX_ITER, tol=PR_TOL, select=final_pos),
@@ -411,7 +457,10 @@ def _oracle() -> dict[str, str]:
             f"{_r('min(rank)')} AS min_rank FROM final",
         ),
         "rank_render": pr("g_events", FIXED_ROUNDS, select="SELECT id, printf('Node %d: %.6f', id, rank) AS line FROM final"),
-        "link_table": link_table_sql(LINK_SEED),
+        "link_table": link_table_sql(LINK_SEED) + "SELECT src, dst FROM links",
+        "link_lists": link_table_sql(LINK_SEED)
+        + "SELECT nodes.id, CAST(0 AS BIGINT) AS chunk, coalesce(list_sort(list(dst) FILTER (WHERE dst IS NOT NULL)), []) AS out "
+        "FROM nodes LEFT JOIN links ON nodes.id = links.src GROUP BY nodes.id",
         "log_durations": f"WITH {EVENT_JOBS}\nSELECT app_id, job_id, "
         f"CAST(datediff('millisecond', {_ms('st')}, {_ms('ct')}) AS BIGINT) AS duration_ms FROM jobs",
         "json_default": "SELECT event_id, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k, "
@@ -433,11 +482,11 @@ def link_table_sql(seed: int) -> str:
         "WITH nodes AS (SELECT DISTINCT p_partkey AS id FROM part),\n"
         "ix AS (SELECT row_number() OVER (ORDER BY id) - 1 AS idx, id FROM nodes),\n"
         "nn AS (SELECT count(*) AS n FROM ix),\n"
-        f"slots AS (SELECT ix.idx AS src_idx, ix.id AS src, unnest(range(0, 1 + ({draw('ix.idx', '0', gen.COUNT_SALT)}) "
-        f"% least(10, (SELECT n FROM nn) - 1))) AS slot FROM ix),\n"
-        f"picks AS (SELECT src, ({draw('src_idx', 'slot', 1)}) % (SELECT n FROM nn) AS idx FROM slots)\n"
-        "SELECT DISTINCT picks.src AS src, ix.id AS dst FROM picks JOIN ix ON picks.idx = ix.idx "
-        "WHERE picks.src <> ix.id"
+        f"ks AS (SELECT idx, id, 1 + ({draw('idx', '0', gen.COUNT_SALT)}) % least(10, (SELECT n FROM nn) - 1) AS k FROM ix),\n"
+        "slots AS (SELECT idx AS src_idx, id AS src, k, unnest(range(0, k)) AS slot, (SELECT n FROM nn) AS n FROM ks),\n"
+        f"picks AS (SELECT src, slot * n // k + (({draw('src_idx', 'slot', gen.WIDE_SALT)}) * {gen.MODULUS} "
+        f"+ {draw('src_idx', 'slot', 1)}) % ((slot + 1) * n // k - slot * n // k) AS idx FROM slots),\n"
+        "links AS (SELECT picks.src AS src, ix.id AS dst FROM picks JOIN ix ON picks.idx = ix.idx WHERE picks.src <> ix.id)\n"
     )
 
 

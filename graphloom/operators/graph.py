@@ -3,37 +3,32 @@
 Each is one or two aggregations; ids may be BIGINT or STRING. Aggregations run
 partial (map-side) first, so a vertex holding a third of all edges costs one row per
 task before the shuffle. Adjacency lists are the one place where rows of a group are
-gathered into one value: lists are cut into chunks of bounded length, so a hot source
+gathered into one value: lists are cut into chunks of a fixed length, so a hot source
 becomes several rows (several ``id: [...]`` lines) instead of one unbounded array.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.session import shuffle_partitions
-
-# default longest adjacency chunk (list entries); raised to edges / partitions
+# default length of an adjacency chunk (list entries)
 MAX_LIST = 100_000
+# copies of one edge that one array expands to
+COPIES = 65_536
 
 
 def vertex_set(edges: DataFrame) -> DataFrame:
     """Sources and targets, each once (``id``)."""
-    return (
-        edges.select(F.col("src").alias("id"))
-        .union(edges.select(F.col("dst").alias("id")))
-        .distinct()
-    )
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def out_degree(edges: DataFrame, include_sinks: bool = True) -> DataFrame:
     """``id, out_degree``; duplicate edges count; sinks get 0 when ``include_sinks``."""
-    rows = edges.select(F.col("src").alias("id"), F.lit(1).alias("one"))
+    ends = [F.struct(F.col("src").alias("id"), F.lit(1).alias("one"))]
     if include_sinks:
-        rows = rows.union(edges.select(F.col("dst").alias("id"), F.lit(0).alias("one")))
+        ends.append(F.struct(F.col("dst").alias("id"), F.lit(0).alias("one")))
+    rows = edges.select(F.inline(F.array(*ends)))
     return rows.groupBy("id").agg(F.sum("one").cast("bigint").alias("out_degree"))
 
 
@@ -55,7 +50,11 @@ def known_targets(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     counted = edges.groupBy(*edges.columns).agg(F.count(F.lit(1)).alias("_n"))
     known = vertices.select("id").distinct()
     kept = salted_join(counted, known, "dst", "id", spread="src", how="left_semi")
-    return kept.select(*edges.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i")
+    # the copies of an edge come in blocks, so that no array grows with their number
+    last = F.floor((F.col("_n") - 1) / F.lit(COPIES)).cast("bigint")
+    blocks = kept.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    copies = F.least(F.lit(COPIES).cast("bigint"), F.col("_n") - F.col("_b") * F.lit(COPIES)).cast("int")
+    return blocks.select(*edges.columns, F.explode(F.array_repeat(F.lit(True), copies)).alias("_i")).drop("_i")
 
 
 def source_vertices(edges: DataFrame) -> DataFrame:
@@ -69,12 +68,12 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
     zero = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    loops = F.when(F.col("src") == F.col("dst"), F.col("mult")).otherwise(zero)
+    out = F.struct(F.col("src").alias("id"), F.col("mult").alias("deg"), one.alias("npairs"), loops.alias("nself"))
+    into = F.struct(F.col("dst").alias("id"), zero.alias("deg"), zero.alias("npairs"), zero.alias("nself"))
     per_vertex = (
-        pairs.select(
-            F.col("src").alias("id"), F.col("mult").alias("deg"), F.lit(1).cast("bigint").alias("npairs"),
-            F.when(F.col("src") == F.col("dst"), F.col("mult")).otherwise(zero).alias("nself"),
-        )
-        .union(pairs.select(F.col("dst").alias("id"), zero, zero, zero))
+        pairs.select(F.inline(F.array(out, into)))
         .groupBy("id")
         .agg(F.sum("deg").alias("deg"), F.sum("npairs").alias("npairs"), F.sum("nself").alias("nself"))
     )
@@ -88,77 +87,78 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     )
 
 
-def chunked_lists(edges: DataFrame, value: str = "dst", max_len: int = MAX_LIST,
-                  id_col: str = "id", out_col: str = "out") -> DataFrame:
-    """Gather ``value`` per ``src`` into sorted arrays of at most about ``bound`` entries.
+def list_bucket(spread: Column, buckets: Column) -> Column:
+    """Bucket of a list entry: the first 32 bits of the MD5 of its text, modulo ``buckets``."""
+    return F.pmod(F.conv(F.substring(F.md5(spread.cast("string")), 1, 8), 16, 10).cast("bigint"), buckets)
+
 
-    ``bound = max(max_len, entries / partitions)``; a source with more entries gets
-    ``ceil(entries / bound)`` rows. Duplicates are kept (as repeated entries). Hot
-    sources number at most ``partitions``, so their list is broadcast; when no source
-    exceeds the bound (one aggregate tells), lists are gathered directly.
+def chunked_lists(edges: DataFrame, value: str = "dst", max_len: int = MAX_LIST,
+                  id_col: str = "id", out_col: str = "out", spread: Column | None = None) -> DataFrame:
+    """Gather ``value`` per ``src`` into sorted arrays: ``id, chunk, out``, at most ``max_len`` entries a row.
+
+    A source with ``d`` distinct values deals them to ``ceil(d / max_len)`` buckets by a hash of ``spread``
+    (the value by default); the sorted entries of a bucket, repeats included, are cut every ``max_len``
+    entries. The ``i``-th cut of bucket ``b`` has the chunk number ``i * buckets + b``. The rows depend on
+    the edges and ``max_len`` alone. A window holds the distinct values of one bucket, about ``max_len``,
+    however hot the source and however often an edge repeats.
     """
+    size = F.lit(max_len).cast("bigint")
     counted = edges.groupBy("src", value).agg(F.count(F.lit(1)).alias("mult"))
-    totals = counted.groupBy("src").agg(F.sum("mult").alias("m"))
-    top = totals.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("total"),
-                     F.coalesce(F.max("m"), F.lit(0)).alias("largest")).first()
-    parts = shuffle_partitions(edges.sparkSession)
-    bound = max(max_len, math.ceil(int(top["total"]) / parts))
-    entry = F.struct(F.col(value).alias("v"), F.col("cnt").alias("c"))
-    if int(top["largest"]) <= bound:
-        grouped = counted.withColumnRenamed("mult", "cnt").groupBy("src").agg(
-            F.array_sort(F.collect_list(entry)).alias("entries")
-        )
-    else:
-        # split huge multiplicities into pieces of at most `bound` entries
-        pieces = counted.select(
-            "src", value, "mult",
-            F.explode(F.sequence(F.lit(0), F.ceil(F.col("mult") / F.lit(bound)).cast("int") - 1))
-            .alias("piece"),
-        ).select(
-            "src", value, "piece",
-            F.least(F.lit(bound).cast("bigint"), F.col("mult") - F.col("piece") * F.lit(bound))
-            .alias("cnt"),
-        )
-        hot = totals.where(F.col("m") > bound).select(
-            "src", F.ceil(F.col("m") / F.lit(bound)).cast("int").alias("nb")
-        )
-        chunked = pieces.join(F.broadcast(hot), "src", "left").select(
-            "src", value, "cnt",
-            F.when(F.col("nb").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64(value, "piece"), F.col("nb")).cast("int"))
-            .alias("chunk"),
-        )
-        grouped = chunked.groupBy("src", "chunk").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    # only sources of several buckets are listed, at most one per ``max_len`` distinct edges
+    hot = (
+        counted.groupBy("src").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > size)
+        .select("src", F.ceil(F.col("d") / size).cast("bigint").alias("buckets"))
+    )
+    one = F.lit(1).cast("bigint")
+    dealt = counted.join(hot, "src", "left")
+    dealt = dealt.withColumn("buckets", F.coalesce("buckets", one))
+    dealt = dealt.withColumn("bucket", F.when(F.col("buckets") == 1, F.lit(0).cast("bigint"))
+                             .otherwise(list_bucket(F.col(value) if spread is None else spread, F.col("buckets"))))
+    before = Window.partitionBy("src", "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt.withColumn("stop", F.sum("mult").over(before)).withColumn("start", F.col("stop") - F.col("mult"))
+    first = F.floor(F.col("start") / size).cast("bigint")
+    last = F.floor((F.col("stop") - 1) / size).cast("bigint")
+    cut = placed.withColumn("cut", F.explode(F.sequence(first, last)))
+    here = F.least(F.col("stop"), (F.col("cut") + 1) * size) - F.greatest(F.col("start"), F.col("cut") * size)
+    entry = F.struct(F.col(value).alias("v"), here.cast("int").alias("c"))
+    grouped = cut.groupBy("src", "bucket", "cut").agg(
+        F.first("buckets").alias("buckets"), F.array_sort(F.collect_list(entry)).alias("entries")
+    )
     return grouped.select(
         F.col("src").alias(id_col),
-        F.flatten(F.transform("entries", lambda x: F.array_repeat(x["v"], x["c"].cast("int"))))
-        .alias(out_col),
+        (F.col("cut") * F.col("buckets") + F.col("bucket")).alias("chunk"),
+        F.flatten(F.transform("entries", lambda x: F.array_repeat(x["v"], x["c"]))).alias(out_col),
     )
 
 
 def adjacency(edges: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
-    """``id, out``: sorted target lists of every source (chunked when huge)."""
+    """``id, chunk, out``: sorted target lists of every source, ``max_len`` entries a row at most."""
     return chunked_lists(edges, "dst", max_len)
 
 
 def adjacency_weighted(edges: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
-    """``id, out_dst, out_weight``: lists of ``(dst, weight)`` sorted by target then weight."""
+    """``id, chunk, out_dst, out_weight``: lists of ``(dst, weight)`` sorted by target then weight."""
     pairs = edges.select("src", F.struct("dst", "weight").alias("edge"))
-    lists = chunked_lists(pairs, "edge", max_len, out_col="adj")
+    # the weight spreads an edge of very many weights; six decimals, nothing where they do not fit
+    weight = F.coalesce(F.col("edge.weight").try_cast("decimal(38,6)").cast("string"), F.lit(""))
+    spread = F.concat(F.col("edge.dst").cast("string"), F.lit(","), weight)
+    lists = chunked_lists(pairs, "edge", max_len, out_col="adj", spread=spread)
     return lists.select(
-        "id",
+        "id", "chunk",
         F.transform("adj", lambda e: e["dst"]).alias("out_dst"),
         F.transform("adj", lambda e: e["weight"]).alias("out_weight"),
     )
 
 
 def complete_vertices(edges: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
-    """Adjacency of every vertex: sources with their lists, sinks as ``(id, [])``."""
+    """Adjacency of every vertex: sources with their lists, sinks as ``(id, 0, [])``."""
     lists = adjacency(edges, max_len)
-    sinks = sink_vertices(edges).select(
-        "id", F.array().cast(lists.schema["out"].dataType).alias("out")
-    )
-    return lists.unionByName(sinks)
+    return lists.unionByName(empty_lists(sink_vertices(edges), lists.schema["out"].dataType))
+
+
+def empty_lists(vertices: DataFrame, kind) -> DataFrame:
+    """``id, chunk, out`` with an empty list of type ``kind`` for each vertex."""
+    return vertices.select("id", F.lit(0).cast("bigint").alias("chunk"), F.array().cast(kind).alias("out"))
 
 
 def explode_adjacency(adjacency_rows: DataFrame, keep_sinks: bool = False) -> DataFrame:

@@ -14,11 +14,10 @@ The edge table is prepared once and then never moves again:
   only shuffles the (small) replicated vertex state to the edges.
 
 The partition count ``P`` is chosen from the data: ``ceil((distinct edges + vertices) /
-rows_per_partition)``, at most ``spark.sql.shuffle.partitions``. ``bucket_size`` defaults
-to ``max(MIN_BUCKET, distinct edges / P)``: a source with more distinct targets than
-that is "hot", so there can be at most ``P`` hot sources -- the size bound under which
-the hot list is broadcast (a smaller, caller-given bucket is checked against
-``MAX_BROADCAST_HOT`` and falls back to a shuffle join).
+rows_per_partition)``, whatever the session's setting. ``bucket_size`` is ``BUCKET_SIZE`` at
+every size: a source with more distinct targets than that is "hot", so there are at most
+``distinct edges / bucket_size`` hot sources. Their list is broadcast up to
+``MAX_BROADCAST_HOT`` rows; beyond it a shuffle join takes its place.
 """
 
 from __future__ import annotations
@@ -29,12 +28,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from graphloom.session import require_checkpoint_dir, shuffle_partitions
+from graphloom.session import require_checkpoint_dir
 
 VERTEX_MODES = ("all", "sources")
 
-# smallest default salt bucket: below this many targets a source is never split
-MIN_BUCKET = 4096
+# default salt bucket: a source of more distinct targets is split
+BUCKET_SIZE = 1_000_000
 # largest hot-source list that is broadcast (rows of src, nb); beyond it, a shuffle join
 MAX_BROADCAST_HOT = 1_000_000
 # rows (distinct edges + vertices) per partition when the count is chosen from the data
@@ -122,14 +121,12 @@ def prepare_graph(
     listed: optional frame with column ``id`` of vertices that have a line of their own
       in an adjacency list, possibly with no out-edges (``id: []``).
     partitions: edge-table and loop partitions; by default ``ceil((distinct edges +
-      vertices) / rows_per_partition)``, at most ``spark.sql.shuffle.partitions`` (as
-      adaptive execution coalesces small shuffles, a small graph gets few partitions).
+      vertices) / rows_per_partition)``: a task holds about that many rows at every size.
     """
     if vertices not in VERTEX_MODES:
         raise ValueError(f"vertices must be one of {VERTEX_MODES}, got {vertices!r}")
     spark = edges.sparkSession
     require_checkpoint_dir(spark)
-    max_parts = partitions or shuffle_partitions(spark)
 
     e = normalize_edges(edges, weight)
     # read twice below (vertex statistics, salted edges). A reliable checkpoint rather
@@ -189,15 +186,13 @@ def prepare_graph(
     ).checkpoint(eager=True)
     t = totals.get
     n, m, md, sinks = int(t["n"]), int(t["m"]), int(t["md"]), int(t["sinks"])
-    parts = partitions or max(1, min(max_parts, math.ceil((md + n) / rows_per_partition)))
+    parts = partitions or max(1, math.ceil((md + n) / rows_per_partition))
 
-    if bucket_size is None:
-        bucket_size = max(MIN_BUCKET, math.ceil(md / parts)) if md else MIN_BUCKET
+    bucket_size = bucket_size or BUCKET_SIZE
     nb = F.greatest(F.lit(1), F.ceil(F.col("ndst") / F.lit(bucket_size))).cast("int")
     vtab = vstats.withColumn("nb", nb)
 
-    # at most md / bucket_size sources can exceed bucket_size distinct targets; with the
-    # default bucket that is at most `parts` rows, a bound that makes the broadcast safe
+    # at most md / bucket_size sources can exceed bucket_size distinct targets
     max_hot = md // bucket_size
     if max_hot == 0:
         # no source can have more than bucket_size targets: one bucket each, no join

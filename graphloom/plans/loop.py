@@ -39,10 +39,9 @@ class LoopTrace:
 def loop_partitions(spark, partitions: int) -> Iterator[None]:
     """Plan the rounds with ``partitions`` shuffle partitions, then restore the setting.
 
-    The prepared graph chose its partition count from its size, capped by the session's
-    ``spark.sql.shuffle.partitions``; the per-vertex aggregation of every round uses the
-    same count, so a small graph does not write hundreds of near-empty shuffle blocks
-    per task each round. On a large graph this is the session's own setting.
+    The prepared graph chose its partition count from its size; the per-vertex aggregation
+    of every round uses the same count, so a small graph does not write hundreds of
+    near-empty shuffle blocks per task each round, and a large one has tasks of bounded size.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
@@ -93,20 +92,14 @@ class TableStore:
         return self.spark.read.parquet(path)
 
 
-# vertices from which round states go to parquet tables instead of checkpoints
-TABLE_STORE_MIN_VERTICES = 5_000_000
-
-
-def choose_store(spark, num_vertices: int, keep_all: bool, store: str = "auto"):
-    """``checkpoint`` for small states (lowest fixed cost), ``table`` for large ones
-    (compressed, at most two states on disk); ``auto`` picks by vertex count."""
-    if store == "auto":
-        store = "table" if num_vertices >= TABLE_STORE_MIN_VERTICES else "checkpoint"
+def choose_store(spark, keep_all: bool, store: str = "table"):
+    """``table``: compressed Parquet, at most two states on disk, at every size;
+    ``checkpoint``: Spark's checkpoints, for a caller who asks for them."""
     if store == "table":
         return TableStore(spark, keep_all)
     if store == "checkpoint":
         return CheckpointStore()
-    raise ValueError(f"state store must be auto, checkpoint or table, got {store!r}")
+    raise ValueError(f"state store must be table or checkpoint, got {store!r}")
 
 
 def materialize(frame: DataFrame, metrics: dict[str, Column], name: str,

@@ -118,13 +118,13 @@ def pagerank(
     history: bool = False,
     partitions: int | None = None,
     bucket_size: int | None = None,
-    state_store: str = "auto",
+    state_store: str = "table",
 ) -> PageRankResult:
     """PageRank of a directed multigraph given as ``src, dst`` rows (duplicates count).
 
     ``tol=None`` runs exactly ``max_iter`` rounds. ``vertices="sources"`` ranks only
     listed / source vertices (the fixed-round variant of the reference).
-    ``state_store``: ``checkpoint``, ``table`` or ``auto`` (see ``plans.loop.choose_store``).
+    ``state_store``: ``table`` or ``checkpoint`` (see ``plans.loop.choose_store``).
     """
     if damping_mode not in DAMPING_MODES:
         raise ValueError(f"damping_mode must be one of {DAMPING_MODES}")
@@ -165,7 +165,7 @@ def pagerank(
             kept.append((k, state))
 
     spark = layout.edges.sparkSession
-    store = choose_store(spark, n, keep_all=history, store=state_store)
+    store = choose_store(spark, keep_all=history, store=state_store)
     with loop_partitions(spark, layout.partitions):
         final, trace = iterate(
             initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,

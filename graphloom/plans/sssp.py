@@ -74,7 +74,7 @@ def shortest_paths(
     max_rounds: int | None = None,
     partitions: int | None = None,
     bucket_size: int | None = None,
-    state_store: str = "auto",
+    state_store: str = "table",
 ) -> ShortestPathResult:
     """Distances from ``source`` over ``src, dst, weight`` edges (parallel edges: the lightest)."""
     if isinstance(edges, GraphLayout):
@@ -113,7 +113,7 @@ def shortest_paths(
         return None
 
     spark = layout.edges.sparkSession
-    store = choose_store(spark, n, keep_all=False, store=state_store)
+    store = choose_store(spark, keep_all=False, store=state_store)
     with loop_partitions(spark, layout.partitions):
         final, trace = iterate(state, step, metrics, stop, name="sssp", store=store)
     return ShortestPathResult(final.select("id", "dist"), layout, trace)

@@ -1,8 +1,9 @@
 """Repeatable synthetic link tables.
 
-Every node of a node table draws ``k`` in ``[1, min(max_links, n - 1)]`` targets among
-all ``n`` nodes; repeated draws collapse and self-links are dropped, so a node may end
-with fewer links or none. Unlike the unseeded original, the draws come from integer
+Every node of a node table draws ``k`` in ``[1, min(max_links, n - 1)]`` distinct targets:
+the ``n`` node numbers are cut into ``k`` ranges and one target is drawn in each. A self-link
+is dropped, so a node may end with ``k - 1`` links, or with none (``link_lists`` keeps it
+with an empty list). Unlike the unseeded original, the draws come from integer
 arithmetic on ``(node index, slot, seed)`` (Park-Miller steps), so a run is repeatable
 and any SQL engine can recompute it. Nodes are numbered densely in id order by a
 distributed position (no one-partition window); the index-to-id lookup is an
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.graph import adjacency, empty_lists
 from graphloom.operators.rank import with_position
 
 # fixed values: Park-Miller modulus and multiplier, and the mixing weights of the seed
@@ -23,6 +25,7 @@ NODE_WEIGHT = 1000003
 SLOT_WEIGHT = 10007
 SEED_WEIGHT = 7919
 COUNT_SALT = 12345
+WIDE_SALT = 424243
 
 
 def _step(x: Column) -> Column:
@@ -38,6 +41,11 @@ def draw(idx: Column, slot: Column, seed: int, salt: int = 1) -> Column:
     return _step(_step(x0))
 
 
+def wide_draw(idx: Column, slot: Column, seed: int) -> Column:
+    """A pseudo-random integer below ``MODULUS ** 2`` (just under 2^62), from two draws."""
+    return draw(idx, slot, seed, WIDE_SALT) * F.lit(MODULUS) + draw(idx, slot, seed)
+
+
 def index_nodes(nodes: DataFrame) -> DataFrame:
     """``idx`` (0-based, dense, in id order) and ``id``."""
     positioned = with_position(nodes.select("id").distinct(), order=[F.col("id").asc()])
@@ -52,12 +60,20 @@ def link_table(nodes: DataFrame, seed: int = 42, max_links: int = 10) -> DataFra
         return indexed.select(F.col("id").alias("src"), F.col("id").alias("dst")).limit(0)
     kmax = min(max_links, n - 1)
     k = F.lit(1) + F.pmod(draw(F.col("idx"), F.lit(0), seed, COUNT_SALT), F.lit(kmax))
-    slots = indexed.select(
-        F.col("idx").alias("src_idx"), F.col("id").alias("src"),
-        F.explode(F.sequence(F.lit(0), k.cast("int") - 1)).alias("slot"),
-    )
-    picks = slots.select(
-        "src", F.pmod(draw(F.col("src_idx"), F.col("slot"), seed), F.lit(n)).alias("idx")
+    slots = indexed.withColumn("k", k.cast("bigint")).select(
+        F.col("idx").alias("src_idx"), F.col("id").alias("src"), "k",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)).alias("slot"),
     )
+    # slot j draws in [j * n div k, (j + 1) * n div k): the ranges are disjoint, so targets are distinct
+    low = F.expr(f"slot * {n} div k")
+    width = F.expr(f"(slot + 1) * {n} div k") - low
+    picks = slots.select("src", (low + F.pmod(wide_draw(F.col("src_idx"), F.col("slot"), seed), width)).alias("idx"))
     links = picks.join(indexed, "idx").select("src", F.col("id").alias("dst"))
-    return links.where(F.col("src") != F.col("dst")).distinct()
+    return links.where(F.col("src") != F.col("dst"))
+
+
+def link_lists(nodes: DataFrame, seed: int = 42, max_links: int = 10) -> DataFrame:
+    """``id, chunk, out``: the links of every node of ``nodes``, ``[]`` for a node without any."""
+    lists = adjacency(link_table(nodes, seed, max_links))
+    ids = nodes.select("id").distinct()
+    return lists.unionByName(empty_lists(ids.join(lists, "id", "left_anti"), lists.schema["out"].dataType))

@@ -16,9 +16,9 @@ INF = float("inf")
 
 
 def render_adjacency(adjacency_rows: DataFrame) -> DataFrame:
-    """``id, line`` with ``line = "id: [a, b, ...]"`` (``"id: []"`` for a sink)."""
+    """``id, chunk, line`` with ``line = "id: [a, b, ...]"`` (``"id: []"`` for a sink); a long list has several lines."""
     return adjacency_rows.select(
-        "id",
+        "id", "chunk",
         F.format_string("%s: [%s]", F.col("id"), F.array_join(F.col("out").cast("array<string>"), ", "))
         .alias("line"),
     )
@@ -61,4 +61,4 @@ def write_labelled_ranks(ranks: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def write_adjacency(adjacency_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    write_lines(render_adjacency(adjacency_rows).orderBy("id"), path, mode)
+    write_lines(render_adjacency(adjacency_rows).orderBy("id", "chunk"), path, mode)

@@ -19,11 +19,10 @@ def test_loop_partitions_is_restored_even_on_error(spark):
 
 
 def test_store_choice(spark):
-    assert isinstance(loop.choose_store(spark, 10, keep_all=False), loop.CheckpointStore)
-    assert isinstance(loop.choose_store(spark, loop.TABLE_STORE_MIN_VERTICES, keep_all=False), loop.TableStore)
-    assert isinstance(loop.choose_store(spark, 10, keep_all=False, store="table"), loop.TableStore)
+    assert isinstance(loop.choose_store(spark, keep_all=False), loop.TableStore)
+    assert isinstance(loop.choose_store(spark, keep_all=False, store="checkpoint"), loop.CheckpointStore)
     with pytest.raises(ValueError):
-        loop.choose_store(spark, 10, keep_all=False, store="memory")
+        loop.choose_store(spark, keep_all=False, store="memory")
 
 
 def test_table_store_keeps_at_most_two_states(spark):

@@ -74,18 +74,51 @@ def test_top_k_and_extremes(spark):
     assert (ex.min_id, ex.min_rank) == low
 
 
-def test_adjacency_lists_are_chunked_not_unbounded(spark, hub_graph):
+def test_adjacency_lists_have_a_fixed_length(spark, hub_graph):
     lists = gops.adjacency(hub_graph, max_len=8)
-    bound = 8  # edges / partitions is below max_len here
-    hub_rows = [r.out for r in lists.where("id = 0").collect()]
-    assert len(hub_rows) >= 2
-    assert sorted(x for out in hub_rows for x in out) == sorted([t for t in range(1, 41)] + [1] * 5)
-    # chunks are hash-balanced around the bound, never the whole list
-    assert max(len(o) for o in hub_rows) < 45
-    assert all(out == sorted(out) for out in hub_rows)
+    hub = [r for r in lists.where("id = 0").collect()]
+    assert sorted(x for r in hub for x in r.out) == sorted([t for t in range(1, 41)] + [1] * 5)
+    assert len({r.chunk for r in hub}) == len(hub) >= 6
+    assert all(len(r.out) <= 8 and r.out == sorted(r.out) for r in hub)
     others = lists.where("id <> 0").collect()
-    assert all(len(r.out) == 1 for r in others)
-    assert bound == 8
+    assert all(len(r.out) == 1 and r.chunk == 0 for r in others)
+
+
+@pytest.mark.parametrize("max_len", [3, 10, 1000])
+def test_adjacency_rows_do_not_depend_on_the_session(spark, max_len):
+    # a hub with repeats, and one edge repeated 100 times
+    rows = [(0, t % 70, 1.0 + t % 2) for t in range(150)] + [(1, 5, 2.0)] * 100 + [(2, None, 1.0), (None, 3, float("nan"))]
+    e = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    key, got = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    try:
+        for parts in (1, 8, 200):
+            spark.conf.set(key, parts)
+            lists = gops.adjacency(e, max_len).collect()
+            assert all(len(r.out) <= max_len for r in lists)
+            weighted = gops.adjacency_weighted(e, max_len).collect()
+            assert sum(len(r.out_dst) for r in weighted) == len(rows) and all(len(r.out_dst) <= max_len for r in weighted)
+            got.append(sorted(map(repr, lists + weighted)))
+    finally:
+        spark.conf.set(key, before)
+    assert got[0] == got[1] == got[2]
+    # the repeated edge: full chunks, then the rest
+    one = sorted((len(r.out) for r in gops.adjacency(e, max_len).where("id = 1").collect()), reverse=True)
+    assert one == [max_len] * (100 // max_len) + ([100 % max_len] if 100 % max_len else [])
+
+
+def test_generator_draws_distinct_targets_and_keeps_empty_lists(spark):
+    from graphloom.sources.generator import link_lists
+
+    for n in (1, 2, 3, 11, 60):
+        lists = {r.id: r.out for r in link_lists(spark.range(n), seed=3).collect()}
+        assert sorted(lists) == list(range(n))
+        assert all(len(set(out)) == len(out) <= 10 and i not in out for i, out in lists.items())
+    # two draws reach beyond 2^31
+    from graphloom.sources import generator as gen
+
+    wide = spark.range(50).select(F.max(gen.wide_draw(F.col("id"), F.lit(0), 1))).first()[0]
+    assert 2**33 < wide < 2**62
 
 
 def test_link_table_is_repeatable_and_clean(spark):
