@@ -15,6 +15,7 @@ that had more partners and none verified is taken up again, with all its partner
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,9 +81,6 @@ class _Block:
         self.sig = np.bitwise_xor.reduceat(np.where(half, bits, 0), self.starts).view(np.int64)
         self.sag = np.bitwise_xor.reduceat(np.where(half, 0, bits), self.starts).view(np.int64)
 
-    def frame(self) -> pd.DataFrame:
-        return pd.DataFrame({c: getattr(self, c) for c in ("doc", "h", "line", *CLASS, "head")})
-
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
     """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words."""
@@ -112,26 +110,45 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.col(text).alias("text"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """One row ``doc, h, line``, class and ``head`` (first of its document) per line with words, and rows ``(line = cell, n)`` of word counts."""
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """Rows ``cell, n``: occurrences of the words of all texts, by the count table's cells."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(COUNT_CELLS, np.int64)
-        for block in _blocks(batches):
-            cells += np.bincount(block.cells, minlength=COUNT_CELLS)
-            yield block.frame().assign(n=0)
+        words: Counter = Counter()
+
+        def add() -> None:
+            if len(_hashes) > REMEMBERED:
+                _hashes.clear()
+            hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+            np.add.at(cells, (hashes >> CELL_SHIFT).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
+            words.clear()
+
+        met = 0
+        for part in batches:
+            for text in part["text"]:
+                if text is None:
+                    continue
+                found = text.encode("utf-8", "surrogatepass").lower().split()
+                words.update(found)
+                met += len(found)
+                if met > BATCH_WORDS:
+                    add()
+                    met = 0
+        add()
         used = np.nonzero(cells)[0]
-        yield pd.DataFrame({"doc": 0, "h": 0, "line": used, **dict.fromkeys(CLASS, 0), "head": False, "n": cells[used]})
+        yield pd.DataFrame({"cell": used, "n": cells[used]})
 
-    return docs.mapInPandas(run, "doc bigint, h bigint, line bigint, c1 bigint, sig bigint, sag bigint, size bigint, head boolean, n bigint")
+    told = docs.select("text").mapInPandas(run, "cell bigint, n bigint")
+    return told.groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
-    """One row per line: its place, class and prefix words, rarest first.
+    """One row per line with words: its place, class, ``head`` (first of its document) and prefix words, rarest first.
 
     ``ranks`` is the broadcast order of the word count table's cells. Words of one cell are in order of their
-    hashes; a word is told by 32 bits of this order (words that share them only meet in vain). A worker hands on a
-    class again only for an earlier place than it has handed on before.
+    hashes; a word is told by 32 bits of this order (words that share them only meet in vain). The prefix is null
+    where the worker has handed on the class before, for an earlier place.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,13 +168,16 @@ def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
                     seen[name] = place
                     fresh[i] = True
             pos = np.arange(len(order)) - np.repeat(b.starts, b.size)
-            words = order[(pos < np.repeat(length, b.size)) & np.repeat(fresh, b.size)].astype(np.uint32).view(np.int32)
-            offsets = np.concatenate(([0], np.cumsum(length[fresh]))).astype(np.int32)
-            columns = [pa.array(getattr(b, c)[fresh]) for c in ("doc", "line", "h", *CLASS)]
-            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "line", "h", *CLASS, "prefix"])
+            length = np.where(fresh, length, 0)
+            words = order[pos < np.repeat(length, b.size)].astype(np.uint32).view(np.int32)
+            offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+            columns = [pa.array(getattr(b, c)) for c in names_out]
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words), mask=pa.array(~fresh)))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names_out, "prefix"])
 
-    return docs.mapInArrow(run, "doc bigint, line bigint, h bigint, c1 bigint, sig bigint, sag bigint, size bigint, prefix array<int>")
+    names_out = ["doc", "line", "h", *CLASS, "head"]
+    return docs.mapInArrow(run, "doc bigint, line bigint, h bigint, c1 bigint, sig bigint, sag bigint, size bigint, "
+                                "head boolean, prefix array<int>")
 
 
 def _partners(min_jaccard: float, limit: int | None):
@@ -266,9 +286,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, scratch: Scr
     return out
 
 
-def _repeated_classes(docs: DataFrame, ranks, scratch: Scratch, min_jaccard: float, limit: int) -> tuple[DataFrame, DataFrame]:
+def _repeated_classes(docs: DataFrame, lines: DataFrame, scratch: Scratch, min_jaccard: float, limit: int) -> tuple[DataFrame, DataFrame]:
     """Each class with its first place, and the classes that have an earlier similar class."""
-    lines = scratch.table(_prefixes(docs, ranks, min_jaccard).withColumn("open", F.lit(True)))
+    lines = lines.where("prefix is not null").drop("head").withColumn("open", F.lit(True))
     pairs = _named_partners(lines, None, scratch, min_jaccard, limit)
     # a worker hands on the earliest place of a class that it meets, so the first of all is among these rows
     firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
@@ -285,7 +305,6 @@ def _repeated_classes(docs: DataFrame, ranks, scratch: Scratch, min_jaccard: flo
         pairs = _named_partners(again, words, scratch, min_jaccard, None)
         hits = scratch.table(hits.unionByName(_verified(pairs, docs, firsts, scratch, min_jaccard)))
         scratch.drop(pairs)
-    scratch.drop(lines)
     return firsts, hits
 
 
@@ -324,19 +343,19 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     named = _keyed(docs, key, text)
-    both = scratch.table(_lines(named))
-    lines = both.where("n = 0").select("doc", "h", "line", *CLASS)
     counts = np.zeros(COUNT_CELLS, np.int64)
     # COUNT_CELLS rows at most, whatever the data
-    told = both.where("n > 0").groupBy("line").agg(F.sum("n").alias("n")).toPandas()
-    counts[told["line"].to_numpy()] = told["n"].to_numpy()
+    told = _word_counts(named).toPandas()
+    counts[told["cell"].to_numpy()] = told["n"].to_numpy()
     ranks = np.empty(COUNT_CELLS, np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_CELLS, dtype=np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    firsts, gone = _repeated_classes(named, shared, scratch, min_jaccard, partners)
+    ordered = scratch.table(_prefixes(named, shared, min_jaccard))
+    firsts, gone = _repeated_classes(named, ordered, scratch, min_jaccard, partners)
     judged = scratch.table(firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left"))
     # only documents that stand in several rows give a line twice
-    again = scratch.table(both.where("head").groupBy("doc", "h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
+    lines = ordered.select("doc", "h", "line", *CLASS)
+    again = scratch.table(ordered.where("head").groupBy("doc", "h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
     once = lines.join(again, ["doc", "h"], "left_anti").unionByName(lines.join(again, ["doc", "h"], "left_semi").distinct())
     own = F.col("gone").isNull() & (F.struct("doc", "line", "h") == F.col("first"))
     return (once.join(judged, CLASS)
