@@ -157,7 +157,7 @@ def _postings(classes: DataFrame, kind: str, total: int) -> DataFrame:
 
 
 def _compare(kind: str, min_cosine: float):
-    """Links within the block pairs of a group of buckets: per class its links and a linked class."""
+    """Links within the block pairs of a group of buckets: per class its links and the first class that links reach there."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["label", "dim", "filter", "lo", "hi", "key"], kind="stable").reset_index(drop=True)
@@ -184,7 +184,7 @@ def _bucket(unit: np.ndarray, filters: np.ndarray, block: np.ndarray, mult: np.n
             min_cosine: float) -> tuple | None:
     n, here = len(unit), filters[0]
     two = (block != block[0]).any()  # pairs inside one of two blocks are compared elsewhere
-    links, root, seen = np.zeros(n, np.int64), np.arange(n), None
+    links, comp, seen = np.zeros(n, np.int64), np.arange(n), None
     for at in range(0, n, 512):
         rows = np.arange(at, min(at + 512, n))
         near = unit[rows] @ unit.T >= min_cosine
@@ -196,11 +196,28 @@ def _bucket(unit: np.ndarray, filters: np.ndarray, block: np.ndarray, mult: np.n
             continue
         if seen is None:
             seen = _lower_filters(packed, here)
-        root[rows[hit]] = np.minimum(rows[hit], near[hit].argmax(axis=1))
+        comp = _joined(comp, rows[hit], near[hit].argmax(axis=1))  # most of a dense bucket; then what is left
+        one, other = np.nonzero(near & (comp[rows][:, None] != comp[None, :]))
+        comp = _joined(comp, rows[one], other)
         near[hit] &= seen[rows[hit]] @ seen.T < 0.5  # counted at the least filter that both meet
         links[rows] = near @ mult
-    keep = (links > 0) | (root != np.arange(n))
-    return (key[keep], links[keep], key[root[keep]]) if keep.any() else None
+    keep = (links > 0) | (comp != np.arange(n))
+    return (key[keep], links[keep], key[comp[keep]]) if keep.any() else None
+
+
+def _joined(comp: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """``comp``, the least row of each row's component, after the links ``one`` - ``other``."""
+    while True:
+        a, b = comp[one], comp[other]
+        apart = a != b
+        if not apart.any():
+            return comp
+        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
+        up = np.arange(len(comp))
+        np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+        while (up[up] != up).any():
+            up = up[up]
+        comp = up[comp]
 
 
 def _lower_filters(packed: np.ndarray, here: int) -> np.ndarray:

@@ -77,6 +77,59 @@ def test_blocks_of_a_hot_bucket_count_each_pair_once(spark, monkeypatch):
     assert sorted(r["vec_id"] for r in got if r["kept"]) == [0, 45]
 
 
+def linked_shapes(seed, chains, stars, dim=64, cosine=0.985):
+    """Rows of 3-chains and of stars with 5 leaves: neighbours have ``cosine``, others less than 0.98; shape of each row."""
+    rng = np.random.default_rng(seed)
+    vectors, shape = [], []
+    for c in range(chains + stars):
+        basis = np.linalg.qr(rng.standard_normal((dim, 6)))[0].T
+        far = math.sqrt(1 - cosine ** 2)
+        leaves = [cosine * basis[0] + far * s for s in ((basis[1], -basis[1]) if c < chains else basis[1:])]
+        for x in (basis[0], *leaves):
+            vectors.append(x)
+            shape.append(c)
+    order = rng.permutation(len(vectors))
+    return [(n, [float(v) for v in vectors[i].astype(np.float32)], 1) for n, i in enumerate(order)], [shape[i] for i in order]
+
+
+def slow_components(links):
+    least = {}
+    for i in sorted(links):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in least:
+                least[j] = i
+                todo.extend(links[j])
+    return least
+
+
+def test_bucket_hands_on_components_that_are_no_cliques():
+    rows, _ = linked_shapes(11, chains=250, stars=60)
+    links = slow_links(rows)
+    least = slow_components(links)
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    n = len(rows)
+    assert n > 2 * 512  # several stripes
+    key, mult = np.arange(n), np.ones(n, np.int64)
+    packed = np.array([np.array([0], "<i8").tobytes()] * n, dtype=object)
+    keys, count, roots = cap_filters._bucket(unit, np.zeros(n, np.int64), np.zeros(n, np.int32), mult, key, packed, 0.98)
+    assert dict(zip(keys.tolist(), roots.tolist())) == least and dict(zip(keys.tolist(), count.tolist())) == {i: len(v) for i, v in links.items()}
+
+
+def test_components_of_chains_and_stars(spark):
+    rows, shape = linked_shapes(12, chains=300, stars=50)
+    links = slow_links(rows)
+    least = slow_components(links)
+    got = {r["vec_id"]: r for r in cap_filters.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    found = {c: all(got[i]["n_links"] == len(links[i]) for i in links if shape[i] == c) for c in shape}
+    assert sum(found.values()) >= 0.9 * len(found)  # recall: the shapes whose links are all found
+    for i in links:
+        if found[shape[i]]:
+            assert (got[i]["component_id"], got[i]["kept"]) == (least[i], least[i] == i)
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0, 4.0]
     rows = [
