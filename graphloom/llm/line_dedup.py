@@ -31,8 +31,8 @@ MIN_JACCARD = 0.8
 # cells of the word count table; most postings of one block of a prefix word's group; postings that
 # go to a task together
 COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 1024, 100_000
-# words and lines handled at once in a Python worker: bounds its memory (a line's number takes 18 bits)
-BATCH_WORDS, BATCH_LINES = 500_000, 200_000
+# words and lines handled at once in a Python worker: bounds its memory (a line's number takes LINE_BITS)
+BATCH_WORDS, BATCH_LINES, LINE_BITS = 500_000, 200_000, 18
 # candidate pairs compared at once
 PAIRS = 500_000
 # partners named by a class in one group at first, half of them earliest, half nearest
@@ -83,7 +83,7 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
-    """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words."""
+    """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words; a long document goes on in the next block."""
     lists: tuple[list, ...] = ([], [], [], [], [], [])
     docs, hs, lines, heads, sizes, words = lists
     for part in batches:
@@ -97,9 +97,9 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
                     docs.append(doc), hs.append(h), lines.append(i), heads.append(head), sizes.append(len(found))
                     words.extend(found)
                     head = False
-            if len(words) > BATCH_WORDS or len(sizes) > BATCH_LINES:
-                yield _Block(*lists)
-                lists = docs, hs, lines, heads, sizes, words = [], [], [], [], [], []
+                    if len(words) > BATCH_WORDS or len(sizes) >= BATCH_LINES:
+                        yield _Block(*lists)
+                        lists = docs, hs, lines, heads, sizes, words = [], [], [], [], [], []
     if words:
         yield _Block(*lists)
 
@@ -155,9 +155,10 @@ def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
         table = ranks.value
         seen: dict[tuple, tuple] = {}
         for b in _blocks(part.to_pandas() for part in batches):
+            assert len(b.size) < 1 << LINE_BITS, "a line's number would lose its highest bits"
             at = np.repeat(np.arange(len(b.size), dtype=np.uint64), b.size)
             low = b.hashes & np.uint64((1 << 28) - 1)
-            order = np.sort((at << np.uint64(46)) | (table[b.cells] << np.uint64(28)) | low)
+            order = np.sort((at << np.uint64(64 - LINE_BITS)) | (table[b.cells] << np.uint64(28)) | low)
             length = b.size - np.ceil(min_jaccard * b.size - 1e-9).astype(np.int64) + 1
             if len(seen) > REMEMBERED_CLASSES:
                 seen.clear()

@@ -2,6 +2,8 @@
 
 import random
 
+import pandas as pd
+
 from graphloom.llm import line_dedup, line_hash
 
 SCHEMA = "doc_id bigint, text string, extra string"
@@ -66,6 +68,25 @@ def test_given_lines_by_brute_force(spark):
     assert told(docs) == slow_decisions(rows)
 
 
+def test_a_document_of_very_many_lines(spark):
+    # more lines than a block's line numbers can tell; similar lines, not equal sets, all over it and in a later document
+    n, step = 300_000, 5_000
+    texts = [f"a{i} b{i}" for i in range(n)]
+    later = []
+    for i in range(0, n, step):
+        texts[i] = " ".join(f"p{i}x{k}" for k in range(9))
+        later.append(" ".join([f"p{i}x{k}" for k in range(8)] + [f"new{i}"]))  # 8 words shared of 10
+    for i, line in zip(range(step // 2, n, step), later):
+        texts[i] = line
+    rows = [(0, "short before it\nand another", None), (1, "\n".join(texts), None), (2, "\n".join(later), None)]
+    blocks = list(line_dedup._blocks([pd.DataFrame([(d, 0, t) for d, t, _ in rows], columns=["doc", "h", "text"])]))
+    assert all(len(b.size) <= line_dedup.BATCH_LINES for b in blocks) and sum(len(b.size) for b in blocks) == n + 2 + len(later)
+    assert sum(b.head.sum() for b in blocks) == len(rows)
+    got = told(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    gone = {(1, i) for i in range(step // 2, n, step)} | {(2, i) for i in range(len(later))}
+    assert len(got) == n + 2 + len(later) and {place for place, (_, _, kept) in got.items() if not kept} == gone
+
+
 ODD = [
     (3, "a b c d e\n\nf g h i j", "x"), (3, "a b c d e\n\nf g h i j", "x"),  # a repeated row
     (5, "f g h i j\nnew line here", "y"), (6, None, "z"), (7, "", "z"), (8, "\n \n", "z"),
