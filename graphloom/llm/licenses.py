@@ -100,12 +100,17 @@ POSSIBILITY OF SUCH DAMAGE."""),
     ("MIT", "Released under the MIT License."),
 ]
 
-# fixed values: lines of a notice that name holders, not terms
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# fixed values: lines of a notice that name holders, not terms; a line of terms may begin with the word as well
+COPYRIGHT_LINE = (r"(?m)^[ \t]*(?:copyright[ \t]*:?[ \t]*(?:\(c\)|©|by\b|[<\[{]?(?:\d{4}|year\b|yyyy\b))[^\n]*"
+                  r"|(?:\(c\)|©)[^\n]*|all rights reserved[ \t\r.]*)$")
+# the registered SQL, which is kept as it was, still leaves out any line that begins so
+SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
 SEPARATORS = r"[^\p{L}\p{N}\n]+"
 # the widest spellings first, so that none is cut by a shorter one
 _ORDERED = sorted(SPELLINGS, key=lambda p: (-len(p[0]), p[0]))
 _ANY_SPELLING = r"\b(?:" + "|".join(a for a, _ in _ORDERED) + r")\b"
+# spellings of several words, which a line feed may part
+_WIDE = [p for p in _ORDERED if " " in p[0]]
 
 
 def canonical_lines(text: Column) -> Column:
@@ -119,7 +124,10 @@ def canonical_lines(text: Column) -> Column:
 
 
 def joined_lines(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    joined = F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    for old, new in _WIDE:
+        joined = F.regexp_replace(joined, rf"\b{old}\b", new)
+    return joined
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
@@ -169,7 +177,7 @@ def scan_sql(known: list[tuple[str, str]] = KNOWN) -> str:
         return "'" + s.replace("'", "''") + "'"
 
     def lines(text: str) -> str:
-        out = f"regexp_replace(lower(coalesce({text}, '')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
+        out = f"regexp_replace(lower(coalesce({text}, '')), {quoted(SQL_COPYRIGHT_LINE)}, '', 'g')"
         out = f"regexp_replace({out}, {quoted(SEPARATORS)}, ' ', 'g')"
         for old, new in _ORDERED:
             out = f"regexp_replace({out}, '\\b{old}\\b', {quoted(new)}, 'g')"

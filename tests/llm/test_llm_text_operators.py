@@ -1,7 +1,9 @@
 """Quality, licence, mixing, tool-call and packing operators: edge cases and brute force."""
 
+import hashlib
 import json
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -151,6 +153,20 @@ def test_mixing_of_odd_rows(spark):
 
 # ------------------------------------------------------------------------------------------ licences
 
+def test_known_licences_however_wrapped(spark):
+    notice = "Copyright (c) 2020 Jane Doe\nCopyright 2021, 2022 Jane Doe\nCopyright by Jane Doe\n© Jane Doe\n(c) 2020 Jane Doe\nAll rights reserved.\n\n"
+    rows, want = [], []
+    for name, text in licenses.KNOWN:
+        for width in (24, 40, 60, 72, 79, 80, 100, 10 ** 6):
+            for head in ("", notice):
+                rows.append((len(rows), head + textwrap.fill(" ".join(text.split()), width, break_long_words=False, break_on_hyphens=False)))
+                want.append(name)
+    rows.append((len(rows), "Copyright law is a line of terms"))
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i]["license_id"] for i in range(len(want))] == want
+    assert got[len(want)]["digest"] == hashlib.sha256(b"copyright law is a line of terms").hexdigest()
+
+
 def test_licences_in_other_dress(spark):
     mit = dict(licenses.KNOWN[:1])["MIT"]
     dressed = "Copyright (c) 2020 Some One\n(C) others\n\n" + mit.upper().replace(",", " ,").replace("SUBLICENSE", "SUB-LICENSE")
