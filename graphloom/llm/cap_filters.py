@@ -229,6 +229,25 @@ def _lower_filters(packed: np.ndarray, here: int) -> np.ndarray:
     return table
 
 
+def _dealt(posts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``posts``, each row once for each block pair it meets, with the group ``g`` of that pair; and the written table of
+    the buckets over the bound."""
+    bucket = ["label", "dim", "filter"]
+    # buckets over the bound, if any, with the blocks each is cut into
+    large = scratch.table(posts.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
+                          .select(*bucket, "n", F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("cuts")))
+    cut = posts.join(large.drop("n"), bucket, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
+    paired = cut.withColumn("other", other).select(
+        *bucket, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "key", "mult", "vec", "filters")
+    # whole block pairs, dealt to groups of about GROUP_ROWS rows: as many groups as the rows of all pairs need
+    more = large.agg(F.sum(F.col("n") * (F.col("cuts") - 1))).first()[0] or 0
+    groups = max(1, (posts.count() + more) // GROUP_ROWS)
+    return paired.withColumn("g", F.pmod(F.xxhash64(*bucket, "lo", "hi"), F.lit(groups))), large
+
+
 def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                  min_cosine: float = MIN_COSINE) -> DataFrame:
     """The columns of ``rows`` but ``vector``, with ``n_links``, ``component_id`` and ``kept``.
@@ -258,20 +277,8 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         F.count(F.lit(1)).alias("mult"), F.min(names[key]).alias("first_key"), F.min("_vec").alias("vec")))
     total = classes.count()
     posts = scratch.table(_postings(classes.select("label", "dim", "key", "mult", "vec"), kind, total))
-    bucket = ["label", "dim", "filter"]
-    # buckets over the bound, if any, with the blocks each is cut into
-    large = (posts.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
-             .select(*bucket, F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("cuts")))
-    cut = posts.join(large, bucket, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
-    paired = cut.withColumn("other", other).select(
-        *bucket, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "block", "key", "mult", "vec", "filters")
+    dealt, large = _dealt(posts, scratch)
     schema = StructType([StructField("key", StringType()), StructField("links", LongType()), StructField("root", StringType())])
-    # whole block pairs, dealt to groups of about GROUP_ROWS rows: as many groups as the postings need
-    groups = max(1, posts.count() // GROUP_ROWS)
-    dealt = paired.withColumn("g", F.pmod(F.xxhash64(*bucket, "lo", "hi"), F.lit(groups)))
     met = scratch.table(dealt.groupBy("g").applyInPandas(_compare(kind, min_cosine), schema))
     roots = connected_components(met.select(F.col("key").alias("a"), F.col("root").alias("b")).where("a <> b"), scratch)
     links = met.groupBy("key").agg(F.sum("links").alias("links"))
@@ -282,7 +289,7 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     joined = scratch.table(joined)
     least = joined.groupBy("root").agg(F.min("first_key").alias("least"))
     facts = scratch.table(joined.join(least, "root").select(F.col("key").alias("_key"), "links", "least"))
-    scratch.drop(classes, posts, met, roots, joined)
+    scratch.drop(classes, posts, large, met, roots, joined)
     n_links, comp, kept = (fresh_name(rest, n) for n in ("n_links", "component_id", "kept"))
     out = base.join(facts, base["_class"] == facts["_key"], "left")
     own = F.when(F.col("_class").isNull(), F.col(names[key])).otherwise(F.col("least"))

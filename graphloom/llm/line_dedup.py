@@ -309,21 +309,27 @@ def _repeated_classes(docs: DataFrame, lines: DataFrame, scratch: Scratch, min_j
     return firsts, hits
 
 
-def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
-    """Distinct pairs of classes that pass the filters in the groups of prefix words (of ``words`` only, if given)."""
-    posts = lines.select("doc", "line", "open", *CLASS, F.posexplode("prefix").alias("pos", "word"))
-    if words is not None:
-        posts = posts.join(words, "word", "left_semi")
+def _dealt(posts: DataFrame, rows: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``posts`` (``rows`` at most), each once for each block pair it meets, with the group ``g`` of that pair; and the written
+    table of the words over the bound."""
     heavy = scratch.table(posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
-                          .select("word", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
-    cut = posts.join(heavy, "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+                          .select("word", "n", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
+    cut = posts.join(heavy.drop("n"), "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     cut = cut.withColumn("block", F.pmod(F.hash("c1", "sig"), "cuts"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     paired = paired.select("word", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
                            "doc", "line", "pos", "open", *CLASS)
-    # whole block pairs, dealt to tasks' groups of about TASK_ROWS rows: as many as the postings need
-    groups = int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TASK_ROWS + 1
-    dealt = paired.withColumn("g", F.pmod(F.hash("word", "lo", "hi"), F.lit(groups)))
+    # whole block pairs, dealt to tasks' groups of about TASK_ROWS rows: as many as the rows of all pairs need
+    more = heavy.agg(F.sum(F.col("n") * (F.col("cuts") - 1))).first()[0] or 0
+    return paired.withColumn("g", F.pmod(F.hash("word", "lo", "hi"), F.lit((rows + more) // TASK_ROWS + 1))), heavy
+
+
+def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
+    """Distinct pairs of classes that pass the filters in the groups of prefix words (of ``words`` only, if given)."""
+    posts = lines.select("doc", "line", "open", *CLASS, F.posexplode("prefix").alias("pos", "word"))
+    if words is not None:
+        posts = posts.join(words, "word", "left_semi")
+    dealt, heavy = _dealt(posts, int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0), scratch)
     schema = ", ".join(f"{c} bigint" for c in [*CLASS, *EARLIER, "apart"]) + ", more boolean"
     found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
     pairs = scratch.table(found.groupBy(*CLASS, *EARLIER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))

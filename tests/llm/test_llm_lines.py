@@ -5,6 +5,7 @@ import random
 import pandas as pd
 
 from graphloom.llm import line_dedup, line_hash
+from graphloom.llm.common import Scratch
 
 SCHEMA = "doc_id bigint, text string, extra string"
 
@@ -87,6 +88,15 @@ def test_a_document_of_very_many_lines(spark):
     assert len(got) == n + 2 + len(later) and {place for place, (_, _, kept) in got.items() if not kept} == gone
 
 
+def test_a_hot_word_goes_to_groups_of_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", 10)
+    monkeypatch.setattr(line_dedup, "TASK_ROWS", 100)
+    posts = spark.range(400).selectExpr("id doc", "0L line", "true open", "id * 7919 c1", "id sig", "id sag", "5L size", "0 pos", "3 word")
+    dealt, _ = line_dedup._dealt(posts, 400, Scratch(spark, "dealt"))
+    sizes = [r["count"] for r in dealt.groupBy("g").count().collect()]
+    assert sum(sizes) == 400 * 40 and max(sizes) <= 6 * 100
+
+
 ODD = [
     (3, "a b c d e\n\nf g h i j", "x"), (3, "a b c d e\n\nf g h i j", "x"),  # a repeated row
     (5, "f g h i j\nnew line here", "y"), (6, None, "z"), (7, "", "z"), (8, "\n \n", "z"),

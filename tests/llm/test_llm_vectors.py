@@ -5,6 +5,7 @@ import math
 import numpy as np
 
 from graphloom.llm import cap_filters, vafile
+from graphloom.llm.common import Scratch
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -130,6 +131,15 @@ def test_components_of_chains_and_stars(spark):
             assert (got[i]["component_id"], got[i]["kept"]) == (least[i], least[i] == i)
 
 
+def test_a_hot_bucket_goes_to_groups_of_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(cap_filters, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(cap_filters, "GROUP_ROWS", 100)
+    posts = spark.range(400).selectExpr("'1' label", "4 dim", "7L filter", "cast(id as string) key", "1L mult", "binary('') vec", "binary('') filters")
+    dealt, _ = cap_filters._dealt(posts, Scratch(spark, "dealt"))
+    sizes = [r["count"] for r in dealt.groupBy("g").count().collect()]
+    assert sum(sizes) == 400 * 40 and max(sizes) <= 6 * 100
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0, 4.0]
     rows = [
