@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import (cap_filters, licenses, line_dedup, line_hash, mixing, packing, quality, simhash, tool_calls,
-                           vafile)
+from graphloom.llm import (cap_filters, licenses, line_dedup, line_hash, mixing, packing, quality, runs, simhash,
+                           tool_calls, vafile)
 from graphloom.llm.common import Scratch
 
 
@@ -76,6 +78,30 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.number_sequences(scratch.table(digests), scratch)
 
 
+def op13_order(doc_id: object, n: int) -> np.ndarray | None:
+    """The numbers of the words that are read: one document in ten repeats itself from a place on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10:
+        return None
+    a = (h // 10) % n
+    p = 1 + (n - a) // (3 + (h // 10) % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op13_runs(spark: SparkSession, sf: str) -> DataFrame:
+    told = runs.document_runs(table(spark, sf, "documents").select("doc_id", "text"), order=op13_order)
+    # runs come by start, then period: of equal exponents the first stays
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)),
+                    lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = told.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+                        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cap_filters": op1_cap_filters,
     "op2_line_dedup": op2_line_dedup,
@@ -87,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_line_hash": op9_line_hash,
     "op10_packing": op10_packing,
+    "op13_runs": op13_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
