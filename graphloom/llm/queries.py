@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import (cap_filters, licenses, line_dedup, line_hash, mixing, packing, quality, runs, simhash,
-                           tool_calls, vafile)
+                           tool_calls, vafile, warc)
 from graphloom.llm.common import Scratch
 
 
@@ -78,6 +78,14 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.number_sequences(scratch.table(digests), scratch)
 
 
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = Scratch(spark, "op12").root + "/archives"
+    warc.write_archives(warc.page_records(table(spark, sf, "pages")), folder)
+    read = warc.resolved(warc.read_archives(spark, folder))
+    return read.select(F.col("record_id").try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+                       F.col("kind").alias("record_type"), F.col("refers_to").try_cast("bigint").alias("refers_to"))
+
+
 def op13_order(doc_id: object, n: int) -> np.ndarray | None:
     """The numbers of the words that are read: one document in ten repeats itself from a place on."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -113,10 +121,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_line_hash": op9_line_hash,
     "op10_packing": op10_packing,
+    "op12_warc": op12_warc,
     "op13_runs": op13_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_licenses": licenses.scan_sql(),
     "op8_tool_calls": tool_calls.CONVERSATION_SQL,
+    "op12_warc": warc.PAGES_SQL,
 }
