@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import (cap_filters, licenses, line_dedup, line_hash, mixing, packing, quality, runs, simhash,
-                           tool_calls, vafile, warc)
+from graphloom.llm import (cap_filters, divergence, licenses, line_dedup, line_hash, mixing, packing, quality, runs,
+                           simhash, tool_calls, vafile, warc)
 from graphloom.llm.common import Scratch
 
 
@@ -78,6 +78,10 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.number_sequences(scratch.table(digests), scratch)
 
 
+def op11_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf, "documents").select("text", "lang", "source"))
+
+
 def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = Scratch(spark, "op12").root + "/archives"
     warc.write_archives(warc.page_records(table(spark, sf, "pages")), folder)
@@ -121,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_line_hash": op9_line_hash,
     "op10_packing": op10_packing,
+    "op11_divergence": op11_divergence,
     "op12_warc": op12_warc,
     "op13_runs": op13_runs,
 }
@@ -128,5 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_licenses": licenses.scan_sql(),
     "op8_tool_calls": tool_calls.CONVERSATION_SQL,
+    "op11_divergence": divergence.DOCUMENTS_SQL,
     "op12_warc": warc.PAGES_SQL,
 }
