@@ -21,7 +21,7 @@ from graphloom.operators import relax as xops
 from graphloom.operators.runmetrics import run_summary, with_durations
 from graphloom.plans.layout import prepare_graph
 from graphloom.plans.pagerank import pagerank
-from graphloom.plans.sssp import distance_to, shortest_paths
+from graphloom.plans.sssp import NegativeCycleError, distance_to, shortest_paths
 from graphloom.sources.generator import link_lists, link_table
 from graphloom.sources.runlogs import jobs_from_events, stages_from_events
 from graphloom.sources.sinks import render_adjacency, render_ranks
@@ -43,6 +43,9 @@ SSSP_ORACLE_ROUNDS = 40
 # adjacency chunk, and salt bucket of the forced variants: short, so that lists and hot keys really split
 LIST_LEN = 3
 SMALL_BUCKET = 4
+# factor and modulus of the vertex potentials, and vertices of the negative ring
+POTENTIAL = (37, 101)
+RING = 5
 INF = float("inf")
 
 
@@ -151,6 +154,7 @@ def q_sssp(spark: SparkSession, sf: str) -> DataFrame:
 def q_sssp_target(spark: SparkSession, sf: str) -> DataFrame:
     source, result = orders_paths(spark, sf)
     target = result.layout.vertices.agg(F.max("id")).first()[0]
+    result.layout.close()
     hit = xops.finite_or_null(distance_to(result, target))
     return hit.select(F.lit(source).cast("bigint").alias("source"), F.col("id").alias("target"), "dist")
 
@@ -170,6 +174,43 @@ def q_sssp_salted(spark: SparkSession, sf: str) -> DataFrame:
     return xops.finite_or_null(shortest_paths(layout, source).distances)
 
 
+def potential_graph(g: DataFrame) -> DataFrame:
+    """``g`` with a potential added at each source and taken off at each target: many weights turn negative, no
+    cycle does, and every distance differs from that in ``g`` by the potentials of its ends."""
+    pot = lambda c: (F.col(c) * POTENTIAL[0]) % POTENTIAL[1]
+    return g.withColumn("weight", F.col("weight") + pot("src") - pot("dst"))
+
+
+def q_sssp_negative(spark: SparkSession, sf: str) -> DataFrame:
+    """Shortest paths over negative weights: parents are kept and searched for cycles, and none is found."""
+    layout = prepare_graph(potential_graph(g_orders(spark, sf)))
+    source = layout.vertices.where(F.col("deg") > 0).agg(F.min("id")).first()[0]
+    return xops.finite_or_null(shortest_paths(layout, source).distances)
+
+
+def q_sssp_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """A negative ring through the smallest sources, laid into the order graph: the run ends with a cycle
+    whose edges are in the graph, lead round and weigh less than nothing together."""
+    g = g_orders(spark, sf)
+    few = [r[0] for r in g.select("src").distinct().orderBy("src").limit(RING).collect()]
+    ring = spark.createDataFrame([(a, b, -1000.0) for a, b in zip(few, few[1:] + few[:1])], g.schema)
+    whole = g.unionByName(ring)
+    try:
+        shortest_paths(whole, few[0])
+    except NegativeCycleError as found:
+        cycle = found.cycle
+    size = cycle.count()
+    ahead = cycle.select(F.pmod(F.col("pos") - 1, F.lit(size)).alias("pos"), F.col("src").alias("next"))
+    lightest = whole.groupBy("src", "dst").agg(F.min("weight").alias("known"))
+    told = cycle.join(ahead, "pos").join(lightest, ["src", "dst"], "left")
+    return told.agg(
+        (F.count_if(F.col("dst") == F.col("next")) == size).alias("leads_round"),
+        (F.count_if(F.col("known") == F.col("weight")) == size).alias("in_the_graph"),
+        (F.count_distinct("src") == size).alias("simple"),
+        (F.sum("weight") < 0).alias("negative"),
+    )
+
+
 # ---------------------------------------------------------------- PageRank steps
 
 def href_round_parts(spark: SparkSession, sf: str):
@@ -311,6 +352,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp_target": q_sssp_target,
     "sssp_rounds": q_sssp_rounds,
     "sssp_salted": q_sssp_salted,
+    "sssp_negative": q_sssp_negative,
+    "sssp_cycle": q_sssp_cycle,
     "contributions": q_contributions,
     "dead_end_mass": q_dead_end_mass,
     "rank_outer_fill": q_rank_outer_fill,
@@ -432,6 +475,8 @@ def _oracle() -> dict[str, str]:
         "sssp": sql.sssp_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "sssp_target": sql.sssp_target_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "sssp_salted": sql.sssp_sql("g_orders", SSSP_ORACLE_ROUNDS),
+        "sssp_negative": sql.sssp_shifted_sql("g_orders", SSSP_ORACLE_ROUNDS, *POTENTIAL),
+        "sssp_cycle": "SELECT true AS leads_round, true AS in_the_graph, true AS simple, true AS negative",
         "sssp_rounds": sql.sssp_rounds_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "contributions": w("g_href", *HREF_STEP) + f"SELECT id, {_r('contrib')} AS contrib FROM contrib",
         "dead_end_mass": w("g_href", *HREF_STEP) + f"SELECT num_dead_ends, {_r('mass')} AS mass FROM dead",

@@ -139,6 +139,14 @@ def sssp_sql(graph: str, rounds: int) -> str:
     return with_graph(graph, *sssp_ctes(rounds)) + f"SELECT id, {finite('dist')} AS dist FROM d{rounds}"
 
 
+def sssp_shifted_sql(graph: str, rounds: int, factor: int, modulus: int) -> str:
+    """Distances under potentials, by those without: a path gains its source's potential and loses its target's."""
+    pot = lambda c: f"(({c} * {factor}) % {modulus})"
+    return with_graph(graph, *sssp_ctes(rounds)) + (
+        f"SELECT id, {finite('dist')} + {pot('(SELECT min(src) FROM g)')} - {pot('id')} AS dist FROM d{rounds}"
+    )
+
+
 def sssp_target_sql(graph: str, rounds: int) -> str:
     return with_graph(graph, *sssp_ctes(rounds)) + (
         f"SELECT (SELECT min(src) FROM g) AS source, id AS target, {finite('dist')} AS dist "

@@ -6,18 +6,17 @@ The edge table is prepared once and then never moves again:
   the multiplicity that PageRank needs, ``weight`` the smallest weight that shortest
   paths need. The collapse is a partial (map-side) aggregation, so a hot edge
   repeated a billion times costs one row per map task before the shuffle;
-* a source with very many distinct targets is split into ``nb`` salt buckets of at
-  most ``bucket_size`` targets each (``salt = pmod(xxhash64(dst), nb)``), so no task
-  holds more than about ``bucket_size`` edges of one source;
-* the edges are hash-partitioned by ``(src, salt)`` and written to the session's
-  checkpoint folder. A reliable checkpoint keeps that partitioning, so every round
-  only shuffles the (small) replicated vertex state to the edges.
-
-The partition count ``P`` is chosen from the data: ``ceil((distinct edges + vertices) /
-rows_per_partition)``, whatever the session's setting. ``bucket_size`` is ``BUCKET_SIZE`` at
-every size: a source with more distinct targets than that is "hot", so there are at most
-``distinct edges / bucket_size`` hot sources. Their list is broadcast up to
-``MAX_BROADCAST_HOT`` rows; beyond it a shuffle join takes its place.
+* vertices and edges are bucketed, sorted Parquet tables of ``P`` buckets, by ``id`` and by
+  ``src``: a round joins them bucket by bucket, without moving either. The edge table is also cut into blocks
+  (folders of consecutive buckets), so that a round reads only the blocks that hold vertices with something to send;
+* a source with more than ``bucket_size`` distinct targets is hot. Its edges are a table of their own, dealt to
+  ``nb`` salt buckets of at most ``bucket_size`` targets each (``salt = pmod(xxhash64(dst), nb)``), so no
+  task holds more than about ``bucket_size`` edges of one source. There are at most ``distinct edges /
+  bucket_size`` hot sources; their state rows are broadcast to the hot edges up to ``MAX_BROADCAST_HOT``
+  rows, beyond it they are shuffled per salt bucket.
+
+The bucket count ``P`` is chosen from the data: ``ceil((distinct edges + about the vertices) /
+rows_per_partition)``, whatever the session's setting.
 """
 
 from __future__ import annotations
@@ -28,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from graphloom.plans.loop import loop_partitions
+from graphloom.plans.tables import RunTables, block_of
 from graphloom.session import require_checkpoint_dir
 
 VERTEX_MODES = ("all", "sources")
@@ -45,13 +46,16 @@ class GraphLayout:
     """A prepared graph.
 
     vertices: ``id, deg, ndst, nb`` -- out-degree counting duplicates, distinct
-      out-neighbours, salt buckets; hash-partitioned by ``id``; checkpointed.
-    edges: ``src, salt, dst, mult[, weight]``; hash-partitioned by ``(src, salt)``;
-      checkpointed (no weight column when prepared with ``weight=None``).
+      out-neighbours, salt buckets; bucketed by ``id``.
+    cold: ``src, dst, mult[, weight], block`` of the sources with one salt bucket; bucketed by ``src``, a folder a block.
+    hot: ``src, salt, dst, mult[, weight]`` of the other sources, bucketed by ``(src, salt)``, or None.
+      No weight column when prepared with ``weight=None``.
     """
 
     vertices: DataFrame
-    edges: DataFrame
+    cold: DataFrame
+    hot: DataFrame | None
+    tables: RunTables
     num_vertices: int
     num_edges: int
     num_distinct_edges: int
@@ -60,34 +64,43 @@ class GraphLayout:
     partitions: int
     mode: str
     weighted: bool = True
-
-    def salted(self, frame: DataFrame, id_col: str = "id") -> DataFrame:
-        """Replicate each vertex row once per salt bucket, renaming ``id`` to ``src``.
-
-        The replicas are the build side of a shuffled hash join against the edge table
-        (at most ``vertices + partitions`` rows in all), so the edges stream through
-        unsorted and unmoved.
-        """
-        return frame.withColumnRenamed(id_col, "src").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-        )
-
-
-def checkpoint_partitioned(frame: DataFrame) -> DataFrame:
-    """Reliable checkpoint that keeps the frame's hash partitioning.
-
-    Under adaptive execution the planned output partitioning is unknown until the plan
-    has run, and a checkpoint taken then forgets it, so later joins would shuffle the
-    frame again. The frame is a plain repartition, which adaptive execution has
-    nothing to re-plan in, so it is checkpointed with adaptive execution off.
-    """
-    conf = frame.sparkSession.conf
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return frame.checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", before)
+    min_weight: float | None = None
+
+    @property
+    def edges(self) -> DataFrame:
+        """All edges: ``src, salt, dst, mult[, weight]``."""
+        columns = ["src", "salt", "dst", "mult", *(["weight"] if self.weighted else [])]
+        cold = self.cold.withColumn("salt", F.lit(0)).select(columns)
+        return cold if self.hot is None else cold.unionByName(self.hot.select(columns))
+
+    @property
+    def broadcast_hot(self) -> bool:
+        """Whether the state rows of the hot sources are few enough to broadcast."""
+        return self.num_distinct_edges // self.bucket_size <= MAX_BROADCAST_HOT
+
+    def messages(self, value: str, active: str, columns: str = "") -> str:
+        """SQL of the messages ``id, value[, columns]`` that the rows of ``{state}`` with ``active`` send along ``{cold}``
+        and ``{hot}``; ``value`` and ``columns`` name the edge ``e`` and the sender ``s``."""
+        sent = f"e.dst AS id, {value} AS value{columns}"
+        sql = (f"SELECT /*+ SHUFFLE_HASH(s) */ {sent} FROM {{cold}} e "
+               f"JOIN (SELECT * FROM {{state}} WHERE nb = 1 AND {active}) s ON e.src = s.id")
+        if self.hot is None:
+            return sql
+        if self.broadcast_hot:
+            return sql + (f" UNION ALL SELECT /*+ BROADCAST(s) */ {sent} FROM {{hot}} e "
+                          f"JOIN (SELECT * FROM {{state}} WHERE nb > 1 AND {active}) s ON e.src = s.id")
+        return sql + (f" UNION ALL SELECT /*+ SHUFFLE_HASH(s) */ {sent} FROM {{hot}} e "
+                      f"JOIN (SELECT *, explode(sequence(0, nb - 1)) AS salt FROM {{state}} WHERE nb > 1 AND {active}) s "
+                      f"ON e.src = s.id AND e.salt = s.salt")
+
+    def frames(self, blocks: list[int] | None = None) -> dict[str, DataFrame]:
+        """The edge tables as arguments of a statement; of the cold one only ``blocks``, where given."""
+        cold = self.cold if blocks is None else self.cold.where(F.col("block").isin(blocks))
+        return {"cold": cold} if self.hot is None else {"cold": cold, "hot": self.hot}
+
+    def close(self) -> None:
+        """Delete the prepared tables; results that were computed from them stay."""
+        self.tables.close()
 
 
 def normalize_edges(edges: DataFrame, weight: str | None = "weight") -> DataFrame:
@@ -120,8 +133,8 @@ def prepare_graph(
       the vertex set still count in the out-degree; their share is lost.
     listed: optional frame with column ``id`` of vertices that have a line of their own
       in an adjacency list, possibly with no out-edges (``id: []``).
-    partitions: edge-table and loop partitions; by default ``ceil((distinct edges +
-      vertices) / rows_per_partition)``: a task holds about that many rows at every size.
+    partitions: buckets of the tables and partitions of the loop; by default ``ceil((distinct edges +
+      about the vertices) / rows_per_partition)``: a task holds about that many rows at every size.
     """
     if vertices not in VERTEX_MODES:
         raise ValueError(f"vertices must be one of {VERTEX_MODES}, got {vertices!r}")
@@ -129,13 +142,19 @@ def prepare_graph(
     require_checkpoint_dir(spark)
 
     e = normalize_edges(edges, weight)
-    # read twice below (vertex statistics, salted edges). A reliable checkpoint rather
-    # than persist: adaptive execution sizes its partitions (a cached plan keeps all
-    # spark.sql.shuffle.partitions of them), and a lost executor does not send the
-    # preparation back to the source scan.
+    tables = RunTables(spark, "graph")
+    # read twice below (vertex statistics, bucketed edges); deleted when the edges are written
     weighted = "weight" in e.columns
     pair_aggs = [F.count(F.lit(1)).alias("mult")] + ([F.min("weight").alias("weight")] if weighted else [])
-    pairs = e.groupBy("src", "dst").agg(*pair_aggs).checkpoint(eager=True)
+    sizes = Observation("graph_pairs")
+    watched = [F.count(F.lit(1)).alias("md"), F.approx_count_distinct("src").alias("sources"), F.approx_count_distinct("dst").alias("targets")]
+    if weighted:
+        watched.append(F.min("weight").alias("least"))
+    pairs = tables.save(e.groupBy("src", "dst").agg(*pair_aggs).observe(sizes, *watched), "pairs")
+    md = int(sizes.get["md"])
+    about = max(int(sizes.get["sources"]), int(sizes.get["targets"])) + (0 if listed is None else listed.count())
+    parts = partitions or max(1, math.ceil((md + about) / rows_per_partition))
+    bucket_size = bucket_size or BUCKET_SIZE
     edge_cols = ["dst", "mult"] + (["weight"] if weighted else [])
 
     # one aggregation gives degree, distinct out-neighbours and vertex membership
@@ -177,40 +196,37 @@ def prepare_graph(
         .drop("member")
     )
     totals = Observation("graph_totals")
-    vstats = vstats.observe(
+    nb = F.greatest(F.lit(1), F.ceil(F.col("ndst") / F.lit(bucket_size))).cast("int")
+    vstats = vstats.withColumn("nb", nb).observe(
         totals,
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
-        F.coalesce(F.sum("ndst"), F.lit(0)).alias("md"),
+        F.coalesce(F.sum("ndst"), F.lit(0)).alias("kept"),
         F.count_if(F.col("deg") == 0).alias("sinks"),
-    ).checkpoint(eager=True)
+    )
+    with loop_partitions(spark, parts):  # the aggregation deals the rows to their buckets
+        vtab = tables.save(vstats, "vertices", parts, ("id",))
     t = totals.get
-    n, m, md, sinks = int(t["n"]), int(t["m"]), int(t["md"]), int(t["sinks"])
-    parts = partitions or max(1, math.ceil((md + n) / rows_per_partition))
-
-    bucket_size = bucket_size or BUCKET_SIZE
-    nb = F.greatest(F.lit(1), F.ceil(F.col("ndst") / F.lit(bucket_size))).cast("int")
-    vtab = vstats.withColumn("nb", nb)
+    n, m, md, sinks = int(t["n"]), int(t["m"]), int(t["kept"]), int(t["sinks"])
 
     # at most md / bucket_size sources can exceed bucket_size distinct targets
     max_hot = md // bucket_size
-    if max_hot == 0:
-        # no source can have more than bucket_size targets: one bucket each, no join
-        salted = pairs.select("src", F.lit(0).alias("salt"), *edge_cols)
-    else:
-        hot = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
-        hot_side = F.broadcast(hot) if max_hot <= MAX_BROADCAST_HOT else hot
-        salted = pairs.join(hot_side, "src", "left").select(
-            "src",
-            F.when(F.col("nb").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int"))
-            .alias("salt"),
-            *edge_cols,
-        )
-    etab = checkpoint_partitioned(salted.repartition(parts, "src", "salt"))
+    hot = None
+    few = pairs
+    if max_hot:
+        split = vtab.where(F.col("nb") > 1).select(F.col("id").alias("src"), "nb")
+        split = F.broadcast(split) if max_hot <= MAX_BROADCAST_HOT else split
+        few = pairs.join(split, "src", "left_anti")
+        dealt = pairs.join(split, "src").select("src", F.pmod(F.xxhash64("dst"), F.col("nb")).cast("int").alias("salt"), *edge_cols)
+        hot = tables.save(dealt.repartition(parts, "src", "salt"), "hot", parts, ("src", "salt"))
+    cold = few.repartition(parts, "src").select("src", *edge_cols, block_of("src", parts).alias("block"))
+    cold = tables.save(cold, "cold", parts, ("src",), block="block")
+    tables.drop("pairs")
     return GraphLayout(
         vertices=vtab,
-        edges=etab,
+        cold=cold,
+        hot=hot,
+        tables=tables,
         num_vertices=n,
         num_edges=m,
         num_distinct_edges=md,
@@ -219,4 +235,5 @@ def prepare_graph(
         partitions=parts,
         mode=vertices,
         weighted=weighted,
+        min_weight=sizes.get["least"] if weighted else None,
     )

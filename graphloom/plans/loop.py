@@ -10,13 +10,14 @@ Only these scalars reach the driver, never rows.
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 
+from graphloom.plans.tables import RunTables
+
 
 @dataclass
 class RoundInfo:
@@ -64,39 +65,44 @@ class CheckpointStore:
     def write(self, frame: DataFrame, k: int) -> DataFrame:
         return frame.checkpoint(eager=True)
 
+    def finish(self, k: int) -> None:
+        pass
+
 
 class TableStore:
     """Round states as parquet tables in the session's checkpoint folder.
 
-    Compressed and columnar, and bounded: round ``k`` overwrites the folder of round
-    ``k - 2`` (two folders in turn), so at most two states are on disk however many
+    Compressed and columnar, and bounded: round ``k`` overwrites the table of round
+    ``k - 2`` (two in turn), so at most two states are on disk however many
     rounds run. The state of round ``k - 1`` is never touched while round ``k`` reads it.
-    With ``keep_all`` (round history is wanted) every round gets its own folder.
+    With ``keep_all`` (round history is wanted) every round gets its own. With ``buckets`` the tables are
+    bucketed by ``key``, as the prepared vertices and edges are: the next round joins them where they lie.
     """
 
     kind = "table"
 
-    def __init__(self, spark, keep_all: bool = False):
-        from graphloom.session import require_checkpoint_dir
+    def __init__(self, spark, keep_all: bool = False, buckets: int = 0, key: str = "id"):
+        self.tables = RunTables(spark, "state")
+        self.base = self.tables.root
+        self.keep_all, self.buckets, self.key = keep_all, buckets, key
 
-        self.spark = spark
-        self.base = f"{require_checkpoint_dir(spark).rstrip('/')}/graphloom-{uuid.uuid4().hex}"
-        self.keep_all = keep_all
-
-    def path(self, k: int) -> str:
-        return f"{self.base}/round-{k}" if self.keep_all else f"{self.base}/state-{k % 2}"
+    def name(self, k: int) -> str:
+        return f"round-{k}" if self.keep_all else f"state-{k % 2}"
 
     def write(self, frame: DataFrame, k: int) -> DataFrame:
-        path = self.path(k)
-        frame.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.tables.save(frame, self.name(k), self.buckets, (self.key,) if self.buckets else ())
+
+    def finish(self, k: int) -> None:
+        """Delete all states but what a result of ``k`` rounds reads."""
+        if not self.keep_all:
+            self.tables.close(keep=(self.name(k),))
 
 
-def choose_store(spark, keep_all: bool, store: str = "table"):
+def choose_store(spark, keep_all: bool, store: str = "table", buckets: int = 0):
     """``table``: compressed Parquet, at most two states on disk, at every size;
     ``checkpoint``: Spark's checkpoints, for a caller who asks for them."""
     if store == "table":
-        return TableStore(spark, keep_all)
+        return TableStore(spark, keep_all, buckets)
     if store == "checkpoint":
         return CheckpointStore()
     raise ValueError(f"state store must be table or checkpoint, got {store!r}")
@@ -143,4 +149,6 @@ def iterate(
         reason = stop(k, last)
         if reason:
             trace.stop_reason = reason
+            if store is not None:
+                store.finish(k)
             return state, trace

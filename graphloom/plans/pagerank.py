@@ -1,10 +1,9 @@
 """PageRank as a loop of DataFrame rounds.
 
-Per round: the vertex state ``(id, deg, nb, rank)`` is replicated per salt
-bucket and shuffled to the checkpointed, ``(src, salt)``-partitioned edge table; each
-edge emits ``rank / deg * mult`` to its target; the messages are unioned with the
-vertex rows and summed per id (map-side partial sums first, so a target with a huge
-in-degree costs one row per task before the shuffle). Dead-end mass, the L1 change
+Per round: the vertex state ``(id, deg, nb, rank)`` meets the edges in their common buckets; each
+edge emits ``rank / deg * mult`` to its target; the messages are summed per id (map-side partial sums first,
+so a target with a huge in-degree costs one row per task before the shuffle) and meet the state in its
+buckets: only the messages move. Dead-end mass, the L1 change
 and the rank total come back as observed metrics of the same action.
 
 Formulas (``n`` vertices, ``d`` damping, ``S`` the summed in-shares, ``D`` the rank
@@ -63,25 +62,10 @@ def initial_state(layout: GraphLayout) -> DataFrame:
 # One round as one statement: analysed once per round (a chain of DataFrame calls is
 # analysed call by call, which costs more than the round itself on small graphs).
 ROUND_SQL = """
-WITH shares AS (
-  SELECT id AS src, explode(sequence(0, nb - 1)) AS salt, rank / deg AS share
-  FROM {state} WHERE deg > 0
-),
-messages AS (
-  SELECT /*+ SHUFFLE_HASH(s) */ e.dst AS id, CAST(NULL AS BIGINT) AS deg,
-         CAST(NULL AS INT) AS nb, CAST(NULL AS DOUBLE) AS prev, s.share * e.mult AS c
-  FROM {edges} e JOIN shares s ON e.src = s.src AND e.salt = s.salt
-),
-summed AS (
-  SELECT id, max(deg) AS deg, max(nb) AS nb, max(prev) AS prev,
-         sum(c) AS s, count(c) AS nin
-  FROM (SELECT id, deg, nb, rank AS prev, CAST(NULL AS DOUBLE) AS c FROM {state}
-        UNION ALL SELECT id, deg, nb, prev, c FROM messages) u
-  GROUP BY id
-)
-SELECT id, deg, nb, RANK_EXPR AS rank, prev
-FROM summed
-WHERE deg IS NOT NULL  -- shares sent to targets outside the vertex set are lost
+WITH messages AS (MESSAGES),
+summed AS (SELECT id, sum(value) AS s, count(value) AS nin FROM messages GROUP BY id)
+SELECT /*+ SHUFFLE_HASH(m) */ v.id, v.deg, v.nb, RANK_EXPR AS rank, v.rank AS prev
+FROM {state} v LEFT JOIN summed m ON v.id = m.id  -- shares sent to targets outside the vertex set are lost
 """
 
 RANK_EXPR = {
@@ -94,17 +78,14 @@ def rank_round(layout: GraphLayout, state: DataFrame, damping: float,
                dead_mass: float, mode: str) -> DataFrame:
     """One PageRank round from ``state`` (lazy). The result carries ``prev``.
 
-    Each state row is replicated per salt bucket of its vertex and shuffled to the
-    unmoved edge partitions (hash join built on the replicas); messages and vertex
-    rows meet in one aggregation (partial sums on the map side).
+    State and edges join in their buckets; the summed messages are the one exchange.
     """
     n = layout.num_vertices
     d = float(damping)
     base = (1.0 - d) / n + d * dead_mass / n
-    query = ROUND_SQL.replace("RANK_EXPR", RANK_EXPR[mode])
-    return state.sparkSession.sql(
-        query, args={"base": base, "d": d}, state=state, edges=layout.edges
-    )
+    messages = layout.messages("s.rank / s.deg * e.mult", "deg > 0")
+    query = ROUND_SQL.replace("RANK_EXPR", RANK_EXPR[mode]).replace("MESSAGES", messages)
+    return state.sparkSession.sql(query, args={"base": base, "d": d}, state=state, **layout.frames())
 
 
 def pagerank(
@@ -164,13 +145,15 @@ def pagerank(
         if history:
             kept.append((k, state))
 
-    spark = layout.edges.sparkSession
-    store = choose_store(spark, keep_all=history, store=state_store)
+    spark = layout.vertices.sparkSession
+    store = choose_store(spark, history, state_store, layout.partitions)
     with loop_partitions(spark, layout.partitions):
         final, trace = iterate(
             initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
             initial_metrics={"dead_mass": layout.num_sinks / n}, store=store,
         )
+    if not isinstance(edges, GraphLayout):
+        layout.close()  # a graph that the caller prepared stays theirs
     hist = None
     if history:
         parts = [s.select(F.lit(k).cast("bigint").alias("round"), "id", "rank") for k, s in kept]

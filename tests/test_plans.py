@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from graphloom import prepare_graph
 from graphloom.operators import graph as gops
 from graphloom.operators import rank as rops
+from graphloom.plans.loop import loop_partitions
 from graphloom.plans.pagerank import initial_state, rank_round
 from graphloom.plans.sssp import relax_frontier
 from graphloom.sources.generator import link_table
@@ -22,12 +23,17 @@ def hub_graph(spark):
     return spark.createDataFrame(rows, "src bigint, dst bigint")
 
 
-def test_prepared_edges_keep_hash_partitioning(spark, hub_graph):
+def test_prepared_tables_are_bucketed(spark, hub_graph):
     layout = prepare_graph(hub_graph, partitions=4, bucket_size=10, weight=None)
-    part = layout.edges._jdf.queryExecution().executedPlan().outputPartitioning().toString()
     # no constant weight column is carried for PageRank layouts
     assert layout.edges.columns == ["src", "salt", "dst", "mult"] and not layout.weighted
-    assert part.startswith("hashpartitioning(src") and "salt" in part and part.endswith(", 4)")
+    # buckets meet without an exchange: vertices with edges, hot edges with themselves
+    met = layout.cold.hint("shuffle_hash").join(layout.vertices, layout.cold["src"] == layout.vertices["id"])
+    other = layout.hot.select(F.col("src").alias("s"), F.col("salt").alias("t"))
+    salted = layout.hot.hint("shuffle_hash").join(other, (F.col("src") == F.col("s")) & (F.col("salt") == F.col("t")))
+    for frame in (met, salted):
+        plan = executed(frame)
+        assert "ShuffledHashJoin" in plan and "Exchange" not in plan
     # duplicates collapsed with their multiplicity
     assert layout.num_edges == 85 and layout.num_distinct_edges == 80
     # the hub is split into ceil(40 / 10) buckets, every other source into one
@@ -37,21 +43,21 @@ def test_prepared_edges_keep_hash_partitioning(spark, hub_graph):
     assert sum(per_salt.values()) == 40 and len(per_salt) > 1
 
 
-def test_round_moves_only_vertex_state(spark, hub_graph):
-    layout = prepare_graph(hub_graph, partitions=4, bucket_size=10, weight=None)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = executed(rank_round(layout, initial_state(layout), 0.85, 0.0, "standard"))
+def test_a_round_moves_only_its_messages(spark, hub_graph):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    with loop_partitions(spark, 4):
+        layout = prepare_graph(hub_graph, partitions=4, bucket_size=10, weight=None)
+        plans = [executed(rank_round(layout, initial_state(layout), 0.85, 0.0, "standard"))]
         weighted = prepare_graph(hub_graph, partitions=4, bucket_size=10)
-        sssp_state = weighted.vertices.select("id", "nb", F.lit(0.0).alias("dist"), F.lit(True).alias("active"))
-        plan2 = executed(relax_frontier(weighted, sssp_state))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    for p in (plan, plan2):
-        # one exchange for the replicated vertex rows, one for the per-vertex aggregate
-        assert p.count("Exchange hashpartitioning") == 2
-        assert "ShuffledHashJoin" in p and "BuildRight" in p
-        assert "partial_" in p  # map-side partial aggregation before the shuffle
+        state = weighted.vertices.select("id", "nb", F.lit(0.0).alias("dist"), F.lit(True).alias("active"))
+        plans.append(executed(relax_frontier(weighted, state)))
+        parents = state.withColumn("parent", F.lit(None).cast("bigint"))
+        plans.append(executed(relax_frontier(weighted, parents, [1, 2])))
+    for p in plans:
+        # the messages, reduced on the map side first; hot sources are broadcast
+        assert p.count("Exchange hashpartitioning") == 1 and p.count("BroadcastExchange") == 1
+        assert p.count("ShuffledHashJoin") == 2 and "partial_" in p
+    assert "block#" in plans[2].split("PartitionFilters", 1)[1] and "IN (1,2)" in plans[2]
 
 
 def test_with_position_is_a_total_order(spark):
