@@ -124,36 +124,50 @@ class _Archive:
         self.file = system.open_input_file(inner)
         self.low, self.data = 0, b""
 
+    def _load(self, low: int, high: int) -> None:
+        self.file.seek(low)
+        self.low, self.data = low, self.file.read(high - low)
+
     def bytes(self, low: int, high: int) -> bytes:
         """[low, high), shorter at the file's end; the bytes held are kept for the next call."""
         if low < self.low or high > self.low + len(self.data):
-            self.file.seek(low)
-            self.low, self.data = low, self.file.read(high - low)
+            self._load(low, high)
         return self.data[low - self.low:high - self.low]
 
     def header(self, at: int, size: int) -> tuple[dict[bytes, bytes], int, int] | None:
         """Fields of the record at ``at``, where its block begins and its length; None where none can begin."""
-        magic, gap = MAGIC.encode(), HEADER_BYTES
+        gap = HEADER_BYTES
         while True:
-            data = self.bytes(at, min(size, max(at + gap, self.low + len(self.data))))
-            if not data.startswith(magic):
-                return None
-            end = data.find(RECORD_END.encode())
-            if end >= 0:
-                break
-            if at + len(data) >= size:
-                return None
+            if self.low <= at < self.low + len(self.data):
+                found = self._fields(at - self.low)
+                if found is not False:
+                    return found
+                if self.low + len(self.data) >= size:
+                    return None
+            self._load(at, min(size, at + gap))  # the header block goes on behind the bytes held
             gap *= 4
-        fields = {}
-        for line in data[len(magic):end].split(b"\r\n"):
-            name, colon, value = line.partition(b":")
+
+    def _fields(self, at: int) -> tuple[dict[bytes, bytes], int, int] | None | bool:
+        """``header`` in the bytes held; False where they end before the header block does."""
+        data, fields = self.data, {}
+        if len(data) - at < len(MAGIC):
+            return False
+        if not data.startswith(MAGIC.encode(), at):
+            return None
+        at += len(MAGIC)
+        while True:
+            end = data.find(b"\r\n", at)
+            if end < 0:
+                return False
+            if end == at:
+                break
+            name, colon, value = data[at:end].partition(b":")
             if not colon:
                 return None
             fields[name.strip().lower()] = value.strip()
+            at = end + 2
         length = fields.get(b"content-length", b"")
-        if not length.isdigit():
-            return None
-        return fields, at + end + 4, int(length)
+        return (fields, self.low + end + 2, int(length)) if length.isdigit() else None
 
 
 def candidates(ranges: DataFrame) -> DataFrame:
