@@ -1,13 +1,15 @@
-"""Substring dedup by line hashing.
+"""Substring dedup by hashing the sentences of each line.
 
-Lines are normalised (lower case, white space runs to one blank, trimmed) and digested. Digests are
-grouped globally; each keeps its earliest occurrence, by document key and offset. A line whose digest
-has an earlier occurrence is a repeat. Runs of consecutive repeats with ``min_words`` words or more together
-are removed; the removed spans keep their offsets in the original text, with the place that was kept.
+Texts are cut at line feeds and behind ``.``, ``!`` and ``?``, so that a passage pasted into a line shares its units with its
+other places. Units are normalised (lower case, white space runs to one blank, trimmed) and digested. Digests are
+grouped globally; each keeps its earliest occurrence, by document key and offset. A unit whose digest
+has an earlier occurrence is a repeat. Runs of consecutive repeats are told with their words; those of ``min_words`` or more
+are removed, and the removed spans keep their offsets in the original text, with the place that was kept.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,32 +19,36 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import Scratch, fresh_name
 
-# words of the shortest run that is removed
-MIN_WORDS = 50
+# words of the shortest run that is removed. A passage of over 50 words whose first and last sentences are joined to
+# other words where it stands again shows at least about this many words of whole sentences
+MIN_WORDS = 40
+UNIT = re.compile(r"[^\n.!?]*[.!?]+|[^\n.!?]+")
 
 
 def line_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, h`` (hash of the whole text), ``line``, ``start``, ``end`` (characters, end exclusive), ``words``,
-    ``d1, d2`` (128-bit digest of the normalised line). Null texts have no lines."""
+    """``key, h`` (hash of the whole text), ``line`` (number of the unit), ``start``, ``end`` (characters, end exclusive), ``words``,
+    ``d1, d2`` (128-bit digest of the normalised unit). Units have words; null texts have no units."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             out: dict[str, list] = {c: [] for c in ("key", "h", "line", "start", "end", "words", "d1", "d2")}
+            keys, hs, numbers, starts, ends, counts, d1, d2 = out.values()
             for doc, h, t in zip(part["key"], part["h"], part["text"]):
                 if t is None:
                     continue
-                at = 0
-                for i, line in enumerate(t.split("\n")):
-                    words = line.lower().split()
-                    digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-                    for c, v in zip(out, (doc, h, i, at, at + len(line), len(words),
-                                          int.from_bytes(digest[:8], "big", signed=True),
-                                          int.from_bytes(digest[8:], "big", signed=True))):
-                        out[c].append(v)
-                    at += len(line) + 1
-                if len(out["h"]) > 50_000:
-                    yield pd.DataFrame(out)
-                    out = {c: [] for c in out}
+                n = 0
+                for unit in UNIT.finditer(t):
+                    words = unit.group().lower().split()
+                    if words:
+                        digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
+                        keys.append(doc), hs.append(h), numbers.append(n), starts.append(unit.start()), ends.append(unit.end())
+                        counts.append(len(words)), d1.append(int.from_bytes(digest[:8], "big", signed=True))
+                        d2.append(int.from_bytes(digest[8:], "big", signed=True))
+                        n += 1
+                        if len(hs) > 50_000:
+                            yield pd.DataFrame(out)
+                            out = {c: [] for c in out}
+                            keys, hs, numbers, starts, ends, counts, d1, d2 = out.values()
             if out["h"]:
                 yield pd.DataFrame(out)
 
@@ -54,12 +60,12 @@ def line_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The removed spans: ``key, text_hash, start, end, n_lines, n_words, kept_<key>, kept_start``.
+    """Runs of repeated units: ``key, text_hash, start, end, n_lines`` (units), ``n_words, kept_<key>, kept_start``.
 
-    Occurrences rank by key (null last), text hash, start. ``kept_*`` is the kept place of the span's first line with
-    words. Lines without words join the run around them and count no words; a run needs one line with words.
-    Rows that agree in key and text are one document, so they do not repeat each other. A short line that is
-    repeated alone stays. Null and empty texts have no spans, nor has an empty table.
+    ``min_words`` leaves out shorter runs; 1 tells every repeat. Occurrences rank by key (null last), text hash, start.
+    ``kept_*`` is the kept place of the run's first unit. White space and empty lines between units do not end a run.
+    Rows that agree in key and text are one document, so they do not repeat each other. Null and empty texts have no spans,
+    nor has an empty table.
     """
     scratch = Scratch(docs.sparkSession, "linehash")
     kind = docs.schema[key].dataType
@@ -69,19 +75,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     firsts = (lines.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("latest"))
               .where("first <> latest").select("d1", "d2", "first"))
     firsts = scratch.table(firsts)
-    blank = lines.where("words = 0").select("last", "key", "h", "line", "start", "end", "words",
-                                            F.lit(None).cast("struct<last:boolean,key:%s,h:bigint,start:bigint>"
-                                                             % kind.simpleString()).alias("first"))
-    later = (lines.where("words > 0").join(firsts, ["d1", "d2"]).where(place != F.col("first"))
+    later = (lines.join(firsts, ["d1", "d2"]).where(place != F.col("first"))
              .select("last", "key", "h", "line", "start", "end", "words", "first"))
-    repeats = later.unionByName(blank).dropDuplicates(["key", "h", "line"])
-    # runs of consecutive lines: within a document the difference of line number and rank is constant
+    repeats = later.dropDuplicates(["key", "h", "line"])
+    # runs of consecutive units: within a document the difference of number and rank is constant
     in_doc = Window.partitionBy("key", "h").orderBy("line")
     runs = repeats.withColumn("run", F.col("line") - F.row_number().over(in_doc))
     spans = runs.groupBy("key", "h", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_lines"),
-        F.sum("words").alias("n_words"), F.min_by("first", F.when(F.col("words") > 0, F.col("line"))).alias("first"))
-    wanted = spans.where((F.col("n_words") >= min_words) & (F.col("n_words") > 0))
+        F.sum("words").alias("n_words"), F.min_by("first", "line").alias("first"))
+    wanted = spans.where(F.col("n_words") >= min_words)
     return wanted.select(F.col("key").alias(key), F.col("h").alias("text_hash"), "start", "end", "n_lines", "n_words",
                          F.col("first.key").alias(f"kept_{key}"), F.col("first.start").alias("kept_start"))
 
@@ -100,8 +103,10 @@ def without_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     spans_out = F.coalesce(cuts[gone], F.array().cast("array<struct<start:bigint,end:bigint>>"))
     whole = F.char_length(rows[text]).cast("bigint")
     zero = F.array(F.lit(0).cast("bigint"))
-    # a part begins behind a span and its line feed, and ends before the next span
-    begins = F.concat(zero, F.transform(spans_out, lambda c: F.least(c["end"] + 1, whole)))
+    # a span of whole lines takes its last line feed along; a part ends before the next span
+    at = lambda i: F.substring(rows[text], i.cast("int") + 1, F.lit(1))
+    lines = lambda c: ((c["start"] == 0) | (at(c["start"] - 1) == "\n")) & (at(c["end"]) == "\n")
+    begins = F.concat(zero, F.transform(spans_out, lambda c: c["end"] + F.when(lines(c), 1).otherwise(0)))
     ends = F.concat(F.transform(spans_out, lambda c: c["start"]), F.array(whole))
     parts_kept = F.filter(F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("start"), e.alias("end"))), lambda s: s["end"] > s["start"])
     stay = F.when(rows[text].isNotNull(), parts_kept)
