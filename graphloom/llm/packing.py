@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,10 @@ from graphloom.llm.common import Scratch, fresh_name, numbered
 
 MAX_TOKENS = 1024
 END_ID = 0
-# words whose ids a Python worker remembers; forgotten together when there are more
-REMEMBERED_WORDS = 1_000_000
+# bytes of the words and ids that a Python worker remembers within a task, the objects around them counted in. They
+# are kept in two halves: when the younger is full it takes the older one's place, so that words still in use stay. A
+# longer word is never kept
+REMEMBERED_BYTES, LONGEST_KEPT = 96 << 20, 32
 # the pre-tokenizer never joins a word, with the blank before it, to its neighbours, nor letters to
 # the full stop or comma that ends their word; white space follows the pre-tokenizer's own rule
 UNITS = re.compile(r" ?[^\W\d_]+(?=[.,]?(?:\s|\Z))|[.,](?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
@@ -39,18 +42,22 @@ class WordCachedTokenizer:
     ``UNITS``; a text with an added token's string or an odd control character is encoded whole.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-        self.remembered = remembered
+        self.older: dict[str, bytes] = {}
+        self.held, self.remembered = 0, remembered
+        self.model = self.tokenizer.model
+        # byte-level models name the bytes that print by their own character, the others by characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.names = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(others)}}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -58,16 +65,38 @@ class WordCachedTokenizer:
         if ODD_SPACE.search(text) or any(t in text for t in self.added):
             return self._ids([text])[0]
         units = UNITS.findall(text)
-        self.learn(units)
-        return b"".join(map(self.known.__getitem__, units))
-
-    def learn(self, units: list[str]) -> None:
-        fresh = list(set(units).difference(self.known))
-        if len(self.known) + len(fresh) > self.remembered:
-            self.known.clear()
-            fresh = list(set(units))
-        if fresh:
-            self.known.update(zip(fresh, self._ids(fresh)))
+        fresh = set(units).difference(self.known)
+        if not fresh:
+            return b"".join(map(self.known.__getitem__, units))
+        found = {u: self.older[u] for u in fresh if u in self.older}
+        if len(found) < len(fresh):
+            found.update(self._unit_ids([u for u in fresh if u not in found]))
+        self.known.update(found)
+        out = b"".join(map(self.known.__getitem__, units))
+        for unit, ids in found.items():
+            if len(unit) > LONGEST_KEPT:
+                del self.known[unit]
+            else:
+                self.held += 250 + len(unit) + len(ids)
+        if self.held > self.remembered // 2:
+            self.older, self.known, self.held = self.known, {}, 0
+        return out
+
+    def _unit_ids(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units. Letters alone, with or without the blank before them, are one piece to the pre-tokenizer: the
+        model gets them as they are. All else goes through the whole tokenizer."""
+        found, rest, tokenize = {}, [], self.model.tokenize
+        for u in units:
+            if u.removeprefix(" ").isalpha():
+                piece = u.encode("utf-8").decode("latin-1").translate(self.names)
+                found[u] = np.array([t.id for t in tokenize(piece)], "<u4").tobytes()
+            else:
+                rest.append(u)
+        found.update(zip(rest, self._ids(rest)))
+        return found
+
+    def forget(self) -> None:
+        self.known, self.older, self.held = {}, {}, 0
 
 
 @lru_cache(maxsize=2)
@@ -105,7 +134,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _tokenizer(tokenizer).encode
+        known = _tokenizer(tokenizer)
+        encode = known.encode
         for part in batches:
             base = part.drop(columns=[text])
             at, rows, held = [], [], 0
@@ -121,6 +151,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                     at, rows, held = [], [], 0
             if rows:
                 yield _joined(base, at, rows, names)
+        known.forget()  # the worker lives on for other tasks
 
     return docs.select(*[f.name for f in rest], text).mapInPandas(run, schema)
 
