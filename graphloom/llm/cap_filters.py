@@ -28,9 +28,12 @@ from graphloom.llm.common import Scratch, fresh_name
 from graphloom.llm.components import connected_components
 
 MIN_COSINE = 0.98
-# filters a vector meets on average, least number it is given, vectors that a filter holds on
-# average within all labels, blocks of the product code
-FILTERS, LEAST_FILTERS, FILTER_ROWS, BLOCKS = 14, 5, 64, 4
+# filters a vector meets on average, vectors that a filter holds on average within all labels, blocks of the product code
+FILTERS, FILTER_ROWS, BLOCKS = 14, 64, 4
+# the share of pairs at exactly MIN_COSINE that are to meet in a filter, drawn pairs it is measured on, and the least numbers of
+# filters a vector may be given for it, tried in turn
+RECALL, DRAWN = 0.97, 2000
+LEAST_FILTERS = [5, 6, 7, 8, 10, 12, 14, 17, 20, 24, 28, 34, 40, 48, 56, 68, 80, 96]
 # rows of a bucket compared in one block; rows of the buckets that go to a task together
 BUCKET_ROWS, GROUP_ROWS = 2048, 16384
 SEED = 20
@@ -52,6 +55,28 @@ class ProductCode:
             self.words.append(w / np.linalg.norm(w, axis=1, keepdims=True) / math.sqrt(self.blocks))
         # the cap's threshold: an inner product with a random unit vector is close to normal
         self.threshold = NormalDist().inv_cdf(1 - share) / math.sqrt(dim)
+        self.least = self._least(rng)
+
+    def _least(self, rng: np.random.Generator) -> int:
+        """The least number of filters a vector is given: the smallest with which drawn pairs of cosine ``MIN_COSINE`` meet in a
+        filter often enough. Caps shrink as rows grow, so it depends on the rows and the dimension."""
+        dim = len(self.rotation)
+        every = self.size ** self.blocks
+        if dim < 2:
+            return min(LEAST_FILTERS[0], every)
+        x, y = rng.standard_normal((2, DRAWN, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        y = MIN_COSINE * x + math.sqrt(1 - MIN_COSINE ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+        met = np.zeros(DRAWN, bool)
+        for least in LEAST_FILTERS:
+            self.least = min(least, every)
+            left = np.flatnonzero(~met)  # more filters part no pair that met
+            both = self.filters(np.concatenate([x[left], y[left]]))
+            met[left] = [len(np.intersect1d(a, b, assume_unique=True)) > 0 for a, b in zip(both, both[len(left):])]
+            if met.mean() >= RECALL or self.least == every:
+                break
+        return self.least
 
     def decode(self, unit: np.ndarray, threshold: float, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, filter, score) of all filters that rows ``pick`` of ``unit`` meet."""
@@ -76,10 +101,10 @@ class ProductCode:
 
     def filters(self, unit: np.ndarray) -> list[np.ndarray]:
         """The sorted filters of each row: all above the threshold, and where these are fewer
-        than ``LEAST_FILTERS``, the best ones below it."""
+        than ``least``, the best ones below it."""
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(unit)
         left, threshold = np.arange(len(unit)), self.threshold
-        least = min(LEAST_FILTERS, self.size ** self.blocks)
+        least = self.least
         while len(left):
             row, code, total = self.decode(unit, threshold, left)
             order = np.lexsort((-total, row))

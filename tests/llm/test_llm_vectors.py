@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from graphloom.llm import cap_filters, vafile
 from graphloom.llm.common import Scratch
@@ -55,6 +56,17 @@ def test_recall_at_the_threshold_for_any_number_of_rows():
         assert sum(shared) / len(shared) >= 0.95, total
 
 
+@pytest.mark.parametrize("dim,total", [(64, 10 ** 8), (64, 10 ** 9), (384, 50_000), (384, 10 ** 8), (384, 10 ** 9), (8, 1000)])
+def test_recall_of_other_dimensions_and_more_rows(dim, total):
+    rng = np.random.default_rng(6)
+    x, y = rng.standard_normal((2, 400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.98 * x + math.sqrt(1 - 0.98 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    code = cap_filters.ProductCode(dim, total)
+    assert np.mean([bool(set(a) & set(b)) for a, b in zip(code.filters(x), code.filters(y))]) >= 0.95
+
+
 def test_list_decoding_finds_all_filters():
     code = cap_filters.ProductCode(16, 500)
     rng = np.random.default_rng(2)
