@@ -104,3 +104,17 @@ def fresh_name(taken: list[str], wanted: str) -> str:
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")
+
+
+def release_memory() -> None:
+    """Hand freed memory of a Python worker back to the system: workers live on between tasks, beside the
+    other workers of their executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

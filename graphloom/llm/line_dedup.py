@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import Scratch, fresh_name
+from graphloom.llm.common import Scratch, fresh_name, release_memory
 
 MIN_JACCARD = 0.8
 # cells of the word count table; most postings of one block of a prefix word's group; postings that
@@ -37,17 +37,19 @@ BATCH_WORDS, BATCH_LINES, LINE_BITS = 500_000, 200_000, 18
 PAIRS = 500_000
 # partners named by a class in one group at first, half of them earliest, half nearest
 PARTNERS = 8
-# hashes of words, and classes already handed on, that a Python worker remembers
-REMEMBERED, REMEMBERED_CLASSES = 500_000, 150_000
+# hashes of words, of LONGEST_KEPT bytes at most, and classes already handed on, that a Python worker remembers
+REMEMBERED, LONGEST_KEPT, REMEMBERED_CLASSES = 200_000, 32, 150_000
 # stands for a null key, which comes last
 NULL_KEY = (1 << 63) - 1
 
 
 class _Hashes(dict):
-    """64-bit hashes of words, remembered by the worker."""
+    """64-bit hashes of words, remembered by the worker until its task ends."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST_KEPT:
+            self[word] = value
         return value
 
 
@@ -102,6 +104,8 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
                         lists = docs, hs, lines, heads, sizes, words = [], [], [], [], [], []
     if words:
         yield _Block(*lists)
+    _hashes.clear()
+    release_memory()
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -136,6 +140,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                     add()
                     met = 0
         add()
+        _hashes.clear()
+        release_memory()
         used = np.nonzero(cells)[0]
         yield pd.DataFrame({"cell": used, "n": cells[used]})
 

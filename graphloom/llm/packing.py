@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from graphloom.llm.common import Scratch, fresh_name, numbered
+from graphloom.llm.common import Scratch, fresh_name, numbered, release_memory
 
 MAX_TOKENS = 1024
 END_ID = 0
@@ -56,6 +57,7 @@ class WordCachedTokenizer:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         self.names = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(others)}}
+        self.blank = chr(self.names[32])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -88,8 +90,12 @@ class WordCachedTokenizer:
         found, rest, tokenize = {}, [], self.model.tokenize
         for u in units:
             if u.removeprefix(" ").isalpha():
-                piece = u.encode("utf-8").decode("latin-1").translate(self.names)
-                found[u] = np.array([t.id for t in tokenize(piece)], "<u4").tobytes()
+                if u.isascii():
+                    piece = self.blank + u[1:] if u[0] == " " else u
+                else:
+                    piece = u.encode("utf-8").decode("latin-1").translate(self.names)
+                ids = [t.id for t in tokenize(piece)]
+                found[u] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 rest.append(u)
         found.update(zip(rest, self._ids(rest)))
@@ -151,7 +157,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                     at, rows, held = [], [], 0
             if rows:
                 yield _joined(base, at, rows, names)
-        known.forget()  # the worker lives on for other tasks
+        known.forget()
+        release_memory()
 
     return docs.select(*[f.name for f in rest], text).mapInPandas(run, schema)
 

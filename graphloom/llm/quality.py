@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from graphloom.llm.common import fresh_name
+from graphloom.llm.common import fresh_name, release_memory
 
 PASSAGE_WORDS = 64
 # hashed byte pairs; further statistics of a passage
@@ -211,6 +211,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             out[value] = scores
             out[predicted] = (scores >= threshold).astype(np.int32)
             yield out
+        release_memory()
 
     rows = docs.select(*[f.name for f in rest], (fold(F.col(key)) == 0).alias(held), F.col(text).alias(body))
     return rows.mapInPandas(run, StructType([*rest, *fields]))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from graphloom.llm.common import Scratch, fresh_name
+from graphloom.llm.common import Scratch, fresh_name, release_memory
 from graphloom.llm.components import connected_components
 
 # fixed values: word shingle length, bits that may differ, seed of the shingle hash
@@ -68,6 +68,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp", wid
             out = part.drop(columns=[text])
             out[name] = np.fromiter((fingerprint(t, width) for t in part[text]), np.int64, len(part))
             yield out
+        release_memory()
 
     return docs.select(*[f.name for f in rest], text).mapInPandas(
         run, StructType([*rest, StructField(name, LongType())]))
