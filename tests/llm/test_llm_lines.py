@@ -148,3 +148,58 @@ def test_repeated_rows_are_one_document(spark):
     assert [r["doc_id"] for r in line_hash.repeated_spans(frame).collect()] == [2]
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_hash.repeated_spans(empty).collect() == [] and line_hash.without_spans(empty).collect() == []
+
+
+def slow_spans(rows, min_words):
+    """(doc, start, end, words) of runs of sentences that stand earlier, by plain loops over (doc, offset)."""
+    units = []
+    for doc, text in sorted(rows):
+        own, at = [], 0
+        for line in text.split("\n"):
+            begin = 0
+            for i, c in enumerate(line):
+                ends = c in ".!?" and (i + 1 == len(line) or line[i + 1] not in ".!?")
+                if ends or i + 1 == len(line):
+                    words = line[begin:i + 1].lower().split()
+                    if words:
+                        own.append((at + begin, at + i + 1, tuple(words)))
+                    begin = i + 1
+            at += len(line) + 1
+        units.append((doc, own))
+    met, out = set(), []
+    for doc, own in units:
+        run = []
+        for unit in [*own, None]:
+            if unit and unit[2] in met:
+                run.append(unit)
+                continue
+            if run and sum(len(u[2]) for u in run) >= min_words:
+                out.append((doc, run[0][0], run[-1][1], sum(len(u[2]) for u in run)))
+            run = []
+            if unit:
+                met.add(unit[2])
+    return sorted(out)
+
+
+def test_sentences_inside_lines_equal_brute_force(spark):
+    rng = random.Random(11)
+    pool = [" ".join(rng.choice("abcdef") * rng.randint(1, 3) for _ in range(rng.randint(1, 9))) for _ in range(30)]
+    rows = []
+    for d in range(60):
+        parts = [rng.choice(pool) + rng.choice([". ", "! ", "?\n", "... ", "\n", "\n\n  \n", " "]) for _ in range(rng.randint(0, 12))]
+        rows.append((d, "".join(parts)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for least in (1, 20):
+        got = line_hash.repeated_spans(frame, min_words=least).collect()
+        assert sorted((r["doc_id"], r["start"], r["end"], r["n_words"]) for r in got) == slow_spans(rows, least)
+
+
+def test_a_passage_pasted_into_a_line_goes(spark):
+    passage = " ".join(f"Sentence {i} has its own six words." for i in range(9))
+    rows = [(1, f"Here. {passage} And on."), (2, f"Other words! {passage} The rest.\nLast line")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept_spans", line_hash.F.lit("taken"))
+    [span] = line_hash.repeated_spans(frame).collect()
+    assert (span["doc_id"], rows[1][1][span["start"]:span["end"]]) == (2, " " + passage)
+    cut = {r["doc_id"]: r for r in line_hash.without_spans(frame).collect()}
+    assert cut[2]["text"] == "Other words! The rest.\nLast line" and cut[1]["text"] == rows[0][1]
+    assert cut[2]["kept_spans"] == "taken" and len(cut[2]["_kept_spans"]) == 2
