@@ -523,14 +523,29 @@ def link_table_sql(seed: int) -> str:
         x1 = f"(({x0}) * {gen.MULTIPLIER}) % {gen.MODULUS}"
         return f"(({x1}) * {gen.MULTIPLIER}) % {gen.MODULUS}"
 
+    # state of a walk: x, y are row and column of the grid a x b, i counts the rounds; the sides come from
+    # the number of nodes by the same rule as in Spark, here over the table
+    m = gen.MODULUS
+    mix = f"((src_idx * {gen.NODE_WEIGHT} + other * {gen.SLOT_WEIGHT} + {seed * gen.SEED_WEIGHT} + (i + 1) * {gen.ROUND_WEIGHT}) % {m})"
+    mixed = f"(({mix} * {mix} % {m}) * {gen.MULTIPLIER} % {m} + {gen.COUNT_SALT}) % {m}"
     return (
-        "WITH nodes AS (SELECT DISTINCT p_partkey AS id FROM part),\n"
+        "WITH RECURSIVE nodes AS (SELECT DISTINCT p_partkey AS id FROM part),\n"
         "ix AS (SELECT row_number() OVER (ORDER BY id) - 1 AS idx, id FROM nodes),\n"
         "nn AS (SELECT count(*) AS n FROM ix),\n"
+        "rt AS (SELECT n, greatest(2, CAST(ceil(sqrt(n)) AS BIGINT)) AS root FROM nn),\n"
+        "sides AS (SELECT n, unnest(range(greatest(2, (root + 1) // 2), root + 1)) AS a FROM rt),\n"
+        "g AS (SELECT n, a, (n + a - 1) // a AS b FROM sides ORDER BY (a - n % a) % a, a DESC LIMIT 1),\n"
         f"ks AS (SELECT idx, id, 1 + ({draw('idx', '0', gen.COUNT_SALT)}) % least(10, (SELECT n FROM nn) - 1) AS k FROM ix),\n"
-        "slots AS (SELECT idx AS src_idx, id AS src, k, unnest(range(0, k)) AS slot, (SELECT n FROM nn) AS n FROM ks),\n"
-        f"picks AS (SELECT src, slot * n // k + (({draw('src_idx', 'slot', gen.WIDE_SALT)}) * {gen.MODULUS} "
-        f"+ {draw('src_idx', 'slot', 1)}) % ((slot + 1) * n // k - slot * n // k) AS idx FROM slots),\n"
+        "slots AS (SELECT idx AS src_idx, id AS src, unnest(range(0, k)) AS slot FROM ks),\n"
+        "walk AS (SELECT src_idx, src, slot, slot // b AS x, slot % b AS y, 0 AS i, n, a, b FROM slots, g\n"
+        " UNION ALL\n"
+        " SELECT src_idx, src, slot, CASE WHEN i % 2 = 0 THEN (x + z) % a ELSE x END, "
+        "CASE WHEN i % 2 = 1 THEN (y + z) % b ELSE y END, "
+        f"(i + 1) % {gen.ROUNDS} + CASE WHEN i + 1 = {gen.ROUNDS} AND moved < n THEN {gen.ROUNDS} ELSE 0 END, n, a, b\n"
+        f" FROM (SELECT *, CASE WHEN i % 2 = 0 THEN (x + z) % a * b + y ELSE x * b + (y + z) % b END AS moved\n"
+        f"  FROM (SELECT *, v * v % {m} AS z FROM (SELECT *, {mixed} AS v FROM (SELECT *, "
+        f"CASE WHEN i % 2 = 0 THEN y ELSE x END AS other FROM walk WHERE i < {gen.ROUNDS}))))),\n"
+        f"picks AS (SELECT src, x * b + y AS idx FROM walk WHERE i = {gen.ROUNDS}),\n"
         "links AS (SELECT picks.src AS src, ix.id AS dst FROM picks JOIN ix ON picks.idx = ix.idx WHERE picks.src <> ix.id)\n"
     )
 

@@ -120,11 +120,31 @@ def test_generator_draws_distinct_targets_and_keeps_empty_lists(spark):
         lists = {r.id: r.out for r in link_lists(spark.range(n), seed=3).collect()}
         assert sorted(lists) == list(range(n))
         assert all(len(set(out)) == len(out) <= 10 and i not in out for i, out in lists.items())
-    # two draws reach beyond 2^31
+
+
+def test_generator_permutes_any_range(spark):
+    from graphloom.sources import generator as gen
+
+    # primes leave cells of the grid over, so images walk on
+    for n in (2, 3, 5, 7, 16, 97, 211):
+        a, b = gen.grid(n)
+        assert n <= a * b < n + a
+        image = gen.permuted(F.col("id"), F.lit(11).cast("bigint"), n, 5)
+        assert sorted(r.v for r in spark.range(n).select(image.alias("v")).collect()) == list(range(n))
+    a, b = gen.grid(10**12 + 39)
+    assert 0 <= a * b - (10**12 + 39) < 16
+
+
+def test_generator_draws_every_pair_alike(spark):
     from graphloom.sources import generator as gen
 
-    wide = spark.range(50).select(F.max(gen.wide_draw(F.col("id"), F.lit(0), 1))).first()[0]
-    assert 2**33 < wide < 2**62
+    draws = 20_000
+    slots = spark.range(draws).select(F.col("id").alias("key"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))).alias("v"))
+    images = slots.select("key", gen.permuted(F.col("v"), F.col("key"), 5, 42).alias("v"))
+    pairs = images.groupBy("key").agg(F.sort_array(F.collect_list("v")).alias("pair"))
+    seen = {tuple(r.pair): r["count"] for r in pairs.groupBy("pair").count().collect()}
+    assert len(seen) == 10 and all(len(set(p)) == 2 for p in seen)
+    assert all(abs(c - draws / 10) < draws / 100 for c in seen.values()), seen
 
 
 def test_link_table_is_repeatable_and_clean(spark):
