@@ -26,12 +26,14 @@ PASSAGE_WORDS = 64
 PAIR_BINS, EXTRAS = 256, 6
 FEATURES = 256 + PAIR_BINS + EXTRAS
 HIDDEN, GATE = 24, 16
-# the sample's bounds: documents, and passages of one of them (spread evenly over it; training only)
-SAMPLE_DOCS, SAMPLE_PASSAGES = 2500, 24
+# the sample's bounds: whole documents, and passages of all of them together (training only)
+SAMPLE_DOCS, SAMPLE_PASSAGES = 2500, 40_000
 EPOCHS, RATE, DECAY, BATCH = 30, 0.01, 1e-4, 64
 FOLDS = 5
 THRESHOLD = 0.3
 SEED = 4
+# white space of bytes.split, as a pattern
+WORD_BREAK = r"[ \t\n\r\x0b\f]+"
 # words encoded at once: bounds the memory of a very long text
 ENCODE_WORDS = 64 * 256
 
@@ -153,33 +155,45 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           sample_docs: int = SAMPLE_DOCS, sample_passages: int = SAMPLE_PASSAGES) -> Model:
     """Fit on at most ``sample_docs`` labelled documents outside the held-out fold.
 
-    The sample is the documents first in order of the MD5 of their key. Several labels of one key count
-    with their mean; null labels and keys are left out; of several documents with one key each counts.
-    Only the sample's encoded passages, at most ``sample_docs * sample_passages`` (the sample is
-    bounded by these parameters), come to the driver. No label at all gives scores of 0.5.
+    The sample is whole documents, in order of the MD5 of their key, at most ``sample_docs`` of at most
+    ``sample_passages`` passages together (the sample is bounded by these parameters); one that is longer than
+    what is left of the passages is passed over. Several labels of one key count with their mean; null labels and keys
+    are left out; of several documents with one key each text counts once. Only the sample's encoded passages come to
+    the driver. No label at all gives scores of 0.5.
     """
+    spark = docs.sparkSession
     digest = F.md5(F.col("k").cast("string").cast("binary"))
     known = (labels.select(F.col(key).alias("k"), F.col(label).cast("double").alias("y")).where("k is not null and y is not null")
              .groupBy("k").agg(F.avg("y").alias("y")).where(fold(F.col("k")) != 0)
              .orderBy(digest, "k").limit(sample_docs))
     # at most sample_docs rows: a proven bound for the broadcast
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(known), "k")
+    body = F.coalesce(F.col("t"), F.lit(""))
+    rows = (docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(known), "k")
+            .select(F.col("k").cast("string").alias("k"), "y", body.alias("t"), F.sha2(body, 256).alias("h")))
+    words = F.size(F.filter(F.split("t", WORD_BREAK), lambda w: w != ""))
+    passages = F.greatest(F.ceil(words / PASSAGE_WORDS), F.lit(1)).alias("passages")
+    first = F.md5(F.col("k").cast("binary"))
+    chosen, left = [], sample_passages
+    for r in rows.select("k", "h", passages).distinct().orderBy(first, "k", "h").limit(sample_docs).collect():
+        if r["passages"] <= left:
+            chosen.append((r["k"], r["h"]))
+            left -= r["passages"]
+    if not chosen:
+        return fit([], np.zeros(0, np.float32))
+    # at most sample_docs rows again
+    sample = F.broadcast(spark.createDataFrame(chosen, "k string, h string"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            bags = [_sampled(encode(t), sample_passages).astype("<f2").tobytes() for t in part["t"]]
-            yield pd.DataFrame({"k": part["k"].astype(str), "y": part["y"], "bag": bags})
+            bags = [encode(t).astype("<f2").tobytes() for t in part["t"]]
+            yield pd.DataFrame({"k": part["k"], "h": part["h"], "y": part["y"], "bag": bags})
 
-    found = (rows.mapInPandas(run, "k string, y double, bag binary")
-             .orderBy(F.md5(F.col("k").cast("binary")), "k", "y", "bag").limit(sample_docs).collect())
+    once = rows.join(sample, ["k", "h"]).groupBy("k", "h").agg(F.first("y").alias("y"), F.first("t").alias("t"))
+    found = once.mapInPandas(run, "k string, h string, y double, bag binary").orderBy(first, "k", "h").collect()
     bags = [np.frombuffer(r["bag"], "<f2").reshape(-1, FEATURES).astype(np.float32) for r in found]
     return fit(bags, np.array([r["y"] for r in found], np.float32))
 
 
-def _sampled(x: np.ndarray, most: int) -> np.ndarray:
-    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(int)]
-
-
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
           keep_text: bool = False) -> DataFrame:
     """Columns of ``docs`` (``text`` only if ``keep_text``) with ``held_out``, ``score``, ``predicted``.
