@@ -100,11 +100,13 @@ POSSIBILITY OF SUCH DAMAGE."""),
     ("MIT", "Released under the MIT License."),
 ]
 
-# fixed values: lines of a notice that name holders, not terms; a line of terms may begin with the word as well
-COPYRIGHT_LINE = (r"(?m)^[ \t]*(?:copyright[ \t]*:?[ \t]*(?:\(c\)|©|by\b|[<\[{]?(?:\d{4}|year\b|yyyy\b))[^\n]*"
-                  r"|(?:\(c\)|©)[^\n]*|all rights reserved[ \t\r.]*)$")
-# the registered SQL, which is kept as it was, still leaves out any line that begins so
-SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# fixed values: lines of a notice that name holders, not terms; a line of terms may begin with the word as well, and with
+# its sign as the third clause of a list: that is a notice only before a year, the word or "by"
+_YEAR = r"[<\[{]?(?:\d{4}|year\b|yyyy\b)"
+NOTICE = (rf"^[ \t]*(?:copyright[ \t]*:?[ \t]*(?:\(c\)|©|by\b|{_YEAR})[^\n]*"
+          rf"|\(c\)[ \t]*(?:copyright\b|by\b|{_YEAR})[^\n]*|©[^\n]*|all rights reserved[ \t\r.]*)$")
+# lines end at line feeds alone, in Java as in the SQL
+COPYRIGHT_LINE, SQL_COPYRIGHT_LINE = "(?dm)" + NOTICE, "(?m)" + NOTICE
 SEPARATORS = r"[^\p{L}\p{N}\n]+"
 # the widest spellings first, so that none is cut by a shorter one
 _ORDERED = sorted(SPELLINGS, key=lambda p: (-len(p[0]), p[0]))
@@ -183,15 +185,20 @@ def scan_sql(known: list[tuple[str, str]] = KNOWN) -> str:
             out = f"regexp_replace({out}, '\\b{old}\\b', {quoted(new)}, 'g')"
         return out
 
-    joined = "trim(regexp_replace({}, '[ \\n]+', ' ', 'g'))"
+    def joined(of: str) -> str:
+        out = f"trim(regexp_replace({of}, '[ \\n]+', ' ', 'g'))"
+        for old, new in _WIDE:
+            out = f"regexp_replace({out}, '\\b{old}\\b', {quoted(new)}, 'g')"
+        return out
+
     values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in known)
     return f"""
 WITH known AS (
   SELECT digest, min(license_id) AS license_id FROM (
-    SELECT license_id, {joined.format(lines('text'))} AS c FROM (VALUES {values}) AS v(license_id, text))
+    SELECT license_id, {joined(lines('text'))} AS c FROM (VALUES {values}) AS v(license_id, text))
   , LATERAL (SELECT sha256(c) AS digest) WHERE c <> '' GROUP BY digest),
 d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {lines('text')} AS ls FROM documents),
-whole AS (SELECT r, doc_id, sha256({joined.format('ls')}) AS digest FROM d),
+whole AS (SELECT r, doc_id, sha256({joined('ls')}) AS digest FROM d),
 l AS (SELECT r, sha256(trim(unnest(string_split(ls, chr(10))))) AS digest FROM d),
 hit AS (SELECT r, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids, count(*) AS n
         FROM l JOIN known USING (digest) GROUP BY r)

@@ -76,6 +76,25 @@ def test_held_out_accuracy(spark):
     assert all(p == 1 for p, q in held if q == 1)
 
 
+def test_training_reads_whole_documents_within_the_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, y: seen.append((sorted(len(b) for b in bags), len(y))))
+    docs = [(i, "w " * (64 * (i % 7 + 1) - i % 64), "x") for i in range(1, 60)] + [(100, "long " * 64 * 200, "x"), (101, "", "x"), (3, "w " * 64 * 4 , "x")]
+    docs = spark.createDataFrame([*docs, docs[-1]], "doc_id bigint, text string, h string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(1, 60), 100, 101]], "doc_id bigint, quality int")
+    used = [r for r in {(r["doc_id"], r["text"]) for r in docs.collect()} if zlib.crc32(str(r[0]).encode()) % 5]
+    whole = sorted(len(quality.encode(t)) for _, t in used)
+    for docs_most, most in ((2500, 40_000), (2500, 150), (10, 40_000)):
+        quality.train(docs, labels, sample_docs=docs_most, sample_passages=most)
+        sizes, n = seen.pop()
+        assert n == len(sizes) <= docs_most and sum(sizes) <= most
+        rest = list(whole)
+        for size in sizes:
+            rest.remove(size)
+    quality.train(docs, labels)
+    assert seen.pop()[0] == whole and max(whole) in (7, 200)
+
+
 def test_gradient_is_the_slope_of_the_loss():
     rng = np.random.default_rng(1)
     bags = [rng.random((n, quality.FEATURES)).astype(np.float32) for n in (1, 3, 2)]
@@ -167,9 +186,34 @@ def test_known_licences_however_wrapped(spark):
     assert got[len(want)]["digest"] == hashlib.sha256(b"copyright law is a line of terms").hexdigest()
 
 
+def test_lettered_clauses_are_terms_however_wrapped(spark):
+    terms = "You may copy if (a) you keep this list, (b) you name the changes and (c) you must retain every notice of the source form."
+    other = terms.replace("retain", "drop")
+    rows = [(i, "(c) 2020 Jane Doe\n(c) copyright Jane Doe\n" + textwrap.fill(text, width))
+            for i, (text, width) in enumerate((t, w) for t in (terms, other) for w in range(20, 120, 3))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in licenses.license_scan(frame, known=[("lettered", terms)]).collect()}
+    half = len(rows) // 2
+    assert any(line.startswith("(c) you") for _, t in rows for line in t.split("\n"))
+    assert [got[i]["license_id"] for i in range(len(rows))] == ["lettered"] * half + [None] * half
+    assert len({got[i]["digest"] for i in range(len(rows))}) == 2
+
+
+def test_licence_sql_states_the_same_rule(spark):
+    import duckdb
+
+    mit = dict(licenses.KNOWN[:1])["MIT"]
+    texts = [None, "", "(c) you must retain it", "(c) 2020 x\nterms", "all rights reserved. and more", "copyright\nholder", "sub\nlicense",
+             "Copyright law\r\nterms", "Copyright 2020 x\r\nterms", *(textwrap.fill(mit, w) for w in (30, 50, 79))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    documents = frame.toPandas()  # noqa: F841 (read by the SQL)
+    want = duckdb.connect().sql(licenses.scan_sql()).fetchall()
+    assert sorted(tuple(r) for r in licenses.license_scan(frame).collect()) == sorted(want)
+
+
 def test_licences_in_other_dress(spark):
     mit = dict(licenses.KNOWN[:1])["MIT"]
-    dressed = "Copyright (c) 2020 Some One\n(C) others\n\n" + mit.upper().replace(",", " ,").replace("SUBLICENSE", "SUB-LICENSE")
+    dressed = "Copyright (c) 2020 Some One\n(C) 2021 others\n\n" + mit.upper().replace(",", " ,").replace("SUBLICENSE", "SUB-LICENSE")
     british = "licensed under the apache  Licence -- version 2.0"
     rows = [(1, dressed), (2, mit + "\nand more"), (3, "words\n" + british + "\nwords"), (4, british), (5, None), (6, ""), (7, "...\n!!"),
             (None, british), (8, "x " * 50_000), (4, british)]
