@@ -1,15 +1,17 @@
 """Run-metrics report as aggregations per application id.
 
 The single-run text report of the reference becomes rows ``app_id, section, metric,
-value, unit`` for any number of runs: one grouped aggregation per record kind, each
-unpivoted with ``stack`` and unioned -- no joins, no driver loop. Field names are the
+value, unit`` for any number of runs: the records of all kinds, each projected to its own
+metrics, are one union with one grouped aggregation, which ``stack`` unpivots -- no joins, no
+driver loop, one exchange. Field names are the
 REST API's own (``inputBytes``, ``shuffleFetchWaitTime``, ``peakMemoryMetrics``); an
-absent field counts as 0. "Storage memory" is labelled as such.
+absent field counts as 0. "Storage memory" is labelled as such. The API tells no shuffle read
+time; the time a stage waited for its fetches is the nearest, with that of its remote requests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.scalar import duration_ms, field_or_zero, parse_rest_time
@@ -33,14 +35,6 @@ def stage_listing(stages: DataFrame) -> DataFrame:
     )
 
 
-def _long(frame: DataFrame, section: str, metrics: list[tuple[str, str, str]]) -> DataFrame:
-    """Unpivot one-row-per-app aggregates into ``app_id, section, metric, value, unit``."""
-    parts = ", ".join(f"'{name}', CAST(`{col}` AS DOUBLE), '{unit}'" for name, col, unit in metrics)
-    return frame.selectExpr(
-        "app_id", f"'{section}' AS section", f"stack({len(metrics)}, {parts}) AS (metric, value, unit)"
-    )
-
-
 STAGE_SUMS = [
     ("executor_run_time", "executorRunTime", "ms"),
     ("executor_cpu_time", "executorCpuTime", "ns"),
@@ -58,78 +52,77 @@ STAGE_SUMS = [
     ("remote_blocks_fetched", "shuffleRemoteBlocksFetched", "blocks"),
     ("local_blocks_fetched", "shuffleLocalBlocksFetched", "blocks"),
     ("failed_tasks", "numFailedTasks", "tasks"),
+    ("peak_execution_memory", "peakExecutionMemory", "bytes"),
+    ("shuffle_request_time", "shuffleRemoteReqsDuration", "ms"),
+    ("speculative_tasks", "speculationSummary.numTasks", "tasks"),
+]
+
+EXECUTOR_SUMS = [
+    ("shuffle_read", "totalShuffleRead", "bytes"),
+    ("shuffle_write", "totalShuffleWrite", "bytes"),
+    ("storage_memory_used", "memoryMetrics.usedOnHeapStorageMemory", "bytes"),
+    ("storage_memory_off_heap", "memoryMetrics.usedOffHeapStorageMemory", "bytes"),
+    ("disk_used", "diskUsed", "bytes"),
+    ("gc_time", "totalGCTime", "ms"),
+    ("jvm_heap_peak", "peakMemoryMetrics.JVMHeapMemory", "bytes"),
+    ("jvm_off_heap_peak", "peakMemoryMetrics.JVMOffHeapMemory", "bytes"),
+    ("executor_failed_tasks", "failedTasks", "tasks"),
 ]
 
 
-def stage_summary(stages: DataFrame, complete_status: str = "COMPLETE") -> DataFrame:
-    timed = with_durations(stages)
-    aggs = [
-        F.count(F.lit(1)).alias("total_stages"),
-        F.count_if(F.col("status") == F.lit(complete_status)).alias("executed_stages"),
-        F.count_if(F.coalesce(F.col("status") != F.lit(complete_status), F.lit(True))).alias("skipped_stages"),
-        F.coalesce(F.sum("duration_ms"), F.lit(0)).alias("total_duration"),
-    ] + [
-        F.sum(field_or_zero(F.col(col).cast("bigint"))).alias(col)
-        for _, col, _ in STAGE_SUMS if col in stages.columns
-    ]
-    per_app = timed.groupBy("app_id").agg(*aggs)
-    metrics = [
-        ("total_stages", "total_stages", "stages"),
-        ("executed_stages", "executed_stages", "stages"),
-        ("skipped_stages", "skipped_stages", "stages"),
-        ("total_stage_duration", "total_duration", "ms"),
-    ] + [m for m in STAGE_SUMS if m[1] in stages.columns]
-    return _long(per_app, "stages", metrics)
-
-
-def executor_summary(executors: DataFrame) -> DataFrame:
-    per_app = executors.groupBy("app_id").agg(
-        F.sum(field_or_zero("totalShuffleRead")).alias("shuffle_read"),
-        F.sum(field_or_zero("totalShuffleWrite")).alias("shuffle_write"),
-        F.sum(field_or_zero(F.col("memoryMetrics.usedOnHeapStorageMemory"))).alias("storage_memory"),
-        F.sum(field_or_zero("diskUsed")).alias("disk_used"),
-        F.sum(field_or_zero("totalGCTime")).alias("gc_time"),
-        F.sum(field_or_zero(F.col("peakMemoryMetrics.JVMHeapMemory"))).alias("jvm_heap_peak"),
-        F.sum(field_or_zero(F.col("failedTasks").cast("bigint"))).alias("failed_tasks"),
-    )
-    return _long(per_app, "executors", [
-        ("shuffle_read", "shuffle_read", "bytes"),
-        ("shuffle_write", "shuffle_write", "bytes"),
-        ("storage_memory_used", "storage_memory", "bytes"),
-        ("disk_used", "disk_used", "bytes"),
-        ("gc_time", "gc_time", "ms"),
-        ("jvm_heap_peak", "jvm_heap_peak", "bytes"),
-        ("executor_failed_tasks", "failed_tasks", "tasks"),
-    ])
-
-
-def job_summary(jobs: DataFrame) -> DataFrame:
-    per_app = with_durations(jobs).groupBy("app_id").agg(
-        F.count(F.lit(1)).alias("total_jobs"),
-        F.coalesce(F.sum("duration_ms"), F.lit(0)).alias("total_job_duration"),
-    )
-    return _long(per_app, "jobs", [
-        ("total_jobs", "total_jobs", "jobs"),
-        ("total_job_duration", "total_job_duration", "ms"),
-    ])
+Metric = tuple[str, Column, str]
+
+
+def _sums(records: DataFrame, fields: list[tuple[str, str, str]]) -> list[Metric]:
+    """The sums of ``fields`` whose top-level column ``records`` has."""
+    return [(name, field_or_zero(F.col(field).cast("bigint")), unit)
+            for name, field, unit in fields if field.split(".")[0] in records.columns]
+
+
+def stage_metrics(stages: DataFrame, complete_status: str = "COMPLETE") -> list[Metric]:
+    complete = F.coalesce(F.col("status") == F.lit(complete_status), F.lit(False))
+    return [
+        ("total_stages", F.lit(1), "stages"),
+        ("executed_stages", complete.cast("int"), "stages"),
+        ("skipped_stages", (~complete).cast("int"), "stages"),
+        ("total_stage_duration", field_or_zero("duration_ms"), "ms"),
+    ] + _sums(stages, STAGE_SUMS)
+
+
+def executor_metrics(executors: DataFrame) -> list[Metric]:
+    return _sums(executors, EXECUTOR_SUMS)
+
+
+def job_metrics(jobs: DataFrame) -> list[Metric]:
+    return [("total_jobs", F.lit(1), "jobs"), ("total_job_duration", field_or_zero("duration_ms"), "ms")]
 
 
 def run_summary(jobs: DataFrame | None = None, stages: DataFrame | None = None,
                 executors: DataFrame | None = None) -> DataFrame:
-    """Long-form report ``app_id, section, metric, value, unit`` of all runs given."""
-    parts = []
+    """Long-form report ``app_id, section, metric, value, unit`` of all runs given.
+
+    A run without records of a kind has no rows of that section. An absent or null field, and the
+    duration of a record without both times, add 0.
+    """
+    kinds = []
     if stages is not None:
-        parts.append(stage_summary(stages))
+        kinds.append(("stages", with_durations(stages), stage_metrics(stages)))
     if executors is not None:
-        parts.append(executor_summary(executors))
+        kinds.append(("executors", executors, executor_metrics(executors)))
     if jobs is not None:
-        parts.append(job_summary(jobs))
-    if not parts:
+        kinds.append(("jobs", with_durations(jobs), job_metrics(jobs)))
+    if not kinds:
         raise ValueError("run_summary needs at least one of jobs, stages, executors")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # a record holds null for the metrics of the other kinds, so a sum is null where a run has no record of its kind
+    records, labels = None, []
+    for section, frame, metrics in kinds:
+        own = frame.select("app_id", *[c.cast("bigint").alias(f"{section}_{name}") for name, c, _ in metrics])
+        records = own if records is None else records.unionByName(own, allowMissingColumns=True)
+        labels += [(section, name, unit) for name, _, unit in metrics]
+    totals = records.groupBy("app_id").agg(*[F.sum(f"{s}_{name}").alias(f"{s}_{name}") for s, name, _ in labels])
+    parts = ", ".join(f"'{s}', '{name}', CAST(`{s}_{name}` AS DOUBLE), '{unit}'" for s, name, unit in labels)
+    long = totals.selectExpr("app_id", f"stack({len(labels)}, {parts}) AS (section, metric, value, unit)")
+    return long.where("value IS NOT NULL")
 
 
 def render_report(summary: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ STAGES_SCHEMA = (
     "inputBytes BIGINT, inputRecords BIGINT, outputBytes BIGINT, outputRecords BIGINT, "
     "shuffleFetchWaitTime BIGINT, shuffleReadBytes BIGINT, shuffleReadRecords BIGINT, "
     "shuffleWriteBytes BIGINT, shuffleWriteTime BIGINT, shuffleWriteRecords BIGINT, "
-    "shuffleRemoteBlocksFetched BIGINT, shuffleLocalBlocksFetched BIGINT"
+    "shuffleRemoteBlocksFetched BIGINT, shuffleLocalBlocksFetched BIGINT, "
+    "peakExecutionMemory BIGINT, shuffleRemoteReqsDuration BIGINT, speculationSummary STRUCT<numTasks: BIGINT>"
 )
 
 EXECUTORS_SCHEMA = (
