@@ -102,8 +102,7 @@ def q_vertex_complete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_known_targets(spark: SparkSession, sf: str) -> DataFrame:
-    g = g_orders(spark, sf)
-    return gops.known_targets(g, gops.source_vertices(g))
+    return gops.known_targets(g_orders(spark, sf))
 
 
 def q_out_degree(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,13 +124,19 @@ def min_in_weight_state(g: DataFrame) -> DataFrame:
 
 
 def q_relax_once(spark: SparkSession, sf: str) -> DataFrame:
-    g = g_orders(spark, sf)
-    return xops.finite_or_null(xops.relax_once(g, min_in_weight_state(g)))
+    g = gops.written_pairs(g_orders(spark, sf))
+    return xops.finite_or_null(xops.relax_once(g, min_in_weight_state(g.frame)))
+
+
+def q_relax_split(spark: SparkSession, sf: str) -> DataFrame:
+    """``relax_once`` with every source of more than ``SMALL_BUCKET`` targets split."""
+    g = gops.written_pairs(g_orders(spark, sf))
+    return xops.finite_or_null(xops.relax_once(g, min_in_weight_state(g.frame), bucket=SMALL_BUCKET))
 
 
 def q_sssp_changed(spark: SparkSession, sf: str) -> DataFrame:
-    g = g_orders(spark, sf)
-    d0 = min_in_weight_state(g)
+    g = gops.written_pairs(g_orders(spark, sf))
+    d0 = min_in_weight_state(g.frame)
     return xops.changed_summary(d0, xops.relax_once(g, d0).select("id", "dist"))
 
 
@@ -214,10 +219,10 @@ def q_sssp_cycle(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- PageRank steps
 
 def href_round_parts(spark: SparkSession, sf: str):
-    g = g_href(spark, sf)
-    v = gops.vertex_set(g)
+    g = gops.written_pairs(g_href(spark, sf))
+    v = gops.vertex_set(g.frame)
     r0 = rops.uniform_ranks(v)
-    deg = gops.out_degree(g, include_sinks=False)
+    deg = gops.out_degree(g.frame, include_sinks=False, copies="mult")
     return g, v, r0, deg
 
 
@@ -226,6 +231,12 @@ def q_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rops.contributions(g, r0, deg), "contrib")
 
 
+def q_contributions_split(spark: SparkSession, sf: str) -> DataFrame:
+    """``contributions`` on the events graph with every source of more than ``SMALL_BUCKET`` targets split."""
+    g = gops.written_pairs(g_events(spark, sf).select("src", "dst"))
+    return rounded(rops.contributions(g, rops.uniform_ranks(gops.vertex_set(g.frame)), bucket=SMALL_BUCKET), "contrib")
+
+
 def q_dead_end_mass(spark: SparkSession, sf: str) -> DataFrame:
     g, v, r0, deg = href_round_parts(spark, sf)
     return rounded(rops.dead_end_mass(r0, deg), "mass")
@@ -347,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "out_degree": q_out_degree,
     "graph_stats": q_graph_stats,
     "relax_once": q_relax_once,
+    "relax_split": q_relax_split,
     "sssp_changed": q_sssp_changed,
     "sssp": q_sssp,
     "sssp_target": q_sssp_target,
@@ -355,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp_negative": q_sssp_negative,
     "sssp_cycle": q_sssp_cycle,
     "contributions": q_contributions,
+    "contributions_split": q_contributions_split,
     "dead_end_mass": q_dead_end_mass,
     "rank_outer_fill": q_rank_outer_fill,
     "rank_l1_diff": q_rank_l1_diff,
@@ -469,6 +482,8 @@ def _oracle() -> dict[str, str]:
         "(SELECT count(*) FROM v WHERE id NOT IN (SELECT src FROM g)) AS num_sinks FROM g",
         "relax_once": w("g_orders", sql.VERTICES_ALL, *INIT_MIN_IN)
         + f"SELECT id, {sql.finite('dist')} AS dist, improved FROM d1",
+        "relax_split": w("g_orders", sql.VERTICES_ALL, *INIT_MIN_IN)
+        + f"SELECT id, {sql.finite('dist')} AS dist, improved FROM d1",
         "sssp_changed": w("g_orders", sql.VERTICES_ALL, *INIT_MIN_IN)
         + "SELECT count(*) AS num_compared, count(*) FILTER (WHERE a.dist <> b.dist) AS num_changed, "
         "coalesce(bool_and(a.dist = b.dist), true) AS unchanged FROM d0 a JOIN d1 b ON a.id = b.id",
@@ -479,6 +494,7 @@ def _oracle() -> dict[str, str]:
         "sssp_cycle": "SELECT true AS leads_round, true AS in_the_graph, true AS simple, true AS negative",
         "sssp_rounds": sql.sssp_rounds_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "contributions": w("g_href", *HREF_STEP) + f"SELECT id, {_r('contrib')} AS contrib FROM contrib",
+        "contributions_split": w("g_events", *HREF_STEP) + f"SELECT id, {_r('contrib')} AS contrib FROM contrib",
         "dead_end_mass": w("g_href", *HREF_STEP) + f"SELECT num_dead_ends, {_r('mass')} AS mass FROM dead",
         "rank_outer_fill": w("g_href", *HREF_STEP) + f"SELECT id, {_r('contrib')} AS contrib FROM filled",
         "rank_l1_diff": w("g_href", *HREF_STEP)

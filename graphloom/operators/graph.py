@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.operators.salting import Written, salted_join, write_once
+
 # default length of an adjacency chunk (list entries)
 MAX_LIST = 100_000
 # copies of one edge that one array expands to
@@ -23,11 +25,20 @@ def vertex_set(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
-def out_degree(edges: DataFrame, include_sinks: bool = True) -> DataFrame:
-    """``id, out_degree``; duplicate edges count; sinks get 0 when ``include_sinks``."""
-    ends = [F.struct(F.col("src").alias("id"), F.lit(1).alias("one"))]
+def written_pairs(edges: DataFrame) -> Written:
+    """The distinct edges ``src, dst, mult[, weight]`` (number of copies, least weight), written once, with the
+    frequent sources and targets."""
+    least = [F.min("weight").alias("weight")] if "weight" in edges.columns else []
+    return write_once(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"), *least), ["src", "dst"])
+
+
+def out_degree(edges: DataFrame, include_sinks: bool = True, copies: str | None = None) -> DataFrame:
+    """``id, out_degree``; duplicate edges count, as often as the column ``copies`` says where one is named;
+    sinks get 0 when ``include_sinks``."""
+    zero = F.lit(0).cast("bigint")
+    ends = [F.struct(F.col("src").alias("id"), (F.col(copies) if copies else F.lit(1)).cast("bigint").alias("one"))]
     if include_sinks:
-        ends.append(F.struct(F.col("dst").alias("id"), F.lit(0).alias("one")))
+        ends.append(F.struct(F.col("dst").alias("id"), zero.alias("one")))
     rows = edges.select(F.inline(F.array(*ends)))
     return rows.groupBy("id").agg(F.sum("one").cast("bigint").alias("out_degree"))
 
@@ -39,17 +50,15 @@ def sink_vertices(edges: DataFrame) -> DataFrame:
     return targets.join(sources, "id", "left_anti")
 
 
-def known_targets(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges whose target is in ``vertices`` (semi join), duplicates kept.
+def known_targets(edges: DataFrame, vertices: DataFrame | None = None, bucket: int | None = None) -> DataFrame:
+    """Edges whose target is in ``vertices`` (by default: is a source of an edge; semi join), duplicates kept.
 
     Identical edges are counted first and expanded again afterwards, so the semi join on
     the target sees distinct rows and can split a hot target.
     """
-    from graphloom.operators.salting import salted_join
-
-    counted = edges.groupBy(*edges.columns).agg(F.count(F.lit(1)).alias("_n"))
-    known = vertices.select("id").distinct()
-    kept = salted_join(counted, known, "dst", "id", spread="src", how="left_semi")
+    counted = write_once(edges.groupBy(*edges.columns).agg(F.count(F.lit(1)).alias("_n")), ["dst"])
+    known = source_vertices(counted.frame) if vertices is None else vertices.select("id").distinct()
+    kept = salted_join(counted, known, "dst", "id", spread="src", how="left_semi", bucket=bucket)
     # the copies of an edge come in blocks, so that no array grows with their number
     last = F.floor((F.col("_n") - 1) / F.lit(COPIES)).cast("bigint")
     blocks = kept.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
@@ -102,8 +111,14 @@ def chunked_lists(edges: DataFrame, value: str = "dst", max_len: int = MAX_LIST,
     the edges and ``max_len`` alone. A window holds the distinct values of one bucket, about ``max_len``,
     however hot the source and however often an edge repeats.
     """
+    counted = write_once(edges.groupBy("src", value).agg(F.count(F.lit(1)).alias("mult"))).frame
+    return cut_lists(counted, value, max_len, id_col, out_col, spread)
+
+
+def cut_lists(counted: DataFrame, value: str, max_len: int, id_col: str = "id", out_col: str = "out",
+              spread: Column | None = None) -> DataFrame:
+    """The lists of ``chunked_lists`` from distinct ``src, <value>`` with their number of copies ``mult``, read twice."""
     size = F.lit(max_len).cast("bigint")
-    counted = edges.groupBy("src", value).agg(F.count(F.lit(1)).alias("mult"))
     # only sources of several buckets are listed, at most one per ``max_len`` distinct edges
     hot = (
         counted.groupBy("src").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > size)
@@ -152,8 +167,9 @@ def adjacency_weighted(edges: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
 
 def complete_vertices(edges: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
     """Adjacency of every vertex: sources with their lists, sinks as ``(id, 0, [])``."""
-    lists = adjacency(edges, max_len)
-    return lists.unionByName(empty_lists(sink_vertices(edges), lists.schema["out"].dataType))
+    counted = write_once(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))).frame
+    lists = cut_lists(counted, "dst", max_len)
+    return lists.unionByName(empty_lists(sink_vertices(counted), lists.schema["out"].dataType))
 
 
 def empty_lists(vertices: DataFrame, kind) -> DataFrame:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.graph import out_degree
-from graphloom.operators.salting import salted_join
+from graphloom.operators.graph import out_degree, written_pairs
+from graphloom.operators.salting import Written, salted_join
 
 
 def uniform_ranks(vertices: DataFrame) -> DataFrame:
@@ -23,18 +23,20 @@ def uniform_ranks(vertices: DataFrame) -> DataFrame:
     return vertices.select("id", F.lit(1.0 / n).alias("rank"))
 
 
-def contributions(edges: DataFrame, ranks: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def contributions(edges: DataFrame | Written, ranks: DataFrame, degrees: DataFrame | None = None,
+                  bucket: int | None = None) -> DataFrame:
     """``id, contrib``: summed ``rank / out_degree`` over the in-edges of each target.
 
     Duplicate edges send one share each; only targets with in-edges appear. Edges are
-    pre-aggregated per pair and the join on the source splits hot sources.
+    pre-aggregated per pair (``graph.written_pairs``, which may be given in their place) and the join on the
+    source splits hot sources.
     """
-    deg = degrees if degrees is not None else out_degree(edges, include_sinks=False)
+    pairs = edges if isinstance(edges, Written) else written_pairs(edges.select("src", "dst"))
+    deg = degrees if degrees is not None else out_degree(pairs.frame, include_sinks=False, copies="mult")
     shares = ranks.join(deg, "id").where(F.col("out_degree") > 0).select(
         "id", (F.col("rank") / F.col("out_degree")).alias("share")
     )
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    sent = salted_join(pairs, shares, "src", "id", spread="dst")
+    sent = salted_join(pairs, shares, "src", "id", spread="dst", bucket=bucket)
     return sent.groupBy(F.col("dst").alias("id")).agg(
         F.sum(F.col("share") * F.col("mult")).alias("contrib")
     )

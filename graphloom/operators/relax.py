@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.salting import salted_join
+from graphloom.operators.graph import written_pairs
+from graphloom.operators.salting import Written, salted_join
 
 INF = float("inf")
 
@@ -23,17 +24,17 @@ def initial_distances(vertices: DataFrame, source) -> DataFrame:
     )
 
 
-def relax_once(edges: DataFrame, dist: DataFrame) -> DataFrame:
+def relax_once(edges: DataFrame | Written, dist: DataFrame, bucket: int | None = None) -> DataFrame:
     """One Bellman-Ford step over all edges: ``id, dist, improved``.
 
-    Parallel edges collapse to the lightest first; the join on the source splits hot
-    sources.
+    Parallel edges collapse to the lightest first (``graph.written_pairs``, which may be given in their place);
+    the join on the source splits hot sources.
     """
+    pairs = edges if isinstance(edges, Written) else written_pairs(edges.select("src", "dst", "weight"))
     senders = dist.where(F.col("dist") < F.lit(INF)).select(
         "id", F.col("dist").alias("from_dist")
     )
-    pairs = edges.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
-    candidates = salted_join(pairs, senders, "src", "id", spread="dst").select(
+    candidates = salted_join(pairs, senders, "src", "id", spread="dst", bucket=bucket).select(
         F.col("dst").alias("id"),
         F.lit(None).cast("double").alias("old"),
         (F.col("from_dist") + F.col("weight")).alias("cand"),

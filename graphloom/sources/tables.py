@@ -54,13 +54,11 @@ def events_graph(events: DataFrame) -> DataFrame:
     # as "the next event" of key event_id - 1, and one aggregation pairs them up. A
     # repeated event id counts as one event (smallest user, smallest value), and a hot id
     # is reduced on the map side instead of producing all pairs.
-    rows = events.select(
-        F.col("event_id").alias("eid"), F.col("user_id").alias("cur"),
-        F.lit(None).cast("bigint").alias("nxt"), F.lit(None).cast("double").alias("value"),
-    ).unionByName(events.select(
-        (F.col("event_id") - 1).alias("eid"), F.lit(None).cast("bigint").alias("cur"),
-        F.col("user_id").alias("nxt"), F.col("value"),
-    ))
+    none = F.lit(None).cast("bigint")
+    here = F.struct(F.col("event_id").alias("eid"), F.col("user_id").alias("cur"), none.alias("nxt"),
+                    F.lit(None).cast("double").alias("value"))
+    ahead = F.struct((F.col("event_id") - 1).alias("eid"), none.alias("cur"), F.col("user_id").alias("nxt"), F.col("value"))
+    rows = events.select(F.inline(F.array(here, ahead)))
     pairs = rows.groupBy("eid").agg(
         F.min("cur").alias("src"), F.min("nxt").alias("dst"), F.min("value").alias("value")
     ).where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
