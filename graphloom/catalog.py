@@ -43,6 +43,8 @@ SSSP_ORACLE_ROUNDS = 40
 # adjacency chunk, and salt bucket of the forced variants: short, so that lists and hot keys really split
 LIST_LEN = 3
 SMALL_BUCKET = 4
+# cells of the two-dimensional layout
+GRID_CELLS = 16
 # factor and modulus of the vertex potentials, and vertices of the negative ring
 POTENTIAL = (37, 101)
 RING = 5
@@ -288,6 +290,19 @@ def q_pagerank_salted(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(pagerank(layout, tol=PR_TOL, max_iter=PR_MAX_ITER).ranks, "rank")
 
 
+def q_pagerank_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """PageRank of the dense events graph over a grid of 4 x 4 blocks of sources and targets."""
+    layout = prepare_graph(g_events(spark, sf).select("src", "dst"), weight=None, partitions=GRID_CELLS, grid=True)
+    return rounded(pagerank(layout, tol=PR_TOL, max_iter=PR_MAX_ITER).ranks, "rank")
+
+
+def q_sssp_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Shortest paths over the same layout of the order graph."""
+    layout = prepare_graph(g_orders(spark, sf), partitions=GRID_CELLS, grid=True)
+    source = layout.vertices.where(F.col("deg") > 0).agg(F.min("id")).first()[0]
+    return xops.finite_or_null(shortest_paths(layout, source).distances)
+
+
 def q_pagerank_twice(spark: SparkSession, sf: str) -> DataFrame:
     g = g_orders(spark, sf).select("src", "dst")
     return rounded(pagerank(g, tol=None, max_iter=TWICE_ROUNDS, damping_mode="twice").ranks, "rank")
@@ -375,6 +390,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_sources_only": q_pagerank_sources_only,
     "pagerank": q_pagerank,
     "pagerank_salted": q_pagerank_salted,
+    "pagerank_grid": q_pagerank_grid,
+    "sssp_grid": q_sssp_grid,
     "pagerank_twice": q_pagerank_twice,
     "pagerank_history": q_pagerank_history,
     "pagerank_ordered": q_pagerank_ordered,
@@ -507,6 +524,8 @@ def _oracle() -> dict[str, str]:
         "pagerank_sources_only": pr("g_orders", FIXED_ROUNDS, vertices="sources"),
         "pagerank": pr("g_orders", PR_MAX_ITER, tol=PR_TOL),
         "pagerank_salted": pr("g_orders", PR_MAX_ITER, tol=PR_TOL),
+        "pagerank_grid": pr("g_events", PR_MAX_ITER, tol=PR_TOL),
+        "sssp_grid": sql.sssp_sql("g_orders", SSSP_ORACLE_ROUNDS),
         "pagerank_twice": pr("g_orders", TWICE_ROUNDS, mode="twice"),
         "pagerank_history": sql.pagerank_history_sql("g_events", FIXED_ROUNDS),
         "pagerank_ordered": pr("g_events", PR_MAX_ITER, tol=PR_TOL, select=final_pos),

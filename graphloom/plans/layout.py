@@ -15,6 +15,8 @@ The edge table is prepared once and then never moves again:
   bucket_size`` hot sources; their state rows are broadcast to the hot edges up to ``MAX_BROADCAST_HOT``
   rows, beyond it they are shuffled per salt bucket.
 
+With ``grid=True`` the edges lie in a two-dimensional grid instead (``plans/grid.py``), for dense graphs.
+
 The bucket count ``P`` is chosen from the data: ``ceil((distinct edges + about the vertices) /
 rows_per_partition)``, whatever the session's setting.
 """
@@ -22,6 +24,7 @@ rows_per_partition)``, whatever the session's setting.
 from __future__ import annotations
 
 import math
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -98,6 +101,10 @@ class GraphLayout:
         cold = self.cold if blocks is None else self.cold.where(F.col("block").isin(blocks))
         return {"cold": cold} if self.hot is None else {"cold": cold, "hot": self.hot}
 
+    def planned(self) -> AbstractContextManager:
+        """The setting under which the rounds are planned, beside their partition count."""
+        return nullcontext()
+
     def close(self) -> None:
         """Delete the prepared tables; results that were computed from them stay."""
         self.tables.close()
@@ -125,6 +132,7 @@ def prepare_graph(
     bucket_size: int | None = None,
     weight: str | None = "weight",
     rows_per_partition: int = ROWS_PER_PARTITION,
+    grid: bool = False,
 ) -> GraphLayout:
     """Prepare ``edges`` (columns ``src``, ``dst`` and optionally ``weight``).
 
@@ -135,6 +143,7 @@ def prepare_graph(
       in an adjacency list, possibly with no out-edges (``id: []``).
     partitions: buckets of the tables and partitions of the loop; by default ``ceil((distinct edges +
       about the vertices) / rows_per_partition)``: a task holds about that many rows at every size.
+    grid: lay the edges out by blocks of sources and of targets (``plans.grid.GridLayout``).
     """
     if vertices not in VERTEX_MODES:
         raise ValueError(f"vertices must be one of {VERTEX_MODES}, got {vertices!r}")
@@ -154,7 +163,8 @@ def prepare_graph(
     md = int(sizes.get["md"])
     about = max(int(sizes.get["sources"]), int(sizes.get["targets"])) + (0 if listed is None else listed.count())
     parts = partitions or max(1, math.ceil((md + about) / rows_per_partition))
-    bucket_size = bucket_size or BUCKET_SIZE
+    # in a grid the blocks of targets part a source's edges
+    bucket_size = 2 ** 62 if grid else bucket_size or BUCKET_SIZE
     edge_cols = ["dst", "mult"] + (["weight"] if weighted else [])
 
     # one aggregation gives degree, distinct out-neighbours and vertex membership
@@ -209,6 +219,14 @@ def prepare_graph(
     t = totals.get
     n, m, md, sinks = int(t["n"]), int(t["m"]), int(t["kept"]), int(t["sinks"])
 
+    if grid:
+        from graphloom.plans.grid import GridLayout, write_cells
+
+        cells, routes = write_cells(pairs, tables, parts)
+        tables.drop("pairs")
+        return GridLayout(vertices=vtab, cold=cells, hot=None, tables=tables, num_vertices=n, num_edges=m,
+                          num_distinct_edges=md, num_sinks=sinks, bucket_size=bucket_size, partitions=parts, mode=vertices,
+                          weighted=weighted, min_weight=sizes.get["least"] if weighted else None, routes=routes)
     # at most md / bucket_size sources can exceed bucket_size distinct targets
     max_hot = md // bucket_size
     hot = None

@@ -37,20 +37,24 @@ class LoopTrace:
 
 
 @contextmanager
-def loop_partitions(spark, partitions: int) -> Iterator[None]:
+def scoped_setting(spark, key: str, value: str) -> Iterator[None]:
+    """``key`` set to ``value`` for a while, then as before."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def loop_partitions(spark, partitions: int):
     """Plan the rounds with ``partitions`` shuffle partitions, then restore the setting.
 
     The prepared graph chose its partition count from its size; the per-vertex aggregation
     of every round uses the same count, so a small graph does not write hundreds of
     near-empty shuffle blocks per task each round, and a large one has tasks of bounded size.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return scoped_setting(spark, "spark.sql.shuffle.partitions", str(partitions))
 
 
 class CheckpointStore:

@@ -100,11 +100,13 @@ def pagerank(
     partitions: int | None = None,
     bucket_size: int | None = None,
     state_store: str = "table",
+    grid: bool = False,
 ) -> PageRankResult:
     """PageRank of a directed multigraph given as ``src, dst`` rows (duplicates count).
 
     ``tol=None`` runs exactly ``max_iter`` rounds. ``vertices="sources"`` ranks only
     listed / source vertices (the fixed-round variant of the reference).
+    ``grid`` lays the edges out in two dimensions, for dense graphs (``plans/grid.py``).
     ``state_store``: ``table`` or ``checkpoint`` (see ``plans.loop.choose_store``).
     """
     if damping_mode not in DAMPING_MODES:
@@ -116,7 +118,7 @@ def pagerank(
     else:
         layout = prepare_graph(edges, vertices=vertices, listed=listed,
                                partitions=partitions, bucket_size=bucket_size,
-                               weight=None)
+                               weight=None, grid=grid)
     n = layout.num_vertices
     if n == 0:
         raise ValueError("PageRank needs at least one vertex; the graph is empty")
@@ -147,7 +149,7 @@ def pagerank(
 
     spark = layout.vertices.sparkSession
     store = choose_store(spark, history, state_store, layout.partitions)
-    with loop_partitions(spark, layout.partitions):
+    with loop_partitions(spark, layout.partitions), layout.planned():
         final, trace = iterate(
             initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
             initial_metrics={"dead_mass": layout.num_sinks / n}, store=store,

@@ -153,7 +153,7 @@ def shortest_paths(
         return None
 
     store = choose_store(spark, keep_all=False, store=state_store, buckets=layout.partitions)
-    with loop_partitions(spark, layout.partitions):
+    with loop_partitions(spark, layout.partitions), layout.planned():
         final, trace = iterate(state, step, metrics, stop, name="sssp", store=store, keep=keep)
     if not isinstance(edges, GraphLayout):
         layout.close()  # a graph that the caller prepared stays theirs
