@@ -130,7 +130,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_runs": op13_runs,
 }
 
+# brute force: every query row against every row
+TOP_SQL = f"""
+WITH v AS (
+  SELECT DISTINCT CAST(vec_id AS BIGINT) AS id, [floor({vafile.SCALE} * CAST(x AS DOUBLE)) for x in embedding] AS w
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+scored AS (
+  SELECT q.id AS query_id, r.id AS vec_id, max(CAST(list_inner_product(q.w, r.w) AS BIGINT)) AS score
+  FROM v q JOIN v r ON len(q.w) = len(r.w) AND q.id <> r.id
+  WHERE q.id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scored)
+SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= {vafile.K}
+"""
+
+# targets in closed form (sources in order of cap by weight are full up to the first that is not), thresholds by sorting
+MIX_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos FROM d GROUP BY source),
+w AS (SELECT *, CAST(list_extract({list(mixing.WEIGHTS)}, CAST(pos % {len(mixing.WEIGHTS)} AS INTEGER) + 1) AS DOUBLE) AS weight,
+  CAST({mixing.MAX_REPEATS} * source_size AS DOUBLE) AS cap, CAST({mixing.SHARE} AS DOUBLE) * sum(source_size) OVER () AS budget FROM s),
+f AS (SELECT *, sum(cap) OVER upto - cap AS full_cap, sum(weight) OVER () - sum(weight) OVER upto + weight AS rest
+  FROM w WINDOW upto AS (ORDER BY cap / weight, pos ROWS UNBOUNDED PRECEDING)),
+lv AS (SELECT min_by((budget - full_cap) / rest, struct_pack(a := cap / weight, b := pos))
+  FILTER (WHERE cap > (budget - full_cap) / rest * weight) AS level FROM f),
+t AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap)) AS target FROM w, lv),
+a AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+o AS (SELECT d.*, source_size, target, whole, target - whole * source_size AS budget,
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS DOUBLE) AS upto,
+    CAST(sum(size) OVER (PARTITION BY d.source, h) AS DOUBLE) AS here
+  FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source),
+e AS (SELECT *, min(h) FILTER (WHERE upto >= budget) OVER (PARTITION BY source) AS edge FROM o)
+SELECT doc_id, source, size, source_size, target, size * (whole + CASE
+    WHEN source_size > 0 AND (h < edge OR h = edge AND abs(upto - budget) < abs(budget - (upto - here))) THEN 1 ELSE 0 END) AS taken
+FROM e
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_vafile": TOP_SQL,
+    "op6_mixing": MIX_SQL,
     "op5_licenses": licenses.scan_sql(),
     "op8_tool_calls": tool_calls.CONVERSATION_SQL,
     "op11_divergence": divergence.DOCUMENTS_SQL,
