@@ -18,12 +18,13 @@ from graphloom.functions.scalar import json_long_or_zero
 from graphloom.operators import graph as gops
 from graphloom.operators import rank as rops
 from graphloom.operators import relax as xops
-from graphloom.operators.runmetrics import run_summary, with_durations
+from graphloom.operators.fields import json_fields
+from graphloom.operators.runmetrics import run_summary, stage_listing, with_durations
 from graphloom.plans.layout import prepare_graph
 from graphloom.plans.pagerank import pagerank
 from graphloom.plans.sssp import NegativeCycleError, distance_to, shortest_paths
 from graphloom.sources.generator import link_lists, link_table
-from graphloom.sources.runlogs import jobs_from_events, stages_from_events
+from graphloom.sources.runlogs import STAGES_SCHEMA, jobs_from_events, stages_from_events
 from graphloom.sources.sinks import render_adjacency, render_ranks
 from graphloom.sources.tables import g_events, g_href, g_orders, table
 from graphloom.sources.text import parse_adjacency_lines, parse_edge_lines
@@ -360,6 +361,19 @@ def q_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return run_summary(jobs=jobs_from_events(ev), stages=stages_from_events(ev))
 
 
+def q_stage_listing(spark: SparkSession, sf: str) -> DataFrame:
+    listed = stage_listing(stages_from_events(table(spark, sf, "events")))
+    return listed.select("app_id", F.col("stageId").alias("stage_id"), "name", "status", F.col("numTasks").alias("num_tasks"),
+                         "duration_ms")
+
+
+def q_run_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields of events as JSON stage records, and which of them the schema of stages reads."""
+    record = F.struct(F.col("event_id").alias("stageId"), F.col("event_type").alias("name"), "value",
+                      F.from_json("props", "k BIGINT").alias("props"))
+    return json_fields(table(spark, sf, "events").select(F.to_json(record).alias("record")), STAGES_SCHEMA)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_parse": q_edge_parse,
     "adjacency_parse": q_adjacency_parse,
@@ -403,6 +417,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_durations": q_log_durations,
     "json_default": q_json_default,
     "run_summary": q_run_summary,
+    "stage_listing": q_stage_listing,
+    "run_fields": q_run_fields,
 }
 
 
@@ -546,6 +562,16 @@ def _oracle() -> dict[str, str]:
         "json_default": "SELECT event_id, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k, "
         "coalesce(CAST(json_extract(props, '$.retries') AS BIGINT), 0) AS retries FROM events",
         "run_summary": run_summary_sql(),
+        "stage_listing": "SELECT user_id AS app_id, event_id AS stage_id, event_type AS name, "
+        "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'COMPLETE' END AS status, "
+        "coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS num_tasks, "
+        "epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) - epoch_us(ts) // 1000 AS duration_ms FROM events",
+        "run_fields": "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{field}' AS field, '{kind}' AS kind, count({what}) AS records, {known} AS known FROM events"
+            for field, kind, what, known in (
+                ("stageId", "number", "event_id", "true"), ("name", "string", "event_type", "true"),
+                ("value", "number", "value", "false"), ("props", "object", "props", "false"),
+                ("props.k", "number", "json_extract(props, '$.k')", "false"))) + ") f WHERE records > 0",
     }
 
 

@@ -2,62 +2,51 @@
 
 Edge list: ``src, dst, weight`` per line, spaces around fields allowed, CRLF
 accepted. Adjacency list: ``id: [a, b, ...]`` per line; ``id: []`` is a vertex
-without out-edges. A malformed line fails the job (ANSI casts raise), as in the
-reference. Both readers return DataFrames and never pass rows through the driver.
+without out-edges. A malformed line fails the job, whatever the session's ANSI setting. Both readers return DataFrames and never pass rows through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-EDGE_SCHEMA = StructType([
-    StructField("src", LongType(), False),
-    StructField("dst", LongType(), False),
-    StructField("weight", DoubleType(), True),
-])
-
 
 def read_edges(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Scan an edge-list file or folder with the CSV reader.
+    """Scan an edge-list file or folder by the rule of ``parse_edge_lines``; with ``strict=False`` malformed lines are
+    left out (``malformed_edge_lines`` tells them)."""
+    return parse_edge_lines(spark.read.text(path), strict=strict)
 
-    ``strict=True`` (FAILFAST) rejects lines with a missing, an empty or an extra field and
-    non-numeric fields; blank lines are skipped.
-    """
-    edges = (
-        spark.read.schema(EDGE_SCHEMA)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .csv(path)
-    )
-    if not strict:
-        return edges
-    # the CSV reader takes an empty field as NULL: fail on it, so that no edge is lost
-    return edges.select(*[
-        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"edge line with an empty {c} field")))
-        .otherwise(F.col(c)).cast(edges.schema[c].dataType).alias(c) for c in edges.columns
-    ])
+
+def _edge_fields(value: Column) -> dict[str, Column]:
+    """The typed fields of an edge line, NULL where malformed; fields after the third are not looked at."""
+    parts = F.split(value, ",")
+    kinds = {"src": "bigint", "dst": "bigint", "weight": "double"}
+    return {name: F.trim(F.get(parts, F.lit(i))).try_cast(kind) for i, (name, kind) in enumerate(kinds.items())}
 
 
-def parse_edge_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_edge_lines(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
     """Parse ``src, dst, weight`` text in ``column``; fields after the third are ignored.
 
-    Blank lines are skipped (as by ``read_edges``); a malformed field fails the job.
-    The blank test guards every cast, because the optimizer may evaluate casts before
-    the filter.
+    Blank and null lines are skipped; a line with a missing, an empty or a non-numeric field fails the job, or is left out with
+    ``strict=False``.
     """
     value = F.col(column)
     blank = F.length(F.trim(value)) == 0
-    parts = F.split(value, ",")
+    fields = _edge_fields(value)
+    if not strict:
+        rows = lines.where(~blank).select(*[c.alias(name) for name, c in fields.items()])
+        return rows.where(" AND ".join(f"{name} IS NOT NULL" for name in fields))
+    # the test on blank lines is part of each field: the optimizer may evaluate fields before the filter
+    fail = F.raise_error(F.concat(F.lit("malformed edge line: "), value))
+    return lines.where(~blank).select(*[
+        F.when(~blank & c.isNull(), fail.cast(kind)).otherwise(c).alias(name)
+        for (name, c), kind in zip(fields.items(), ("bigint", "bigint", "double"))])
 
-    def field(i: int, kind: str):
-        return F.when(blank, F.lit(None)).otherwise(F.trim(parts.getItem(i))).cast(kind)
 
-    return lines.where(~blank).select(
-        field(0, "bigint").alias("src"), field(1, "bigint").alias("dst"), field(2, "double").alias("weight"),
-    )
+def malformed_edge_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines (``line``) that ``parse_edge_lines`` fails on."""
+    value = F.col(column)
+    bad = [c.isNull() for c in _edge_fields(value).values()]
+    return lines.where((F.length(F.trim(value)) > 0) & (bad[0] | bad[1] | bad[2])).select(value.alias("line"))
 
 
 # the whole line: an id, a colon, a bracketed list of ids that may be empty

@@ -10,6 +10,7 @@ from graphloom.plans.sssp import NegativeCycleError, distance_to
 from graphloom.sources.text import (
     adjacency_to_edges,
     listed_vertices,
+    malformed_edge_lines,
     parse_adjacency_lines,
     parse_edge_lines,
     read_adjacency,
@@ -99,14 +100,19 @@ def test_edge_list_crlf_spaces_blank_lines(spark, scratch):
 
 def test_edge_list_fourth_field_and_bad_field(spark, scratch):
     four = write(os.path.join(scratch, "four.txt"), "0, 1, 2, 9\n")
-    with pytest.raises(Exception):
-        read_edges(spark, four).collect()
-    # the column parser ignores extra fields, as the original line parser did
+    # fields after the third are ignored by the file reader and the column parser alike
+    assert [tuple(r) for r in read_edges(spark, four).collect()] == [(0, 1, 2.0)]
     lines = spark.createDataFrame([("0, 1, 2, 9",), ("   ",), ("",)], "value string")
     assert [tuple(r) for r in parse_edge_lines(lines).collect()] == [(0, 1, 2.0)]
     bad = spark.createDataFrame([("0, x, 2",)], "value string")
     with pytest.raises(PySparkException):
         parse_edge_lines(bad).collect()
+    mixed = write(os.path.join(scratch, "mixed.txt"), "0, 1, 2\n3, 4\n5, , 1\n\n6, 7, x\n8, 9, 1.5, note\n")
+    with pytest.raises(PySparkException):
+        read_edges(spark, mixed).collect()
+    assert sorted(tuple(r) for r in read_edges(spark, mixed, strict=False).collect()) == [(0, 1, 2.0), (8, 9, 1.5)]
+    told = malformed_edge_lines(spark.read.text(mixed)).collect()
+    assert sorted(r.line for r in told) == ["3, 4", "5, , 1", "6, 7, x"]
 
 
 def test_adjacency_empty_list_blank_line_repeated_vertex(spark, scratch):
