@@ -133,6 +133,7 @@ def prepare_graph(
     weight: str | None = "weight",
     rows_per_partition: int = ROWS_PER_PARTITION,
     grid: bool = False,
+    tables: RunTables | None = None,
 ) -> GraphLayout:
     """Prepare ``edges`` (columns ``src``, ``dst`` and optionally ``weight``).
 
@@ -143,6 +144,7 @@ def prepare_graph(
       in an adjacency list, possibly with no out-edges (``id: []``).
     partitions: buckets of the tables and partitions of the loop; by default ``ceil((distinct edges +
       about the vertices) / rows_per_partition)``: a task holds about that many rows at every size.
+    tables: where the prepared tables go, by default to a folder of their own.
     grid: lay the edges out by blocks of sources and of targets (``plans.grid.GridLayout``).
     """
     if vertices not in VERTEX_MODES:
@@ -151,7 +153,7 @@ def prepare_graph(
     require_checkpoint_dir(spark)
 
     e = normalize_edges(edges, weight)
-    tables = RunTables(spark, "graph")
+    tables = tables or RunTables(spark, "graph")
     # read twice below (vertex statistics, bucketed edges); deleted when the edges are written
     weighted = "weight" in e.columns
     pair_aggs = [F.count(F.lit(1)).alias("mult")] + ([F.min("weight").alias("weight")] if weighted else [])

@@ -85,8 +85,8 @@ class TableStore:
 
     kind = "table"
 
-    def __init__(self, spark, keep_all: bool = False, buckets: int = 0, key: str = "id"):
-        self.tables = RunTables(spark, "state")
+    def __init__(self, spark, keep_all: bool = False, buckets: int = 0, key: str = "id", tables: RunTables | None = None):
+        self.tables = tables or RunTables(spark, "state")
         self.base = self.tables.root
         self.keep_all, self.buckets, self.key = keep_all, buckets, key
 
@@ -131,6 +131,8 @@ def iterate(
     keep: Callable[[int, DataFrame], None] | None = None,
     initial_metrics: dict | None = None,
     store=None,
+    earlier: list[RoundInfo] | None = None,
+    done: Callable[[RoundInfo], None] | None = None,
 ) -> tuple[DataFrame, LoopTrace]:
     """Run ``step`` until ``stop`` returns a reason.
 
@@ -138,16 +140,20 @@ def iterate(
     metrics(round) -> named aggregate columns observed on the next state;
     stop(round, metrics) -> None to go on, else the stop reason;
     keep(round, state) -> optional hook that sees each materialized state;
-    store -> where states go (``CheckpointStore`` by default, or ``TableStore``).
+    store -> where states go (``CheckpointStore`` by default, or ``TableStore``);
+    earlier -> rounds that are behind ``state`` already, when a run goes on;
+    done(round) -> optional hook after a round's state is written.
     """
-    trace = LoopTrace()
-    last = dict(initial_metrics or {})
-    k = 0
+    trace = LoopTrace(rounds=list(earlier or []))
+    last = dict(trace.rounds[-1].metrics if trace.rounds else initial_metrics or {})
+    k = trace.count
     while True:
         k += 1
         t0 = time.perf_counter()
         state, last = materialize(step(state, k, last), metrics(k), f"{name}_{k}", store, k)
         trace.rounds.append(RoundInfo(k, last, time.perf_counter() - t0))
+        if done is not None:
+            done(trace.rounds[-1])
         if keep is not None:
             keep(k, state)
         reason = stop(k, last)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from graphloom.plans.layout import GraphLayout, prepare_graph
 from graphloom.plans.loop import LoopTrace, choose_store, iterate, loop_partitions
+from graphloom.plans.restart import RestartableRun
 
 DAMPING_MODES = ("standard", "twice")
 
@@ -101,20 +102,31 @@ def pagerank(
     bucket_size: int | None = None,
     state_store: str = "table",
     grid: bool = False,
+    run_dir: str | None = None,
 ) -> PageRankResult:
     """PageRank of a directed multigraph given as ``src, dst`` rows (duplicates count).
 
     ``tol=None`` runs exactly ``max_iter`` rounds. ``vertices="sources"`` ranks only
     listed / source vertices (the fixed-round variant of the reference).
-    ``grid`` lays the edges out in two dimensions, for dense graphs (``plans/grid.py``).
+    ``run_dir``: a shared folder of this run alone, by which a new driver goes on from the last complete round
+    (``plans/restart.py``). ``grid`` lays the edges out in two dimensions, for dense graphs (``plans/grid.py``).
     ``state_store``: ``table`` or ``checkpoint`` (see ``plans.loop.choose_store``).
     """
     if damping_mode not in DAMPING_MODES:
         raise ValueError(f"damping_mode must be one of {DAMPING_MODES}")
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
+    run = None
+    if run_dir is not None:
+        if isinstance(edges, GraphLayout) or grid or history or state_store != "table":
+            raise ValueError("run_dir goes with edges as rows, one-dimensional layout, state tables and no history")
+        settings = {"damping": float(damping), "damping_mode": damping_mode, "vertices": vertices}
+        run = RestartableRun(edges.sparkSession, run_dir, settings)
     if isinstance(edges, GraphLayout):
         layout = edges
+    elif run is not None:
+        layout = run.layout(lambda tables: prepare_graph(edges, vertices=vertices, listed=listed, partitions=partitions,
+                                                         bucket_size=bucket_size, weight=None, tables=tables))
     else:
         layout = prepare_graph(edges, vertices=vertices, listed=listed,
                                partitions=partitions, bucket_size=bucket_size,
@@ -148,12 +160,20 @@ def pagerank(
             kept.append((k, state))
 
     spark = layout.vertices.sparkSession
-    store = choose_store(spark, history, state_store, layout.partitions)
+    store = run.store(layout) if run else choose_store(spark, history, state_store, layout.partitions)
+    state = (run.state(layout) if run else None) or initial_state(layout)
+    if run and run.rounds:  # a run that was cut after its last round has no round left
+        reason = stop(len(run.rounds), run.rounds[-1].metrics)
     with loop_partitions(spark, layout.partitions), layout.planned():
-        final, trace = iterate(
-            initial_state(layout), step, metrics, stop, name="pagerank", keep=keep,
-            initial_metrics={"dead_mass": layout.num_sinks / n}, store=store,
-        )
+        if run and run.rounds and reason:
+            final, trace = state, LoopTrace(run.rounds, reason)
+        else:
+            final, trace = iterate(
+                state, step, metrics, stop, name="pagerank", keep=keep, initial_metrics={"dead_mass": layout.num_sinks / n},
+                store=store, earlier=run.rounds if run else None, done=run.note if run else None,
+            )
+    if run:
+        run.finish()
     if not isinstance(edges, GraphLayout):
         layout.close()  # a graph that the caller prepared stays theirs
     hist = None

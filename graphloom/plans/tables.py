@@ -32,15 +32,17 @@ def block_of(key: str, buckets: int) -> Column:
 
 
 class RunTables:
-    """The tables of one run. ``close`` deletes them; what is still open goes when the driver's Python ends."""
+    """The tables of one run. ``close`` deletes them; what is still open goes when the driver's Python ends, unless
+    ``lasting``."""
 
-    def __init__(self, spark: SparkSession, kind: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, kind: str, root: str | None = None, lasting: bool = False):
         self.spark = spark
         self.name = f"graphloom_{kind}_{uuid.uuid4().hex}"
         self.root = root or f"{require_checkpoint_dir(spark).rstrip('/')}/{self.name}"
         self.open: set[str] = set()
         self.bucketed: set[str] = set()
-        atexit.register(self.close)
+        if not lasting:
+            atexit.register(self.close)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -73,6 +75,19 @@ class RunTables:
         self.open.add(name)
         return self.spark.table(table)
 
+    def attach(self, name: str, buckets: int, keys: tuple[str, ...], block: str | None = None) -> DataFrame:
+        """A table that another driver saved under this folder with the same ``buckets``, ``keys`` and ``block``."""
+        table = f"{self.name}_{name}".replace("-", "_")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(self.path(name)).schema)
+        by = ", ".join(keys)
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {f'PARTITIONED BY ({block})' if block else ''} "
+                       f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.path(name)}'")
+        if block:
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+        self.bucketed.add(name)
+        self.open.add(name)
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         for name in names:
             if name in self.bucketed:
