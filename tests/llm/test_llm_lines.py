@@ -203,3 +203,22 @@ def test_a_passage_pasted_into_a_line_goes(spark):
     cut = {r["doc_id"]: r for r in line_hash.without_spans(frame).collect()}
     assert cut[2]["text"] == "Other words! The rest.\nLast line" and cut[1]["text"] == rows[0][1]
     assert cut[2]["kept_spans"] == "taken" and len(cut[2]["_kept_spans"]) == 2
+
+
+def test_passages_joined_to_other_words_are_found(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows = []
+    for i in range(40):  # one long sentence: no end of it is inside the passage
+        passage = some(60)
+        rows += [(2 * i, f"{some(30)} {passage} {some(30)}."), (2 * i + 1, f"{some(25)}. {some(9)} {passage} {some(33)}")]
+    rows += [(1000 + i, some(120)) for i in range(40)]
+    texts = dict(rows)
+    spans = line_hash.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = {r["doc_id"] for r in spans}
+    assert found <= {2 * i + 1 for i in range(40)} and len(found) >= 36
+    for r in spans:
+        assert r["kept_doc_id"] == r["doc_id"] - 1
+        assert texts[r["doc_id"]][r["start"]:r["end"]].strip() in texts[r["kept_doc_id"]]
+        assert texts[r["kept_doc_id"]][r["kept_start"]:].startswith(texts[r["doc_id"]][r["start"]:r["end"]])
