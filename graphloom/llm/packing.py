@@ -181,8 +181,27 @@ def number_sequences(pieces: DataFrame, scratch: Scratch, key: str = "doc_id", s
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
          max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """Packed sequences with their ids: ``cut_pieces``, numbered."""
+    """Packed sequences with their ids: ``cut_pieces``, numbered as ``number_sequences`` does it; documents that share a key
+    are parted by their texts where they are too many for one task.
+
+    Texts are dealt in order of documents before they are cut. So tasks hold the pieces of documents that follow each other,
+    sort them by length and write them once; the counts of each task and length give the numbers. No piece is shuffled.
+    """
     scratch = Scratch(docs.sparkSession, "packing")
-    # the numbering reads its rows twice: texts are encoded once
-    pieces = scratch.table(cut_pieces(docs, tokenizer, key, text, max_tokens, end_id))
-    return number_sequences(pieces, scratch, key)
+    dealt = docs.repartitionByRange(F.col(key).asc_nulls_last(), F.xxhash64(text))
+    pieces = cut_pieces(dealt, tokenizer, key, text, max_tokens, end_id)
+    start, length = (fresh_name([c for c in docs.columns if c != text], n) for n in ("start", "length"))
+    part, mid = (fresh_name(pieces.columns, n) for n in ("_part", "_mid"))
+    seq, off = (fresh_name(pieces.columns, n) for n in ("sequence_id", "offset"))
+    rows = scratch.table(pieces.sortWithinPartitions(F.col(length).desc(), F.col(key).asc_nulls_last(), F.col(start))
+                         .withColumn(part, F.spark_partition_id()).withColumn(mid, F.monotonically_increasing_id()))
+    # a row for each task and power of two
+    told = rows.groupBy(part, length).agg(F.min(mid).alias("first"), F.count(F.lit(1)).alias("c")).collect()
+    shifts, total = [], 0
+    for r in sorted(told, key=lambda r: (-r[length], r[part])):
+        shifts.append((r[part], r[length], total - r["first"]))
+        total += r["c"]
+    shift = fresh_name(rows.columns, "_shift")
+    frame = docs.sparkSession.createDataFrame(shifts, f"`{part}` int, `{length}` bigint, `{shift}` bigint")
+    return rows.join(F.broadcast(frame), [part, length]).select(
+        *pieces.columns, (F.col(mid) + F.col(shift)).alias(seq), F.lit(0).cast("bigint").alias(off))

@@ -268,3 +268,20 @@ def test_long_chain_and_empty_tables(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None, i, "f", '{"x":1}') for i in range(70)]
     assert [r["generation"] for r in sorted(linked(spark, calls, []), key=lambda r: r["turn"])] == list(range(70))
     assert linked(spark, [], []) == []
+
+
+def test_pieces_are_numbered_without_a_shuffle_of_their_ids(spark, monkeypatch):
+    rows = [(None if i % 17 == 3 else (i * 7) % 40, " ".join(["word"] * ((i * 37) % 2500)), "x") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, length string").repartition(5)
+    written = []
+    table = packing.Scratch.table
+    monkeypatch.setattr(packing.Scratch, "table", lambda self, f: written.append(table(self, f)) or written[-1])
+    out = packing.pack(frame, tokenizer())
+    assert len(written) == 1 and "ids" in written[0].columns and "Exchange rangepartitioning" not in out._jdf.queryExecution().toString()
+    got = sorted(out.collect(), key=lambda r: r["sequence_id"])
+    assert [r["sequence_id"] for r in got] == list(range(len(got)))
+    place = [(-r["_length"], r["doc_id"] is None, r["doc_id"] or 0, r["start"]) for r in got]
+    assert place == sorted(place)
+    known = sorted((r["doc_id"], r["start"], r["_length"], r["length"], bytes(r["ids"])) for r in got if r["doc_id"] is not None)
+    want = packing.cut_pieces(frame, tokenizer()).where("doc_id is not null").collect()
+    assert known == sorted((r["doc_id"], r["start"], r["_length"], r["length"], bytes(r["ids"])) for r in want)
