@@ -29,8 +29,11 @@ END_ID = 0
 # longer word is never kept
 REMEMBERED_BYTES, LONGEST_KEPT = 96 << 20, 32
 # the pre-tokenizer never joins a word, with the blank before it, to its neighbours, nor letters to
-# the full stop or comma that ends their word; white space follows the pre-tokenizer's own rule
-UNITS = re.compile(r" ?[^\W\d_]+(?=[.,]?(?:\s|\Z))|[.,](?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
+# the full stop or comma that ends their word; white space follows the pre-tokenizer's own rule. The first case is the
+# second's most frequent one, told by plain character ranges
+UNITS = re.compile(r" ?[A-Za-z]++(?=[ \n]|[.,](?:[ \n]|\Z)|\Z)| ?[^\W\d_]++(?=[.,]?(?:\s|\Z))|[.,](?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
+# packs of that many ids
+PACKS = [struct.Struct(f"<{n}I").pack for n in range(33)]
 # characters that Python counts as white space and the pre-tokenizer does not
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -95,7 +98,7 @@ class WordCachedTokenizer:
                 else:
                     piece = u.encode("utf-8").decode("latin-1").translate(self.names)
                 ids = [t.id for t in tokenize(piece)]
-                found[u] = struct.pack(f"<{len(ids)}I", *ids)
+                found[u] = PACKS[len(ids)](*ids) if len(ids) < len(PACKS) else struct.pack(f"<{len(ids)}I", *ids)
             else:
                 rest.append(u)
         found.update(zip(rest, self._ids(rest)))

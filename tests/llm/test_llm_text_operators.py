@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import re
 import textwrap
 import zlib
 
@@ -32,6 +33,22 @@ def test_word_cache_gives_the_tokenizers_ids(text):
     assert np.frombuffer(coder.encode(text), "<u4").tolist() == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aB é'st.,!? \n\t\r\x0b\xa0 ²½3_-đ中́"), max_size=30))
+def test_plain_words_are_cut_as_by_the_general_rule(text):
+    general = re.compile(r" ?[^\W\d_]+(?=[.,]?(?:\s|\Z))|[.,](?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
+    assert packing.UNITS.findall(text) == general.findall(text)
+
+
+def test_long_words_and_their_ids():
+    coder = packing.WordCachedTokenizer(tokenizer())
+    for n in (1, 31, 32, 33, 34, 200):  # as many ids as the prepared packs hold, and more
+        word = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(n))
+        ids = coder.tokenizer.encode(word, add_special_tokens=False).ids
+        assert coder._unit_ids([word])[word] == np.array(ids, "<u4").tobytes()
+    assert len(packing.PACKS) > 32
+
+
 def test_special_strings_and_a_small_cache():
     coder = packing.WordCachedTokenizer(tokenizer(), remembered=3)
     for text in ("a<|endoftext|>b", "one two three four five six", "don't, won't; I'll", ""):
