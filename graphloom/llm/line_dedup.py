@@ -9,13 +9,12 @@ few pairs, and these are verified on the words themselves. A line goes if an ear
 Jaccard similarity ``MIN_JACCARD`` or more.
 
 One verified earlier partner settles a class. So each class names a few of its earliest and nearest
-partners in a group, the nearest of all is verified first, and the others only where that one fails. A class
-that had more partners and none verified is taken up again, with all its partners.
+partners in a group, the nearest of all is verified first, and the others only where that one fails: all its
+partners, if the class had more than it named.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,34 +27,60 @@ from pyspark.sql import functions as F
 from graphloom.llm.common import Scratch, fresh_name, release_memory
 
 MIN_JACCARD = 0.8
-# cells of the word count table; most postings of one block of a prefix word's group; postings that
+# cells of the word count table, and of a piece of it that tasks add up; most postings of one block of a prefix word's group; postings that
 # go to a task together
-COUNT_CELLS, GROUP_ROWS, TASK_ROWS = 1 << 18, 1024, 100_000
-# words and lines handled at once in a Python worker: bounds its memory (a line's number takes LINE_BITS)
-BATCH_WORDS, BATCH_LINES, LINE_BITS = 500_000, 200_000, 18
+COUNT_CELLS, COUNT_PIECE, GROUP_ROWS, TASK_ROWS = 1 << 18, 1 << 12, 1024, 100_000
+# bytes of text handled at once in a Python worker: bounds its memory (one longer line is a block alone), and with it the
+# lines with words of a block, two bytes each at least (a line's number takes LINE_BITS)
+BATCH_BYTES, LINE_BITS = 390_000, 18
+BATCH_LINES = BATCH_BYTES // 2 + 1
 # candidate pairs compared at once
 PAIRS = 500_000
 # partners named by a class in one group at first, half of them earliest, half nearest
 PARTNERS = 8
-# hashes of words, of LONGEST_KEPT bytes at most, and classes already handed on, that a Python worker remembers
-REMEMBERED, LONGEST_KEPT, REMEMBERED_CLASSES = 200_000, 32, 150_000
+# longest word, in bytes, that is hashed with the others; classes already handed on that a Python worker remembers
+LONGEST_HASHED, REMEMBERED_CLASSES = 64, 150_000
 # stands for a null key, which comes last
 NULL_KEY = (1 << 63) - 1
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered by the worker until its task ends."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= LONGEST_KEPT:
-            self[word] = value
-        return value
-
-
-_hashes = _Hashes()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 CELL_SHIFT = np.uint64(64 - COUNT_CELLS.bit_length() + 1)
+# white space as ``bytes.split`` knows it, by byte; masks of a word's first bytes in a 64-bit number
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word of ``text`` (A-Z lower-cased), its 64-bit hash, its first byte and the number of its line."""
+    text = text.lower() + b"\n" * 8
+    codes = np.frombuffer(text, np.uint8)
+    space = _SPACE[codes]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edges = np.concatenate(([0], edges))
+    starts, ends = edges[0::2], edges[1::2]
+    lengths = ends - starts
+    # eight bytes from each place on, as one number
+    eight = np.ndarray(len(text) - 7, "<u8", text, strides=(1,)).copy()
+    hashes = _mixed(eight[starts] & _FIRST[np.minimum(lengths, 8)] ^ lengths.astype(np.uint64) * _ODD)
+    more = np.flatnonzero(lengths > 8)
+    for at in range(8, LONGEST_HASHED, 8):
+        if not len(more):
+            break
+        next_ = eight[starts[more] + at] & _FIRST[np.minimum(lengths[more] - at, 8)]
+        hashes[more] = _mixed(hashes[more] * _ODD ^ next_)
+        more = more[lengths[more] > at + 8]
+    for i in more.tolist():
+        hashes[i] = xxhash.xxh64_intdigest(text[starts[i]:ends[i]])
+    return hashes, starts, np.searchsorted(np.flatnonzero(codes == 10), starts)
 
 
 # a line's word set: a sum over its words, the halves of its bitmap, its number of words
@@ -64,47 +89,83 @@ EARLIER = [f"{c}2" for c in CLASS]
 
 
 class _Block:
-    """The lines with words of some documents, as columns: one entry per line, and the distinct words of all
-    lines one after another as ``hashes``."""
-
-    def __init__(self, docs: list, hs: list, lines: list, heads: list, sizes: list, words: list):
-        self.doc, self.h, self.line, self.size = (np.array(v, np.int64) for v in (docs, hs, lines, sizes))
-        self.head = np.array(heads, bool)
-        if len(_hashes) > REMEMBERED:
-            _hashes.clear()
-        self.hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """The lines with words of some parts of documents (``doc, h, number of the first line, text``), as columns: one entry
+    per line, and the distinct words of all lines one after another as ``hashes``."""
+
+    def __init__(self, parts: list[tuple]):
+        hashes, _, row = _words(b"\n".join(p[3] for p in parts))
+        fresh = np.concatenate(([True], row[1:] != row[:-1])) if len(row) else np.empty(0, bool)
+        rows, at = row[fresh], np.cumsum(fresh) - 1  # lines with words; each word's line among them
+        # a line's words in order of their hashes, each once
+        key = (at.astype(np.uint64) << np.uint64(64 - LINE_BITS)) | (hashes >> np.uint64(LINE_BITS))
+        order = np.argsort(key)
+        ordered, key = hashes[order], key[order]
+        once = np.concatenate(([True], key[1:] != key[:-1]))[:len(key)]
+        if (ordered[1:] != ordered[:-1])[~once[1:]].any():  # the key told two words of a line alike
+            order = np.lexsort((hashes, at))
+            ordered, at = hashes[order], at[order]
+            once = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (at[1:] != at[:-1])))
+        else:
+            at = at[order]
+        self.hashes = ordered[once]
+        self.size = np.bincount(at[once], minlength=len(rows))
         self.starts = np.cumsum(self.size) - self.size
+        # the part of each line, and its number in the document
+        lines = np.array([p[3].count(b"\n") + 1 for p in parts], np.int64)
+        begins = np.cumsum(lines) - lines
+        part = np.searchsorted(begins, rows, side="right") - 1
+        self.doc, self.h, first = (np.array([p[i] for p in parts], np.int64)[part] for i in range(3))
+        self.line = first + rows - begins[part]
         self.cells = (self.hashes >> CELL_SHIFT).astype(np.int64)
         # what names a line's set: a sum over its words, and its parity bitmap
         mixed = (self.hashes ^ (self.hashes >> np.uint64(29))) * _ODD
-        self.c1 = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), self.starts).view(np.int64)
         bits = np.uint64(1) << (self.hashes & np.uint64(63))
         half = (self.hashes & np.uint64(64)) > 0
-        self.sig = np.bitwise_xor.reduceat(np.where(half, bits, 0), self.starts).view(np.int64)
-        self.sag = np.bitwise_xor.reduceat(np.where(half, 0, bits), self.starts).view(np.int64)
+        none = np.empty(0, np.int64)
+        self.c1 = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), self.starts).view(np.int64) if len(rows) else none
+        self.sig = np.bitwise_xor.reduceat(np.where(half, bits, 0), self.starts).view(np.int64) if len(rows) else none
+        self.sag = np.bitwise_xor.reduceat(np.where(half, 0, bits), self.starts).view(np.int64) if len(rows) else none
+        # a document's first line with words, where no part before had one
+        self.head = np.concatenate(([True], part[1:] != part[:-1]))[:len(rows)] & ~np.array([p[4] for p in parts], bool)[part]
+
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    """Documents (``doc, h, text``) in lists of ``BATCH_BYTES`` at most: ``doc, h, number of the first line, text, whether
+    an earlier part has words``. A long document is cut at line feeds; one longer line comes alone."""
+    held, size = [], 0
+    for batch in batches:
+        for doc, h, text in zip(batch["doc"].tolist(), batch["h"].tolist(), batch["text"]):
+            if text is None:
+                continue
+            text = text.encode("utf-8", "surrogatepass")
+            at, line, begun = 0, 0, False
+            while at <= len(text):
+                end = len(text)
+                if end - at > BATCH_BYTES:
+                    end = text.rfind(b"\n", at, at + BATCH_BYTES)
+                    if end < 0:  # no line ends before
+                        end = text.find(b"\n", at)
+                        end = len(text) if end < 0 else end
+                piece = text[at:end]
+                if held and size + len(piece) + 1 > BATCH_BYTES:
+                    yield held
+                    held, size = [], 0
+                held.append((doc, h, line, piece, begun))
+                size += len(piece) + 1
+                if end < len(text):
+                    line += piece.count(b"\n") + 1
+                    begun = begun or bool(piece.strip())
+                at = end + 1
+    if held:
+        yield held
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
-    """Documents (``doc, h, text``) as blocks of about ``BATCH_WORDS`` words; a long document goes on in the next block."""
-    lists: tuple[list, ...] = ([], [], [], [], [], [])
-    docs, hs, lines, heads, sizes, words = lists
-    for part in batches:
-        for doc, h, text in zip(part["doc"].tolist(), part["h"].tolist(), part["text"]):
-            if text is None:
-                continue
-            head = True  # a document's first line with words
-            for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
-                found = set(line.split())
-                if found:
-                    docs.append(doc), hs.append(h), lines.append(i), heads.append(head), sizes.append(len(found))
-                    words.extend(found)
-                    head = False
-                    if len(words) > BATCH_WORDS or len(sizes) >= BATCH_LINES:
-                        yield _Block(*lists)
-                        lists = docs, hs, lines, heads, sizes, words = [], [], [], [], [], []
-    if words:
-        yield _Block(*lists)
-    _hashes.clear()
+    """Documents (``doc, h, text``) as blocks of ``BATCH_BYTES`` of text; a long document goes on in the next block."""
+    for parts in _parts(batches):
+        block = _Block(parts)
+        if len(block.size):
+            yield block
     release_memory()
 
 
@@ -115,42 +176,30 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
-    """Rows ``cell, n``: occurrences of the words of all texts, by the count table's cells."""
+    """Rows ``piece, n``: occurrences of the words of all texts by the count table's cells, ``COUNT_PIECE`` cells a row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(COUNT_CELLS, np.int64)
-        words: Counter = Counter()
-
-        def add() -> None:
-            if len(_hashes) > REMEMBERED:
-                _hashes.clear()
-            hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-            np.add.at(cells, (hashes >> CELL_SHIFT).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
-            words.clear()
-
-        met = 0
-        for part in batches:
-            for text in part["text"]:
-                if text is None:
-                    continue
-                found = text.encode("utf-8", "surrogatepass").lower().split()
-                words.update(found)
-                met += len(found)
-                if met > BATCH_WORDS:
-                    add()
-                    met = 0
-        add()
-        _hashes.clear()
+        for parts in _parts(part.assign(doc=0, h=0) for part in batches):
+            hashes, _, _ = _words(b"\n".join(p[3] for p in parts))
+            cells += np.bincount((hashes >> CELL_SHIFT).astype(np.int64), minlength=COUNT_CELLS)
         release_memory()
-        used = np.nonzero(cells)[0]
-        yield pd.DataFrame({"cell": used, "n": cells[used]})
+        pieces = cells.reshape(-1, COUNT_PIECE)
+        yield pd.DataFrame({"piece": np.arange(len(pieces)), "n": [p.tobytes() for p in pieces]})
 
-    told = docs.select("text").mapInPandas(run, "cell bigint, n bigint")
-    return told.groupBy("cell").agg(F.sum("n").alias("n"))
+    def add(pieces: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(COUNT_PIECE, np.int64)
+        for n in pieces["n"]:
+            total += np.frombuffer(n, np.int64)
+        return pd.DataFrame({"piece": pieces["piece"][:1], "n": [total.tobytes()]})
 
+    schema = "piece bigint, n binary"
+    return docs.select("text").mapInPandas(run, schema).groupBy("piece").applyInPandas(add, schema)
 
-def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
-    """One row per line with words: its place, class, ``head`` (first of its document) and prefix words, rarest first.
+
+def _prefixes(docs: DataFrame, ranks, common: int, min_jaccard: float) -> DataFrame:
+    """One row per line with words: its place, class, ``head`` (first of its document), prefix words, rarest first, their
+    number ``posts`` and the number ``rare`` of those at the front whose cells come before ``common`` in the order.
 
     ``ranks`` is the broadcast order of the word count table's cells. Words of one cell are in order of their
     hashes; a word is told by 32 bits of this order (words that share them only meet in vain). The prefix is null
@@ -176,15 +225,19 @@ def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
                     fresh[i] = True
             pos = np.arange(len(order)) - np.repeat(b.starts, b.size)
             length = np.where(fresh, length, 0)
-            words = order[pos < np.repeat(length, b.size)].astype(np.uint32).view(np.int32)
+            taken = order[pos < np.repeat(length, b.size)]
+            words = taken.astype(np.uint32).view(np.int32)
+            seldom = ((taken >> np.uint64(28)) & np.uint64(COUNT_CELLS - 1)) < common
+            rare = np.bincount(np.repeat(np.arange(len(length)), length)[seldom], minlength=len(length))
             offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
             columns = [pa.array(getattr(b, c)) for c in names_out]
             columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words), mask=pa.array(~fresh)))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names_out, "prefix"])
+            columns += [pa.array(n.astype(np.int32)) for n in (length, rare)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names_out, "prefix", "posts", "rare"])
 
     names_out = ["doc", "line", "h", *CLASS, "head"]
     return docs.mapInArrow(run, "doc bigint, line bigint, h bigint, c1 bigint, sig bigint, sag bigint, size bigint, "
-                                "head boolean, prefix array<int>")
+                                "head boolean, prefix array<int>, posts int, rare int")
 
 
 def _partners(min_jaccard: float, limit: int | None):
@@ -195,7 +248,12 @@ def _partners(min_jaccard: float, limit: int | None):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         col = {c: group[c].to_numpy() for c in group.columns}
         # one row per class and word: its first place (a word's cell: word and block pair)
-        order = np.lexsort((col["line"], col["doc"], col["c1"], col["sig"], col["sag"], col["size"], col["hi"], col["lo"], col["word"]))
+        line = col["line"].astype(np.uint16) if col["line"].max(initial=0) < 1 << 16 else col["line"]
+        place = (line, col["doc"], col["c1"])
+        if col["hi"].any():
+            order = np.lexsort((*place, col["size"], col["hi"], col["lo"], col["word"]))
+        else:  # a line has less than 2^31 words
+            order = np.lexsort((*place, (col["word"].astype(np.int64) << 31) | col["size"]))
         col = {c: v[order] for c, v in col.items()}
         change = lambda names: np.concatenate(([True], np.any([col[c][1:] != col[c][:-1] for c in names], axis=0)))
         fresh = change(["word", "lo", "hi", *CLASS])
@@ -205,7 +263,7 @@ def _partners(min_jaccard: float, limit: int | None):
         size, pos, block = col["size"], col["pos"], col["block"]
         sig, sag = col["sig"].view(np.uint64), col["sag"].view(np.uint64)
         rank = np.empty(n, np.int64)
-        rank[np.lexsort((col["c1"], col["line"], col["doc"]))] = np.arange(n)
+        rank[np.lexsort((col["c1"], line[order][fresh], col["doc"]))] = np.arange(n)
         # partners of row i: rows before it in its cell whose size is at least min_jaccard of its own
         wide = int(size.max(initial=0)) + 1
         low = np.searchsorted(cell * wide + size, cell * wide + np.ceil(min_jaccard * size - 1e-9).astype(np.int64))
@@ -227,6 +285,9 @@ def _partners(min_jaccard: float, limit: int | None):
             # pairs inside one of two blocks meet elsewhere
             ok &= (col["lo"][i] == col["hi"][i]) | (block[i] != block[j])
             i, j, apart = i[ok], j[ok], bits[ok]
+            # a class whose rows stand apart, between those of another with the same sum, is no pair
+            other = np.any([col[c][i] != col[c][j] for c in CLASS], axis=0)
+            i, j, apart = i[other], j[other], apart[other]
             flip = rank[i] < rank[j]
             l, e = np.where(flip, j, i), np.where(flip, i, j)
             l, e, apart = l[open_[l]], e[open_[l]], apart[open_[l]]
@@ -245,7 +306,10 @@ def _partners(min_jaccard: float, limit: int | None):
             out.append((l, e, apart, more))
         l, e, apart, more = (np.concatenate(x) for x in zip(*out)) if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
         found = {c: col[c][l] for c in CLASS} | {f"{c}2": col[c][e] for c in CLASS}
-        return pd.DataFrame({**found, "apart": apart, "more": more}).drop_duplicates()
+        told = pd.DataFrame({**found, "apart": apart, "more": more}).drop_duplicates()
+        del group, col, order, fresh, rank, out, found, line, place
+        release_memory()
+        return told
 
     return run
 
@@ -299,26 +363,30 @@ def _repeated_classes(docs: DataFrame, lines: DataFrame, scratch: Scratch, min_j
     pairs = _named_partners(lines, None, scratch, min_jaccard, limit)
     # a worker hands on the earliest place of a class that it meets, so the first of all is among these rows
     firsts = scratch.table(lines.groupBy(*CLASS).agg(F.min(F.struct("doc", "line", "h")).alias("first")))
-    nearest = pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n")).select(*CLASS, *[f"n.{c}" for c in EARLIER])
+    nearest = scratch.table(pairs.groupBy(*CLASS).agg(F.min(F.struct("apart", *EARLIER)).alias("n"))
+                            .select(*CLASS, *[f"n.{c}" for c in EARLIER]))
     hits = _verified(nearest, docs, firsts, scratch, min_jaccard)
-    rest = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
-    hits = scratch.table(hits.unionByName(_verified(rest, docs, firsts, scratch, min_jaccard)).distinct())
-    still = scratch.table(pairs.where("more").select(*CLASS).distinct().join(hits, CLASS, "left_anti"))
-    scratch.drop(pairs, rest)
+    # classes still open: the others they named, or all partners where they had more than they named
+    left = scratch.table(pairs.join(hits, CLASS, "left_anti").join(nearest, [*CLASS, *EARLIER], "left_anti"))
+    scratch.drop(pairs, nearest)
+    still = scratch.table(left.where("more").select(*CLASS).distinct())
+    rest = left.select(*CLASS, *EARLIER)
     if not still.isEmpty():
-        # all partners of the classes still open; only groups of their words are met again
+        # only groups of the words of these classes are met again
         again = lines.drop("open").join(still.withColumn("open", F.lit(True)), CLASS, "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        words = again.where("open").select(F.explode("prefix").alias("word")).distinct()
-        pairs = _named_partners(again, words, scratch, min_jaccard, None)
-        hits = scratch.table(hits.unionByName(_verified(pairs, docs, firsts, scratch, min_jaccard)))
-        scratch.drop(pairs)
+        words = scratch.table(again.where("open").select(F.explode("prefix").alias("word")).distinct())
+        every = _named_partners(again, words, scratch, min_jaccard, None)
+        rest = rest.unionByName(every.select(*CLASS, *EARLIER)).distinct()
+        scratch.drop(words)
+    if not left.isEmpty():
+        hits = scratch.table(hits.unionByName(_verified(rest, docs, firsts, scratch, min_jaccard)))
     return firsts, hits
 
 
-def _dealt(posts: DataFrame, rows: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _dealt(posts: DataFrame, rows: int, scratch: Scratch, frequent: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``posts`` (``rows`` at most), each once for each block pair it meets, with the group ``g`` of that pair; and the written
-    table of the words over the bound."""
-    heavy = scratch.table(posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
+    table of the words over the bound. ``frequent``: those rows of ``posts`` whose words may be over it (None: all)."""
+    heavy = scratch.table((posts if frequent is None else frequent).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
                           .select("word", "n", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
     cut = posts.join(heavy.drop("n"), "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     cut = cut.withColumn("block", F.pmod(F.hash("c1", "sig"), "cuts"))
@@ -333,9 +401,11 @@ def _dealt(posts: DataFrame, rows: int, scratch: Scratch) -> tuple[DataFrame, Da
 def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
     """Distinct pairs of classes that pass the filters in the groups of prefix words (of ``words`` only, if given)."""
     posts = lines.select("doc", "line", "open", *CLASS, F.posexplode("prefix").alias("pos", "word"))
+    # words of rare cells are under the bound
+    frequent = lines.where("posts > rare").select(F.explode(F.expr("slice(prefix, rare + 1, posts)")).alias("word"))
     if words is not None:
-        posts = posts.join(words, "word", "left_semi")
-    dealt, heavy = _dealt(posts, int(lines.agg(F.sum(F.size("prefix"))).first()[0] or 0), scratch)
+        posts, frequent = (p.join(words, "word", "left_semi") for p in (posts, frequent))
+    dealt, heavy = _dealt(posts, int(lines.agg(F.sum("posts")).first()[0] or 0), scratch, frequent)
     schema = ", ".join(f"{c} bigint" for c in [*CLASS, *EARLIER, "apart"]) + ", more boolean"
     found = dealt.groupBy("g").applyInPandas(_partners(min_jaccard, limit), schema)
     pairs = scratch.table(found.groupBy(*CLASS, *EARLIER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
@@ -357,19 +427,23 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     named = _keyed(docs, key, text)
     counts = np.zeros(COUNT_CELLS, np.int64)
-    # COUNT_CELLS rows at most, whatever the data
-    told = _word_counts(named).toPandas()
-    counts[told["cell"].to_numpy()] = told["n"].to_numpy()
+    # COUNT_CELLS numbers, whatever the data
+    for r in _word_counts(named).collect():
+        counts[r["piece"] * COUNT_PIECE:(r["piece"] + 1) * COUNT_PIECE] = np.frombuffer(r["n"], np.int64)
     ranks = np.empty(COUNT_CELLS, np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_CELLS, dtype=np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    ordered = scratch.table(_prefixes(named, shared, min_jaccard))
+    # a word has more than GROUP_ROWS postings only in a cell of more words
+    common = int((counts <= GROUP_ROWS).sum())
+    ordered = scratch.table(_prefixes(named, shared, common, min_jaccard))
     firsts, gone = _repeated_classes(named, ordered, scratch, min_jaccard, partners)
-    judged = scratch.table(firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left"))
+    judged = firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left")
     # only documents that stand in several rows give a line twice
     lines = ordered.select("doc", "h", "line", *CLASS)
     again = scratch.table(ordered.where("head").groupBy("doc", "h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
-    once = lines.join(again, ["doc", "h"], "left_anti").unionByName(lines.join(again, ["doc", "h"], "left_semi").distinct())
+    once = lines
+    if not again.isEmpty():
+        once = lines.join(again, ["doc", "h"], "left_anti").unionByName(lines.join(again, ["doc", "h"], "left_semi").distinct())
     own = F.col("gone").isNull() & (F.struct("doc", "line", "h") == F.col("first"))
     return (once.join(judged, CLASS)
             .select("doc", "h", "line", F.col("first.doc").alias("class_doc"), F.col("first.line").alias("class_line"), own.alias("kept")))

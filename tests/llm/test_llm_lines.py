@@ -1,8 +1,10 @@
 """Line dedup (set-similarity join) and line hashing against brute force."""
 
 import random
+import tracemalloc
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from graphloom.llm import line_dedup, line_hash
 from graphloom.llm.common import Scratch
@@ -97,6 +99,67 @@ def test_a_hot_word_goes_to_groups_of_a_fixed_size(spark, monkeypatch):
     assert sum(sizes) == 400 * 40 and max(sizes) <= 6 * 100
 
 
+def test_words_of_odd_texts_by_plain_python(monkeypatch):
+    rng = random.Random(1)
+    some = [" ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\xa0", "é", "A", "b", "B", "\x00", "中", "w" * 7, "w" * 8, "w" * 9, "y" * 17, "z" * 64, "z" * 65, "q" * 200]
+    docs = [(i, 0, "".join(rng.choice(some) for _ in range(rng.randint(0, 60)))) for i in range(400)]
+    docs += [(400, 0, None), (401, 0, ""), (402, 0, "a b\n" * 300), (403, 0, "\n\n  \n" * 50 + "end")]
+    want = {(d, i): frozenset(line.split()) for d, _, t in docs for i, line in enumerate((t or "").encode().lower().split(b"\n")) if line.split()}
+    for size in (390_000, 100, 7):
+        monkeypatch.setattr(line_dedup, "BATCH_BYTES", size)
+        names, sets, heads = {}, {}, []
+        for b in line_dedup._blocks(iter([pd.DataFrame(docs, columns=["doc", "h", "text"])])):
+            for i, place in enumerate(zip(b.doc.tolist(), b.line.tolist())):
+                words = want.pop(place) if size == 7 else want[place]
+                own = b.hashes[b.starts[i]:b.starts[i] + b.size[i]].tolist()
+                assert len(set(own)) == len(own) == len(words)
+                # lines with equal sets have one name, others another
+                name = (int(b.c1[i]), int(b.sig[i]), int(b.sag[i]), len(own))
+                assert names.setdefault(words, name) == name and sets.setdefault(name, words) == words
+                heads += [place[0]] if b.head[i] else []
+        assert len(heads) == len(set(heads))
+    assert not want
+
+
+def test_a_worker_holds_little_at_once():
+    # 300,000 different words: neither they nor their hashes stay in the worker
+    text = "\n".join(" ".join(f"word{i}{k}" for k in "abcdefghij") for i in range(30_000))
+    tracemalloc.start()
+    lines = sum(len(b.size) for b in line_dedup._blocks(iter([pd.DataFrame([(1, 0, text)], columns=["doc", "h", "text"])])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lines == 30_000 and peak < 32_000_000
+
+
+def test_texts_are_read_for_two_verifications_at_most(spark, monkeypatch):
+    calls = []
+    verified = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda *a: calls.append(1) or verified(*a))
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", 5)
+    # a crowd of lines, each with 7 of 10 words in common with the others, so that partners pass the filters and fail
+    rng = random.Random(2)
+    rows = [(d, " ".join(rng.sample([f"v{i}" for i in range(14)], 9)), None) for d in range(80)]
+    assert told(spark.createDataFrame(rows, SCHEMA), partners=2) == slow_decisions(rows)
+    assert len(calls) <= 2
+
+
+def test_only_words_of_frequent_cells_are_counted_for_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", 20)
+    met, dealt = [], line_dedup._dealt
+
+    def spy(posts, rows, scratch, frequent=None):
+        met.append({r["word"]: r["n"] for r in frequent.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()})
+        counts = {r["word"]: r["n"] for r in posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert all(met[-1][w] == n for w, n in counts.items() if n > 20) and len(met[-1]) < len(counts)
+        return dealt(posts, rows, scratch, frequent)
+
+    monkeypatch.setattr(line_dedup, "_dealt", spy)
+    # two of five words are prefix words: the own one and the hot one, as the others are still more frequent
+    rows = [(d, f"hot own{d} a b c", None) for d in range(90)] + [(90 + d, f"a b c only{d} that{d}", None) for d in range(30)]
+    assert told(spark.createDataFrame(rows, SCHEMA)) == slow_decisions(rows)
+    assert met and max(met[0].values()) == 90
+
+
 ODD = [
     (3, "a b c d e\n\nf g h i j", "x"), (3, "a b c d e\n\nf g h i j", "x"),  # a repeated row
     (5, "f g h i j\nnew line here", "y"), (6, None, "z"), (7, "", "z"), (8, "\n \n", "z"),
