@@ -40,6 +40,8 @@ PAIRS = 500_000
 PARTNERS = 8
 # longest word, in bytes, that is hashed with the others; classes already handed on that a Python worker remembers
 LONGEST_HASHED, REMEMBERED_CLASSES = 64, 150_000
+# marks by which a task knows the prefix words that it has handed on (a prime; words that share one are counted once more)
+MARKS = 4_194_301
 # stands for a null key, which comes last
 NULL_KEY = (1 << 63) - 1
 
@@ -197,9 +199,9 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(run, schema).groupBy("piece").applyInPandas(add, schema)
 
 
-def _prefixes(docs: DataFrame, ranks, common: int, min_jaccard: float) -> DataFrame:
+def _prefixes(docs: DataFrame, ranks, min_jaccard: float) -> DataFrame:
     """One row per line with words: its place, class, ``head`` (first of its document), prefix words, rarest first, their
-    number ``posts`` and the number ``rare`` of those at the front whose cells come before ``common`` in the order.
+    number ``posts`` and those of them, ``met``, that the task has handed on before: all but one posting a task and word.
 
     ``ranks`` is the broadcast order of the word count table's cells. Words of one cell are in order of their
     hashes; a word is told by 32 bits of this order (words that share them only meet in vain). The prefix is null
@@ -208,6 +210,7 @@ def _prefixes(docs: DataFrame, ranks, common: int, min_jaccard: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
+        marks = np.zeros(MARKS, bool)
         seen: dict[tuple, tuple] = {}
         for b in _blocks(part.to_pandas() for part in batches):
             assert len(b.size) < 1 << LINE_BITS, "a line's number would lose its highest bits"
@@ -227,17 +230,23 @@ def _prefixes(docs: DataFrame, ranks, common: int, min_jaccard: float) -> DataFr
             length = np.where(fresh, length, 0)
             taken = order[pos < np.repeat(length, b.size)]
             words = taken.astype(np.uint32).view(np.int32)
-            seldom = ((taken >> np.uint64(28)) & np.uint64(COUNT_CELLS - 1)) < common
-            rare = np.bincount(np.repeat(np.arange(len(length)), length)[seldom], minlength=len(length))
+            # the first posting of its mark in this block, where no block before had one
+            mark = words.view(np.uint32) % np.uint32(len(marks))
+            known = np.ones(len(mark), bool)
+            known[np.unique(mark, return_index=True)[1]] = False
+            known |= marks[mark]
+            marks[mark] = True
+            upto = np.concatenate(([0], np.cumsum(known)))
             offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
             columns = [pa.array(getattr(b, c)) for c in names_out]
             columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(words), mask=pa.array(~fresh)))
-            columns += [pa.array(n.astype(np.int32)) for n in (length, rare)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names_out, "prefix", "posts", "rare"])
+            columns.append(pa.array(length.astype(np.int32)))
+            columns.append(pa.ListArray.from_arrays(pa.array(upto[offsets].astype(np.int32)), pa.array(words[known])))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names_out, "prefix", "posts", "met"])
 
     names_out = ["doc", "line", "h", *CLASS, "head"]
     return docs.mapInArrow(run, "doc bigint, line bigint, h bigint, c1 bigint, sig bigint, sag bigint, size bigint, "
-                                "head boolean, prefix array<int>, posts int, rare int")
+                                "head boolean, prefix array<int>, posts int, met array<int>")
 
 
 def _partners(min_jaccard: float, limit: int | None):
@@ -385,7 +394,7 @@ def _repeated_classes(docs: DataFrame, lines: DataFrame, scratch: Scratch, min_j
 
 def _dealt(posts: DataFrame, rows: int, scratch: Scratch, frequent: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``posts`` (``rows`` at most), each once for each block pair it meets, with the group ``g`` of that pair; and the written
-    table of the words over the bound. ``frequent``: those rows of ``posts`` whose words may be over it (None: all)."""
+    table of the words over the bound. ``frequent``: words of the postings to count for it (None: of all)."""
     heavy = scratch.table((posts if frequent is None else frequent).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
                           .select("word", "n", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("cuts")))
     cut = posts.join(heavy.drop("n"), "word", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
@@ -401,8 +410,8 @@ def _dealt(posts: DataFrame, rows: int, scratch: Scratch, frequent: DataFrame |
 def _named_partners(lines: DataFrame, words: DataFrame | None, scratch: Scratch, min_jaccard: float, limit: int | None) -> DataFrame:
     """Distinct pairs of classes that pass the filters in the groups of prefix words (of ``words`` only, if given)."""
     posts = lines.select("doc", "line", "open", *CLASS, F.posexplode("prefix").alias("pos", "word"))
-    # words of rare cells are under the bound
-    frequent = lines.where("posts > rare").select(F.explode(F.expr("slice(prefix, rare + 1, posts)")).alias("word"))
+    # a word's postings but for one a task: most words are met once in a task, and these are not counted
+    frequent = lines.select(F.explode("met").alias("word"))
     if words is not None:
         posts, frequent = (p.join(words, "word", "left_semi") for p in (posts, frequent))
     dealt, heavy = _dealt(posts, int(lines.agg(F.sum("posts")).first()[0] or 0), scratch, frequent)
@@ -433,9 +442,7 @@ def line_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     ranks = np.empty(COUNT_CELLS, np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(COUNT_CELLS, dtype=np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    # a word has more than GROUP_ROWS postings only in a cell of more words
-    common = int((counts <= GROUP_ROWS).sum())
-    ordered = scratch.table(_prefixes(named, shared, common, min_jaccard))
+    ordered = scratch.table(_prefixes(named, shared, min_jaccard))
     firsts, gone = _repeated_classes(named, ordered, scratch, min_jaccard, partners)
     judged = firsts.join(gone.withColumn("gone", F.lit(True)), CLASS, "left")
     # only documents that stand in several rows give a line twice

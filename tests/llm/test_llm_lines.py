@@ -143,21 +143,22 @@ def test_texts_are_read_for_two_verifications_at_most(spark, monkeypatch):
     assert len(calls) <= 2
 
 
-def test_only_words_of_frequent_cells_are_counted_for_the_bound(spark, monkeypatch):
+def test_words_met_once_in_a_task_are_not_counted_for_the_bound(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "GROUP_ROWS", 20)
     met, dealt = [], line_dedup._dealt
 
     def spy(posts, rows, scratch, frequent=None):
         met.append({r["word"]: r["n"] for r in frequent.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()})
         counts = {r["word"]: r["n"] for r in posts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-        assert all(met[-1][w] == n for w, n in counts.items() if n > 20) and len(met[-1]) < len(counts)
+        assert all(n >= met[-1].get(w, 0) >= n - tasks for w, n in counts.items()) and len(met[-1]) < len(counts) // 5
         return dealt(posts, rows, scratch, frequent)
 
     monkeypatch.setattr(line_dedup, "_dealt", spy)
     # two of five words are prefix words: the own one and the hot one, as the others are still more frequent
     rows = [(d, f"hot own{d} a b c", None) for d in range(90)] + [(90 + d, f"a b c only{d} that{d}", None) for d in range(30)]
-    assert told(spark.createDataFrame(rows, SCHEMA)) == slow_decisions(rows)
-    assert met and max(met[0].values()) == 90
+    tasks = 3
+    assert told(spark.createDataFrame(rows, SCHEMA).coalesce(tasks)) == slow_decisions(rows)
+    assert met and max(met[0].values()) >= 90 - tasks
 
 
 ODD = [
