@@ -177,6 +177,17 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.col(text).alias("text"))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """``counts`` in the narrowest type that holds the largest: a task's counts are mostly small, and one task adds up
+    a row of every task."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(n: bytes, counts: int) -> np.ndarray:
+    width = len(n) // counts
+    return np.frombuffer(n, f"u{width}" if width < 8 else np.int64)
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """Rows ``piece, n``: occurrences of the words of all texts by the count table's cells, ``COUNT_PIECE`` cells a row."""
 
@@ -187,12 +198,13 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             cells += np.bincount((hashes >> CELL_SHIFT).astype(np.int64), minlength=COUNT_CELLS)
         release_memory()
         pieces = cells.reshape(-1, COUNT_PIECE)
-        yield pd.DataFrame({"piece": np.arange(len(pieces)), "n": [p.tobytes() for p in pieces]})
+        yield pd.DataFrame({"piece": np.arange(len(pieces)), "n": [_packed(p) for p in pieces]})
 
     def add(pieces: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(COUNT_PIECE, np.int64)
         for n in pieces["n"]:
-            total += np.frombuffer(n, np.int64)
+            total += _unpacked(n, COUNT_PIECE)
+        release_memory()
         return pd.DataFrame({"piece": pieces["piece"][:1], "n": [total.tobytes()]})
 
     schema = "piece bigint, n binary"

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from graphloom.llm.common import Scratch, fresh_name, numbered, release_memory
+from graphloom.llm.common import Scratch, fresh_name, numbered, release_memory, small_frame
 
 MAX_TOKENS = 1024
 END_ID = 0
@@ -205,6 +205,6 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         shifts.append((r[part], r[length], total - r["first"]))
         total += r["c"]
     shift = fresh_name(rows.columns, "_shift")
-    frame = docs.sparkSession.createDataFrame(shifts, f"`{part}` int, `{length}` bigint, `{shift}` bigint")
+    frame = small_frame(docs.sparkSession, shifts, StructType().add(part, "integer").add(length, "long").add(shift, "long"))
     return rows.join(F.broadcast(frame), [part, length]).select(
         *pieces.columns, (F.col(mid) + F.col(shift)).alias(seq), F.lit(0).cast("bigint").alias(off))

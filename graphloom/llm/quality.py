@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from graphloom.llm.common import fresh_name, release_memory
+from graphloom.llm.common import fresh_name, release_memory, small_frame
 
 PASSAGE_WORDS = 64
 # hashed byte pairs; further statistics of a passage
@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if not chosen:
         return fit([], np.zeros(0, np.float32))
     # at most sample_docs rows again
-    sample = F.broadcast(spark.createDataFrame(chosen, "k string, h string"))
+    sample = F.broadcast(small_frame(spark, chosen, StructType().add("k", "string").add("h", "string")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:

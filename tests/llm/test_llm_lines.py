@@ -3,6 +3,7 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -286,3 +287,24 @@ def test_passages_joined_to_other_words_are_found(spark):
         assert r["kept_doc_id"] == r["doc_id"] - 1
         assert texts[r["doc_id"]][r["start"]:r["end"]].strip() in texts[r["kept_doc_id"]]
         assert texts[r["kept_doc_id"]][r["kept_start"]:].startswith(texts[r["doc_id"]][r["start"]:r["end"]])
+
+
+def test_tasks_hand_over_their_word_counts_in_narrow_types():
+    # a task that adds up the counts gets a row of every task: eight bytes a cell made its worker the largest of the pipeline
+    for top, width in ((0, 1), (255, 1), (256, 2), (70_000, 4), (1 << 33, 8)):
+        counts = np.zeros(line_dedup.COUNT_PIECE, np.int64)
+        counts[3] = top
+        packed = line_dedup._packed(counts)
+        assert len(packed) == width * line_dedup.COUNT_PIECE
+        total = np.ones(line_dedup.COUNT_PIECE, np.int64)
+        total += line_dedup._unpacked(packed, line_dedup.COUNT_PIECE)
+        assert total.dtype == np.int64 and (total == counts + 1).all()
+
+
+def test_word_counts_add_up_over_tasks(spark):
+    words = ["common " * 300, "common rare", None, "", "Rare other"]
+    docs = spark.createDataFrame([(t,) for t in words], "text string").repartition(3)
+    got = np.zeros(line_dedup.COUNT_CELLS, np.int64)
+    for r in line_dedup._word_counts(docs).collect():
+        got[r["piece"] * line_dedup.COUNT_PIECE:(r["piece"] + 1) * line_dedup.COUNT_PIECE] = np.frombuffer(r["n"], np.int64)
+    assert sorted(got[got > 0].tolist()) == [1, 2, 301]

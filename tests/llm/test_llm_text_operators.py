@@ -11,8 +11,12 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+import corpus_pipeline
 from graphloom.llm import licenses, mixing, packing, quality, tool_calls
+from graphloom.llm.common import Scratch, numbered, small_frame
 
 SF = "/root/testdata/sf0.01"
 
@@ -302,3 +306,27 @@ def test_pieces_are_numbered_without_a_shuffle_of_their_ids(spark, monkeypatch):
     known = sorted((r["doc_id"], r["start"], r["_length"], r["length"], bytes(r["ids"])) for r in got if r["doc_id"] is not None)
     want = packing.cut_pieces(frame, tokenizer()).where("doc_id is not null").collect()
     assert known == sorted((r["doc_id"], r["start"], r["_length"], r["length"], bytes(r["ids"])) for r in want)
+
+
+def test_small_frames_need_no_python_workers(spark):
+    # a list given to createDataFrame is read by Python workers of another kind, which stay beside the operators'
+    frame = spark.createDataFrame([(2, "b c"), (1, None)], "doc_id bigint, text string")
+    slim = small_frame(spark, [(1, "x"), (2, None)], StructType().add("a b", "integer").add("t", "string"))
+    none = small_frame(spark, [], StructType().add("n", "long"))
+    assert [tuple(r) for r in slim.collect()] == [(1, "x"), (2, None)] and none.collect() == []
+    parts = Scratch(spark, "test-small")
+    written = parts.table(frame)
+    for made in (slim, none, packing.pack(written, tokenizer()), numbered(parts, written, F.col("doc_id"))):
+        assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pipeline_stages_bound_the_batches_of_workers(spark):
+    docs = spark.createDataFrame([(1, "s", "a b")], "doc_id bigint, source string, text string")
+    before = spark.conf.get(corpus_pipeline.ARROW_BYTES)
+    try:
+        for found, wanted in ((before, "4194304"), ("64m", "4194304"), ("1m", "1m")):
+            spark.conf.set(corpus_pipeline.ARROW_BYTES, found)
+            corpus_pipeline.packing_stage(spark, docs, "")
+            assert spark.conf.get(corpus_pipeline.ARROW_BYTES).removesuffix("b") == wanted
+    finally:
+        spark.conf.set(corpus_pipeline.ARROW_BYTES, before)
