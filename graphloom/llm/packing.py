@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -36,6 +36,24 @@ UNITS = re.compile(r" ?[A-Za-z]++(?=[ \n]|[.,](?:[ \n]|\Z)|\Z)| ?[^\W\d_]++(?=[.
 PACKS = [struct.Struct(f"<{n}I").pack for n in range(33)]
 # characters that Python counts as white space and the pre-tokenizer does not
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+# bytes of text that are cut at once in arrays: bounds a worker's memory, and with it the ids of a batch
+BLOCK_BYTES = 2 << 20
+# pieces that are handed on at once
+BATCH_PIECES = 1 << 13
+# bytes by kind: part of a word, blank, other white space, A-Z and a-z, other ASCII characters
+_REST, _BLANK, _SPACE, _LETTER, _MARK = range(5)
+_KIND = np.array([_LETTER if chr(b).isalpha() else _MARK for b in range(128)] + [_REST] * 128, np.uint8)
+_KIND[[9, 10, 11, 12, 13]], _KIND[32] = _SPACE, _BLANK
+# the pre-tokenizer always cuts between these kinds: before white space that ends a word, behind white space other than a blank,
+# and behind a letter that no letter or byte of a longer character follows
+_CUT = np.zeros((8, 8), bool)
+_CUT[np.ix_([_REST, _LETTER, _MARK], [_BLANK, _SPACE])] = True
+_CUT[_SPACE, [_REST, _LETTER, _MARK]] = True
+_CUT[_LETTER, _MARK] = True
+_CUT = _CUT.ravel()
+_WORD_END = re.compile(rb"[^\x09-\x0d ](?=[\x09-\x0d ])")
+# white space, or taken for it by Python or by older tables, outside the kinds above
+_ODD_BYTES = re.compile(b"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 class WordCachedTokenizer:
@@ -44,6 +62,8 @@ class WordCachedTokenizer:
 
     Only byte-level pre-tokenizers without a normaliser cut every text at the units of
     ``UNITS``; a text with an added token's string or an odd control character is encoded whole.
+    ``encode_block`` cuts many texts at once in arrays, at such places that bytes alone tell, and looks each
+    distinct unit of the block up once; texts with other white space than ASCII's go through ``encode``.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
@@ -70,14 +90,18 @@ class WordCachedTokenizer:
         if ODD_SPACE.search(text) or any(t in text for t in self.added):
             return self._ids([text])[0]
         units = UNITS.findall(text)
-        fresh = set(units).difference(self.known)
+        return b"".join(self._ids_of(units, set(units)))
+
+    def _ids_of(self, units: list[str], distinct: Iterable[str]) -> list[bytes]:
+        """The ids of each unit; those of new units are remembered."""
+        fresh = [u for u in distinct if u not in self.known]
         if not fresh:
-            return b"".join(map(self.known.__getitem__, units))
+            return list(map(self.known.__getitem__, units))
         found = {u: self.older[u] for u in fresh if u in self.older}
         if len(found) < len(fresh):
             found.update(self._unit_ids([u for u in fresh if u not in found]))
         self.known.update(found)
-        out = b"".join(map(self.known.__getitem__, units))
+        out = list(map(self.known.__getitem__, units))
         for unit, ids in found.items():
             if len(unit) > LONGEST_KEPT:
                 del self.known[unit]
@@ -87,6 +111,52 @@ class WordCachedTokenizer:
             self.older, self.known, self.held = self.known, {}, 0
         return out
 
+    def encode_block(self, block: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts (UTF-8) that stand in ``block`` one after another up to ``ends``, and the number of each text's."""
+        starts = np.concatenate(([0], ends[:-1]))
+        odd = {int(np.searchsorted(ends, m.start(), side="right")) for m in _ODD_BYTES.finditer(block)}
+        for token in self.added:
+            token, at = token.encode(), -1
+            while (at := block.find(token, at + 1)) >= 0:
+                odd.add(int(np.searchsorted(ends, at, side="right")))
+        flat, counts, at = [], [], 0
+        for i in [*sorted(odd), len(ends)]:
+            if at < i:
+                ids, n = self._encode_plain(block[starts[at]:ends[i - 1]], ends[at:i] - starts[at])
+                flat.append(ids)
+                counts.append(n)
+            if i < len(ends):
+                flat.append(np.frombuffer(self.encode(block[starts[i]:ends[i]].decode()), "<u4"))
+                counts.append([len(flat[-1])])
+            at = i + 1
+        return np.concatenate(flat), np.concatenate(counts).astype(np.int64)
+
+    def _encode_plain(self, block: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not block:
+            return np.empty(0, "<u4"), np.zeros(len(ends), np.int64)
+        kind = _KIND[np.frombuffer(block, np.uint8)]
+        cut = np.empty(len(kind) + 1, bool)
+        cut[1:-1] = _CUT[kind[:-1] * np.uint8(8) + kind[1:]]
+        # of several white spaces before a word, the last one stands apart from the others
+        space = (kind == _BLANK) | (kind == _SPACE)
+        cut[1:-2] |= space[:-2] & space[1:-1] & ~space[2:]
+        # but not where the text ends
+        starts = np.concatenate(([0], ends[:-1]))
+        last = ends[ends - starts > 1] - 1
+        cut[last[space[last] & space[last - 1]]] = False
+        cut[starts], cut[-1] = True, True
+        edges = np.flatnonzero(cut).astype(np.int32)
+        # empty texts have no unit: those of a text stand between the edges of its start and its end
+        units = pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(block)).dictionary_encode()
+        distinct = units.dictionary.to_pylist()
+        ids = self._ids_of(distinct, distinct)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        unit = units.indices.to_numpy()
+        many = size[unit]
+        upto = np.concatenate(([0], np.cumsum(many)))
+        place = np.arange(upto[-1]) + np.repeat((np.cumsum(size) - size)[unit] - upto[:-1], many)
+        return np.frombuffer(b"".join(ids), "<u4")[place], np.diff(upto[np.searchsorted(edges, np.concatenate(([0], ends)))])
+
     def _unit_ids(self, units: list[str]) -> dict[str, bytes]:
         """Ids of units. Letters alone, with or without the blank before them, are one piece to the pre-tokenizer: the
         model gets them as they are. All else goes through the whole tokenizer."""
@@ -104,6 +174,10 @@ class WordCachedTokenizer:
         found.update(zip(rest, self._ids(rest)))
         return found
 
+    def whole(self, text: bytes) -> bool:
+        """Whether ``text`` is not to be cut at bytes."""
+        return bool(_ODD_BYTES.search(text)) or any(t.encode() in text for t in self.added)
+
     def forget(self) -> None:
         self.known, self.older, self.held = {}, {}, 0
 
@@ -140,37 +214,87 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     names = [fresh_name([f.name for f in rest], n) for n in ("start", "length", "ids", "doc_tokens")]
     kinds = (LongType(), LongType(), BinaryType(), LongType())
     schema = StructType([*rest, *[StructField(n, k) for n, k in zip(names, kinds)]])
-    end = end_id.to_bytes(4, "little")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _tokenizer(tokenizer)
-        encode = known.encode
-        for part in batches:
-            base = part.drop(columns=[text])
-            at, rows, held = [], [], 0
-            for i, t in enumerate(part[text]):
-                ids = encode(t or "") + end
-                n = len(ids) // 4
-                for start, size in binary_pieces(n, max_tokens):
-                    at.append(i)
-                    rows.append((start, size, ids[4 * start:4 * (start + size)], n))
-                held += len(ids)
-                if held > 8_000_000:  # hand over what is there: bounds a batch of long texts
-                    yield _joined(base, at, rows, names)
-                    at, rows, held = [], [], 0
-            if rows:
-                yield _joined(base, at, rows, names)
+        for batch in batches:
+            base = batch.select([f.name for f in rest])
+            held = []
+            for at, flat, counts, done in _encoded(known, batch.column(len(rest))):
+                if done:
+                    # each text's ids, and the end id behind them
+                    flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
+                if held or not done:  # a long text comes in parts
+                    held.append(flat)
+                    if not done:
+                        continue
+                    flat, held = np.concatenate(held), []
+                    counts = np.array([len(flat)])
+                row, begin, size = _cut(counts, max_tokens)
+                upto = np.concatenate(([0], np.cumsum(size)))
+                for i in range(0, len(size), BATCH_PIECES):
+                    some = slice(i, i + BATCH_PIECES)
+                    cuts = upto[i:i + BATCH_PIECES + 1]
+                    ids = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((4 * (cuts - cuts[0])).astype(np.int32)),
+                                                                             pa.py_buffer(flat[cuts[0]:cuts[-1]].astype("<u4"))])
+                    told = base.take(pa.array(at + row[some]))
+                    yield pa.RecordBatch.from_arrays([*told.columns, pa.array(begin[some]), pa.array(size[some]), ids,
+                                                      pa.array(counts[row[some]])], names=[f.name for f in schema])
         known.forget()
         release_memory()
 
-    return docs.select(*[f.name for f in rest], text).mapInPandas(run, schema)
+    return docs.select(*[f.name for f in rest], text).mapInArrow(run, schema)
 
 
-def _joined(base: pd.DataFrame, at: list[int], rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    out = base.iloc[at].reset_index(drop=True)
-    for name, column in zip(names, zip(*rows)):
-        out[name] = list(column)
-    return out
+def _encoded(known: WordCachedTokenizer, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """The ids of ``texts`` in order, by blocks of ``BLOCK_BYTES`` at most: number of the block's first text, ids, how many
+    each text has, whether the last text ends. A longer text comes alone and in parts, each begun by white space behind a word."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    if not len(texts):
+        return
+    _, places, data = texts.buffers()
+    places = np.frombuffer(places, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        upto = max(int(np.searchsorted(places, places[at] + BLOCK_BYTES, side="right")) - 1, at + 1)
+        start, end = int(places[at]), int(places[upto])
+        block = data.slice(start, end - start).to_pybytes() if data is not None else b""
+        ends = places[at + 1:upto + 1] - start
+        parts = [(0, len(block))]
+        if len(block) > BLOCK_BYTES and not known.whole(block):
+            parts = _text_parts(block)
+        for i, (a, b) in enumerate(parts):
+            part = block if len(parts) == 1 else block[a:b]
+            ids, counts = known.encode_block(part, ends if len(parts) == 1 else np.array([len(part)]))
+            yield at, ids, counts, i == len(parts) - 1
+        at = upto
+
+
+def _text_parts(text: bytes) -> list[tuple[int, int]]:
+    """Parts of about ``BLOCK_BYTES`` of a long text, each but the first begun by white space behind a word."""
+    parts, at = [], 0
+    for found in _WORD_END.finditer(text):
+        if found.end() - at >= BLOCK_BYTES:
+            parts.append((at, found.end()))
+            at = found.end()
+    return [*parts, (at, len(text))]
+
+
+def _cut(counts: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``binary_pieces`` of many texts with ``counts`` tokens: the text's number, start and length of each piece."""
+    full = counts // longest
+    rows, lengths = [np.repeat(np.arange(len(counts)), full)], [np.full(full.sum(), longest)]
+    starts = [longest * (np.arange(len(rows[0])) - np.repeat(np.cumsum(full) - full, full))]
+    size = longest // 2
+    while size:
+        row = np.flatnonzero(counts & size)
+        rows.append(row)
+        starts.append(counts[row] & ~(2 * size - 1))
+        lengths.append(np.full(len(row), size))
+        size //= 2
+    row, start, length = (np.concatenate(x).astype(np.int64) for x in (rows, starts, lengths))
+    order = np.lexsort((start, row))
+    return row[order], start[order], length[order]
 
 
 def number_sequences(pieces: DataFrame, scratch: Scratch, key: str = "doc_id", start: str = "start",

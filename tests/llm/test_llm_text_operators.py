@@ -8,6 +8,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +60,43 @@ def test_special_strings_and_a_small_cache():
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_blocks_of_texts_are_cut_in_arrays_to_the_same_ids(monkeypatch):
+    coder, draw = packing.WordCachedTokenizer(tokenizer()), random.Random(7)
+    parts = ["a", "Word", "'s", "'ll", "'", "don't", " ", "  ", "\n", "\t", "\r", "\x0c", ".", ",", "1", "23", "-", "(", "ñandú", "漢字", "\x00",
+             "\u0301", "😀", "\u2019", "\x1c", "\x85", "\xa0", "\u180e", "\u2003", "\u3000", "<|endoftext|>"]
+    texts = ["".join(draw.choice(parts if i % 3 else parts[:24]) for _ in range(draw.randrange(25))) for i in range(3000)]
+    texts = pa.array([*texts, None, "", " ", "\n ", "word " * 50])
+    want = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    for most in (1 << 20, 100, 9):  # whole blocks, some texts each, texts in parts
+        monkeypatch.setattr(packing, "BLOCK_BYTES", most)
+        got, open_ = [], []
+        for _, ids, counts, done in packing._encoded(coder, texts):
+            told = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+            open_ += told[0]
+            if done:
+                got += [open_, *told[1:]]
+                open_ = []
+        assert got == want
+    # each distinct unit of a block is looked up once, however many texts have it
+    asked = []
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 1 << 20)
+    monkeypatch.setattr(coder, "_ids_of", lambda units, distinct: asked.extend(units) or type(coder)._ids_of(coder, units, distinct))
+    list(packing._encoded(coder, pa.array(["some words, some more words"] * 500)))
+    assert sorted(asked) == [" more", " some", " words", ",", "some"]
+    row, start, size = packing._cut(np.array([1, 5000, 1024, 7]), 1024)
+    assert [*zip(row, start, size)] == [(i, a, n) for i, t in enumerate((1, 5000, 1024, 7)) for a, n in packing.binary_pieces(t)]
+
+
+def test_long_texts_are_packed_in_parts(spark):
+    rows = [(1, " some  words\n\nhere, and there" * 200_000), (2, "short"), (3, None)]  # more than a block
+    out = packing.cut_pieces(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer()).collect()
+    coder = packing._tokenizer(tokenizer())
+    for doc, text in rows:
+        pieces = sorted((r for r in out if r["doc_id"] == doc), key=lambda r: r["start"])
+        assert b"".join(bytes(r["ids"]) for r in pieces) == coder.encode(text or "") + bytes(4)
+        assert [(r["start"], r["length"]) for r in pieces] == packing.binary_pieces(pieces[0]["doc_tokens"])
+
+
 def test_binary_pieces():
     for n in (1, 2, 7, 1023, 1024, 1025, 5000):
         pieces = packing.binary_pieces(n)
