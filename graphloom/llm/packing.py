@@ -24,7 +24,7 @@ from graphloom.llm.common import Scratch, fresh_name, numbered, release_memory,
 
 MAX_TOKENS = 1024
 END_ID = 0
-# bytes of the words and ids that a Python worker remembers within a task, the objects around them counted in. They
+# bytes of the words and ids that a Python worker remembers, from task to task, the objects around them counted in. They
 # are kept in two halves: when the younger is full it takes the older one's place, so that words still in use stay. A
 # longer word is never kept
 REMEMBERED_BYTES, LONGEST_KEPT = 96 << 20, 32
@@ -89,27 +89,24 @@ class WordCachedTokenizer:
     def encode(self, text: str) -> bytes:
         if ODD_SPACE.search(text) or any(t in text for t in self.added):
             return self._ids([text])[0]
-        units = UNITS.findall(text)
-        return b"".join(self._ids_of(units, set(units)))
+        return b"".join(self._ids_of(UNITS.findall(text)))
 
-    def _ids_of(self, units: list[str], distinct: Iterable[str]) -> list[bytes]:
+    def _ids_of(self, units: list[str]) -> list[bytes]:
         """The ids of each unit; those of new units are remembered."""
-        fresh = [u for u in distinct if u not in self.known]
+        out = list(map(self.known.get, units))
+        fresh = dict.fromkeys(u for u, ids in zip(units, out) if ids is None)
         if not fresh:
-            return list(map(self.known.__getitem__, units))
+            return out
         found = {u: self.older[u] for u in fresh if u in self.older}
         if len(found) < len(fresh):
             found.update(self._unit_ids([u for u in fresh if u not in found]))
-        self.known.update(found)
-        out = list(map(self.known.__getitem__, units))
         for unit, ids in found.items():
-            if len(unit) > LONGEST_KEPT:
-                del self.known[unit]
-            else:
+            if len(unit) <= LONGEST_KEPT:
+                self.known[unit] = ids
                 self.held += 250 + len(unit) + len(ids)
         if self.held > self.remembered // 2:
             self.older, self.known, self.held = self.known, {}, 0
-        return out
+        return [found[u] if ids is None else ids for u, ids in zip(units, out)]
 
     def encode_block(self, block: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts (UTF-8) that stand in ``block`` one after another up to ``ends``, and the number of each text's."""
@@ -149,7 +146,7 @@ class WordCachedTokenizer:
         # empty texts have no unit: those of a text stand between the edges of its start and its end
         units = pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(block)).dictionary_encode()
         distinct = units.dictionary.to_pylist()
-        ids = self._ids_of(distinct, distinct)
+        ids = self._ids_of(distinct)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         unit = units.indices.to_numpy()
         many = size[unit]
@@ -178,9 +175,6 @@ class WordCachedTokenizer:
         """Whether ``text`` is not to be cut at bytes."""
         return bool(_ODD_BYTES.search(text)) or any(t.encode() in text for t in self.added)
 
-    def forget(self) -> None:
-        self.known, self.older, self.held = {}, {}, 0
-
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> WordCachedTokenizer:
@@ -240,7 +234,6 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                     told = base.take(pa.array(at + row[some]))
                     yield pa.RecordBatch.from_arrays([*told.columns, pa.array(begin[some]), pa.array(size[some]), ids,
                                                       pa.array(counts[row[some]])], names=[f.name for f in schema])
-        known.forget()
         release_memory()
 
     return docs.select(*[f.name for f in rest], text).mapInArrow(run, schema)

@@ -80,7 +80,7 @@ def test_blocks_of_texts_are_cut_in_arrays_to_the_same_ids(monkeypatch):
     # each distinct unit of a block is looked up once, however many texts have it
     asked = []
     monkeypatch.setattr(packing, "BLOCK_BYTES", 1 << 20)
-    monkeypatch.setattr(coder, "_ids_of", lambda units, distinct: asked.extend(units) or type(coder)._ids_of(coder, units, distinct))
+    monkeypatch.setattr(coder, "_ids_of", lambda units: asked.extend(units) or type(coder)._ids_of(coder, units))
     list(packing._encoded(coder, pa.array(["some words, some more words"] * 500)))
     assert sorted(asked) == [" more", " some", " words", ",", "some"]
     row, start, size = packing._cut(np.array([1, 5000, 1024, 7]), 1024)
